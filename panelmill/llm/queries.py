@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, token_files, warc
+from . import chat, langid, quality, token_files, toxicity, warc
 from .decontaminate import find_benchmark
 from .exact_dedup import exact_duplicates
 from .mixing import mix
@@ -18,11 +18,22 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those that aren't held out."""
+    docs = _read(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal texts of all documents, and the row of each that stays."""
     return exact_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def tokenizer_path() -> str:
     """The public byte-level tokenizer's file."""
     import public_tokenizers
@@ -51,6 +62,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents."""
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of benchmark items in all documents."""
     found = find_benchmark(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -82,11 +98,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_source_mixing": op6_source_mixing,
     "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_chat_format": op10_chat_format,
 }
