@@ -1,7 +1,7 @@
 """All queries of the engine and the SQL that checks them."""
 
-from . import prices
+from . import gold, prices
 
-MODULES = (prices,)
+MODULES = (prices, gold)
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 SQL = {name: q for m in MODULES for name, q in m.SQL.items()}

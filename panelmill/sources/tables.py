@@ -57,13 +57,13 @@ class Tables:
         year = F.year("l_shipdate")
         price, disc = F.col("l_extendedprice"), F.col("l_discount")
         sums = self.lines().groupBy(F.col("p_brand").alias("symbol"), year.alias("fiscal_year")).agg(
-            F.round(F.sum(price), 2).alias("Revenues"), F.round(F.sum(price * (1 - disc)), 2).alias("CostOfRevenue"),
-            F.round(F.sum(price * disc), 2).alias("NetIncomeLoss"), F.round(F.sum("l_quantity"), 0).alias("SharesOutstanding"),
+            F.round(F.sum(price), 2).alias("Revenues"), F.round(F.sum(price * (1 - disc)), 4).alias("CostOfRevenue"),
+            F.round(F.sum(price * disc), 4).alias("NetIncomeLoss"), F.round(F.sum("l_quantity"), 0).alias("SharesOutstanding"),
             F.round(F.sum(price) * 3, 2).alias("Assets"), F.round(F.sum(price) * 2, 2).alias("StockholdersEquity"),
         )
         tags = ["Revenues", "CostOfRevenue", "NetIncomeLoss", "SharesOutstanding", "Assets", "StockholdersEquity"]
         long = sums.unpivot(["symbol", "fiscal_year"], tags, "tag", "value").withColumn("value", F.col("value").cast("double"))
-        old = long.filter("tag = 'Revenues'").withColumn("tag", F.lit("SalesRevenueNet")).withColumn("value", F.round(F.col("value") * 0.9, 2))
+        old = long.filter("tag = 'Revenues'").withColumn("tag", F.lit("SalesRevenueNet")).withColumn("value", F.round(F.col("value") * 0.9, 4))
         long = long.unionByName(old)
         end = F.make_date("fiscal_year", F.lit(12), F.lit(31))
         flow = F.col("tag").isin("Revenues", "SalesRevenueNet", "CostOfRevenue", "NetIncomeLoss")
@@ -71,7 +71,7 @@ class Tables:
             "symbol", F.lit("us-gaap").alias("taxonomy"), "tag", F.when(flow, F.make_date("fiscal_year", F.lit(1), F.lit(1))).alias("start_date"),
             end.alias("end_date"), "value", "fiscal_year", F.lit("FY").alias("fiscal_period"), F.lit("10-K").alias("form"), F.date_add(end, 45).alias("filed"),
         )
-        again = base.filter("tag = 'Revenues'").withColumn("value", F.round(F.col("value") * 1.01, 2)).withColumn("form", F.lit("10-K/A"))
+        again = base.filter("tag = 'Revenues'").withColumn("value", F.round(F.col("value") * 1.01, 4)).withColumn("form", F.lit("10-K/A"))
         return base.unionByName(again.withColumn("filed", F.date_add("filed", 365)))
 
     def profiles(self) -> DataFrame:
