@@ -65,7 +65,7 @@ def with_fundamentals(signals: DataFrame, known: DataFrame) -> DataFrame:
     out = out.withColumn("dividend_yield", div(rate, F.col("last_closing_price")))
     usual = F.coalesce(F.nullif(F.col("roe"), F.lit(0.0)), F.col("dividend_yield"))
     out = out.withColumn("dividend_yield_gap", F.col("dividend_yield") - usual)
-    return out.withColumn("dividend_yield_trap", F.col("dividend_yield_gap") > 0.015)
+    return out.withColumn("dividend_yield_trap", F.coalesce(F.col("dividend_yield_gap") > 0.015, F.lit(False)))
 
 
 def candidates(dates: DataFrame, prices: DataFrame, known: DataFrame, sic: DataFrame) -> DataFrame:

@@ -245,7 +245,7 @@ sg0 AS (SELECT s.*, k.net_income, k.shares_outstanding, k.roe, k.net_income / nu
   ASOF LEFT JOIN known k ON k.symbol = s.symbol AND k.filed <= s.as_of_date),
 sg1 AS (SELECT *, last_closing_price / nullif(eps, 0) AS pe_ratio, eps * 0.3 / nullif(last_closing_price, 0) AS dividend_yield FROM sg0),
 sig AS (SELECT *, dividend_yield - coalesce(nullif(roe, 0), dividend_yield) AS dividend_yield_gap,
-  dividend_yield - coalesce(nullif(roe, 0), dividend_yield) > 0.015 AS dividend_yield_trap FROM sg1),
+  coalesce(dividend_yield - coalesce(nullif(roe, 0), dividend_yield) > 0.015, false) AS dividend_yield_trap FROM sg1),
 lst AS (SELECT * FROM sig WHERE as_of_date = (SELECT max(as_of_date) FROM sig))"""
 )
 _PCT = """percent_rank() OVER (PARTITION BY as_of_date ORDER BY coalesce(change_30d_pct, 0)) AS momentum_pct,
