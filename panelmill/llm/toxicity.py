@@ -233,15 +233,17 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams | None = None
     share of 1.
     """
     p = params or ToxicityParams()
-    known = labels.select("doc_id", F.col("toxic").alias("label")).filter("label in (0, 1)")
-    rows = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id"))).join(known, "doc_id")
-    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    sample = bounded_sample(rows, "label", ["text"], p.sample_rows)
-    learned = _learned_insults(sample, p) if len(n) == 2 else {}
-    lexicon = Lexicon.of(learned)
-    if len(n) < 2:
+    known = labels.select("doc_id", F.col("toxic").alias("label")).filter("label in (0, 1)").filter(~held_out(F.col("doc_id")))
+    n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    # the sample is drawn from the labels alone; its ids, sample_rows at most, are sent to the texts
+    chosen = [(r["doc_id"], r["label"]) for r in bounded_sample(known, "label", ["doc_id"], p.sample_rows)]
+    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int")
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text").collect()
+    sample.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
+    if len({r["label"] for r in sample}) < 2:
         share = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
-        return ToxicityModel(lexicon, np.zeros(N_FEATURES), float(np.log(share / (1 - share))))
+        return ToxicityModel(Lexicon.of({}), np.zeros(N_FEATURES), float(np.log(share / (1 - share))))
+    lexicon = Lexicon.of(_learned_insults(sample, p))
     data, offsets = texts(pa.array([r["text"] for r in sample], pa.large_string()))
     hasher, machine = WordHasher(), grammar()
     x = np.concatenate([_features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, lexicon, machine) for a, b in slices(offsets)])
