@@ -107,6 +107,9 @@ def mix(docs: DataFrame, quality: Column | None = None, seed: int = 1, **shares)
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as ``mix`` takes them; rows that repeat a doc_id are taken as often as the first."""
-    plan = mix(docs, **options).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").cast("int").alias("_copies"))
+    times = "_copies"
+    while times in docs.columns:
+        times += "_"
+    plan = mix(docs, **options).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").cast("int").alias(times))
     joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["doc_id"])).drop(plan["doc_id"])
-    return joined.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    return joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
