@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..operators.ema import emas
 from ..operators.windows import change, product_after, rolling, series
 
-W = series()
 SMA_ROWS = (3, 5, 7, 10, 14, 15, 20, 21, 25, 30, 40, 50, 60, 75, 90, 100, 120, 150, 200, 300)
 
 
@@ -18,9 +17,9 @@ def adjusted(prices: DataFrame) -> DataFrame:
     A row's factor is the product over later rows of (1 - dividend / close before) / split; the last row's is 1.
     """
     split = F.coalesce(F.nullif("split_ratio", F.lit(0.0)), F.lit(1.0))
-    paid = 1 - F.coalesce(F.try_divide(F.col("dividend"), F.lag("close").over(W)), F.lit(0.0))
+    paid = 1 - F.coalesce(F.try_divide(F.col("dividend"), F.lag("close").over(series())), F.lit(0.0))
     out = prices.withColumn("_day", F.coalesce(paid, F.lit(1.0)) / split)
-    out = out.withColumn("adj_factor", product_after(F.col("_day"), W)).drop("_day")
+    out = out.withColumn("adj_factor", product_after(F.col("_day"), series())).drop("_day")
     return out.withColumns({f"adj_{c}": F.col(c) * F.col("adj_factor") for c in ("open", "high", "low", "close")})
 
 
@@ -28,23 +27,23 @@ def with_changes(p: DataFrame) -> DataFrame:
     """Day, month, quarter and year changes: over 1, 21, 63 and 252 rows, in percent."""
     return p.withColumns(
         {
-            "last_day_change_abs": F.col("close") - F.lag("close").over(W),
-            "last_day_change_pct": change("close", 1, W) * 100,
-            "change_30d_pct": change("close", 21, W) * 100,
-            "change_90d_pct": change("close", 63, W) * 100,
-            "change_365d_pct": change("close", 252, W) * 100,
+            "last_day_change_abs": F.col("close") - F.lag("close").over(series()),
+            "last_day_change_pct": change("close", 1, series()) * 100,
+            "change_30d_pct": change("close", 21, series()) * 100,
+            "change_90d_pct": change("close", 63, series()) * 100,
+            "change_365d_pct": change("close", 252, series()) * 100,
         }
     )
 
 
 def change_over(days: int) -> tuple[Column, Column]:
     """Absolute and percent change of the scalar form: against the row ``days - 1`` before."""
-    was = F.lag("close", days - 1).over(W)
+    was = F.lag("close", days - 1).over(series())
     return F.col("close") - F.nullif(was, F.lit(0.0)), F.try_divide(F.col("close") - was, was) * 100
 
 
 def with_bollinger(p: DataFrame, rows: int = 20, width: float = 2.0) -> DataFrame:
-    mid, dev = rolling(F.avg, "close", rows, W), rolling(F.stddev_samp, "close", rows, W)
+    mid, dev = rolling(F.avg, "close", rows, series()), rolling(F.stddev_samp, "close", rows, series())
     p = p.withColumn("_mid", mid).withColumn("_dev", dev)
     p = p.withColumn("bollinger_upper", F.col("_mid") + width * F.col("_dev")).withColumn("bollinger_lower", F.col("_mid") - width * F.col("_dev"))
     span = F.col("bollinger_upper") - F.col("bollinger_lower")
@@ -55,31 +54,31 @@ def with_bollinger(p: DataFrame, rows: int = 20, width: float = 2.0) -> DataFram
 
 def with_volume(p: DataFrame) -> DataFrame:
     """On-balance volume and money flow index (14); a flat series has flow index 0."""
-    diff = F.col("close") - F.lag("close").over(W)
+    diff = F.col("close") - F.lag("close").over(series())
     tp = (F.col("high") + F.col("low") + F.col("close")) / 3
     p = p.withColumn("_tp", tp).withColumn("_step", F.signum(diff) * F.col("volume"))
-    move = F.col("_tp") - F.lag("_tp").over(W)
+    move = F.col("_tp") - F.lag("_tp").over(series())
     flow = F.col("_tp") * F.col("volume")
     p = p.withColumn("_up", F.when(move > 0, flow).otherwise(0.0)).withColumn("_down", F.when(move < 0, flow).otherwise(0.0))
-    p = p.withColumn("obv", F.sum("_step").over(W.rowsBetween(Window.unboundedPreceding, 0)))
-    up, down = rolling(F.sum, "_up", 14, W), rolling(F.sum, "_down", 14, W)
+    p = p.withColumn("obv", F.sum("_step").over(series().rowsBetween(Window.unboundedPreceding, 0)))
+    up, down = rolling(F.sum, "_up", 14, series()), rolling(F.sum, "_down", 14, series())
     p = p.withColumn("_u", up).withColumn("_d", down)
     mfi = F.when(F.col("_u") == 0, 0.0).when(F.col("_d") == 0, 100.0).otherwise(100 - 100 / (1 + F.try_divide(F.col("_u"), F.col("_d"))))
     return p.withColumn("mfi", F.when(F.col("_u").isNotNull(), mfi)).drop("_tp", "_step", "_up", "_down", "_u", "_d")
 
 
 def with_averages(p: DataFrame, rows: tuple[int, ...] = (50, 200)) -> DataFrame:
-    return p.withColumns({f"ma_{n}": rolling(F.avg, "close", n, W) for n in rows})
+    return p.withColumns({f"ma_{n}": rolling(F.avg, "close", n, series()) for n in rows})
 
 
 def true_range() -> Column:
-    before = F.lag("close").over(W)
+    before = F.lag("close").over(series())
     return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
 
 
 def with_recursive(p: DataFrame, atr_rows: tuple[int, ...] = (14,)) -> DataFrame:
     """RSI (14), MACD (12, 26, 9), exponential means (50, 200) and average true ranges, in two block scans."""
-    diff = F.col("close") - F.lag("close").over(W)
+    diff = F.col("close") - F.lag("close").over(series())
     p = p.withColumn("_diff", diff).withColumn("_tr", true_range())
     p = p.withColumn("_gain", F.greatest("_diff", F.lit(0.0))).withColumn("_loss", F.greatest(-F.col("_diff"), F.lit(0.0)))
     p = p.withColumn("_gain", F.when(F.col("_diff").isNotNull(), F.col("_gain"))).withColumn("_loss", F.when(F.col("_diff").isNotNull(), F.col("_loss")))
@@ -102,9 +101,9 @@ def trade_signal() -> Column:
 
 def with_risk(p: DataFrame, rows: int = 252, risk_free: float = 0.0) -> DataFrame:
     """Sharpe and Sortino ratios over ``rows`` daily returns; no downside gives NULL and ``no_downside``."""
-    p = p.withColumn("ret", change("close", 1, W))
-    mean, dev = rolling(F.avg, "ret", rows, W), rolling(F.stddev_samp, "ret", rows, W)
-    frame = W.rowsBetween(-(rows - 1), 0)
+    p = p.withColumn("ret", change("close", 1, series()))
+    mean, dev = rolling(F.avg, "ret", rows, series()), rolling(F.stddev_samp, "ret", rows, series())
+    frame = series().rowsBetween(-(rows - 1), 0)
     bad = F.when(F.col("ret") < risk_free / 252, F.col("ret"))
     p = p.withColumn("_mean", mean).withColumn("_dev", dev).withColumn("_bad", F.stddev_samp(bad).over(frame)).withColumn("_n", F.count(bad).over(frame))
     excess = F.col("_mean") * 252 - risk_free
@@ -122,13 +121,13 @@ def last_rows(p: DataFrame, rows: int) -> DataFrame:
 def max_drawdown(p: DataFrame, rows: int = 252) -> DataFrame:
     """``symbol, max_drawdown``: the deepest fall below the running maximum within the last ``rows`` rows."""
     tail = last_rows(p, rows)
-    top = F.max("close").over(W.rowsBetween(Window.unboundedPreceding, 0))
+    top = F.max("close").over(series().rowsBetween(Window.unboundedPreceding, 0))
     return tail.withColumn("_dd", F.col("close") / top - 1).groupBy("symbol").agg(F.min("_dd").alias("max_drawdown"))
 
 
 def beta(p: DataFrame, benchmark: str, rows: int = 252, least: int = 20) -> DataFrame:
     """``symbol, beta`` of the last ``rows`` daily returns that the benchmark has too, aligned by date."""
-    r = p.withColumn("r", change("close", 1, W)).select("symbol", "date", "r").filter("r is not null")
+    r = p.withColumn("r", change("close", 1, series())).select("symbol", "date", "r").filter("r is not null")
     b = r.filter(F.col("symbol") == benchmark).select("date", F.col("r").alias("b"))
     both = last_rows(r.join(b, "date"), rows)
     return both.groupBy("symbol").agg(
@@ -139,7 +138,7 @@ def beta(p: DataFrame, benchmark: str, rows: int = 252, least: int = 20) -> Data
 def signal_series(prices: DataFrame, warm_up: int = 200) -> DataFrame:
     """Every indicator for every session after a symbol's first ``warm_up`` rows."""
     p = with_changes(with_averages(with_volume(with_bollinger(with_recursive(prices)))))
-    p = p.withColumn("trade_signal", trade_signal()).withColumn("_rn", F.row_number().over(W))
+    p = p.withColumn("trade_signal", trade_signal()).withColumn("_rn", F.row_number().over(series()))
     p = p.filter(F.col("_rn") > warm_up).drop("_rn")
     return p.withColumn("as_of_date", F.col("date")).withColumn("last_closing_price", F.col("close")).drop("date", "open", "high", "low", "close", "volume")
 
@@ -149,8 +148,8 @@ def signal_row(prices: DataFrame, rows: tuple[int, ...] = SMA_ROWS) -> DataFrame
     cols = {}
     for n in rows:
         cols |= {
-            f"ma_{n}": rolling(F.avg, "close", n, W), f"high_{n}d": rolling(F.max, "high", n, W), f"low_{n}d": rolling(F.min, "low", n, W),
-            f"volume_trend_{n}d": rolling(F.avg, "volume", n, W), f"change_{n}d_abs": change_over(n)[0], f"change_{n}d_pct": change_over(n)[1],
+            f"ma_{n}": rolling(F.avg, "close", n, series()), f"high_{n}d": rolling(F.max, "high", n, series()), f"low_{n}d": rolling(F.min, "low", n, series()),
+            f"volume_trend_{n}d": rolling(F.avg, "volume", n, series()), f"change_{n}d_abs": change_over(n)[0], f"change_{n}d_pct": change_over(n)[1],
         }
-    p = prices.withColumns(cols).withColumn("_next", F.lead("date").over(W)).filter("_next is null")
+    p = prices.withColumns(cols).withColumn("_next", F.lead("date").over(series())).filter("_next is null")
     return p.drop("_next", "open", "high", "low", "volume")

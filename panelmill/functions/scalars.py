@@ -22,6 +22,11 @@ def div(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation as an aggregate; NULL where one side doesn't vary, which ``corr`` in ANSI mode fails on."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def net_return(x: Column, bps: float) -> Column:
     """A return less the cost of a round trip of ``bps`` a side."""
     return x - 2 * bps / 10_000

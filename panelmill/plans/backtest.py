@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import net_return
+from ..functions.scalars import correlation, net_return
 from ..operators.windows import average_rank, bucket, overlap_turnover
 
 HORIZONS = (21, 63, 126, 252)
@@ -52,7 +52,7 @@ def ic_by_date(frame: DataFrame) -> DataFrame:
     r = frame.filter("excess_return is not null")
     r = r.withColumn("_a", average_rank(F.col("signal"), by)).withColumn("_b", average_rank(F.col("excess_return"), by))
     many = (F.min("signal") < F.max("signal")) & (F.min("excess_return") < F.max("excess_return"))
-    return r.groupBy(*by).agg(F.when(many, F.corr("_a", "_b")).alias("ic")).filter("ic is not null")
+    return r.groupBy(*by).agg(F.when(many, correlation("_a", "_b")).alias("ic")).filter("ic is not null")
 
 
 def ic_summary(ics: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def decile_means(frame: DataFrame) -> DataFrame:
 def monotonicity(deciles: DataFrame) -> DataFrame:
     """Rank correlation of a decile's number and its mean excess return: 1 is perfectly ordered."""
     r = deciles.withColumn("_a", average_rank(F.col("decile"), _RUN)).withColumn("_b", average_rank(F.col("mean_excess"), _RUN))
-    return r.groupBy(*_RUN).agg(F.corr("_a", "_b").alias("monotonicity"))
+    return r.groupBy(*_RUN).agg(correlation("_a", "_b").alias("monotonicity"))
 
 
 def top_excess(frame: DataFrame, bps: float = 0.0) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import net_return
+from ..functions.scalars import correlation, net_return
 from ..operators.windows import average_rank, overlap_turnover
 
 ENTER, EXIT = 0.90, 0.50
@@ -83,7 +83,7 @@ def settle(calls: DataFrame, expected: DataFrame, returns: DataFrame, benchmark:
     frame = frame.withColumn("_a", average_rank(F.col("score"), by)).withColumn("_b", average_rank(F.col("excess_return"), by))
     best = F.avg(F.when(F.col("score_percentile") >= top, F.col("fwd_return")))
     graded = frame.groupBy(*by).agg(
-        F.count("*").alias("n_symbols"), (net_return(best, bps) - F.avg("fwd_return")).alias("realized_excess_net"), F.corr("_a", "_b").alias("realized_ic")
+        F.count("*").alias("n_symbols"), (net_return(best, bps) - F.avg("fwd_return")).alias("realized_excess_net"), correlation("_a", "_b").alias("realized_ic")
     )
     out = graded.join(total, "as_of_date").join(due.select("as_of_date", "horizon", "mean", "p10"), by)
     return out.withColumn("n_missing", F.col("n_calls") - F.col("n_symbols")).drop("n_calls").withColumn(
@@ -97,7 +97,7 @@ def attribution(calls: DataFrame, returns: DataFrame, components: list[str]) ->
     by = ["as_of_date", "horizon", "component"]
     long = long.filter("pct is not null and excess_return is not null")
     long = long.withColumn("_a", average_rank(F.col("pct"), by)).withColumn("_b", average_rank(F.col("excess_return"), by))
-    return long.groupBy(*by).agg(F.corr("_a", "_b").alias("ic"))
+    return long.groupBy(*by).agg(correlation("_a", "_b").alias("ic"))
 
 
 def trailing_runs(settled: DataFrame, flags: list[str], by: str = "horizon", date: str = "as_of_date") -> DataFrame:

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import on_latest
+from ..operators.windows import series
 from .scoring import component_percentiles, ranked
 
-_W = Window.partitionBy("symbol").orderBy("as_of_date")
-
 
 def watchlist(signals: DataFrame) -> DataFrame:
     """The latest date's symbols, scored and ranked."""
@@ -25,7 +24,7 @@ def alerts(signals: DataFrame, latest_only: bool = True, squeeze_days: int = 126
     narrow = F.percent_rank().over(Window.partitionBy("symbol", recent).orderBy("bollinger_bandwidth"))
     s = s.withColumns(
         {
-            "_hist": F.lag("macd_histogram").over(_W), "_close": F.lag("last_closing_price").over(_W), "_ma": F.lag("ma_200").over(_W), "_narrow": F.when(recent, narrow),
+            "_hist": F.lag("macd_histogram").over(series(order="as_of_date")), "_close": F.lag("last_closing_price").over(series(order="as_of_date")), "_ma": F.lag("ma_200").over(series(order="as_of_date")), "_narrow": F.when(recent, narrow),
         }
     )
     crossed = F.col("_hist").isNotNull() & (F.signum("macd_histogram") != F.signum("_hist"))

@@ -30,10 +30,10 @@ def open_lots(trades: DataFrame) -> DataFrame:
     # a day's buys come before its sales
     day = Window.partitionBy(*KEY).orderBy("date").rangeBetween(Window.unboundedPreceding, 0)
     t = trades.withColumn("_bought", F.sum(buy).over(w)).withColumn("_sold", F.sum(sell).over(whole)).withColumn("_net", F.sum(buy - sell).over(day))
-    over = F.raise_error(F.concat_ws(" ", "account", "symbol", F.lit("sells more than the journal holds"))).cast("double")
     rest = F.greatest(F.lit(0.0), F.least(F.col("qty"), F.col("_bought") - F.col("_sold")))
-    t = t.withColumn("open", F.when(F.col("_net") < -_EPS, over).otherwise(rest))
-    return t.filter((F.col("side") == "buy") & (F.col("open") > _EPS)).select(*KEY, "date", "price", "seed", "id", "open")
+    over = F.raise_error(F.concat_ws(" ", "account", "symbol", F.lit("sells more than the journal holds"))).cast("boolean")
+    keep = F.when(F.col("_net") < -_EPS, over).otherwise((F.col("side") == "buy") & (F.col("open") > _EPS))
+    return t.withColumn("open", rest).filter(keep).select(*KEY, "date", "price", "seed", "id", "open")
 
 
 def reconcile(trades: DataFrame, positions: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import indicators as ind
-from ..operators.windows import change, overlap_turnover, pct_rank
+from ..operators.windows import change, overlap_turnover, pct_rank, series
 from ..plans import backtest as bt
 from ..plans import calls as cl
 from ..plans import holdings as hd
@@ -24,7 +24,7 @@ def returns(t: Tables) -> DataFrame:
 
 def signals(t: Tables) -> DataFrame:
     """Two simple signals of every session: one month's change, and its opposite over a quarter."""
-    b = t.bars().withColumn("momentum", change("close", 21, ind.W)).withColumn("reversal", -change("close", 63, ind.W))
+    b = t.bars().withColumn("momentum", change("close", 21, series())).withColumn("reversal", -change("close", 63, series()))
     return b.unpivot(["symbol", "date"], ["momentum", "reversal"], "variant", "signal").withColumnRenamed("date", "as_of_date")
 
 
@@ -125,7 +125,7 @@ def set_02_settle(spark, d):
 
 def set_02_attribution(spark, d):
     t = Tables(spark, d)
-    b = t.bars().withColumn("m", change("close", 21, ind.W)).withColumn("v", F.col("volume"))
+    b = t.bars().withColumn("m", change("close", 21, series())).withColumn("v", F.col("volume"))
     b = b.join(scoring.month_ends(t.bars().select(F.col("date").alias("as_of_date"))).withColumnRenamed("as_of_date", "date"), "date").withColumnRenamed("date", "as_of_date")
     parts = b.select("symbol", "as_of_date", pct_rank(F.col("m"), ["as_of_date"]).alias("momentum_pct"), pct_rank(F.col("v").cast("double"), ["as_of_date"]).alias("volume_pct"))
     return r4(cl.attribution(parts, returns(t), ["momentum_pct", "volume_pct"]), ["as_of_date", "horizon", "component"], "ic")

@@ -151,8 +151,11 @@ def _crossed_today(x: DataFrame) -> DataFrame:
 
 
 def _recent_rows(n: int):
-    w = Window.partitionBy("symbol").orderBy(F.col("as_of_date").desc())
-    return lambda x: x.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+    def rows(x: DataFrame) -> DataFrame:
+        w = Window.partitionBy("symbol").orderBy(F.col("as_of_date").desc())
+        return x.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+
+    return rows
 
 
 def _zones(x: DataFrame) -> DataFrame:

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import indicators as ind
 from ..operators.ema import emas
-from ..operators.windows import change, latest_per_key, rolling, running_product
+from ..operators.windows import change, latest_per_key, rolling, running_product, series
 from ..sources.tables import QQQ, SPY, Tables
 from .sqltext import ADJUSTED, BARS, RAW, SIGNALS, frames, full, rounded
 
-W = ind.W
 
 
 def r4(df: DataFrame, keep: list[str], values: str, digits: int = 4) -> DataFrame:
@@ -44,7 +43,7 @@ def ind_03_changes(spark, d):
 
 
 def ind_04_sma(spark, d):
-    b = bars(spark, d).withColumns({f"ma_{n}": rolling(F.avg, "close", n, W) for n in (3, 20, 200, 300)})
+    b = bars(spark, d).withColumns({f"ma_{n}": rolling(F.avg, "close", n, series()) for n in (3, 20, 200, 300)})
     return r4(b, ["symbol", "date"], "ma_3, ma_20, ma_200, ma_300")
 
 
@@ -61,7 +60,7 @@ def ind_08_bollinger(spark, d):
 
 
 def ind_09_volume_trend(spark, d):
-    return r4(bars(spark, d).withColumns({f"volume_trend_{n}d": rolling(F.avg, "volume", n, W) for n in (5, 90)}), ["symbol", "date"], "volume_trend_5d, volume_trend_90d")
+    return r4(bars(spark, d).withColumns({f"volume_trend_{n}d": rolling(F.avg, "volume", n, series()) for n in (5, 90)}), ["symbol", "date"], "volume_trend_5d, volume_trend_90d")
 
 
 def ind_10_obv_mfi(spark, d):
@@ -69,7 +68,7 @@ def ind_10_obv_mfi(spark, d):
 
 
 def ind_13_high_low(spark, d):
-    b = bars(spark, d).withColumns({f"high_{n}d": rolling(F.max, "high", n, W) for n in (5, 252)} | {f"low_{n}d": rolling(F.min, "low", n, W) for n in (5, 252)})
+    b = bars(spark, d).withColumns({f"high_{n}d": rolling(F.max, "high", n, series()) for n in (5, 252)} | {f"low_{n}d": rolling(F.min, "low", n, series()) for n in (5, 252)})
     return r4(b, ["symbol", "date"], "high_5d, high_252d, low_5d, low_252d")
 
 
@@ -106,24 +105,24 @@ def ind_25_split_factors(spark, d):
 def wn_09_cumulative_split(spark, d):
     p = Tables(spark, d).raw_prices()
     split = F.coalesce(F.nullif("split_ratio", F.lit(0.0)), F.lit(1.0))
-    return p.select("symbol", "date", F.round(running_product(split, W), 6).alias("cum_split"))
+    return p.select("symbol", "date", F.round(running_product(split, series()), 6).alias("cum_split"))
 
 
 def wn_11_rolling(spark, d):
     b = bars(spark, d).withColumns(
-        {f"{n}_10": rolling(fn, "close", 10, W) for n, fn in (("avg", F.avg), ("std", F.stddev_samp), ("sum", F.sum), ("max", F.max), ("min", F.min))}
+        {f"{n}_10": rolling(fn, "close", 10, series()) for n, fn in (("avg", F.avg), ("std", F.stddev_samp), ("sum", F.sum), ("max", F.max), ("min", F.min))}
     )
     return r4(b, ["symbol", "date"], "avg_10, std_10, sum_10, max_10, min_10")
 
 
 def wn_13_running(spark, d):
-    run = W.rowsBetween(Window.unboundedPreceding, 0)
+    run = series().rowsBetween(Window.unboundedPreceding, 0)
     return bars(spark, d).select("symbol", "date", F.sum("volume").over(run).alias("cum_volume"), F.max("close").over(run).alias("cum_max"))
 
 
 def fct_01_market(spark, d):
     t = Tables(spark, d)
-    b = t.bars().withColumns({f"return_{k}d": change("close", k, W) for k in (1, 5, 21, 63, 252)})
+    b = t.bars().withColumns({f"return_{k}d": change("close", k, series()) for k in (1, 5, 21, 63, 252)})
     dim = t.securities().select("symbol", "sector")
     b = b.join(dim, "symbol", "left").withColumn("date_key", F.date_format("date", "yyyyMMdd").cast("int"))
     return r4(b, ["symbol", "date_key", "sector", "volume"], "close, return_1d, return_5d, return_21d, return_63d, return_252d", 6)
