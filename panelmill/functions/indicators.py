@@ -14,11 +14,12 @@ SMA_ROWS = (3, 5, 7, 10, 14, 15, 20, 21, 25, 30, 40, 50, 60, 75, 90, 100, 120, 1
 def adjusted(prices: DataFrame) -> DataFrame:
     """``prices(open, high, low, close, dividend, split_ratio, ...)`` with ``adj_factor`` and back-adjusted prices.
 
-    A row's factor is the product over later rows of (1 - dividend / close before) / split; the last row's is 1.
+    A row's factor is the product over later rows of (1 - dividend / close before) / split; the last row's is 1. A
+    dividend of the whole close or more is an error of the source and ignored.
     """
     split = F.coalesce(F.nullif("split_ratio", F.lit(0.0)), F.lit(1.0))
     paid = 1 - F.coalesce(F.try_divide(F.col("dividend"), F.lag("close").over(series())), F.lit(0.0))
-    out = prices.withColumn("_day", F.coalesce(paid, F.lit(1.0)) / split)
+    out = prices.withColumn("_day", F.when(paid > 0, paid).otherwise(1.0) / split)
     out = out.withColumn("adj_factor", product_after(F.col("_day"), series())).drop("_day")
     return out.withColumns({f"adj_{c}": F.col(c) * F.col("adj_factor") for c in ("open", "high", "low", "close")})
 

@@ -87,8 +87,8 @@ def settle(calls: DataFrame, expected: DataFrame, returns: DataFrame, benchmark:
     )
     out = graded.join(total, "as_of_date").join(due.select("as_of_date", "horizon", "mean", "p10"), by)
     return out.withColumn("n_missing", F.col("n_calls") - F.col("n_symbols")).drop("n_calls").withColumn(
-        "below_mean", F.col("realized_excess_net") < F.col("mean")
-    ).withColumn("below_p10", F.col("realized_excess_net") < F.col("p10"))
+        "below_mean", F.coalesce(F.col("realized_excess_net") < F.col("mean"), F.lit(False))
+    ).withColumn("below_p10", F.coalesce(F.col("realized_excess_net") < F.col("p10"), F.lit(False)))
 
 
 def attribution(calls: DataFrame, returns: DataFrame, components: list[str]) -> DataFrame:

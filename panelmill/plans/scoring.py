@@ -103,9 +103,12 @@ def line_of_sight(prices: DataFrame, tags: DataFrame, floors: tuple[float, float
     s = s.withColumn("mom_pct", F.percent_rank().over(Window.orderBy(F.col("mom_12_1").asc_nulls_first())))
     s = s.withColumn("dv_accel_pct", F.percent_rank().over(Window.orderBy(F.col("dv_acceleration").asc_nulls_first())))
     flags = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("is_watchlist", "is_held", "is_top_n")}
-    s = s.withColumns(flags).withColumn("deteriorating", (F.col("ret_3m") < 0) & (F.col("ret_6m") < 0) & (F.col("ret_12m") < 0))
+    s = s.withColumns(flags)
+    falling = (F.col("ret_3m") < 0) & (F.col("ret_6m") < 0) & (F.col("ret_12m") < 0)
+    s = s.withColumn("deteriorating", F.coalesce(falling, F.lit(False)))
     rising = (F.col("mom_pct") >= percentile) & (F.col("mom_12_1") > momentum) & (F.col("dv_accel_pct") >= percentile) & (F.col("dv_acceleration") > acceleration)
-    return s.withColumn("emerging", ~F.col("is_top_n") & (F.col("close") >= price) & (F.col("dollar_volume_63d") >= dollars) & rising)
+    emerging = ~F.col("is_top_n") & (F.col("close") >= price) & (F.col("dollar_volume_63d") >= dollars) & rising
+    return s.withColumn("emerging", F.coalesce(emerging, F.lit(False)))
 
 
 def round_scores(candidates: DataFrame, benchmarks: Sequence[str], sic: DataFrame, non_operating: Sequence[str]) -> DataFrame:

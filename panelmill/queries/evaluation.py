@@ -246,7 +246,7 @@ fx AS (SELECT cl.as_of_date, cl.symbol, cl.score, cl.score_percentile, fr.horizo
 fy2 AS (SELECT *, rank() OVER (PARTITION BY as_of_date, horizon ORDER BY score) + (count(*) OVER (PARTITION BY as_of_date, horizon, score) - 1) / 2 AS a,
   rank() OVER (PARTITION BY as_of_date, horizon ORDER BY excess_return) + (count(*) OVER (PARTITION BY as_of_date, horizon, excess_return) - 1) / 2 AS b FROM fx),
 gr AS (SELECT as_of_date, horizon, count(*) AS n_symbols, avg(fwd_return) FILTER (score_percentile >= 0.9) - 0.002 - avg(fwd_return) AS realized_excess_net, corr(a, b) AS realized_ic FROM fy2 GROUP BY ALL),
-se AS (SELECT gr.*, n - n_symbols AS n_missing, e.mean, e.p10, realized_excess_net < e.mean AS below_mean, realized_excess_net < e.p10 AS below_p10 FROM gr
+se AS (SELECT gr.*, n - n_symbols AS n_missing, e.mean, e.p10, coalesce(realized_excess_net < e.mean, false) AS below_mean, coalesce(realized_excess_net < e.p10, false) AS below_p10 FROM gr
   JOIN (SELECT as_of_date, count(*) AS n FROM cl GROUP BY as_of_date) USING (as_of_date) JOIN (VALUES (21, 0.02, -0.3), (63, 0.03, -0.4)) e(horizon, mean, p10) USING (horizon))"""
 )
 TR = (
@@ -267,8 +267,8 @@ HL = (
     + """,
 nw AS (SELECT symbol, arg_max(call, as_of_date) AS call, arg_max(rank, as_of_date) AS composite_rank FROM cl GROUP BY symbol),
 rr AS (SELECT symbol, close, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS rn FROM bars),
-sx AS (SELECT symbol, max(close) FILTER (rn = 1) / nullif(max(close) FILTER (rn = 63), 0) < 1 AND max(close) FILTER (rn = 1) / nullif(max(close) FILTER (rn = 126), 0) < 1
-  AND max(close) FILTER (rn = 1) / nullif(max(close) FILTER (rn = 252), 0) < 1 AS deteriorating FROM rr GROUP BY symbol),
+sx AS (SELECT symbol, coalesce(max(close) FILTER (rn = 1) / nullif(max(close) FILTER (rn = 63), 0) < 1 AND max(close) FILTER (rn = 1) / nullif(max(close) FILTER (rn = 126), 0) < 1
+  AND max(close) FILTER (rn = 1) / nullif(max(close) FILTER (rn = 252), 0) < 1, false) AS deteriorating FROM rr GROUP BY symbol),
 hd AS (SELECT p.symbol, count(DISTINCT account) AS accounts_n, sum(quantity) AS total_quantity, regexp_extract(p.symbol, '(\\d+)', 1)::INT % 4 <> 0 AS tracked FROM ps p GROUP BY p.symbol),
 he AS (SELECT hd.*, call, composite_rank, deteriorating FROM hd LEFT JOIN nw USING (symbol) LEFT JOIN sx USING (symbol))"""
 )

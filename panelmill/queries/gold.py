@@ -325,9 +325,9 @@ SQL = {
     median(CASE WHEN rn <= 63 THEN dv END) AS dollar_volume_63d, median(CASE WHEN rn <= 21 THEN dv END) / nullif(median(CASE WHEN rn <= 252 THEN dv END), 0) AS dv_acceleration,
     regexp_extract(symbol, '(\\d+)', 1)::INT AS n FROM o GROUP BY symbol),
   k AS (SELECT *, percent_rank() OVER (ORDER BY mom_12_1 NULLS FIRST) AS mom_pct, percent_rank() OVER (ORDER BY dv_acceleration NULLS FIRST) AS dv_accel_pct,
-    n % 2 = 0 AS is_watchlist, n % 5 = 0 AS is_held, n % 3 = 0 AS is_top_n, ret_3m < 0 AND ret_6m < 0 AND ret_12m < 0 AS deteriorating FROM s)
-  SELECT symbol, as_of_date, deteriorating, is_watchlist, is_held, is_top_n, NOT is_top_n AND close >= 1 AND dollar_volume_63d >= 1 AND mom_pct >= 0.5 AND mom_12_1 > 0
-    AND dv_accel_pct >= 0.5 AND dv_acceleration > 0.9 AS emerging, {rounded("close, mom_12_1, mom_pct, ret_3m, ret_6m, ret_12m, dollar_volume_63d, dv_acceleration, dv_accel_pct")} FROM k""",
+    n % 2 = 0 AS is_watchlist, n % 5 = 0 AS is_held, n % 3 = 0 AS is_top_n, coalesce(ret_3m < 0 AND ret_6m < 0 AND ret_12m < 0, false) AS deteriorating FROM s)
+  SELECT symbol, as_of_date, deteriorating, is_watchlist, is_held, is_top_n, coalesce(NOT is_top_n AND close >= 1 AND dollar_volume_63d >= 1 AND mom_pct >= 0.5
+    AND mom_12_1 > 0 AND dv_accel_pct >= 0.5 AND dv_acceleration > 0.9, false) AS emerging, {rounded("close, mom_12_1, mom_pct, ret_3m, ret_6m, ret_12m, dollar_volume_63d, dv_acceleration, dv_accel_pct")} FROM k""",
     "gld_01_watchlist": f"""{SIG}, p AS (SELECT *, {_PCT} FROM lst), c AS (SELECT *, {_COMP} AS composite_score FROM p)
   SELECT symbol, as_of_date, trade_signal, rank() OVER (ORDER BY composite_score DESC) AS composite_rank,
   {rounded("rsi, mfi, pe_ratio, momentum_pct, value_pct, risk_pct, quality_pct, composite_score")} FROM c""",

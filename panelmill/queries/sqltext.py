@@ -16,8 +16,8 @@ raw AS (SELECT *, CASE WHEN (date - DATE '1970-01-01') % 180 = 0 THEN close * 0.
 ADJUSTED = (
     RAW
     + """,
-day AS (SELECT *, (1 - coalesce(dividend / nullif(lag(close) OVER w, 0), 0)) / coalesce(nullif(split_ratio, 0), 1) AS f
-  FROM raw WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+pd AS (SELECT *, 1 - coalesce(dividend / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY date), 0), 0) AS paid FROM raw),
+day AS (SELECT *, CASE WHEN paid > 0 THEN paid ELSE 1 END / coalesce(nullif(split_ratio, 0), 1) AS f FROM pd),
 fac AS (SELECT *, coalesce(exp(sum(ln(f)) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)), 1) AS adj_factor FROM day),
 adjusted AS (SELECT *, open * adj_factor AS adj_open, high * adj_factor AS adj_high, low * adj_factor AS adj_low, close * adj_factor AS adj_close FROM fac)"""
 )
