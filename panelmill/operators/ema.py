@@ -33,15 +33,19 @@ def emas(df: DataFrame, specs: dict[str, tuple[str, float]], by: str = "symbol",
         F.array_sort(F.collect_list(F.struct("_block", *local))).alias("ends")
     )
 
-    def carry(n: str, alpha: float, at):
-        return F.aggregate(F.slice("ends", 1, at), F.lit(0.0), lambda acc, e: acc * (1 - alpha) ** BLOCK + e[f"_l_{n}"])
+    def carries(n: str, alpha: float):
+        def up_to(at):
+            return F.aggregate(F.slice("ends", 1, at), F.lit(0.0), lambda acc, e: acc * (1 - alpha) ** BLOCK + e[f"_l_{n}"])
 
-    blocks = ends.withColumn("_block", F.explode(F.sequence(F.lit(1), F.size("ends"))))
-    blocks = blocks.select(by, "_block", *(carry(n, alpha, F.col("_block")).alias(f"_c_{n}") for n, (_, alpha) in specs.items()))
-    out = out.join(blocks, [by, "_block"], "left")
+        return F.transform(F.sequence(F.lit(1), F.size("ends")), up_to)
+
+    # a row per symbol, joined by the key that everything is partitioned by already
+    handed = ends.select(by, *(carries(n, alpha).alias(f"_c_{n}") for n, (_, alpha) in specs.items()))
+    out = out.join(handed, by, "left")
+    handed_on = {n: F.coalesce(F.get(f"_c_{n}", F.col("_block") - 1), F.lit(0.0)) for n in specs}
     values = {
         n: F.when(
-            F.col(seen[n]) > 0, F.col(f"_l_{n}") + F.coalesce(f"_c_{n}", F.lit(0.0)) * F.pow(F.lit(1 - alpha), F.col("_k") + 1)
+            F.col(seen[n]) > 0, F.col(f"_l_{n}") + handed_on[n] * F.pow(F.lit(1 - alpha), F.col("_k") + 1)
         )
         for n, (_, alpha) in specs.items()
     }
