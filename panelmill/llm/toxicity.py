@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import bounded_sample, held_out
-from .textkernel import LOWER, PIECE, WordHasher, slices, texts
+from .textkernel import PIECE, WordHasher, slices, texts
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END, DENIED, QUOTED, AIMED = range(10)
 
