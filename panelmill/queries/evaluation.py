@@ -24,7 +24,7 @@ def returns(t: Tables) -> DataFrame:
 
 def signals(t: Tables) -> DataFrame:
     """Two simple signals of every session: one month's change, and its opposite over a quarter."""
-    b = t.bars().withColumn("momentum", change("close", 21, series())).withColumn("reversal", -change("close", 63, series()))
+    b = t.prices.withColumn("momentum", change("close", 21, series())).withColumn("reversal", -change("close", 63, series()))
     return b.unpivot(["symbol", "date"], ["momentum", "reversal"], "variant", "signal").withColumnRenamed("date", "as_of_date")
 
 
@@ -35,7 +35,7 @@ def frame(t: Tables) -> DataFrame:
 def scores(t: Tables) -> DataFrame:
     """Percentiles of the one-month change on month ends, the benchmark left out before it is ranked."""
     s = signals(t).filter(f"variant = 'momentum' and signal is not null and symbol <> '{SPY}'")
-    s = s.join(scoring.month_ends(t.bars().select(F.col("date").alias("as_of_date"))), "as_of_date")
+    s = s.join(scoring.month_ends(t.prices.select(F.col("date").alias("as_of_date"))), "as_of_date")
     w = Window.partitionBy("as_of_date")
     return s.select(
         "symbol", "as_of_date", F.col("signal").alias("score"), F.rank().over(w.orderBy(F.col("signal").desc())).alias("rank"),
@@ -125,8 +125,8 @@ def set_02_settle(spark, d):
 
 def set_02_attribution(spark, d):
     t = Tables(spark, d)
-    b = t.bars().withColumn("m", change("close", 21, series())).withColumn("v", F.col("volume"))
-    b = b.join(scoring.month_ends(t.bars().select(F.col("date").alias("as_of_date"))).withColumnRenamed("as_of_date", "date"), "date").withColumnRenamed("date", "as_of_date")
+    b = t.prices.withColumn("m", change("close", 21, series())).withColumn("v", F.col("volume"))
+    b = b.join(scoring.month_ends(t.prices.select(F.col("date").alias("as_of_date"))).withColumnRenamed("as_of_date", "date"), "date").withColumnRenamed("date", "as_of_date")
     parts = b.select("symbol", "as_of_date", pct_rank(F.col("m"), ["as_of_date"]).alias("momentum_pct"), pct_rank(F.col("v").cast("double"), ["as_of_date"]).alias("volume_pct"))
     return r4(cl.attribution(parts, returns(t), ["momentum_pct", "volume_pct"]), ["as_of_date", "horizon", "component"], "ic")
 
@@ -162,7 +162,7 @@ def hld_02_reconcile(spark, d):
 
 def hld_03_loss_harvest(spark, d):
     t = Tables(spark, d)
-    bars = t.bars()
+    bars = t.prices
     out = hd.loss_harvest(t.trades(), bars, scoring.latest_price(bars, bars), "2001-06-01")
     return r4(out, ["account", "symbol", "qty", "acquired", "long_term", "wash_sale"], "basis, price, loss_pct")
 
@@ -176,7 +176,7 @@ def held(t: Tables) -> DataFrame:
     c = calls(t)
     newest = c.groupBy("symbol").agg(F.max_by(F.struct("call", "rank"), "as_of_date").alias("l")).select("symbol", "l.call", F.col("l.rank").alias("composite_rank"))
     tags = t.securities().select("symbol", F.lit(False).alias("is_watchlist"), F.lit(True).alias("is_held"), F.lit(False).alias("is_top_n"))
-    sight = scoring.line_of_sight(t.bars(), tags)
+    sight = scoring.line_of_sight(t.prices, tags)
     n = F.regexp_extract("symbol", r"(\d+)", 1).cast("int")
     tracked = t.securities().select("symbol").filter(n % 4 != 0)
     out = hd.held_table(pos, tracked, newest, newest, sight)

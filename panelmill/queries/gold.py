@@ -15,7 +15,7 @@ from .sqltext import BARS, RAW, SIGNALS, rounded
 
 
 def signals(t: Tables) -> DataFrame:
-    return fun.with_fundamentals(ind.signal_series(t.bars()), known(t))
+    return fun.with_fundamentals(ind.signal_series(t.prices), known(t))
 
 
 def known(t: Tables) -> DataFrame:
@@ -43,7 +43,7 @@ def rank_07_candidates(spark, d):
 
 
 def candidates(t: Tables) -> DataFrame:
-    bars = t.bars()
+    bars = t.prices
     ends = scoring.month_ends(bars.select(F.col("date").alias("as_of_date")))
     dates = bars.select("symbol", F.col("date").alias("as_of_date")).join(ends, "as_of_date")
     return fun.candidates(dates, t.raw_prices(), known(t), t.securities())
@@ -75,7 +75,7 @@ def rank_09_dollar_volume(spark, d):
 
 def rank_10_membership(spark, d):
     t = Tables(spark, d)
-    top = scoring.dollar_volume_rank(t.bars(), 10)
+    top = scoring.dollar_volume_rank(t.prices, 10)
     return scoring.membership_events(scoring.members_at(membership(t)).filter("tier = 'broad'").select("symbol"), top)
 
 
@@ -91,7 +91,7 @@ def rank_11_line_of_sight(spark, d):
     t = Tables(spark, d)
     n = F.regexp_extract("symbol", r"(\d+)", 1).cast("int")
     tags = t.securities().select("symbol", (n % 2 == 0).alias("is_watchlist"), (n % 5 == 0).alias("is_held"), (n % 3 == 0).alias("is_top_n"))
-    out = scoring.line_of_sight(t.bars(), tags, (1.0, 1.0, 0.5, 0.0, 0.9))
+    out = scoring.line_of_sight(t.prices, tags, (1.0, 1.0, 0.5, 0.0, 0.9))
     return r4(out, ["symbol", "as_of_date", "deteriorating", "is_watchlist", "is_held", "is_top_n", "emerging"], "close, mom_12_1, mom_pct, ret_3m, ret_6m, ret_12m, dollar_volume_63d, dv_acceleration, dv_accel_pct")
 
 
@@ -123,12 +123,12 @@ def gld_11_candidates(spark, d):
 
 def gld_13_daily_analytics(spark, d):
     t = Tables(spark, d)
-    out = gold.daily_analytics(signals(t), t.bars(), t.securities())
+    out = gold.daily_analytics(signals(t), t.prices, t.securities())
     return r4(out, ["symbol", "as_of_date", "sector", "industry", "volume", "trade_signal"], "open, high, low, close, rsi, mfi, pe_ratio, momentum_pct, value_pct, risk_pct, quality_pct, composite_score")
 
 
 def wide(t: Tables) -> DataFrame:
-    return gold.daily_analytics(signals(t), t.bars(), t.securities())
+    return gold.daily_analytics(signals(t), t.prices, t.securities())
 
 
 def _view(fn, keep: list[str], values: str = ""):

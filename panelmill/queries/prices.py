@@ -48,11 +48,11 @@ def ind_04_sma(spark, d):
 
 
 def ind_05_ema(spark, d):
-    return r4(emas(bars(spark, d), {"ema_50": ("close", 2 / 51), "ema_200": ("close", 2 / 201)}), ["symbol", "date"], "ema_50, ema_200")
+    return r4(emas(Tables(spark, d).prices, {"ema_50": ("close", 2 / 51), "ema_200": ("close", 2 / 201)}), ["symbol", "date"], "ema_50, ema_200")
 
 
 def _recursive(columns):
-    return lambda spark, d: r4(ind.with_recursive(bars(spark, d)), ["symbol", "date"], columns)
+    return lambda spark, d: r4(ind.with_recursive(Tables(spark, d).prices), ["symbol", "date"], columns)
 
 
 def ind_08_bollinger(spark, d):
@@ -85,7 +85,7 @@ def ind_17_beta(spark, d):
 
 
 def ind_21_signal_series(spark, d):
-    return r4(ind.signal_series(bars(spark, d)), ["symbol", "as_of_date", "obv", "trade_signal"], SIGNAL_VALUES)
+    return r4(ind.signal_series(Tables(spark, d).prices), ["symbol", "as_of_date", "obv", "trade_signal"], SIGNAL_VALUES)
 
 
 def ind_22_signal_row(spark, d):

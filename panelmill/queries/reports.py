@@ -51,7 +51,7 @@ def view_16_three_facts(spark, d):
     """Prices, signals and fundamentals of a symbol's year, drilled across."""
     t = Tables(spark, d)
     by = ["symbol", "year"]
-    p = t.bars().groupBy("symbol", F.year("date").alias("year")).agg(F.avg("close").alias("close"), F.sum("volume").alias("volume"))
+    p = t.prices.groupBy("symbol", F.year("date").alias("year")).agg(F.avg("close").alias("close"), F.sum("volume").alias("volume"))
     s = signals(t).groupBy("symbol", F.year("as_of_date").alias("year")).agg(F.avg("rsi").alias("rsi"))
     f = t.facts().filter("tag = 'Assets'").select("symbol", F.col("fiscal_year").alias("year"), F.col("value").alias("assets"))
     return r4(p.join(s, by, "left").join(f, by, "left"), [*by, "volume", "assets"], "close, rsi")
@@ -106,7 +106,7 @@ def gld_12_trade_log(spark, d):
 
 def view_25_unrealised(spark, d):
     t = Tables(spark, d)
-    last = t.bars().groupBy("symbol").agg(F.max_by("close", "date").alias("last"))
+    last = t.prices.groupBy("symbol").agg(F.max_by("close", "date").alias("last"))
     b = t.trades().filter("side = 'buy' and price is not null").join(last, "symbol", "left")
     return b.groupBy("symbol").agg(F.round(F.sum(F.col("qty") * (F.col("last") - F.col("price"))), 2).alias("pnl"), F.count("*").alias("n"))
 
@@ -161,7 +161,7 @@ def hld_04_latest_price(spark, d):
 def hld_06_held_freshness(spark, d):
     t = Tables(spark, d)
     n = F.regexp_extract("symbol", r"(\d+)", 1).cast("int")
-    latest = t.bars().filter((n != 3) | (F.col("date") < "2000-01-01")).groupBy("symbol").agg(F.max("date").alias("last_date"))
+    latest = t.prices.filter((n != 3) | (F.col("date") < "2000-01-01")).groupBy("symbol").agg(F.max("date").alias("last_date"))
     expected = positions(t).select("symbol").distinct().withColumn("critical", F.lit(True))
     return quality.freshness(latest, expected, F.lit("2001-09-01").cast("date")).select("symbol", "stale", "status")
 
@@ -210,7 +210,7 @@ def src_10_cutoff(spark, d):
 def src_11_resume(spark, d):
     """Symbols that a resumed refresh still has to fetch."""
     t = Tables(spark, d)
-    fresh = t.bars().filter("date >= '2001-11-03'").select("symbol").distinct()
+    fresh = t.prices.filter("date >= '2001-11-03'").select("symbol").distinct()
     return t.securities().select("symbol").join(fresh, "symbol", "left_anti")
 
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sinks import scratch
+
 #: Exchange rate from the order lines' currency to that of the prices.
 RATE = 0.91371693
 #: Brands that play the two benchmark funds.
@@ -38,10 +41,18 @@ class Tables:
                  F.max_by("px", place).alias("close"), F.sum("l_quantity").cast("long").alias("volume"))
         )
 
+    @cached_property
+    def prices(self) -> DataFrame:
+        """The bars as a stored table, for plans that read them several times: written once to the shared folder."""
+        bars = self.bars()
+        path = scratch(self.spark, "bars")
+        bars.write.parquet(path)
+        return self.spark.read.schema(bars.schema).parquet(path)
+
     def raw_prices(self) -> DataFrame:
         """Bars with dividends (1% of the close, every 180th day number) and 2:1 splits (every 700th)."""
         day = F.datediff("date", F.lit("1970-01-01"))
-        return self.bars().withColumn("dividend", F.when(day % 180 == 0, F.col("close") * 0.01).otherwise(0.0)).withColumn(
+        return self.prices.withColumn("dividend", F.when(day % 180 == 0, F.col("close") * 0.01).otherwise(0.0)).withColumn(
             "split_ratio", F.when(day % 700 == 0, 2.0).otherwise(0.0)
         )
 
