@@ -1,7 +1,9 @@
 import random
 import re
 
-from panelmill.llm.ngram_join import JaccardParams, keep_one, near_duplicates
+import numpy as np
+
+from panelmill.llm.ngram_join import JaccardParams, keep_one, least_matches, near_duplicates
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -66,3 +68,24 @@ def test_empty_and_repeated(spark):
     twice = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in near_duplicates(twice).collect())
     assert got == [(0, 0, 0), (1, 1, 1), (1, 1, 1)]
+
+
+def dropped(s, need, step):
+    """The probability that a pair of similarity s falls below one of the needed numbers of matches."""
+    p = s + (1 - s) / 256
+    coin, alive, lost = np.array([1.0]), np.array([1.0]), 0.0
+    for _ in range(step):
+        coin = np.convolve(coin, [1 - p, p])
+    for n in need:
+        alive = np.convolve(alive, coin)
+        lost += alive[:n].sum()
+        alive[:n] = 0
+    return lost
+
+
+def test_pruning_drops_far_fewer_links_than_the_bands():
+    p = JaccardParams()
+    need = least_matches(p.threshold, list(range(p.bands, p.bands * p.rows + 1, p.bands)), p.tolerance)
+    unmet = (1 - p.threshold**p.rows) ** p.bands
+    assert dropped(p.threshold, need, p.bands) < unmet / 100
+    assert dropped(0.85, need, p.bands) < 1e-9
