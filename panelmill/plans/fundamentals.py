@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import div
+from ..functions.scalars import div, finite
 from ..operators.joins import asof_left
 from ..operators.windows import latest_per_key
 
@@ -22,6 +22,8 @@ CONCEPTS = {
 # Industry codes of funds, trusts and pools.
 NON_OPERATING_SIC = ("6221", "6189", "6726", "6770", "6799")
 STALE_DAYS = 400
+# What a quote service gives directly, where it does.
+QUOTED = ("trailing_eps", "trailing_pe", "dividend_yield", "dividend_rate", "five_year_avg_yield")
 
 
 def concepts(facts: DataFrame) -> DataFrame:
@@ -56,15 +58,26 @@ def metrics(silver: DataFrame) -> DataFrame:
 
 
 def with_fundamentals(signals: DataFrame, known: DataFrame) -> DataFrame:
-    """Signals with earnings, price/earnings and dividend columns as known on each date."""
-    f = known.select("symbol", "filed", "net_income", "shares_outstanding", "roe", "gross_profitability", "revenues", "shares_date")
+    """Signals with earnings, price/earnings and dividend columns as known on each date.
+
+    ``known`` may have ``QUOTED`` columns. Those are preferred to what is computed: earnings are net income by shares, the
+    ratio is the price by earnings, the yield is dividend_rate by price, or 0 without one. A usual yield that is missing or
+    0 is dividend_rate by price; without a rate a 0 stays. Where nothing is known yet, the yield is NULL.
+    """
+    given = [F.col(c).cast("double") if c in known.columns else F.lit(None).cast("double") for c in QUOTED]
+    f = known.select(
+        "symbol", "filed", "net_income", "shares_outstanding", "roe", "gross_profitability", "revenues", "shares_date",
+        *(finite(x).alias(f"_{c}") for x, c in zip(given, QUOTED, strict=True)),
+    )
     out = asof_left(signals, f, ["symbol"], "as_of_date", "filed")
-    out = out.withColumn("eps", div(F.col("net_income"), F.col("shares_outstanding")))
-    out = out.withColumn("pe_ratio", div(F.col("last_closing_price"), F.col("eps")))
-    rate = F.col("eps") * 0.3
-    out = out.withColumn("dividend_yield", div(rate, F.col("last_closing_price")))
-    usual = F.coalesce(F.nullif(F.col("roe"), F.lit(0.0)), F.col("dividend_yield"))
-    out = out.withColumn("dividend_yield_gap", F.col("dividend_yield") - usual)
+    price = F.col("last_closing_price")
+    out = out.withColumn("eps", F.coalesce("_trailing_eps", div(F.col("net_income"), F.col("shares_outstanding"))))
+    out = out.withColumn("pe_ratio", F.coalesce("_trailing_pe", div(price, F.col("eps"))))
+    paid = F.coalesce("_dividend_yield", div(F.col("_dividend_rate"), price), F.lit(0.0))
+    out = out.withColumn("dividend_yield", F.when(F.col("filed").isNotNull(), paid))
+    by_rate = F.when(price > 0, F.col("_dividend_rate") / price)
+    usual = F.coalesce(F.nullif("_five_year_avg_yield", F.lit(0.0)), by_rate, "_five_year_avg_yield")
+    out = out.withColumn("dividend_yield_gap", F.col("dividend_yield") - usual).drop(*(f"_{c}" for c in QUOTED))
     return out.withColumn("dividend_yield_trap", F.coalesce(F.col("dividend_yield_gap") > 0.015, F.lit(False)))
 
 

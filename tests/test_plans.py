@@ -217,3 +217,29 @@ def test_entry_needs_no_session():
 
     code = "import __spark_entry__ as e; assert len(e.queries()) > 100 and set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, check=True, timeout=120)
+
+
+def test_quoted_fundamentals_come_first(spark):
+    """Each case: the quoted columns, then yield, gap, trap, earnings and ratio at a price of 50, 4 earned on 2 shares, 8 of equity."""
+    nan = float("nan")
+    cases = {
+        "all": ((5.0, 11.0, 0.06, 1.0, 0.03), (0.06, 0.03, True, 5.0, 11.0)),
+        "rate": ((None, None, None, 2.0, 0.01), (0.04, 0.03, True, 2.0, 25.0)),
+        "zero": ((None, nan, 0.06, 1.0, 0.0), (0.06, 0.04, True, 2.0, 25.0)),
+        "usual": ((nan, None, 0.06, 1.0, nan), (0.06, 0.04, True, 2.0, 25.0)),
+        "low": ((None, None, 0.03, None, 0.02), (0.03, 0.01, False, 2.0, 25.0)),
+        "none": ((None,) * 5, (0.0, None, False, 2.0, 25.0)),
+        "stays": ((None, None, 0.02, None, 0.0), (0.02, 0.02, True, 2.0, 25.0)),
+    }
+    base = "symbol string, filed date, net_income double, shares_outstanding double, roe double, gross_profitability double, revenues double, shares_date date"
+    schema = base + "".join(f", {c} double" for c in fun.QUOTED)
+    known = spark.createDataFrame([(k, DAY, 4.0, 2.0, 0.5, 0.1, 9.0, DAY, *q) for k, (q, _) in cases.items()], schema)
+    seen = spark.createDataFrame([(k, DAY, 50.0) for k in [*cases, "unknown"]], "symbol string, as_of_date date, last_closing_price double")
+    got = {r.symbol: r for r in fun.with_fundamentals(seen, known).collect()}
+    for k, (_, (paid, gap, trap, eps, pe)) in cases.items():
+        r = got[k]
+        assert (r.dividend_yield, r.eps, r.pe_ratio, r.dividend_yield_trap) == (pytest.approx(paid), eps, pe, trap), k
+        assert r.dividend_yield_gap == (None if gap is None else pytest.approx(gap)), k
+    assert (got["unknown"].dividend_yield, got["unknown"].dividend_yield_trap) == (None, False)
+    plain = fun.with_fundamentals(seen, known.drop(*fun.QUOTED)).filter("symbol = 'all'").first()
+    assert (plain.eps, plain.dividend_yield, plain.dividend_yield_gap, plain.dividend_yield_trap) == (2.0, 0.0, None, False)
