@@ -16,10 +16,12 @@ from .prices import r4
 from .sqltext import ADJUSTED, BARS, LINES, rounded
 
 _RUNGS = (21, 63)
+#: Every month out to a year; the horizons 21, 63, 126 and 252 are among its rungs.
+_LADDER = tuple(21 * k for k in range(1, 13))
 
 
-def returns(t: Tables) -> DataFrame:
-    return bt.forward_returns(ind.adjusted(t.raw_prices()), SPY, _RUNGS)
+def returns(t: Tables, rungs: tuple[int, ...] = _RUNGS) -> DataFrame:
+    return bt.forward_returns(ind.adjusted(t.raw_prices()), SPY, rungs)
 
 
 def signals(t: Tables) -> DataFrame:
@@ -28,8 +30,8 @@ def signals(t: Tables) -> DataFrame:
     return b.unpivot(["symbol", "date"], ["momentum", "reversal"], "variant", "signal").withColumnRenamed("date", "as_of_date")
 
 
-def frame(t: Tables) -> DataFrame:
-    return bt.evaluation_frame(signals(t), returns(t), SPY)
+def frame(t: Tables, rungs: tuple[int, ...] = _RUNGS) -> DataFrame:
+    return bt.evaluation_frame(signals(t), returns(t, rungs), SPY)
 
 
 def scores(t: Tables) -> DataFrame:
@@ -81,6 +83,11 @@ def bt_10_evaluate(spark, d):
     return r4(out, ["variant", "horizon", "n_dates"], "mean_ic, monotonicity, hit_rate, turnover, excess_gross, mean, p10, p90")
 
 
+def bt_10_decay_ladder(spark, d):
+    out = bt.evaluate(frame(Tables(spark, d), _LADDER))
+    return r4(out, ["variant", "horizon", "n_dates"], "mean_ic, monotonicity, hit_rate, turnover, excess_gross, mean, p10, p90")
+
+
 def call_01_hysteresis(spark, d):
     return r4(calls(Tables(spark, d)), ["symbol", "as_of_date", "rank", "in_position", "prior", "call"], "score_percentile", 6)
 
@@ -194,6 +201,7 @@ def hld_07_verdicts(spark, d):
 QUERIES = {
     "bt_01_forward_returns": bt_01_forward_returns, "bt_02_frame": bt_02_frame, "bt_03_ic": bt_03_ic, "bt_04_ic_summary": bt_04_ic_summary,
     "bt_05_deciles": bt_05_deciles, "bt_07_turnover": bt_07_turnover, "bt_08_distribution": bt_08_distribution, "bt_10_evaluate": bt_10_evaluate,
+    "bt_10_decay_ladder": bt_10_decay_ladder,
     "call_01_hysteresis": call_01_hysteresis, "call_03_next_round": call_03_next_round, "call_05_flat": call_05_flat, "call_06_due_date": call_06_due_date,
     "bt_11_call_excess": bt_11_call_excess, "bt_11_call_turnover": bt_11_call_turnover, "set_02_settle": set_02_settle, "set_02_attribution": set_02_attribution,
     "set_03_trailing": set_03_trailing, "set_04_agreement": set_04_agreement, "hld_01_open_lots": hld_01_open_lots, "hld_02_reconcile": hld_02_reconcile,
@@ -333,3 +341,5 @@ SQL = {
   (SELECT max(date) FROM tr WHERE side = 'buy' AND tr.symbol = he.symbol) AS bought FROM he)
   SELECT symbol, CASE WHEN NOT tracked THEN 'punt' WHEN flagged AND DATE '2002-01-15' - bought < 60 THEN 'too-soon' WHEN flagged THEN 'act' ELSE 'keep' END AS verdict, flagged, flagged AND NOT was AS newly FROM f""",
 }
+
+SQL["bt_10_decay_ladder"] = SQL["bt_10_evaluate"].replace("(VALUES (21), (63)) v(h)", f"(VALUES {', '.join(f'({h})' for h in _LADDER)}) v(h)")
