@@ -4,10 +4,12 @@
    sets are one class; only its smallest id goes on.
 2. Classes that agree on all rows of a MinHash band meet in a bucket. Each bucket gives one edge per member, to its
    smallest id, never all pairs. Edges whose MinHash values make even the similarity that two neighbours of a common
-   text have improbable are dropped; what one bucket has left over is tied together, so that no pair is lost.
-3. The components of these edges hold all candidate pairs. A component is dealt out in blocks of bounded size, pairs of
-   blocks are compared in tasks: MinHash values are read in steps, a pair is dropped as soon as its posterior
-   probability of reaching the threshold falls below the tolerance, and the rest are verified exactly.
+   text have improbable are dropped. What a bucket has left over is tied together, with the members that aren't surely
+   nearer to the smallest id than the threshold, as those may link to what is left over.
+3. The components of these edges hold the candidate pairs. A component is dealt out in blocks of bounded size, those of
+   texts of like size; pairs of blocks whose sizes allow the threshold are compared in tasks: MinHash values are read in
+   steps, a pair is dropped as soon as its posterior probability of reaching the threshold falls below the tolerance, and
+   the rest are verified exactly.
 4. Tasks return counts of links and a spanning forest, in size linear in the documents; the forest's components are
    the groups.
 """
@@ -19,11 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import table
+from .shared import join_groups, partitions, table
 from .textkernel import WordHasher, mix, runs, slices, texts
 
 
@@ -33,6 +35,7 @@ class JaccardParams:
 
     A pair at 0.8 meets in no bucket with probability (1 - 0.8 ** rows) ** bands, here 3.3e-5. ``tolerance`` bounds the
     posterior at each step, not the share of links that is dropped: that is 5.7e-8 at 0.8, far below that of the bands.
+    ``sure`` is the posterior probability from which a member counts as nearer to its bucket's smallest id than the threshold.
     """
 
     n: int = 5
@@ -40,7 +43,8 @@ class JaccardParams:
     bands: int = 26
     rows: int = 5
     tolerance: float = 1e-8
-    block_texts: int = 1024
+    sure: float = 0.999
+    block_texts: int = 512
     block_words: int = 500_000
 
 
@@ -83,7 +87,7 @@ def _sketcher(p: JaccardParams):
 
 
 def least_matches(threshold: float, steps: list[int], tolerance: float) -> list[int]:
-    """For each number of compared values, the matches below which P(similarity >= threshold) < tolerance.
+    """For each number of compared values, the matches below which P(similarity >= threshold) < tolerance; h + 1 if all are.
 
     The prior is uniform; a byte of two MinHash values agrees with probability s + (1 - s) / 256.
     """
@@ -95,7 +99,7 @@ def least_matches(threshold: float, steps: list[int], tolerance: float) -> list[
         like = m * np.log(p) + (h - m) * np.log1p(-np.minimum(p, 1 - 1e-12))
         like = np.exp(like - like.max(axis=1, keepdims=True))
         reach = like[:, s >= threshold].sum(axis=1) / like.sum(axis=1)
-        out.append(int(np.argmax(reach >= tolerance)))
+        out.append(int(np.argmax(reach >= tolerance)) if (reach >= tolerance).any() else h + 1)
     return out
 
 
@@ -109,10 +113,12 @@ def _pruned(sig_a: np.ndarray, sig_b: np.ndarray, a: np.ndarray, b: np.ndarray,
     return alive
 
 
-def _star_pruner(p: JaccardParams, threshold: float):
+def _star_pruner(p: JaccardParams):
+    """Of each edge whether its ends may be as alike as two neighbours of one text, and whether they surely link."""
     k = p.bands * p.rows
     steps = list(range(p.bands, k + 1, p.bands))
-    least = least_matches(threshold, steps, p.tolerance)
+    least = least_matches(max(0.0, 1 - 2 * (1 - p.threshold)), steps, p.tolerance)
+    sure = least_matches(p.threshold, [k], p.sure)[0]
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,29 +126,76 @@ def _star_pruner(p: JaccardParams, threshold: float):
             at = np.arange(batch.num_rows)
             near = np.zeros(batch.num_rows, bool)
             near[_pruned(*sigs, at, at, steps, least)] = True
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(near)], names=["u", "v", "near"])
+            inner = (sigs[0] == sigs[1]).sum(axis=1) >= sure
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(near), pa.array(inner)], names=["u", "v", "near", "inner"])
 
     return prune
 
 
 def _candidates(reps: DataFrame, p: JaccardParams) -> DataFrame:
-    """Edges (u, v) whose components hold every pair of classes that share a bucket."""
+    """Edges (u, v) whose components hold the pairs of classes that share a bucket.
+
+    Within a bucket a pair at the threshold stays together: both ends are near the smallest id and tied to it; or both are
+    far or on the edge, and tied to each other; else one is far and one surely nearer than the threshold, which by the
+    triangle inequality of the Jaccard distance can't link, but for the chance that ``sure`` leaves.
+    """
+    total = p.bands * reps.count()
     keyed = reps.select("doc_id", F.posexplode("keys").alias("band", "bucket"))
-    buckets = keyed.groupBy("band", "bucket").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    stars = table(keyed.join(buckets, ["band", "bucket"]).filter("doc_id <> v").withColumnRenamed("doc_id", "u"), "stars")
-    sigs = reps.select("doc_id", "sig")
-    edges = (
-        stars.select("u", "v").distinct()
-        .join(sigs.toDF("u", "sig_u"), "u").join(sigs.toDF("v", "sig_v"), "v")
-        .mapInArrow(_star_pruner(p, max(0.0, 1 - 2 * (1 - p.threshold))), "u long, v long, near boolean")
-    )
-    edges = table(edges, "star_edges")
-    far = stars.join(edges.filter("not near").select("u", "v"), ["u", "v"])
-    left = far.groupBy("band", "bucket").agg(F.min("u").alias("w"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    rest = far.join(left, ["band", "bucket"]).filter("u <> w").select("u", F.col("w").alias("v"))
+    buckets = keyed.groupBy("band", "bucket").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).filter("n > 1")
+    stars = join_groups(keyed, buckets, ["band", "bucket"], total).filter("doc_id <> v").withColumnRenamed("doc_id", "u").drop("n")
+    stars = table(stars, "stars")
+    pairs, sigs = stars.select("u", "v").distinct(), reps.select("doc_id", "sig")
+    centres = table(pairs.groupBy("v").agg(F.count("*").alias("n")).join(sigs.toDF("v", "sig_v"), "v"), "centres")
+    edges = join_groups(pairs.join(sigs.toDF("u", "sig_u"), "u"), centres, ["v"], total).select("u", "v", "sig_u", "sig_v")
+    edges = table(edges.mapInArrow(_star_pruner(p), "u long, v long, near boolean, inner boolean"), "star_edges")
+    centres = edges.filter("not near").select("v").distinct()
+    outer = edges.filter("not near or not inner").join(centres, "v", "left_semi").select("u", "v", "near")
+    outer = table(stars.join(outer, ["u", "v"]), "outer")
+    left = outer.groupBy("band", "bucket").agg(F.min("u").alias("w"), F.count("*").alias("n"), F.bool_and("near").alias("all_near"))
+    left = left.filter("n > 1 and not all_near").select("band", "bucket", "w", "n")
+    rest = join_groups(outer.select("u", "band", "bucket"), left, ["band", "bucket"], total).filter("u <> w").select("u", F.col("w").alias("v"))
     return edges.filter("near").select("u", "v").unionByName(rest.distinct())
 
 
+#: What a member of a component brings to a pair of blocks; ``low`` and ``i`` name the smaller class of sizes and its block.
+_PAIR = ["root", "low", "i", "high", "j"]
+_MEMBER = ["doc_id", "copies", "cell", "block", "whole", "sig"]
+
+
+def _dealt(members: DataFrame, p: JaccardParams) -> DataFrame:
+    """``_PAIR``, ``_MEMBER``: the members of each component, once for every pair of blocks that they are compared in.
+
+    A component of at most ``block_texts`` and ``block_words`` is one block, ``whole``. Of others, texts whose sizes are
+    within a factor of 1 / threshold are a cell, which is cut into blocks by hash; only blocks of one cell or of
+    neighbouring cells can hold a pair at the threshold.
+    """
+    width = float(np.log(1 / p.threshold) * (1 + 1e-9)) if p.threshold > 0 else 1e9
+    members = members.withColumn("size", F.floor(F.ln("n_grams") / width).cast("int"))
+    by_root, by_size = Window.partitionBy("root"), Window.partitionBy("root").orderBy("size")
+    blocks = lambda n, words: F.ceil(F.greatest(n / p.block_texts, words / p.block_words)).cast("int")
+    cells = members.groupBy("root", "size").agg(F.count("*").alias("n"), F.sum("n_grams").alias("words"))
+    cells = cells.withColumn("whole", blocks(F.sum("n").over(by_root), F.sum("words").over(by_root)) <= 1).withColumn("blocks", blocks(F.col("n"), F.col("words")))
+    cells = cells.withColumns({
+        "above": F.when(F.lead("size").over(by_size) == F.col("size") + 1, F.lead("blocks").over(by_size)).otherwise(0),
+        "below": F.when(F.lag("size").over(by_size) == F.col("size") - 1, F.lag("blocks").over(by_size)).otherwise(0),
+    }).drop("words")
+    out = join_groups(members, table(cells, "cells"), ["root", "size"], members.count())
+    out = out.withColumn("cell", F.when(F.col("whole"), 0).otherwise(F.col("size"))).withColumn("block", F.when(F.col("whole"), 0).otherwise(F.expr("pmod(xxhash64(doc_id), blocks)")).cast("int"))
+
+    def meetings(n, low, i, high, j):
+        def pair(other):
+            at = {"low": low, "high": high, "i": i, "j": j}
+            return F.struct(*((v(other) if callable(v) else v).cast("int").alias(k) for k, v in at.items()))
+
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), pair)).otherwise(F.array().cast("array<struct<low:int,high:int,i:int,j:int>>"))
+
+    cell, block, zero = F.col("cell"), F.col("block"), F.lit(0)
+    own = meetings(F.when(F.col("whole"), 1).otherwise(F.col("blocks")), cell, lambda x: F.least(block, x), cell, lambda x: F.greatest(block, x))
+    up = meetings(F.when(F.col("whole"), zero).otherwise(F.col("above")), cell, block, cell + 1, lambda x: x)
+    down = meetings(F.when(F.col("whole"), zero).otherwise(F.col("below")), cell - 1, lambda x: x, cell, block)
+    return out.select("root", *_MEMBER, F.explode(F.concat(own, up, down)).alias("pair")).select(*(c if c == "root" else f"pair.{c}" for c in _PAIR), *_MEMBER)
+
+
 def _set_maker(p: JaccardParams):
     """The sorted n-gram hashes of each text, as bytes."""
 
@@ -154,8 +207,7 @@ def _set_maker(p: JaccardParams):
             for a, b in slices(offsets):
                 words, _, _, at = hasher.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 out += [np.unique(runs(words[at[i] : at[i + 1]], p.n)).tobytes() for i in range(b - a)]
-            rest = [batch.column(x) for x in ("root", "doc_id", "copies", "blocks", "block", "sig")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.binary())], names=["root", "doc_id", "copies", "blocks", "block", "sig", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "grams"])
 
     return sets
 
@@ -199,14 +251,13 @@ def _verifier(p: JaccardParams):
     steps = list(range(p.bands, k + 1, p.bands))
     least = least_matches(p.threshold, steps, p.tolerance)
 
-    def compare(ids, copies, block, sig, sets, i, j):
+    def compare(ids, copies, first, second, sig, sets):
         size = np.array([len(x) for x in sets])
-        first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
         links, label, found = np.zeros(len(ids), np.int64), np.arange(len(ids)), []
         for f in range(0, len(first), max(1, 500_000 // max(1, len(second)))):
             a, b = (x.ravel() for x in np.meshgrid(first[f : f + max(1, 500_000 // max(1, len(second)))], second, indexing="ij"))
             keep = np.minimum(size[a], size[b]) >= p.threshold * np.maximum(size[a], size[b]) - 1e-9
-            if i == j:
+            if first is second:
                 keep &= a < b
             a, b = a[keep], b[keep]
             alive = _pruned(sig, sig, a, b, steps, least)
@@ -227,20 +278,22 @@ def _verifier(p: JaccardParams):
             if (label == was).all():
                 return links, ids[label]
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(rows):
-            root, i, j = rows[0][:3]
-            rows = sorted(rows, key=lambda x: x[3])
-            ids, copies, block = (np.array([x[c] for x in rows]) for c in (3, 4, 5))
-            sig = np.frombuffer(b"".join(x[6] for x in rows), np.uint8).reshape(-1, k)
-            links, label = compare(ids, copies, block, sig, [np.frombuffer(x[7], np.uint64) for x in rows], i, j)
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(label), pa.array(np.full(len(ids), rows[0][8] > 1))], names=["doc_id", "links", "label", "split"])
+    def done(rows):
+        _, low, i, high, j = rows[0][:5]
+        rows = sorted(rows, key=lambda x: x[5])
+        ids, copies, cell, block = (np.array([x[c] for x in rows]) for c in (5, 6, 7, 8))
+        first = np.flatnonzero((cell == low) & (block == i))
+        second = first if (low, i) == (high, j) else np.flatnonzero((cell == high) & (block == j))
+        sig = np.frombuffer(b"".join(x[10] for x in rows), np.uint8).reshape(-1, k)
+        links, label = compare(ids, copies, first, second, sig, [np.frombuffer(x[11], np.uint64) for x in rows])
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(label), pa.array(np.full(len(ids), not rows[0][9]))], names=["doc_id", "links", "label", "split"])
 
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for batch in batches:
-            columns = [batch.column(x).to_pylist() for x in ("root", "i", "j", "doc_id", "copies", "block", "sig", "grams", "blocks")]
+            columns = [batch.column(x).to_pylist() for x in (*_PAIR, *_MEMBER, "grams")]
             for row in zip(*columns, strict=True):
-                if rows and rows[0][:3] != row[:3]:
+                if rows and rows[0][:5] != row[:5]:
                     yield done(rows)
                     rows = []
                 rows.append(row)
@@ -261,7 +314,6 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     """
     p = params or JaccardParams()
     spark = docs.sparkSession
-    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     sketches = table(
         rows.mapInArrow(_sketcher(p), "doc_id long, n_grams long, digest long, digest2 long, sig binary, keys array<long>"), "sketches"
@@ -272,21 +324,14 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     reps = table(
         some.join(classes.select(*digest, F.col("rep").alias("doc_id"), "copies"), ["doc_id", *digest]).dropDuplicates(["doc_id"]), "reps"
     )
-    clusters = components(_candidates(reps, p))
-    members = clusters.withColumnRenamed("node", "doc_id").join(reps.select("doc_id", "copies", "n_grams", "sig"), "doc_id")
-    sizes = members.groupBy("root").agg(
-        F.ceil(F.greatest(F.count("*") / p.block_texts, F.sum("n_grams") / p.block_words)).cast("int").alias("blocks")
-    )
-    members = members.join(sizes, "root").withColumn("block", F.expr("pmod(xxhash64(doc_id), blocks)").cast("int")).drop("n_grams")
-    grams = (
-        members.join(rows.dropDuplicates(["doc_id"]) if _repeats(sketches) else rows, "doc_id")
-        .select("root", "doc_id", "copies", "blocks", "block", "sig", "text")
-        .mapInArrow(_set_maker(p), "root long, doc_id long, copies long, blocks int, block int, sig binary, grams binary")
-    )
-    dealt = grams.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+    clusters = table(components(_candidates(reps, p)).withColumnRenamed("node", "doc_id"), "clusters")
+    members = table(clusters.join(reps.select("doc_id", "copies", "n_grams", "sig"), "doc_id"), "members")
+    # where the members are few enough for Spark to broadcast their ids, the other texts aren't shuffled
+    wanted = rows.join(clusters.select("doc_id"), "doc_id", "left_semi")
+    wanted = wanted.dropDuplicates(["doc_id"]) if _repeats(sketches) else wanted
+    grams = table(wanted.mapInArrow(_set_maker(p), "doc_id long, grams binary"), "grams")
     linked = table(
-        dealt.repartition(shuffled, "root", "i", "j").sortWithinPartitions("root", "i", "j")
+        _dealt(members, p).join(grams, "doc_id").select(*_PAIR, *_MEMBER, "grams").repartition(partitions(spark), *_PAIR).sortWithinPartitions(*_PAIR)
         .mapInArrow(_verifier(p), "doc_id long, links long, label long, split boolean"), "links",
     )
     forest = linked.filter("split and doc_id <> label").select(F.col("doc_id").alias("u"), F.col("label").alias("v"))
@@ -315,5 +360,6 @@ def keep_one(docs: DataFrame, params: JaccardParams | None = None) -> DataFrame:
     All columns are kept. Wordless texts all stay, as do rows without a doc_id; rows that repeat a doc_id stay or go together.
     """
     classes = near_duplicates(docs, params)
-    go = classes.filter("doc_id <> class_id").select("doc_id").distinct()
+    # stored, so that Spark knows its size: texts are shuffled only where the ids are too many to broadcast
+    go = table(classes.filter("doc_id <> class_id").select("doc_id").distinct(), "go")
     return docs.join(go, "doc_id", "left_anti").select(docs.columns)

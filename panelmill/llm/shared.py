@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _OWN: list[str] = []
@@ -37,6 +38,24 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` inner-joined to ``groups(*keys, ..., n)``, which has a row per key and n, the rows that the key has.
+
+    A join to an aggregate of the same rows is one that Spark can't split. So groups that alone would fill a quarter of a
+    partition go to every task: they are less than four a partition, as all n together are at most ``total``. The other
+    groups are shuffled, none of them large enough to hold a task up.
+    """
+    least = max(1, total // (4 * partitions(rows.sparkSession)))
+    values = [c for c in groups.columns if c not in keys]
+    hot = groups.filter(F.col("n") > least)
+    rest = rows.join(F.broadcast(hot.select(*keys, F.struct(*values).alias("_hot"))), keys, "left").filter("_hot is null").drop("_hot")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(groups.filter(F.col("n") <= least), keys))
+
+
 def filesystem(uri: str):
     """(file system, path in it) of a shared URI, for tasks that read or write byte ranges."""
     from pyarrow import fs
