@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import join_groups, partitions, table
 
 #: Characters that don't count when texts are compared.
 IGNORED = " \t\n\x0b\x0c\r"
@@ -22,17 +20,18 @@ def normalised(text: Column) -> Column:
     return out
 
 
-def _merged(runs: DataFrame, level: int, fan_in: int) -> DataFrame:
-    """One round: runs whose numbers differ in one digit trade digests, so that the digit becomes the digest's.
+def _merged(runs: DataFrame, level: int, fan_in: int, count: int) -> DataFrame:
+    """One round: the ``fan_in`` runs whose numbers differ in one digit trade digests, so that the digit becomes the digest's.
 
-    Each merged run keeps one row per digest: the best row so far (as a struct, hence by sort-based aggregation, in each
-    partition before the exchange and after it) and the number of rows it stands for.
+    A run is in one task, which gets a sorted stretch from each of the others, merges them (a sort of stretches that are
+    sorted already), and aggregates the sorted rows: of each verified key it retains the best row (as a struct, hence by
+    sort-based aggregation) and the number of rows it stands for.
     """
     unit = fan_in**level
-    own = f"pmod(run div {unit}, {fan_in})"
-    aim = f"pmod(aim div {unit}, {fan_in})"
-    dealt = runs.withColumn("run", F.expr(f"run + ({aim} - {own}) * {unit}"))
-    return dealt.groupBy("run", "aim", *_KEY).agg(F.max("best").alias("best"), F.sum("n").alias("n"))
+    digit = lambda x: f"pmod({x} div {unit}, {fan_in})"
+    traded = runs.withColumn("run", F.expr(f"run + ({digit('aim')} - {digit('run')}) * {unit}"))
+    merged = traded.repartition(count, "run").sortWithinPartitions("run", *_KEY)
+    return merged.groupBy("run", *_KEY).agg(F.max("best").alias("best"), F.sum("n").alias("n"))
 
 
 def exact_duplicates(docs: DataFrame, fan_in: int = 8) -> DataFrame:
@@ -43,8 +42,9 @@ def exact_duplicates(docs: DataFrame, fan_in: int = 8) -> DataFrame:
 
     Every partition is a run of (SHA-256, second hash, length) keys; equality of all three verifies a match. In round k
     the runs whose numbers agree but for digit k merge, ``fan_in`` at a time, and each retains the best identifier per key
-    and a count, so a group of copies is one row per run from the first round on. After log_fan_in(partitions) rounds each
-    key is in one run. Null and empty texts are equal to each other; an empty table gives no rows; other columns of any
+    and a count, so a group of copies is one row per run from the first round on: no task gets more copies of a text than
+    ``fan_in`` runs hold. After log_fan_in(partitions) rounds each key is in one run, and the runs together are written to
+    the shared folder. Null and empty texts are equal to each other; an empty table gives no rows; other columns of any
     name are ignored.
     """
     spark = docs.sparkSession
@@ -58,22 +58,20 @@ def exact_duplicates(docs: DataFrame, fan_in: int = 8) -> DataFrame:
         rows.select(
             "doc_id", "points", F.unhex(F.sha2("text", 256)).alias("digest"), F.xxhash64("text").alias("check"),
             F.length("text").alias("length"), F.monotonically_increasing_id().alias("row"),
-        ),
+        ).sortWithinPartitions(*_KEY),
         "digests",
     )
-    levels = max(1, math.ceil(math.log(max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))), fan_in)))
-    count = fan_in**levels
+    levels, count = 1, fan_in
+    while count < partitions(spark):
+        levels, count = levels + 1, count * fan_in
     # ~x orders as -x does, without overflow
     best = F.struct("points", F.bitwise_not("doc_id").alias("id"), F.bitwise_not("row").alias("row"))
     runs = rows.select(
-        F.pmod(F.spark_partition_id(), F.lit(count)).cast("long").alias("run"), F.pmod("check", F.lit(count)).alias("aim"),
-        *_KEY, best.alias("best"), F.lit(1).cast("long").alias("n"),
+        F.pmod(F.spark_partition_id(), F.lit(count)).cast("long").alias("run"), *_KEY, best.alias("best"), F.lit(1).cast("long").alias("n"),
     )
     for level in range(levels):
-        runs = _merged(runs, level, fan_in)
-    winners = runs.select(
-        *_KEY, F.bitwise_not("best.id").alias("keep_id"), F.bitwise_not("best.row").alias("keep_row"), F.col("n").alias("group_size")
-    )
-    return rows.join(winners, _KEY).select(
-        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
+        runs = _merged(runs.withColumn("aim", F.pmod("check", F.lit(count))), level, fan_in, count)
+    winners = runs.select(*_KEY, F.bitwise_not("best.id").alias("keep_id"), F.bitwise_not("best.row").alias("keep_row"), "n")
+    return join_groups(rows, table(winners, "winners"), _KEY, rows.count()).select(
+        "doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
