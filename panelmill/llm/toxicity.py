@@ -9,7 +9,6 @@ matched clauses by kind; a logistic regression, fitted to labelled rows, scores
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import bounded_sample, held_out
+from .shared import table
 from .textkernel import PIECE, WordHasher, slices, texts
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END, DENIED, QUOTED, AIMED = range(10)
@@ -139,8 +139,9 @@ class Lexicon:
 
     @staticmethod
     def of(learned: dict[int, float]) -> Lexicon:
+        """The fixed words and the learned insults; a fixed word keeps its symbol, an insult among them takes the learned weight."""
         entries = {word_key(w): (symbol, 1.0) for symbol, words in _WORDS.items() for w in words.split()}
-        entries |= {k: (INSULT, w) for k, w in learned.items()}
+        entries |= {k: (INSULT, w) for k, w in learned.items() if entries.get(k, (INSULT,))[0] == INSULT}
         entries.pop(0, None)
         keys = np.array(sorted(entries), np.uint64)
         return Lexicon(keys, np.array([entries[int(k)][0] for k in keys]), np.array([entries[int(k)][1] for k in keys]))
@@ -168,7 +169,7 @@ def _features(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher, lexicon
     starts = np.append(np.flatnonzero(first), len(words))
     for c in np.unique(clause[hot]):
         lo, hi = starts[c - 1], starts[c]
-        text, state = int(np.searchsorted(at, lo, "right")) - 1, 0
+        text, state = int(np.searchsorted(at, lo, "right")) - 1, machine.step(0, END)[0]  # END leads every state there
         found = dict.fromkeys(_KINDS, 0.0)
         for i, symbol in zip(range(lo, hi), symbols[lo:hi].tolist(), strict=True):
             state, kind, weight = machine.step(state, symbol)
@@ -196,19 +197,45 @@ class ToxicityModel:
     bias: float
 
 
-def _learned_insults(rows: list, p: ToxicityParams) -> dict[int, float]:
-    """Words that toxic rows have far more often than others, with their log odds, at most 3."""
-    hasher, counts, n = WordHasher(), (Counter(), Counter()), [0, 0]
-    for r in rows:
-        data, offsets = texts(pa.array([r["text"]], pa.large_string()))
-        counts[r["label"]].update(np.unique(hasher.words(data, offsets)[0]).tolist())
-        n[r["label"]] += 1
-    out = {}
-    for word, a in counts[1].items():
-        odds = np.log((a + 0.5) / (n[1] + 1)) - np.log((counts[0][word] + 0.5) / (n[0] + 1))
-        if a >= p.least_rows and odds >= p.least_odds:
-            out[word] = min(3.0, float(odds))
-    return out
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different words of every row, by their hashes, with the row's label."""
+    hasher = WordHasher()
+    for batch in batches:
+        data, offsets = texts(batch.column("text"))
+        labels = np.asarray(batch.column("label"))
+        for a, b in slices(offsets):
+            words, _, _, at = hasher.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            own = [np.unique(words[at[i] : at[i + 1]]) for i in range(b - a)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(own).view(np.int64)), pa.array(np.repeat(labels[a:b], [len(x) for x in own]), pa.int32())], names=["word", "label"]
+            )
+
+
+def _learned_insults(sample: DataFrame, n: tuple[int, int], p: ToxicityParams) -> dict[int, float]:
+    """Words that toxic rows have far more often than others, with their log odds, at most 3; ``n`` counts the sample's rows by label."""
+    counts = sample.mapInArrow(_words, "word long, label int").groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+    odds = F.log((F.col("a") + 0.5) / (n[1] + 1)) - F.log((F.col("b") + 0.5) / (n[0] + 1))
+    found = counts.withColumn("odds", odds).filter((F.col("a") >= p.least_rows) & (F.col("odds") >= p.least_odds))
+    return {r["word"] % (1 << 64): min(3.0, r["odds"]) for r in found.collect()}
+
+
+def _measurer(lexicon: Lexicon):
+    """The features of every row, as one array, with its label."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, machine = WordHasher(), grammar()
+        for batch in batches:
+            x = _batch_features(batch, hasher, lexicon, machine)
+            ends = np.arange(0, x.size + 1, N_FEATURES, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))], names=["label", "x"])
+
+    return measure
+
+
+def _batch_features(batch: pa.RecordBatch, hasher: WordHasher, lexicon: Lexicon, machine: Transducer) -> np.ndarray:
+    data, offsets = texts(batch.column("text"))
+    x = [_features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, lexicon, machine) for a, b in slices(offsets, PIECE)]
+    return np.concatenate(x) if x else np.empty((0, N_FEATURES))
 
 
 def _regression(x: np.ndarray, y: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
@@ -229,8 +256,10 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams | None = None
     """Learn from a bounded sample of the labelled rows that aren't held out.
 
     ``docs(doc_id, text, ...)`` and ``labels(doc_id, toxic, ...)``; labels other than 0 and 1 are ignored. Words that
-    toxic rows have far more often join the insults, with their log odds as weights. Without both labels the score is the
-    share of 1.
+    toxic rows have far more often join the insults, with their log odds as weights; words of the grammar stay what they
+    are. Tasks count words and measure texts: the driver gets ids, words of at least ``least_rows`` rows of the sample and
+    ``N_FEATURES`` numbers a row, never a text. Rows and labels that share a doc_id teach once for each pair of them.
+    Without both labels the score is the share of 1.
     """
     p = params or ToxicityParams()
     known = labels.select("doc_id", F.col("toxic").alias("label")).filter("label in (0, 1)").filter(~held_out(F.col("doc_id")))
@@ -238,16 +267,14 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams | None = None
     # the sample is drawn from the labels alone; its ids, sample_rows at most, are sent to the texts
     chosen = [(r["doc_id"], r["label"]) for r in bounded_sample(known, "label", ["doc_id"], p.sample_rows)]
     ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int")
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text").collect()
-    sample.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    if len({r["label"] for r in sample}) < 2:
+    sample = table(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("label", "text"), "labelled")
+    drawn = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    if len(drawn) < 2:
         share = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
         return ToxicityModel(Lexicon.of({}), np.zeros(N_FEATURES), float(np.log(share / (1 - share))))
-    lexicon = Lexicon.of(_learned_insults(sample, p))
-    data, offsets = texts(pa.array([r["text"] for r in sample], pa.large_string()))
-    hasher, machine = WordHasher(), grammar()
-    x = np.concatenate([_features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, lexicon, machine) for a, b in slices(offsets)])
-    y = np.array([r["label"] for r in sample])
+    lexicon = Lexicon.of(_learned_insults(sample, (drawn[0], drawn[1]), p))
+    rows = sorted((tuple(r["x"]), r["label"]) for r in sample.mapInArrow(_measurer(lexicon), "label int, x array<double>").collect())
+    x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
     weights, bias = _regression(x, y, p.ridge)
     return ToxicityModel(lexicon, weights, bias + np.log(n[1] / n[0]) - np.log(y.sum() / (len(y) - y.sum())))
 
@@ -256,9 +283,7 @@ def _scorer(model: ToxicityModel):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, machine = WordHasher(), grammar()
         for batch in batches:
-            data, offsets = texts(batch.column("text"))
-            x = [_features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, model.lexicon, machine) for a, b in slices(offsets, PIECE)]
-            z = (np.concatenate(x) if x else np.empty((0, N_FEATURES))) @ model.weights + model.bias
+            z = _batch_features(batch, hasher, model.lexicon, machine) @ model.weights + model.bias
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))], names=["doc_id", "held_out", "score"]
             )
