@@ -4,6 +4,8 @@ The kernel compares which n-grams of bytes two texts have (blended spectrum, pre
 from the training rows give the Nystroem approximation of the kernel; one-versus-rest kernel ridge regression on it gives
 each language a coefficient per landmark. Scoring a batch is a matrix product of its n-gram presence with the landmarks'
 presence weighted by those coefficients, which is folded once, as the kernel is linear in a text's normalised presence.
+N-grams of two and three bytes are numbered by a hash of 12 and 13 bits, so some share a number: the kernel then takes one
+for the other, in every text alike.
 """
 
 from __future__ import annotations
@@ -44,9 +46,9 @@ _SEEN = LOWER.copy()
 _SEEN[:128][~np.array([chr(b).isalpha() for b in range(128)])] = 32
 
 
-def _presence(data: np.ndarray, offsets: np.ndarray, p: LanguageParams) -> np.ndarray:
-    """Texts by n-grams; for each n the row is scaled to length 1."""
-    n, first = len(offsets) - 1, np.concatenate([[0], np.cumsum([1 << b for b in p.bits])])
+def _held(data: np.ndarray, offsets: np.ndarray, p: LanguageParams) -> np.ndarray:
+    """Texts by n-grams: 1 where the text has the n-gram."""
+    n, first = len(offsets) - 1, _first(p)
     out = np.zeros((n, first[-1]), np.float32)
     for begin in range(0, max(1, len(data)), PIECE):  # a long text in pieces that overlap
         part = _SEEN[data[begin : begin + PIECE + len(p.bits) - 1]].astype(np.uint32)
@@ -60,22 +62,53 @@ def _presence(data: np.ndarray, offsets: np.ndarray, p: LanguageParams) -> np.nd
                 a, b = max(offsets[i] - begin, 0), min(offsets[i + 1] - begin - k, len(gram))
                 if b > a:
                     out[i, gram[a:b]] = 1
+    return out
+
+
+def _first(p: LanguageParams) -> np.ndarray:
+    """Where the n-grams of each n begin, and the end."""
+    return np.concatenate([[0], np.cumsum([1 << b for b in p.bits])])
+
+
+def _scaled(held: np.ndarray, p: LanguageParams) -> np.ndarray:
+    """For each n the row is scaled to length 1, then all to length 1."""
+    first = _first(p)
     for k in range(len(p.bits)):
-        block = out[:, first[k] : first[k + 1]]
+        block = held[:, first[k] : first[k + 1]]
         block /= np.maximum(np.sqrt(block.sum(axis=1, keepdims=True)), 1)
-    return out / np.float32(np.sqrt(len(p.bits)))
+    return held / np.float32(np.sqrt(len(p.bits)))
+
+
+def _presence(data: np.ndarray, offsets: np.ndarray, p: LanguageParams) -> np.ndarray:
+    return _scaled(_held(data, offsets, p), p)
+
+
+def _packer(p: LanguageParams):
+    """Chosen rows with a bit per n-gram in the place of their text."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = texts(batch.column("text"))
+            rows = [np.packbits(_held(data[offsets[i] : offsets[i + 1]], offsets[i : i + 2] - offsets[i], p) > 0).tobytes() for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(rows, pa.binary()), batch.column("_number")], names=["lang", "text", "_number"])
+
+    return pack
 
 
 def fit(docs: DataFrame, params: LanguageParams | None = None) -> LanguageModel:
-    """Learn from a bounded sample of the rows of ``docs(doc_id, text, lang, ...)`` that aren't held out and have a lang."""
+    """Learn from a bounded sample of the rows of ``docs(doc_id, text, lang, ...)`` that aren't held out and have a lang.
+
+    Tasks send a bit per n-gram of each sampled row, 1.6 KB however long its text.
+    """
     p = params or LanguageParams()
     rows = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()).filter(F.coalesce("text", F.lit("")).rlike(r"\p{L}"))
-    sample = bounded_sample(rows, "lang", ["text"], p.sample_rows)
+    packed = lambda x: x.mapInArrow(_packer(p), "lang string, text binary, _number long")
+    sample = bounded_sample(rows, "lang", ["text"], p.sample_rows, measure=packed)
     labels = sorted({r["lang"] for r in sample})
     if not labels:
         return LanguageModel([], np.zeros((0, 0), np.float32), p)
-    data, offsets = texts(pa.array([r["text"] for r in sample], pa.large_string()))
-    x = np.concatenate([_presence(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], p) for a, b in slices(offsets)])
+    bits = np.frombuffer(b"".join(r["text"] for r in sample), np.uint8).reshape(len(sample), -1)
+    x = _scaled(np.unpackbits(bits, axis=1)[:, : _first(p)[-1]].astype(np.float32), p)
     y = np.array([[float(r["lang"] == label) for label in labels] for r in sample])
     z = x[:: max(1, -(-len(x) // p.landmarks))]  # the sample is in the order of a hash
     values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
