@@ -7,6 +7,7 @@ ranks stands in one control byte, apart from the data, so that a table of 256 ro
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -184,7 +185,8 @@ class _Places:
 class Encoder:
     """Encodes texts with a tokenizer of the ``tokenizers`` library, each distinct piece between cuts only once.
 
-    At most about ``remembered`` pieces are kept, by a 64-bit hash; then it starts anew, which changes no result.
+    At most about ``remembered`` pieces are kept, by a 64-bit hash; then it starts anew, which changes no result. The
+    strings of special tokens in a text are those tokens, as the library has it; it must not strip or normalise around them.
     """
 
     def __init__(self, path: str, remembered: int) -> None:
@@ -194,7 +196,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(x.lstrip or x.rstrip or x.single_word or x.normalized for x in added):
+            raise ValueError(f"{path} has added tokens that take in what is around them")
+        strings = sorted((x.content.encode() for x in added), key=len, reverse=True)
+        self.special = re.compile(b"|".join(map(re.escape, strings))) if strings else None
         vocab = self.tokenizer.get_vocab()
         self.length = np.zeros(max(vocab.values()) + 1, np.int64)
         self.length[list(vocab.values())] = [len(x) for x in vocab]
@@ -238,6 +244,18 @@ class Encoder:
         self.used += len(ids)
         self.places.add(keys)
 
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where pieces begin or end, as a mask of n + 1 places: at ``_cuts`` and offsets, and around special tokens, never in them."""
+        cut = np.zeros(len(data) + 1, bool)
+        cut[_cuts(data)] = cut[offsets] = True
+        raw = data.tobytes() if self.special else b""
+        if self.special and self.special.search(raw):
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                for begin, end in (m.span() for m in self.special.finditer(raw[a:b])):
+                    cut[a + begin + 1 : a + end] = False
+                    cut[a + begin] = cut[a + end] = True
+        return cut
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the texts, one after the other, and the number of each text's ids."""
         if self.places.n > self.remembered:
@@ -247,9 +265,7 @@ class Encoder:
             return np.empty(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
         if n > PIECE:
             return self._long(data)
-        cut = np.zeros(n + 1, bool)
-        cut[_cuts(data)] = cut[offsets] = True
-        begin = np.flatnonzero(cut[:-1])
+        begin = np.flatnonzero(self._cut(data, offsets)[:-1])
         end = np.append(begin[1:], n)
         with np.errstate(over="ignore"):
             sums = np.zeros(n + 1, np.uint64)
@@ -272,7 +288,7 @@ class Encoder:
     def _long(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A text of more than PIECE bytes, in parts that end at cuts; a part without a cut goes to the tokenizer whole."""
         parts, at, n = [], 0, len(data)
-        cuts = np.append(_cuts(data), n)
+        cuts = np.flatnonzero(self._cut(data, np.array([0, n])))
         while at < n:
             k = int(np.searchsorted(cuts, at + PIECE, "right")) - 1
             to = int(cuts[k]) if k >= 0 and cuts[k] > at else int(cuts[k + 1])
@@ -306,13 +322,14 @@ def _writer(folder: str, tokenizer: str, p: TokenFileParams):
         fs, path = filesystem(folder)
         fs.create_dir(path, recursive=True)
         shard = TaskContext.get().partitionId()
-        name = f"part-{shard:05d}.tokens"
-        own, made, at = f"{path}/.{name}.{uuid.uuid4().hex}", [], 0
+        # a name of this attempt's own: only the blocks of attempts that came through are listed, and nothing is renamed
+        name = f"part-{shard:05d}-{uuid.uuid4().hex}.tokens"
+        made, at = [], 0
         doc_ids: list = []
         lengths: list[np.ndarray] = []
         parts: list[np.ndarray] = []
         held = 0
-        with fs.open_output_stream(own, compression=None) as out:
+        with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
 
             def flush() -> None:
                 nonlocal at, held
@@ -338,7 +355,6 @@ def _writer(folder: str, tokenizer: str, p: TokenFileParams):
                         flush()
             if doc_ids:
                 flush()
-        fs.move(own, f"{path}/{name}")
         columns = list(zip(*made, strict=True)) or [()] * 4
         yield pa.RecordBatch.from_arrays(
             [pa.array([f"{folder}/{name}"] * len(made)), pa.array([shard] * len(made), pa.int32()), *(pa.array(x, pa.int64()) for x in columns)],
@@ -353,7 +369,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, params: TokenFile
 
     Documents are range-partitioned and sorted by doc_id (null first, then text), so shards in order hold them in order. A
     null text is empty; each document ends with ``end_id``. Repeated rows are written as often as they occur. ``tokenizer``
-    is the path of a file of the ``tokenizers`` library, byte-level, without added prefix space.
+    is the path of a file of the ``tokenizers`` library, byte-level, without added prefix space. Only the blocks that are
+    returned count: a task that failed or ran twice may leave other files in the folder.
     """
     p = params or TokenFileParams()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
