@@ -8,7 +8,7 @@ suffix of some window; a hash bucket selects those windows, and their words are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +25,14 @@ _LANE = 512
 
 @dataclass(frozen=True)
 class DecontaminationParams:
-    """Words of a window; bytes of benchmark text that are sent to the tasks at once (more is searched in several passes)."""
+    """Words of a window; bytes of windows and their tables that a task gets at once (more is searched in several passes)."""
 
     words: int = 10
-    broadcast_bytes: int = 16 << 20
+    window_bytes: int = 32 << 20
+
+
+#: What a word of an item takes in the tables, beside its own bytes.
+_WORD_BYTES = 72
 
 
 def _block_hash(hashes: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
@@ -39,36 +43,72 @@ def _block_hash(hashes: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class _Items:
+    """The words of all items of a pass, one after the other: their hashes, and their bytes with a space after each."""
+
+    hashes: np.ndarray
+    text: bytes
+    at: np.ndarray
+    ids: np.ndarray  # item of each word
+
+    @staticmethod
+    def of(items: list[tuple[int, str]]) -> tuple[_Items, np.ndarray]:
+        """The words, and each item's first word and the end of its last."""
+        hasher, hashes, words, ids, ends = WordHasher(), [np.empty(0, np.uint64)], [], [], [0]
+        for item, text in items:
+            data, offsets = texts(pa.array([text], pa.large_string()))
+            h, begin, end, _ = hasher.words(data, offsets)
+            low = LOWER[data].tobytes()
+            hashes.append(h)
+            words += [low[b:e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
+            ids += [item] * len(h)
+            ends.append(ends[-1] + len(h))
+        at = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])]).astype(np.int64)
+        return _Items(np.concatenate(hashes), b"".join(w + b" " for w in words), at, np.array(ids, np.int64)), np.array(ends)
+
+    def window(self, start: int, length: int) -> bytes:
+        return self.text[self.at[start] : self.at[start + length] - 1]
+
+
 @dataclass
 class _Windows:
-    """The windows of one length, with their shift table and suffix buckets."""
+    """The different windows of one length in order of their suffix, with their shift table."""
 
+    items: _Items
     length: int
-    hashes: np.ndarray
-    words: list[bytes]
-    items: list[list[int]]
-    block: int = field(init=False)
-    mask: np.uint64 = field(init=False)
-    shift: np.ndarray = field(init=False)
-    suffix: np.ndarray = field(init=False)
-    order: np.ndarray = field(init=False)
-
-    def __post_init__(self) -> None:
-        n, m = self.hashes.shape
-        self.block = min(_BLOCK, m)
-        size = 1 << max(12, int(np.ceil(np.log2(8 * n * m))))
-        self.mask = np.uint64(size - 1)
-        self.shift = np.full(size, m - self.block + 1, np.int32)
-        flat, first = self.hashes.ravel(), np.arange(n) * m
-        for q in range(self.block - 1, m):
-            np.minimum.at(self.shift, _block_hash(flat, first + q, self.block) & self.mask, m - 1 - q)
-        suffix = _block_hash(flat, first + m - 1, self.block)
-        self.order = np.argsort(suffix, kind="stable")
-        self.suffix = suffix[self.order]
+    starts: np.ndarray
+    suffix: np.ndarray
+    owners: np.ndarray  # items of the windows, one window after the other
+    owned: np.ndarray  # where each window's items begin
+    shift: np.ndarray
+
+    @staticmethod
+    def of(items: _Items, m: int, starts: np.ndarray) -> _Windows:
+        block = min(_BLOCK, m)
+        key = np.full(len(starts), m, np.uint64)
+        with np.errstate(over="ignore"):
+            for q in range(m):
+                key = mix(key * np.uint64(3) + items.hashes[starts + q])
+        order = np.lexsort((starts, key, _block_hash(items.hashes, starts + m - 1, block)))
+        starts, key = starts[order], key[order]
+        new = np.ones(len(starts), bool)
+        new[1:] = key[1:] != key[:-1]
+        leader = 0
+        for i in np.flatnonzero(~new):  # equal hashes: the same window if its words are
+            leader = i - 1 if new[i - 1] else leader
+            new[i] = items.window(starts[i], m) != items.window(starts[leader], m)
+        first = np.flatnonzero(new)
+        width = min(m - block + 1, 255)
+        size = 1 << max(12, int(np.ceil(np.log2(8 * (len(first) + m)))))
+        shift = np.full(size, width, np.uint8)
+        for q in range(block - 1, m):
+            np.minimum.at(shift, _block_hash(items.hashes, starts[first] + q, block) & np.uint64(size - 1), np.uint8(min(m - 1 - q, 255)))
+        return _Windows(items, m, starts[first], _block_hash(items.hashes, starts[first] + m - 1, block), items.ids[starts], np.append(first, len(starts)), shift)
 
     def search(self, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(last word, window) of every occurrence in texts whose words are at offsets ``at``; hashes equal, bytes unseen."""
-        m = self.length
+        m, block, mask = self.length, min(_BLOCK, self.length), np.uint64(len(self.shift) - 1)
         first, last = at[:-1] + m - 1, at[1:] - 1
         lanes = np.maximum(0, -(-(last - first + 1) // _LANE))
         which = np.repeat(np.arange(len(lanes)), lanes)
@@ -76,40 +116,42 @@ class _Windows:
         stop = np.minimum(pos + _LANE - 1, last[which])
         found = []
         while len(pos):
-            block = _block_hash(hashes, pos, self.block)
-            shift = self.shift[block & self.mask]
+            hashed = _block_hash(hashes, pos, block)
+            shift = self.shift[hashed & mask]
             zero = shift == 0
             if zero.any():
-                found.append((pos[zero], block[zero]))
+                found.append((pos[zero], hashed[zero]))
             pos = pos + np.maximum(shift, 1)
             alive = pos <= stop
             pos, stop = pos[alive], stop[alive]
         if not found:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        end, block = (np.concatenate(x) for x in zip(*found, strict=True))
-        lo, hi = np.searchsorted(self.suffix, block, "left"), np.searchsorted(self.suffix, block, "right")
+        end, hashed = (np.concatenate(x) for x in zip(*found, strict=True))
+        lo, hi = np.searchsorted(self.suffix, hashed, "left"), np.searchsorted(self.suffix, hashed, "right")
         many = hi - lo
         end = np.repeat(end, many)
-        window = self.order[np.repeat(lo, many) + np.arange(len(end)) - np.repeat(np.cumsum(many) - many, many)]
+        window = np.repeat(lo, many) + np.arange(len(end)) - np.repeat(np.cumsum(many) - many, many)
         same = np.ones(len(end), bool)
         for q in range(m):
-            same &= hashes[end - q] == self.hashes[window, m - 1 - q]
+            same &= hashes[end - q] == self.items.hashes[self.starts[window] + m - 1 - q]
         return end[same], window[same]
 
+    def occurrences(self, part: np.ndarray, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(first word, items) of every occurrence, its words compared."""
+        for e, w in zip(*self.search(hashes, at), strict=True):
+            s = e - self.length + 1
+            if b" ".join(LOWER[part[begin[i] : end[i]]].tobytes() for i in range(s, e + 1)) == self.items.window(self.starts[w], self.length):
+                yield s, self.owners[self.owned[w] : self.owned[w + 1]]
+
 
 def _windows(items: list[tuple[int, str]], n: int) -> list[_Windows]:
-    hasher, by_length = WordHasher(), {}
-    for item, text in items:
-        data, offsets = texts(pa.array([text]))
-        hashes, begin, end, _ = hasher.words(data, offsets)
-        low = LOWER[data].tobytes()
-        words = [low[b:e] for b, e in zip(begin, end, strict=True)]
-        m = min(n, len(words))
-        for i in range(len(words) - m + 1 if m else 0):
-            known = by_length.setdefault(m, {}).setdefault(b" ".join(words[i : i + m]), (hashes[i : i + m], []))
-            if not known[1] or known[1][-1] != item:
-                known[1].append(item)
-    return [_Windows(m, np.array([h for h, _ in x.values()]), list(x), [i for _, i in x.values()]) for m, x in sorted(by_length.items())]
+    words, ends = _Items.of(items)
+    starts: dict[int, list[np.ndarray]] = {}
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        m = min(n, int(b - a))
+        if m:
+            starts.setdefault(m, []).append(np.arange(a, b - m + 1))
+    return [_Windows.of(words, m, np.concatenate(x)) for m, x in sorted(starts.items())]
 
 
 def _searcher(groups: list[_Windows]):
@@ -123,12 +165,10 @@ def _searcher(groups: list[_Windows]):
                 hashes, begin, end, at = hasher.words(part, offsets[a : b + 1] - offsets[a])
                 edge, seen = np.zeros(len(hashes) + 1, np.int32), [set() for _ in range(b - a)]
                 for g in groups:
-                    for e, w in zip(*g.search(hashes, at), strict=True):
-                        s = e - g.length + 1
-                        if b" ".join(LOWER[part[begin[i] : end[i]]].tobytes() for i in range(s, e + 1)) == g.words[w]:
-                            edge[s] += 1
-                            edge[e + 1] -= 1
-                            seen[int(np.searchsorted(at, e, "right")) - 1].update(g.items[w])
+                    for s, owners in g.occurrences(part, hashes, begin, end, at):
+                        edge[s] += 1
+                        edge[s + g.length] -= 1
+                        seen[int(np.searchsorted(at, s, "right")) - 1].update(owners.tolist())
                 hit = np.cumsum(edge[:-1]) > 0
                 for i in range(b - a):
                     turn = np.flatnonzero(np.diff(np.concatenate([[0], hit[at[i] : at[i + 1]].view(np.int8), [0]])))
@@ -142,6 +182,25 @@ def _searcher(groups: list[_Windows]):
     return search
 
 
+def _sieve(groups: list[_Windows]):
+    """The rows whose texts have no window, whole."""
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in batches:
+            data, offsets = texts(batch.column("text"))
+            clean = np.ones(batch.num_rows, bool)
+            for a, b in slices(offsets):
+                part = data[offsets[a] : offsets[b]]
+                hashes, begin, end, at = hasher.words(part, offsets[a : b + 1] - offsets[a])
+                for g in groups:
+                    for s, _ in g.occurrences(part, hashes, begin, end, at):
+                        clean[a + int(np.searchsorted(at, s, "right")) - 1] = False
+            yield batch.filter(pa.array(clean))
+
+    return sieve
+
+
 _FOUND = "row long, doc_id long, n_words long, begins array<long>, ends array<long>, items array<long>"
 
 
@@ -163,6 +222,19 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kept, *both, batch.column("items")], names=[x.split()[0] for x in _FOUND.split(", ")])
 
 
+def _parts(benchmark: DataFrame, p: DecontaminationParams) -> list[DataFrame]:
+    """The items in parts whose windows take ``window_bytes`` each, by an estimate from all their words."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and text is not null")
+    words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    total = items.agg(F.sum(F.octet_length("text") + _WORD_BYTES * words)).first()[0] or 0
+    n = -(-total // p.window_bytes) or 1
+    return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)] if n > 1 else [items]
+
+
+def _collected(part: DataFrame) -> list[tuple[int, str]]:
+    return [tuple(x) for x in part.orderBy("item_id", "text").collect()]
+
+
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, params: DecontaminationParams | None = None) -> DataFrame:
     """``doc_id, n_words, n_hit, items, spans, contaminated`` for every row of ``docs(doc_id long, text string, ...)``.
 
@@ -172,20 +244,15 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, params: Decontaminatio
     hit stretches as (begin, end) of words. Null, empty and wordless texts have no words; such items no windows. Rows with
     one item_id are one item; rows without item_id are left out. Repeated documents are repeated in the result.
 
-    The benchmark's size is measured. Up to ``broadcast_bytes`` its windows go to every task; beyond, the items are split
-    into parts of that size, each part is searched in a pass, and the passes' hits are united per document.
+    The size of the windows is measured. Up to ``window_bytes`` they go to every task; beyond, the items are split into parts
+    of about that size (an item isn't cut), each part is searched in a pass, and the passes' hits are united per document.
     """
     p = params or DecontaminationParams()
-    items = benchmark.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = -(-total // p.broadcast_bytes) or 1
+    parts = _parts(benchmark, p)
+    passes = len(parts)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
     rows = table(rows, "documents") if passes > 1 else rows
-    found = []
-    for k in range(passes):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
-        windows = _windows([tuple(x) for x in part.orderBy("item_id", "text").collect()], p.words)
-        found.append(rows.mapInArrow(_searcher(windows), _FOUND))
+    found = [rows.mapInArrow(_searcher(_windows(_collected(part), p.words)), _FOUND) for part in parts]
     out = found[0]
     if passes > 1:
         for x in found[1:]:
@@ -202,6 +269,12 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, params: Decontaminatio
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, params: DecontaminationParams | None = None) -> DataFrame:
-    """The rows of ``docs`` whose texts have no window of the benchmark; rows that share a doc_id stay or go together."""
-    bad = find_benchmark(docs, benchmark, params).filter("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` whose texts have no window of the benchmark, with all their columns.
+
+    Every row is judged by its own text, in the task that reads it, so rows without a doc_id or with a repeated one are
+    judged like others and nothing is shuffled. Several passes follow one another on what is left.
+    """
+    p = params or DecontaminationParams()
+    for part in _parts(benchmark, p):
+        docs = docs.mapInArrow(_sieve(_windows(_collected(part), p.words)), docs.schema)
+    return docs
