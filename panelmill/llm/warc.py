@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import filesystem, place, table
+from .shared import discard, filesystem, join_groups, place, table
 
 _MAGIC = b"\x1f\x8b\x08"
 _ID = "urn:x-page:"
@@ -49,10 +49,10 @@ def _writer(folder: str, p: WarcParams):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = filesystem(folder)
         fs.create_dir(path, recursive=True)
-        name = f"part-{TaskContext.get().partitionId():05d}.warc.gz"
-        own = f"{path}/.{name}.{uuid.uuid4().hex}"  # of this attempt; only a whole file gets its name
+        # a name of this attempt's own: only the files of attempts that came through are listed, and nothing is renamed
+        name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.warc.gz"
         size = records = 0
-        with fs.open_output_stream(own, compression=None) as out:
+        with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
             for batch in batches:
                 columns = (batch.column(x) for x in ("page_id", "url", "html", "sha1", "refers_to"))
                 for page_id, url, html, sha1, refers_to in zip(*columns, strict=True):
@@ -64,7 +64,6 @@ def _writer(folder: str, p: WarcParams):
                     out.write(member)
                     size += len(member)
                     records += 1
-        fs.move(own, f"{path}/{name}")
         yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "bytes": [size], "records": [records]})
 
     return write
@@ -73,6 +72,8 @@ def _writer(folder: str, p: WarcParams):
 def write_warc(pages: DataFrame, folder: str, params: WarcParams | None = None) -> DataFrame:
     """Write ``pages(page_id long, url string, html string, ...)`` to archives in ``folder``; ``path, bytes, records`` of each.
 
+    Only the archives that are returned count: a task that failed or ran twice may leave others in the folder.
+
     The payload is the html in UTF-8, empty for null. Of records with equal payloads (SHA-1 and length) of at least
     ``revisit_bytes`` the one with the largest page_id is the response, the others are revisits of it; rows that repeat that
     page_id are responses too, and a null page_id is a response unless others share its payload. Digests are pre-aggregated
@@ -81,11 +82,11 @@ def write_warc(pages: DataFrame, folder: str, params: WarcParams | None = None)
     p = params or WarcParams()
     pages = pages.select(F.col("page_id").cast("long"), "url", "html")
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    keys = pages.select("page_id", F.sha1(payload).alias("sha1"), F.octet_length(payload).alias("n"))
-    last = keys.filter(F.col("n") >= p.revisit_bytes).groupBy("sha1", "n").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies"))
-    last = last.filter("copies > 1")
-    revisits = keys.join(last, ["sha1", "n"]).filter("not page_id <=> refers_to").select("page_id", "sha1", "refers_to").distinct()
+    keys = table(pages.select("page_id", F.sha1(payload).alias("sha1"), F.octet_length(payload).alias("bytes")), "digests")
+    last = keys.filter(F.col("bytes") >= p.revisit_bytes).groupBy("sha1", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
+    revisits = join_groups(keys, last.filter("n > 1"), ["sha1", "bytes"], keys.count()).filter("not page_id <=> refers_to").select("page_id", "sha1", "refers_to").distinct()
     revisits = table(revisits, "revisits")
+    discard(keys)
     rows = pages.withColumn("sha1", F.sha1(payload)).alias("p").join(
         revisits.alias("r"), F.expr("p.page_id <=> r.page_id and p.sha1 = r.sha1"), "left"
     )
