@@ -71,17 +71,20 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
         )
     )
     out = merged.select("conv_id", F.size("blocks").alias("n_merged"), pieces.alias("pieces"))
-    ends = F.aggregate(
-        "pieces",
-        F.struct(F.array().cast("array<int>").alias("begins"), F.lit(0).alias("at")),
-        lambda acc, p: F.struct(
-            F.concat(acc["begins"], F.array(acc["at"] + F.length(p["lead"]))).alias("begins"),
-            (acc["at"] + F.length(p["lead"]) + F.length(p["text"])).alias("at"),
-        ),
-        lambda acc: acc["begins"],
-    )
+    # where texts begin: sums over stretches of about the root of the number of pieces, then over the rest of a stretch
+    out = out.withColumn("sizes", F.transform("pieces", lambda p: F.length(p["lead"]) + F.length(p["text"])))
+    out = out.withColumn("step", F.ceil(F.sqrt(F.size("sizes"))).cast("int"))
+    stretches = F.sequence(F.lit(0), F.floor((F.size("sizes") - 1) / F.col("step")).cast("int"))
+    total = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + x)
+    out = out.withColumn("sums", F.transform(stretches, lambda k: total(F.slice("sizes", k * F.col("step") + 1, F.col("step")))))
+    out = out.withColumn("before", F.transform(stretches, lambda k: total(F.slice("sums", F.lit(1), k))))
+
+    def begin(p: Column, i: Column) -> Column:
+        own = i % F.col("step")
+        return F.get("before", F.floor(i / F.col("step")).cast("int")) + total(F.slice("sizes", i - own + 1, own)) + F.length(p["lead"])
+
     spans = F.filter(
-        F.zip_with("pieces", ends, lambda p, b: F.struct(b.alias("begin"), F.length(p["text"]).alias("length"), p["loss"].alias("loss"))),
+        F.transform("pieces", lambda p, i: F.struct(begin(p, i).alias("begin"), F.length(p["text"]).alias("length"), p["loss"].alias("loss"))),
         lambda s: s["loss"],
     )
     return out.select(
