@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import join_groups, table
+from .shared import discard, join_groups, table
 
 
 def _to_smallest(pairs: DataFrame, larger_only: bool, total: int) -> DataFrame:
@@ -23,7 +23,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Each round is two aggregations with map-side combine and two joins that send the hubs' smallest neighbours to every
     task, so that the leaves of a star stay where they are; no neighbourhood is ever collected. Each round is written to the
-    shared folder. Self-loops and repeated edges change nothing; no edges, no rows. ``rounds`` guards against a fault only:
+    shared folder, and the one before is deleted. Self-loops and repeated edges change nothing; no edges, no rows. ``rounds`` guards against a fault only:
     stars need O(log^2 n) rounds, and not having converged raises.
     """
     spark = edges.sparkSession
@@ -38,5 +38,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _to_smallest(both, True, total).filter("u <> v").distinct()
         small = _to_smallest(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), False, total)
-        now = table(small.distinct(), "edges")
+        was, now = now, table(small.distinct(), "edges")
+        discard(was)
     raise RuntimeError(f"components did not converge in {rounds} rounds on {spark.sparkContext.applicationId}")

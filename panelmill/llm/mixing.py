@@ -74,9 +74,14 @@ def mix(docs: DataFrame, quality: Column | None = None, seed: int = 1, **shares)
     Null and empty texts have size 0 and are taken with their epoch; rows that repeat a doc_id are separate documents with
     one key; an empty table gives no rows; other columns are ignored.
     """
+    return _planned(docs, [], quality, seed, **shares).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def _planned(docs: DataFrame, carried: list[Column], quality: Column | None = None, seed: int = 1, **shares) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies`` of every row, and ``carried`` columns of it."""
     weight = plainness(F.col("text")) if quality is None else F.greatest(quality.cast("double"), F.lit(1e-9))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
-    rows = docs.select(F.col("doc_id").cast("long"), "source", word_count(F.col("text")).alias("size"), weight.alias("w"))
+    rows = docs.select(F.col("doc_id").cast("long"), "source", word_count(F.col("text")).alias("size"), weight.alias("w"), *carried)
     rows = rows.withColumn("key", -F.ln(uniform) / F.col("w")).drop("w").withColumn("row", F.monotonically_increasing_id())
     # a null source joins like any other
     rows = table(rows.withColumn("named", F.col("source").isNotNull()).withColumn("s", F.coalesce("source", F.lit(""))), "sized")
@@ -97,19 +102,21 @@ def mix(docs: DataFrame, quality: Column | None = None, seed: int = 1, **shares)
     )
     sums = table(sums, "buckets")
     edge = dealt.join(sums.filter("not whole and room is not null"), [*on, "bucket"])
-    filled = edge.select(*on, "row", "doc_id", "key", "size", "room").groupBy(*on).applyInPandas(_fill, "row long")
+    filled = table(edge.select(*on, "row", "doc_id", "key", "size", "room").groupBy(*on).applyInPandas(_fill, "row long"), "filled")
     out = dealt.join(sums.select(*on, "bucket", "whole"), [*on, "bucket"]).join(filled.withColumn("fits", F.lit(True)), "row", "left")
     copies = F.col("epochs") + (F.col("whole") | F.coalesce("fits", F.lit(False))).cast("long")
-    return out.withColumn("copies", copies).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+    more = [c for c in rows.columns if c not in ("doc_id", "source", "size", "key", "row", *on)]
+    return out.withColumn("copies", copies).select("doc_id", "source", "size", "source_size", "target", "copies", *more)
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as ``mix`` takes them; rows that repeat a doc_id are taken as often as the first."""
-    times = "_copies"
-    while times in docs.columns:
-        times += "_"
-    plan = mix(docs, **options).filter("copies > 0").groupBy("doc_id").agg(F.max("copies").cast("int").alias(times))
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["doc_id"])).drop(plan["doc_id"])
-    return joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
+    """The rows of ``docs`` as often as ``mix`` takes them, with all their columns.
+
+    Each row is taken by its own draw, without a doc_id or with a repeated one too. Rows are stored whole with their keys;
+    the tables they are joined to, of sources, buckets and filled rows, are stored before, so that Spark knows their sizes:
+    texts are shuffled only where those are too large to broadcast.
+    """
+    whole = F.struct(*docs.columns).alias("whole_row")
+    plan = _planned(docs, [whole], **options).filter("copies > 0")
+    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_time")
+    return plan.select("whole_row", times).select(*(F.col("whole_row")[c].alias(c) for c in docs.columns))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import join_groups, partitions, table
+from .shared import discard, join_groups, partitions, table
 from .textkernel import WordHasher, mix, runs, slices, texts
 
 
@@ -145,8 +145,8 @@ def _candidates(reps: DataFrame, p: JaccardParams) -> DataFrame:
     stars = join_groups(keyed, buckets, ["band", "bucket"], total).filter("doc_id <> v").withColumnRenamed("doc_id", "u").drop("n")
     stars = table(stars, "stars")
     pairs, sigs = stars.select("u", "v").distinct(), reps.select("doc_id", "sig")
-    centres = table(pairs.groupBy("v").agg(F.count("*").alias("n")).join(sigs.toDF("v", "sig_v"), "v"), "centres")
-    edges = join_groups(pairs.join(sigs.toDF("u", "sig_u"), "u"), centres, ["v"], total).select("u", "v", "sig_u", "sig_v")
+    stored = table(pairs.groupBy("v").agg(F.count("*").alias("n")).join(sigs.toDF("v", "sig_v"), "v"), "centres")
+    edges = join_groups(pairs.join(sigs.toDF("u", "sig_u"), "u"), stored, ["v"], total).select("u", "v", "sig_u", "sig_v")
     edges = table(edges.mapInArrow(_star_pruner(p), "u long, v long, near boolean, inner boolean"), "star_edges")
     centres = edges.filter("not near").select("v").distinct()
     outer = edges.filter("not near or not inner").join(centres, "v", "left_semi").select("u", "v", "near")
@@ -154,7 +154,9 @@ def _candidates(reps: DataFrame, p: JaccardParams) -> DataFrame:
     left = outer.groupBy("band", "bucket").agg(F.min("u").alias("w"), F.count("*").alias("n"), F.bool_and("near").alias("all_near"))
     left = left.filter("n > 1 and not all_near").select("band", "bucket", "w", "n")
     rest = join_groups(outer.select("u", "band", "bucket"), left, ["band", "bucket"], total).filter("u <> w").select("u", F.col("w").alias("v"))
-    return edges.filter("near").select("u", "v").unionByName(rest.distinct())
+    out = table(edges.filter("near").select("u", "v").unionByName(rest.distinct()), "candidates")
+    discard(stars, stored, edges, outer)
+    return out
 
 
 #: What a member of a component brings to a pair of blocks; ``low`` and ``i`` name the smaller class of sizes and its block.
@@ -324,7 +326,8 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     reps = table(
         some.join(classes.select(*digest, F.col("rep").alias("doc_id"), "copies"), ["doc_id", *digest]).dropDuplicates(["doc_id"]), "reps"
     )
-    clusters = table(components(_candidates(reps, p)).withColumnRenamed("node", "doc_id"), "clusters")
+    candidates = _candidates(reps, p)
+    clusters = table(components(candidates).withColumnRenamed("node", "doc_id"), "clusters")
     members = table(clusters.join(reps.select("doc_id", "copies", "n_grams", "sig"), "doc_id"), "members")
     # where the members are few enough for Spark to broadcast their ids, the other texts aren't shuffled
     wanted = rows.join(clusters.select("doc_id"), "doc_id", "left_semi")
@@ -334,6 +337,7 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
         _dealt(members, p).join(grams, "doc_id").select(*_PAIR, *_MEMBER, "grams").repartition(partitions(spark), *_PAIR).sortWithinPartitions(*_PAIR)
         .mapInArrow(_verifier(p), "doc_id long, links long, label long, split boolean"), "links",
     )
+    discard(reps, candidates, clusters, members, grams)
     forest = linked.filter("split and doc_id <> label").select(F.col("doc_id").alias("u"), F.col("label").alias("v"))
     roots = components(forest).toDF("doc_id", "root")
     found = linked.groupBy("doc_id").agg(F.sum("links").alias("links"), F.min("label").alias("label"))

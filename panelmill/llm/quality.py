@@ -83,14 +83,19 @@ def _statistics(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> np
     return out
 
 
+def _measured(batch: pa.RecordBatch, hasher: WordHasher) -> np.ndarray:
+    """The statistics of a batch's texts."""
+    data, offsets = texts(batch.column("text"))
+    x = [_statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher) for a, b in slices(offsets)]
+    return np.concatenate(x) if x else np.empty((0, N_STATISTICS))
+
+
 def _measurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = WordHasher()
     for batch in batches:
-        data, offsets = texts(batch.column("text"))
-        x = [_statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher) for a, b in slices(offsets)]
-        flat = np.concatenate(x).ravel() if x else np.empty(0)
-        ends = np.arange(0, len(flat) + 1, N_STATISTICS, dtype=np.int32)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "x"])
+        x = _measured(batch, hasher)
+        ends = np.arange(0, x.size + 1, N_STATISTICS, dtype=np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))], names=["doc_id", "x"])
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -118,7 +123,7 @@ def fit(measured: DataFrame, labels: DataFrame, params: QualityParams | None = N
     """Learn from all rows of ``labels(doc_id, quality, ...)`` whose document in ``measured`` isn't held out.
 
     Tasks return moments, a few hundred numbers by class, so the fit covers every labelled row at any size. Labels other
-    than 0 and 1 are ignored; a class without rows gets the other's moments, and the score is then its prior.
+    than 0 and 1 are ignored; rows and labels that share a doc_id teach once for each pair of them. A class without rows gets the other's moments, and the score is then its prior.
     """
     p = params or QualityParams()
     rows = measured.filter(~held_out(F.col("doc_id"))).join(labels.select("doc_id", F.col("quality").alias("label")).filter("label in (0, 1)"), "doc_id")
@@ -166,7 +171,24 @@ def classify(docs: DataFrame, labels: DataFrame, params: QualityParams | None =
     )
 
 
+def _sieve(model: Discriminant, threshold: float):
+    """The rows that score ``threshold`` or more, whole."""
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in batches:
+            yield batch.filter(pa.array(model.score(_measured(batch, hasher)) >= threshold))
+
+    return sieve
+
+
 def good(docs: DataFrame, labels: DataFrame, params: QualityParams | None = None) -> DataFrame:
-    """The rows of ``docs`` that ``classify`` predicts 1 for; of rows that share a doc_id all go if one is rejected."""
-    bad = classify(docs, labels, params).filter("predicted = 0").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that ``classify`` predicts 1 for, with all their columns.
+
+    Every row is judged by its own text, in the task that reads it, so rows without a doc_id or with a repeated one are
+    judged like others, and what is kept is neither shuffled nor stored. The rows that teach are measured first.
+    """
+    p, taught = params or QualityParams(), labels.filter("quality in (0, 1)").select("doc_id").distinct()
+    known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id"))).join(taught, "doc_id", "left_semi")
+    model = fit(statistics(known), labels, p)
+    return docs.mapInArrow(_sieve(model, p.threshold), docs.schema)

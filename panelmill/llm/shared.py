@@ -35,7 +35,17 @@ def table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = place(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``table`` wrote and that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._stored)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
