@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from panelmill.llm import chat, langid, quality, token_files, toxicity, warc
+from panelmill.llm import chat, decontaminate, langid, quality, token_files, toxicity, warc
 from panelmill.llm.components import components
 from panelmill.llm.decontaminate import DecontaminationParams, find_benchmark, without_benchmark
 from panelmill.llm.exact_dedup import exact_duplicates
@@ -78,12 +79,17 @@ def test_encoder_equals_library():
     encoder, r = token_files.Encoder(tokenizer_path(), 50), random.Random(2)
     bits = ["the", " dog", "'s", "'ll", "\n", "\n\n", "  ", " ", "\t", "é", "É.", "ñ,", " ", "　", "\u0085", "漢字", "12", " 3", "!?", "<|endoftext|>", "_x", "\r\n", "ß", "×", "🙂"]
     rows = ["".join(r.choice(bits) for _ in range(r.randint(0, 60))) for _ in range(2000)] + ["word, " * 400_000, "y" * 1_100_000]
+    special, around = "<|endoftext|>", ["word", " ", "\n", "é", "'s", "  x", ".", "", "<|endoftext|", "<|", "3"]
+    rows += [a + special + b for a in around for b in around] + ["<|endof", "text|>", special, special * 3, "x" + special.upper()]
+    cut = 1 << 20  # long texts are encoded in parts of so many bytes
+    rows += [("a b, " * (cut // 5 + 1))[: cut - k] + special + " tail " * 9 for k in range(0, 16, 3)] + ["z" * (cut - 5) + special + "q" * 70_000 + special]
+    library = Tokenizer.from_file(tokenizer_path())
     for _ in range(2):
         data, offsets = texts(pa.array(rows))
         ids, sizes = zip(*(encoder.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)), strict=True)
         ids, ends = np.concatenate(ids), np.cumsum(np.concatenate(sizes))
         for text, e, n in zip(rows, ends, np.concatenate(sizes), strict=True):
-            assert ids[e - n : e].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+            assert ids[e - n : e].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_token_files(spark):
@@ -233,16 +239,28 @@ def test_decontamination(spark):
         want[i, len(w), len(hit), tuple(sorted(seen)), bool(hit)] += 1
     docs = documents(spark, rows)
     bench = spark.createDataFrame([(*x, "r") for x in items], "item_id long, text string, row string")
-    for p in (DecontaminationParams(), DecontaminationParams(broadcast_bytes=150)):
+    for p in (DecontaminationParams(), DecontaminationParams(window_bytes=4000)):
         got = find_benchmark(docs, bench, p).collect()
         assert Counter((x.doc_id, x.n_words, x.n_hit, tuple(x["items"]), x.contaminated) for x in got) == want
         assert all(sum(s.end - s.begin for s in x.spans) == x.n_hit for x in got)
     kept = without_benchmark(docs, bench)
     assert kept.columns == docs.columns and {x.doc_id for x in kept.collect()} == {k[0] for k in want if not k[4]}
+    assert {x.doc_id for x in without_benchmark(docs, bench, DecontaminationParams(window_bytes=4000)).collect()} == {k[0] for k in want if not k[4]}
+    twice = documents(spark, [(None, "a zebra", "s"), (None, "clean", "s"), (1, "zebra", "s"), (1, "clean", "s"), (1, None, "s"), (None, "", "s")])
+    assert Counter((x.doc_id, x.text) for x in without_benchmark(twice, bench.filter("item_id = 22")).collect()) == Counter([(None, "clean"), (1, "clean"), (1, None), (None, "")])
     assert not any(x.contaminated for x in find_benchmark(docs, bench.limit(0)).collect())
     assert find_benchmark(documents(spark, []), bench).collect() == []
 
 
+@pytest.mark.parametrize("items", [1, 2000])
+def test_windows_fit_their_estimate(items):
+    r = random.Random(11)
+    rows = [(i, " ".join(str(r.randrange(10**6)) for _ in range(200_000 // items))) for i in range(items)]
+    windows = decontaminate._windows(rows, 10)
+    assert sum(len(w.starts) for w in windows) == items * (200_000 // items - 9)
+    assert len(pickle.dumps(windows)) <= decontaminate._WORD_BYTES * 200_000 + sum(len(t) + 1 for _, t in rows) + 10_000
+
+
 # --- chat -----------------------------------------------------------------------------------------------------------
 
 
@@ -366,6 +384,11 @@ def test_quality(spark):
     assert all(x.predicted == int(x.score >= 0.3) for x in got)
     kept = quality.good(docs, labels)
     assert kept.columns == docs.columns and {x.doc_id for x in kept.collect()} == {x.doc_id for x in got if x.predicted}
+    bad = next(x.text for x in docs.collect() if x.text and "###" in x.text)
+    fine = next(x.text for x in docs.collect() if x.doc_id in known and known[x.doc_id])
+    twice = docs.unionByName(documents(spark, [(None, bad, "s"), (None, fine, "s"), (7777, bad, "s"), (7777, fine, "s"), (7777, fine, "s")]))
+    kept = Counter((x.doc_id, x.text) for x in quality.good(twice, labels).collect() if x.doc_id in (None, 7777))
+    assert kept == Counter({(None, fine): 1, (7777, fine): 2})
     assert {round(x.score, 6) for x in quality.classify(docs, labels.limit(0)).collect()} == {0.5}
     assert quality.classify(docs.limit(0), labels).collect() == []
 
