@@ -188,7 +188,9 @@ def good(docs: DataFrame, labels: DataFrame, params: QualityParams | None = None
     Every row is judged by its own text, in the task that reads it, so rows without a doc_id or with a repeated one are
     judged like others, and what is kept is neither shuffled nor stored. The rows that teach are measured first.
     """
-    p, taught = params or QualityParams(), labels.filter("quality in (0, 1)").select("doc_id").distinct()
+    p = params or QualityParams()
+    # stored, so that Spark knows its size: texts are shuffled only where the ids are too many to broadcast
+    taught = table(labels.filter("quality in (0, 1)").select("doc_id").distinct(), "taught")
     known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id"))).join(taught, "doc_id", "left_semi")
     model = fit(statistics(known), labels, p)
     return docs.mapInArrow(_sieve(model, p.threshold), docs.schema)
