@@ -9,18 +9,18 @@ from ..functions.scalars import div, finite
 from ..operators.joins import asof_left
 from ..operators.windows import latest_per_key
 
-# Tags of each concept, preferred first.
+# Taxonomy and tags of each concept, preferred first.
 CONCEPTS = {
-    "revenues": ("Revenues", "RevenueFromContractWithCustomerExcludingAssessedTax", "SalesRevenueNet"),
-    "cost_of_revenue": ("CostOfRevenue", "CostOfGoodsAndServicesSold"),
-    "gross_profit": ("GrossProfit",),
-    "net_income": ("NetIncomeLoss",),
-    "assets": ("Assets",),
-    "equity": ("StockholdersEquity",),
-    "shares_outstanding": ("SharesOutstanding", "EntityCommonStockSharesOutstanding"),
+    "net_income": ("us-gaap", "NetIncomeLoss"),
+    "gross_profit": ("us-gaap", "GrossProfit"),
+    "revenues": ("us-gaap", "RevenueFromContractWithCustomerExcludingAssessedTax", "Revenues", "SalesRevenueNet"),
+    "cost_of_revenue": ("us-gaap", "CostOfRevenue", "CostOfGoodsAndServicesSold", "CostOfGoodsSold"),
+    "assets": ("us-gaap", "Assets"),
+    "equity": ("us-gaap", "StockholdersEquity", "StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest"),
+    "shares_outstanding": ("dei", "EntityCommonStockSharesOutstanding"),
 }
-# Industry codes of funds, trusts and pools.
-NON_OPERATING_SIC = ("6221", "6189", "6726", "6770", "6799")
+# Industry codes of commodity trusts, investment offices, blank checks and other investors.
+NON_OPERATING_SIC = ("6221", "6726", "6770", "6799")
 STALE_DAYS = 400
 # What a quote service gives directly, where it does.
 QUOTED = ("trailing_eps", "trailing_pe", "dividend_yield", "dividend_rate", "five_year_avg_yield")
@@ -29,12 +29,13 @@ QUOTED = ("trailing_eps", "trailing_pe", "dividend_yield", "dividend_rate", "fiv
 def concepts(facts: DataFrame) -> DataFrame:
     """Annual facts by concept: one tag per (symbol, concept, period end, filing), the preferred one."""
     spark = facts.sparkSession
-    names = spark.createDataFrame([(c, t, i) for c, tags in CONCEPTS.items() for i, t in enumerate(tags)], "concept string, tag string, priority int")
+    listed = [(c, taxonomy, t, i) for c, (taxonomy, *tags) in CONCEPTS.items() for i, t in enumerate(tags)]
+    names = spark.createDataFrame(listed, "concept string, taxonomy string, tag string, priority int")
     form = F.col("form")
     annual = form.startswith("10-K") | form.startswith("20-F") | form.startswith("40-F")
     days = F.datediff("end_date", "start_date")
     rows = facts.filter(annual & (F.col("fiscal_period") == "FY") & (F.col("start_date").isNull() | days.between(300, 400)))
-    rows = rows.join(F.broadcast(names), "tag")  # a row per tag of the list above
+    rows = rows.join(F.broadcast(names), ["taxonomy", "tag"])  # a row per tag of the list above
     out = latest_per_key(rows, ["symbol", "concept", "end_date", "filed"], F.col("priority"))
     return out.select("symbol", "concept", "start_date", "end_date", "value", "filed", "form")
 

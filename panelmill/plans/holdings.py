@@ -10,7 +10,7 @@ from ..operators.joins import asof_left
 KEY = ["account", "symbol"]
 _EPS = 1e-9
 # Parts of account names whose losses deduct nothing.
-TAX_ADVANTAGED = ("ira", "401k", "hsa", "roth")
+TAX_ADVANTAGED = ("roth", "ira", "401", "hsa")
 
 
 def net_shares(trades: DataFrame) -> DataFrame:

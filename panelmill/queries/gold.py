@@ -223,7 +223,7 @@ FACTS = """fy AS (SELECT p_brand AS symbol, year(l_shipdate)::INT AS y, round(su
   round(sum(l_extendedprice * l_discount), 4) AS ni, round(sum(l_quantity), 0) AS sh, round(sum(l_extendedprice) * 3, 2) AS ast, round(sum(l_extendedprice) * 2, 2) AS eq
   FROM lines GROUP BY ALL),
 silver AS (
-  SELECT symbol, 'revenues' AS concept, make_date(y, 1, 1) AS start_date, make_date(y, 12, 31) AS end_date, rev AS value, make_date(y, 12, 31) + 45 AS filed, '10-K' AS form FROM fy
+  SELECT symbol, 'revenues' AS concept, make_date(y, 1, 1) AS start_date, make_date(y, 12, 31) AS end_date, CASE WHEN y % 2 = 0 THEN round(rev * 0.98, 4) ELSE rev END AS value, make_date(y, 12, 31) + 45 AS filed, '10-K' AS form FROM fy
   UNION ALL SELECT symbol, 'revenues', make_date(y, 1, 1), make_date(y, 12, 31), round(rev * 1.01, 4), make_date(y, 12, 31) + 410, '10-K/A' FROM fy
   UNION ALL SELECT symbol, 'cost_of_revenue', make_date(y, 1, 1), make_date(y, 12, 31), cost, make_date(y, 12, 31) + 45, '10-K' FROM fy
   UNION ALL SELECT symbol, 'net_income', make_date(y, 1, 1), make_date(y, 12, 31), ni, make_date(y, 12, 31) + 45, '10-K' FROM fy

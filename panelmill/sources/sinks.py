@@ -1,4 +1,4 @@
-"""Writing: appends, rebuilds, upserts, first-write-wins, logs. Plans stay lazy; only the ``write_`` functions run jobs."""
+"""Writing: appends, rebuilds, upserts, first-write-wins, logs. Plans stay lazy; only ``stored`` and the ``write_`` functions run jobs."""
 
 from __future__ import annotations
 
@@ -25,6 +25,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read again, for plans that read it several times."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_append(df: DataFrame, path: str) -> None:
     """Append; new columns are allowed, readers merge schemas."""
     df.write.mode("append").parquet(path)

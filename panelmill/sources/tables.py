@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sinks import scratch
+from .sinks import stored
 
 #: Exchange rate from the order lines' currency to that of the prices.
 RATE = 0.91371693
@@ -43,11 +43,8 @@ class Tables:
 
     @cached_property
     def prices(self) -> DataFrame:
-        """The bars as a stored table, for plans that read them several times: written once to the shared folder."""
-        bars = self.bars()
-        path = scratch(self.spark, "bars")
-        bars.write.parquet(path)
-        return self.spark.read.schema(bars.schema).parquet(path)
+        """The bars as a stored table, for plans that read them several times: asking for it runs the job that writes it."""
+        return stored(self.bars(), "bars")
 
     def raw_prices(self) -> DataFrame:
         """Bars with dividends (1% of the close, every 180th day number) and 2:1 splits (every 700th)."""
@@ -64,22 +61,34 @@ class Tables:
         return first.unionByName(fixed.select("*", F.lit("run-2").alias("_run_id"), F.lit("2024-01-02").cast("timestamp").alias("_ingest_ts")))
 
     def facts(self) -> DataFrame:
-        """As-filed yearly facts of each brand: filed 45 days after the year; a restatement 1% higher a year later."""
-        year = F.year("l_shipdate")
+        """As-filed yearly facts of each brand: filed 45 days after the year; a restatement 1% higher a year later.
+
+        Filers differ as real ones do: in even years revenue has the newer tag too, 2% lower, beside older ones; a brand
+        whose number divides by 3 files its cost, by 4 its equity, under the least preferred tag. Facts of other
+        taxonomies, a thousand times too large, are there to be left alone.
+        """
+        year, number = F.year("l_shipdate"), F.regexp_extract("symbol", r"(\d+)", 1).cast("int")
         price, disc = F.col("l_extendedprice"), F.col("l_discount")
         sums = self.lines().groupBy(F.col("p_brand").alias("symbol"), year.alias("fiscal_year")).agg(
             F.round(F.sum(price), 2).alias("Revenues"), F.round(F.sum(price * (1 - disc)), 4).alias("CostOfRevenue"),
-            F.round(F.sum(price * disc), 4).alias("NetIncomeLoss"), F.round(F.sum("l_quantity"), 0).alias("SharesOutstanding"),
+            F.round(F.sum(price * disc), 4).alias("NetIncomeLoss"), F.round(F.sum("l_quantity"), 0).alias("EntityCommonStockSharesOutstanding"),
             F.round(F.sum(price) * 3, 2).alias("Assets"), F.round(F.sum(price) * 2, 2).alias("StockholdersEquity"),
         )
-        tags = ["Revenues", "CostOfRevenue", "NetIncomeLoss", "SharesOutstanding", "Assets", "StockholdersEquity"]
+        tags = ["Revenues", "CostOfRevenue", "NetIncomeLoss", "EntityCommonStockSharesOutstanding", "Assets", "StockholdersEquity"]
         long = sums.unpivot(["symbol", "fiscal_year"], tags, "tag", "value").withColumn("value", F.col("value").cast("double"))
-        old = long.filter("tag = 'Revenues'").withColumn("tag", F.lit("SalesRevenueNet")).withColumn("value", F.round(F.col("value") * 0.9, 4))
-        long = long.unionByName(old)
+        revenue = long.filter("tag = 'Revenues'")
+        old = revenue.withColumn("tag", F.lit("SalesRevenueNet")).withColumn("value", F.round(F.col("value") * 0.9, 4))
+        new = revenue.filter("fiscal_year % 2 = 0").withColumn("tag", F.lit("RevenueFromContractWithCustomerExcludingAssessedTax")).withColumn("value", F.round(F.col("value") * 0.98, 4))
+        least = F.when((F.col("tag") == "CostOfRevenue") & (number % 3 == 0), "CostOfGoodsSold")
+        least = least.when((F.col("tag") == "StockholdersEquity") & (number % 4 == 0), "StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest")
+        long = long.withColumn("tag", least.otherwise(F.col("tag"))).unionByName(old).unionByName(new)
+        shares = F.col("tag") == "EntityCommonStockSharesOutstanding"
+        own = long.withColumn("taxonomy", F.when(shares, "dei").otherwise("us-gaap"))
+        other = long.withColumn("taxonomy", F.when(shares, "us-gaap").otherwise("ifrs-full")).withColumn("value", F.col("value") * 1000)
         end = F.make_date("fiscal_year", F.lit(12), F.lit(31))
-        flow = F.col("tag").isin("Revenues", "SalesRevenueNet", "CostOfRevenue", "NetIncomeLoss")
-        base = long.select(
-            "symbol", F.lit("us-gaap").alias("taxonomy"), "tag", F.when(flow, F.make_date("fiscal_year", F.lit(1), F.lit(1))).alias("start_date"),
+        stock = F.col("tag").startswith("StockholdersEquity") | F.col("tag").isin("EntityCommonStockSharesOutstanding", "Assets")
+        base = own.unionByName(other).select(
+            "symbol", "taxonomy", "tag", F.when(~stock, F.make_date("fiscal_year", F.lit(1), F.lit(1))).alias("start_date"),
             end.alias("end_date"), "value", "fiscal_year", F.lit("FY").alias("fiscal_period"), F.lit("10-K").alias("form"), F.date_add(end, 45).alias("filed"),
         )
         again = base.filter("tag = 'Revenues'").withColumn("value", F.round(F.col("value") * 1.01, 4)).withColumn("form", F.lit("10-K/A"))
@@ -110,7 +119,7 @@ class Tables:
     def trades(self) -> DataFrame:
         """Order lines as buys; each with an even line number is half sold 30 days later."""
         buys = self.lines().join(self.read("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.concat(F.when(F.col("o_custkey") % 3 == 0, "ira-").otherwise("tax-"), F.col("o_custkey").cast("string")).alias("account"),
+            F.concat(F.when(F.col("o_custkey") % 3 == 0, "ira-").when(F.col("o_custkey") % 5 == 0, "My 401(k)-").otherwise("tax-"), F.col("o_custkey").cast("string")).alias("account"),
             F.col("p_brand").alias("symbol"), F.to_date("l_shipdate").alias("date"), F.lit("buy").alias("side"), F.col("l_quantity").alias("qty"),
             F.when(F.col("l_linenumber") != 3, F.col("px")).alias("price"), F.struct("l_orderkey", "l_linenumber", "px").alias("id"), (F.col("l_linenumber") == 7).alias("seed"),
         )

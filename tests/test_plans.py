@@ -53,8 +53,8 @@ def test_alerts(spark):
 FACT = "symbol string, taxonomy string, tag string, start_date date, end_date date, value double, fiscal_year int, fiscal_period string, form string, filed date"
 
 
-def fact(tag, year, value, filed, form="10-K", flow=True):
-    return ("A", "us-gaap", tag, date(year, 1, 1) if flow else None, date(year, 12, 31), value, year, "FY", form, filed)
+def fact(tag, year, value, filed, form="10-K", flow=True, taxonomy="us-gaap"):
+    return ("A", taxonomy, tag, date(year, 1, 1) if flow else None, date(year, 12, 31), value, year, "FY", form, filed)
 
 
 def test_point_in_time(spark):
@@ -70,8 +70,16 @@ def test_point_in_time(spark):
     assert known[date(2022, 2, 1)].gross_profitability == pytest.approx(0.2) and known[date(2022, 2, 1)].roe is None
 
 
+def test_preferred_tags(spark):
+    day, newer = date(2022, 2, 1), "RevenueFromContractWithCustomerExcludingAssessedTax"
+    rows = [fact("Revenues", 2021, 510.0, day), fact(newer, 2021, 490.0, day), fact(newer, 2021, 1.0, day, taxonomy="ifrs-full"), fact("CostOfGoodsSold", 2021, 300.0, day)]
+    rows += [fact("StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest", 2021, 80.0, day, flow=False), fact("NetIncomeLoss", 2021, 20.0, day)]
+    (known,) = fun.metrics(fun.concepts(spark.createDataFrame(rows, FACT))).collect()
+    assert (known.revenues, known.cost_of_revenue, known.gross_profit, known.equity, known.roe) == (490.0, 300.0, 190.0, 80.0, 0.25)
+
+
 def test_earnings_yield_on_split_shares(spark):
-    rows = [fact("NetIncomeLoss", 2023, 1000.0, date(2024, 2, 1)), fact("Revenues", 2023, 9.0, date(2024, 2, 1)), fact("SharesOutstanding", 2023, 100.0, date(2024, 2, 1), flow=False), fact("StockholdersEquity", 2023, 500.0, date(2024, 2, 1), flow=False)]
+    rows = [fact("NetIncomeLoss", 2023, 1000.0, date(2024, 2, 1)), fact("Revenues", 2023, 9.0, date(2024, 2, 1)), fact("EntityCommonStockSharesOutstanding", 2023, 100.0, date(2024, 2, 1), flow=False, taxonomy="dei"), fact("EntityCommonStockSharesOutstanding", 2023, 7.0, date(2024, 2, 1), flow=False), fact("StockholdersEquity", 2023, 500.0, date(2024, 2, 1), flow=False)]
     known = fun.metrics(fun.concepts(spark.createDataFrame(rows, FACT)))
     p = spark.createDataFrame([("A", date(2023, 12, 29), 200.0, None), ("A", date(2024, 3, 1), 100.0, 2.0), ("A", date(2025, 6, 2), 100.0, None)], "symbol string, date date, close double, split_ratio double")
     dates = p.select("symbol", F.col("date").alias("as_of_date"))
