@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from ..operators.ema import emas
 from ..operators.windows import change, product_after, rolling, series
 
-SMA_ROWS = (3, 5, 7, 10, 14, 15, 20, 21, 25, 30, 40, 50, 60, 75, 90, 100, 120, 150, 200, 300)
+# Rows of the windows of each family of keys.
+CHANGE_ROWS = (2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 30, 60, 90, 180, 365, 730, 1095, 1460, 1825, 3650)
+HIGH_LOW_ROWS = (3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 21, 30, 60, 90, 180, 365, 730, 1095, 1460, 1825, 3650)
+SMA_ROWS = (3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 21, 30, 40, 50, 60, 100, 200, 300)
+VOLUME_ROWS = (3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 21, 30, 40, 50, 60, 90)
+ATR_ROWS = (2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 21, 30, 60, 90, 180)
 
 
 def adjusted(prices: DataFrame) -> DataFrame:
@@ -144,13 +149,37 @@ def signal_series(prices: DataFrame, warm_up: int = 200) -> DataFrame:
     return p.withColumn("as_of_date", F.col("date")).withColumn("last_closing_price", F.col("close")).drop("date", "open", "high", "low", "close", "volume")
 
 
-def signal_row(prices: DataFrame, rows: tuple[int, ...] = SMA_ROWS) -> DataFrame:
-    """The latest session's wide row: for every window a mean, high, low, volume mean and change; missing is NULL, never absent."""
-    cols = {}
-    for n in rows:
-        cols |= {
-            f"ma_{n}": rolling(F.avg, "close", n, series()), f"high_{n}d": rolling(F.max, "high", n, series()), f"low_{n}d": rolling(F.min, "low", n, series()),
-            f"volume_trend_{n}d": rolling(F.avg, "volume", n, series()), f"change_{n}d_abs": change_over(n)[0], f"change_{n}d_pct": change_over(n)[1],
-        }
-    p = prices.withColumns(cols).withColumn("_next", F.lead("date").over(series())).filter("_next is null")
-    return p.drop("_next", "open", "high", "low", "volume")
+#: Keys of the latest row that come from the series as they are.
+_SERIES_KEYS = (
+    "rsi", "macd", "macd_signal_line", "macd_histogram", "bollinger_upper", "bollinger_lower", "bollinger_pct_b", "bollinger_bandwidth",
+    "obv", "mfi", "ema_50", "ema_200",
+)
+FUNDAMENTAL_KEYS = ("eps", "pe_ratio", "forward_eps", "forward_pe", "dividend_yield", "dividend_yield_gap", "dividend_yield_trap")
+
+
+def signal_row(prices: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
+    """The latest session's row of every symbol with all keys of all windows; what is missing is NULL, never absent.
+
+    Rows are numbered back from the latest, and each key is a conditional aggregate over the rows that its window holds, so
+    no window slides. ``quoted(symbol, ...)`` may bring any of ``FUNDAMENTAL_KEYS``; those it lacks are NULL.
+    """
+    p = with_volume(with_bollinger(with_recursive(prices, ATR_ROWS))).withColumn("trade_signal", trade_signal())
+    back = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("date").desc()))
+    p = p.withColumn("_back", back).withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy("symbol")))
+    at = lambda c, n=1: F.max(F.when(F.col("_back") == n, F.col(c)))
+
+    def over(fn, c: str, n: int) -> Column:
+        inside = F.when(F.col("_back") <= n, F.col(c))
+        return F.when(F.count(inside) == n, fn(inside))
+
+    keys = {"date": at("date"), "last_closing_price": at("close"), "last_opening_price": at("open"), "trade_signal": at("trade_signal")} | {c: at(c) for c in _SERIES_KEYS}
+    for name, n in (("last_day_change", 2), *((f"change_{n}d", n) for n in CHANGE_ROWS)):
+        keys |= {f"{name}_abs": at("close") - F.nullif(at("close", n), F.lit(0.0)), f"{name}_pct": F.try_divide(at("close") - at("close", n), at("close", n)) * 100}
+    for n in HIGH_LOW_ROWS:
+        keys |= {f"high_{n}d": over(F.max, "high", n), f"low_{n}d": over(F.min, "low", n)}
+    keys |= {f"ma_{n}": over(F.avg, "close", n) for n in SMA_ROWS} | {f"vol_trend_{n}d": over(F.avg, "volume", n) for n in VOLUME_ROWS}
+    keys |= {f"atr_{n}d": F.when(F.max("_rows") > n, at(f"atr_{n}d")) for n in ATR_ROWS}
+    out = p.filter(F.col("_back") <= max(*CHANGE_ROWS, *HIGH_LOW_ROWS)).groupBy("symbol").agg(*(v.alias(k) for k, v in keys.items()))
+    given = [c for c in FUNDAMENTAL_KEYS if quoted is not None and c in quoted.columns]
+    out = out.join(quoted.select("symbol", *given), "symbol", "left") if given else out
+    return out.withColumns({c: F.lit(None).cast("boolean" if c.endswith("trap") else "double") for c in FUNDAMENTAL_KEYS if c not in given})

@@ -50,3 +50,21 @@ def checked_expression(name: str, expression: str) -> Column:
     if any(x in expression for x in (";", "--", "/*")):
         raise ValueError(f"bad expression for {name}")
     return F.expr(expression).alias(name)
+
+
+# A quote service's fields that the serving table carries.
+QUOTE_TEXTS = ("shortName", "longName", "sector", "industry", "country", "currency", "exchange")
+QUOTE_NUMBERS = (
+    "marketCap", "trailingPE", "forwardPE", "priceToBook", "trailingEps", "forwardEps", "dividendRate", "dividendYield", "payoutRatio", "beta", "profitMargins",
+    "operatingMargins", "grossMargins", "revenueGrowth", "earningsGrowth", "returnOnEquity", "returnOnAssets", "debtToEquity", "currentRatio", "freeCashflow",
+)
+
+
+def snake_case(name: str) -> str:
+    """``trailingPE`` as ``trailing_pe``; the raw dividend yield is marked, as a cleaned one goes by its name."""
+    out = re.sub(r"(?<=[a-z])(?=[A-Z])", "_", name).lower()
+    return "dividend_yield_raw" if out == "dividend_yield" else out
+
+
+def quoted_fields() -> list[Column]:
+    return [F.col(c).alias(snake_case(c)) for c in (*QUOTE_TEXTS, *QUOTE_NUMBERS)]

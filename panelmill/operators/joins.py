@@ -33,19 +33,25 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str
 def valid_at(facts: DataFrame, versions: DataFrame, key: str, date: str, start: str = "effective_from", end: str = "effective_to") -> DataFrame:
     """Each fact row with the version of its key that was known before ``date``: start < date, and not ended before it.
 
-    A version counts from the day after it came, and its predecessor through that day; of several the newest wins.
+    A version counts from the day after it came, and its predecessor through that day. Versions of a key don't overlap, as
+    ``versions`` and ``scd2_apply`` make them; of several that came on one day the last counts. So the newest version before
+    the date is the only one that can be valid: an as-of join, linear in the rows of a key.
     """
-    v = versions.withColumnRenamed(key, "_key")
-    on = (F.col(key) == F.col("_key")) & (F.to_date(start) < F.col(date)) & (F.col(end).isNull() | (F.to_date(end) >= F.col(date)))
-    joined = facts.withColumn("_id", F.monotonically_increasing_id()).join(v, on, "left").drop("_key")
-    w = Window.partitionBy("_id").orderBy(F.col(start).desc_nulls_last())
-    return joined.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_id")
+    v = versions.filter(f"{start} is not null").select(F.col(key), F.date_add(F.to_date(start), 1).alias("_from"), F.struct(*(c for c in versions.columns if c != key)).alias("_v"))
+    best = v.groupBy(key, "_from").agg(F.max_by("_v", F.struct(F.col(f"_v.{end}").isNull(), F.to_date(f"_v.{end}"), f"_v.{start}")).alias("_v"))
+    out = asof_left(facts, best, [key], date, "_from").drop("_from")
+    on = F.col(f"_v.{end}").isNull() | (F.to_date(f"_v.{end}") >= F.col(date))
+    rest = [c for c in versions.columns if c != key]
+    return out.withColumn("_v", F.when(on, F.col("_v"))).select(*facts.columns, *(F.col("_v")[c].alias(c) for c in rest))
 
 
-def on_latest(df: DataFrame, date: str) -> DataFrame:
-    """The rows of the newest date: one aggregate row is compared, nothing is sorted."""
-    newest = df.agg(F.max(date).alias("_newest"))
-    return df.join(F.broadcast(newest), F.col(date) == F.col("_newest")).drop("_newest")
+def on_latest(df: DataFrame, date: str, by: str = "symbol") -> DataFrame:
+    """The rows of the newest date, in one pass: each ``by`` keeps its own newest rows, of which the newest date's stay.
+
+    The second step sees a row per ``by`` (as many as share its newest date), so one task can hold it.
+    """
+    own = df.withColumn("_own", F.max(date).over(Window.partitionBy(by))).filter(F.col(date) == F.col("_own"))
+    return own.withColumn("_newest", F.max("_own").over(Window.partitionBy(F.lit(0)))).filter("_own = _newest").drop("_own", "_newest")
 
 
 def with_optional(left: DataFrame, right: DataFrame | None, on: Sequence[str], types: dict[str, str]) -> DataFrame:

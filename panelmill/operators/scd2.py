@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import latest_per_key
+
 
 def attr_hash(attrs: Sequence[str]) -> Column:
     """First 16 hex digits of the SHA-256 of the attributes as JSON, in order of name."""
@@ -47,3 +49,8 @@ def versions(history: DataFrame, key: str, attrs: Sequence[str], ts: str, order:
     return changes.select(
         key, *attrs, F.col(ts).alias("effective_from"), end.alias("effective_to"), end.isNull().alias("is_current"), "attr_hash"
     )
+
+
+def current(versions_: DataFrame, key: str) -> DataFrame:
+    """The current row of each key, the newest if several claim to be."""
+    return latest_per_key(versions_.filter("is_current"), [key], F.col("effective_from").desc())

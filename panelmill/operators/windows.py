@@ -35,6 +35,30 @@ def rolling(fn, col: str | Column, rows: int, w: WindowSpec) -> Column:
     return F.when(F.count(c).over(frame) == rows, fn(c).over(frame))
 
 
+def with_extremes(df: DataFrame, specs: dict[str, tuple[str, str, int]], w: WindowSpec) -> DataFrame:
+    """``df`` with a column per spec ``name: ("max" or "min", column, rows)``: the extreme of the last ``rows`` rows, NULL until all have a value.
+
+    The extreme of twice as many rows is that of two neighbouring halves, and any number is covered by two of the largest
+    power of 2 in it. So every length costs one ``lag``, where a sliding frame would read all its rows again for every row.
+    """
+    best = {"max": F.greatest, "min": F.least}
+    series_ = sorted({(f, c) for f, c, _ in specs.values()})
+    most = max(n for *_, n in specs.values())
+    at = lambda f, c, k: f"_{f}_{c}_{k}"
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = df.withColumns({at(f, c, 1): F.col(c) for f, c in series_} | {f"_n_{c}": F.count(c).over(run) for c in {c for _, c in series_}})
+    k = 1
+    while 2 * k <= most:
+        out = out.withColumns({at(f, c, 2 * k): best[f](at(f, c, k), F.lag(at(f, c, k), k).over(w)) for f, c in series_})
+        k *= 2
+    for name, (f, c, n) in specs.items():
+        half = 1 << (n.bit_length() - 1)
+        held = F.col(f"_n_{c}") - F.coalesce(F.lag(f"_n_{c}", n).over(w), F.lit(0))
+        whole = F.col(at(f, c, half)) if half == n else best[f](at(f, c, half), F.lag(at(f, c, half), n - half).over(w))
+        specs = specs | {name: F.when(held == n, whole)}
+    return out.withColumns(specs).select(*df.columns, *specs)
+
+
 def pct_rank(col: Column, by: Sequence[str], higher_is_better: bool = True) -> Column:
     """PERCENT_RANK over the rows that have a value, best row 1.0; NULL for the others."""
     order = col.asc() if higher_is_better else col.desc()

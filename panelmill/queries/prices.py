@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import indicators as ind
 from ..operators.ema import emas
-from ..operators.windows import change, latest_per_key, rolling, running_product, series
+from ..operators.windows import change, latest_per_key, rolling, running_product, series, with_extremes
 from ..sources.tables import QQQ, SPY, Tables
 from .sqltext import ADJUSTED, BARS, RAW, SIGNALS, frames, full, rounded
 
@@ -34,8 +34,9 @@ def wn_01_latest_landed(spark, d):
 
 
 def ind_01_change(spark, d):
-    a, p = ind.change_over(30)
-    return r4(bars(spark, d).withColumn("change_abs", a).withColumn("change_pct", p), ["symbol", "date"], "change_abs, change_pct")
+    both = {n: ind.change_over(n) for n in ind.CHANGE_ROWS}
+    out = bars(spark, d).withColumns({f"change_{n}d_abs": x for n, (x, _) in both.items()} | {f"change_{n}d_pct": x for n, (_, x) in both.items()})
+    return r4(out, ["symbol", "date"], ", ".join(f"change_{n}d_abs, change_{n}d_pct" for n in both))
 
 
 def ind_03_changes(spark, d):
@@ -43,8 +44,8 @@ def ind_03_changes(spark, d):
 
 
 def ind_04_sma(spark, d):
-    b = bars(spark, d).withColumns({f"ma_{n}": rolling(F.avg, "close", n, series()) for n in (3, 20, 200, 300)})
-    return r4(b, ["symbol", "date"], "ma_3, ma_20, ma_200, ma_300")
+    b = bars(spark, d).withColumns({f"ma_{n}": rolling(F.avg, "close", n, series()) for n in ind.SMA_ROWS})
+    return r4(b, ["symbol", "date"], ", ".join(f"ma_{n}" for n in ind.SMA_ROWS))
 
 
 def ind_05_ema(spark, d):
@@ -60,7 +61,13 @@ def ind_08_bollinger(spark, d):
 
 
 def ind_09_volume_trend(spark, d):
-    return r4(bars(spark, d).withColumns({f"volume_trend_{n}d": rolling(F.avg, "volume", n, series()) for n in (5, 90)}), ["symbol", "date"], "volume_trend_5d, volume_trend_90d")
+    b = bars(spark, d).withColumns({f"vol_trend_{n}d": rolling(F.avg, "volume", n, series()) for n in ind.VOLUME_ROWS})
+    return r4(b, ["symbol", "date"], ", ".join(f"vol_trend_{n}d" for n in ind.VOLUME_ROWS))
+
+
+def ind_12_atr(spark, d):
+    """All average true ranges in one scan."""
+    return r4(ind.with_recursive(Tables(spark, d).prices, ind.ATR_ROWS), ["symbol", "date"], ", ".join(f"atr_{n}d" for n in ind.ATR_ROWS))
 
 
 def ind_10_obv_mfi(spark, d):
@@ -68,8 +75,9 @@ def ind_10_obv_mfi(spark, d):
 
 
 def ind_13_high_low(spark, d):
-    b = bars(spark, d).withColumns({f"high_{n}d": rolling(F.max, "high", n, series()) for n in (5, 252)} | {f"low_{n}d": rolling(F.min, "low", n, series()) for n in (5, 252)})
-    return r4(b, ["symbol", "date"], "high_5d, high_252d, low_5d, low_252d")
+    specs = {f"{kind}_{n}d": (f, kind, n) for n in ind.HIGH_LOW_ROWS for kind, f in (("high", "max"), ("low", "min"))}
+    b = with_extremes(bars(spark, d), specs, series())
+    return r4(b, ["symbol", "date"], ", ".join(f"high_{n}d, low_{n}d" for n in ind.HIGH_LOW_ROWS))
 
 
 def ind_14_risk(spark, d):
@@ -89,8 +97,12 @@ def ind_21_signal_series(spark, d):
 
 
 def ind_22_signal_row(spark, d):
-    row = ind.signal_row(bars(spark, d))
-    return r4(row, ["symbol", "date"], ", ".join(c for c in row.columns if c not in ("symbol", "date")))
+    """All keys of the latest row; the quoted fundamentals are stand-ins made of a brand's number."""
+    n = F.regexp_extract("symbol", r"(\d+)", 1).cast("double")
+    quoted = Tables(spark, d).securities().select("symbol", n.alias("forward_eps"), (n * 2).alias("forward_pe"), (n > 30).alias("dividend_yield_trap"))
+    row = ind.signal_row(Tables(spark, d).prices, quoted)
+    plain = ["symbol", "date", "trade_signal", "obv", "dividend_yield_trap"]
+    return r4(row, plain, ", ".join(c for c in row.columns if c not in plain))
 
 
 def ind_24_adjusted(spark, d):
@@ -157,7 +169,7 @@ QUERIES = {
     "ind_05_ema": ind_05_ema,
     "ind_06_rsi": _recursive("rsi"),
     "ind_07_macd": _recursive("macd, macd_signal_line, macd_histogram"),
-    "ind_12_atr": _recursive("atr_14d"),
+    "ind_12_atr": ind_12_atr,
     "ind_08_bollinger": ind_08_bollinger,
     "ind_09_volume_trend": ind_09_volume_trend,
     "ind_10_obv_mfi": ind_10_obv_mfi,
@@ -178,36 +190,54 @@ QUERIES = {
 }
 
 _CHG = "100 * (close / nullif(lag(close, {k}) OVER w, 0) - 1)"
-_ROW = ", ".join(
-    f"round({full('avg', 'close', n)}, 4) AS ma_{n}, round({full('max', 'high', n)}, 4) AS high_{n}d, round({full('min', 'low', n)}, 4) AS low_{n}d, "
-    f"round({full('avg', 'volume', n)}, 4) AS volume_trend_{n}d, round(close - nullif(lag(close, {n - 1}) OVER w, 0), 4) AS change_{n}d_abs, "
-    f"round((close - lag(close, {n - 1}) OVER w) / nullif(lag(close, {n - 1}) OVER w, 0) * 100, 4) AS change_{n}d_pct"
-    for n in ind.SMA_ROWS
-)
+_ATR = f"""at0 AS (SELECT symbol, date, row_number() OVER w AS rn, greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) AS tr FROM bars {_W}),
+at1 AS (SELECT symbol, date, rn, {", ".join(f"tr AS a{n}" for n in ind.ATR_ROWS)} FROM at0 WHERE rn = 1
+  UNION ALL SELECT x.symbol, x.date, x.rn, {", ".join(f"y.a{n} * (1 - 1.0::DOUBLE / {n}) + x.tr / {n}" for n in ind.ATR_ROWS)} FROM at1 y JOIN at0 x ON x.symbol = y.symbol AND x.rn = y.rn + 1)"""
+
+
+def _row_sql() -> str:
+    at = lambda c, n=1: f"max({c}) FILTER (back = {n})"
+    over = lambda f, c, n: f"CASE WHEN count({c}) FILTER (back <= {n}) = {n} THEN {f}({c}) FILTER (back <= {n}) END"
+    keys = [(c, at(c)) for c in ("rsi", "macd", "macd_signal_line", "macd_histogram", "bollinger_upper", "bollinger_lower", "bollinger_pct_b", "bollinger_bandwidth", "mfi", "ema_50", "ema_200")]
+    keys += [("last_closing_price", at("close")), ("last_opening_price", at("open"))]
+    for name, n in (("last_day_change", 2), *((f"change_{n}d", n) for n in ind.CHANGE_ROWS)):
+        keys += [(f"{name}_abs", f"{at('close')} - nullif({at('close', n)}, 0)"), (f"{name}_pct", f"({at('close')} - {at('close', n)}) / nullif({at('close', n)}, 0) * 100")]
+    for n in ind.HIGH_LOW_ROWS:
+        keys += [(f"high_{n}d", over("max", "high", n)), (f"low_{n}d", over("min", "low", n))]
+    keys += [(f"ma_{n}", over("avg", "close", n)) for n in ind.SMA_ROWS] + [(f"vol_trend_{n}d", over("avg", "volume", n)) for n in ind.VOLUME_ROWS]
+    keys += [(f"atr_{n}d", f"CASE WHEN count(*) > {n} THEN {at(f'a{n}')} END") for n in ind.ATR_ROWS]
+    number = "regexp_extract(symbol, '(\\d+)', 1)::DOUBLE"
+    keys += [("forward_eps", number), ("forward_pe", f"{number} * 2")] + [(c, "NULL::DOUBLE") for c in ("eps", "pe_ratio", "dividend_yield", "dividend_yield_gap")]
+    return f"""WITH RECURSIVE {SIGNALS}, {_ATR}, s4 AS (SELECT s3.*, mid + 2 * dev AS bollinger_upper, mid - 2 * dev AS bollinger_lower, (close - (mid - 2 * dev)) / nullif(4 * dev, 0) AS bollinger_pct_b,
+  4 * dev / nullif(mid, 0) AS bollinger_bandwidth, CASE WHEN su = 0 THEN 0 WHEN sd = 0 THEN 100 ELSE 100 - 100 / (1 + su / sd) END AS mfi,
+  CASE WHEN macd > macd_signal_line AND rsi < 70 THEN 'Buy' WHEN macd < macd_signal_line AND rsi > 30 THEN 'Sell' ELSE 'Hold' END AS trade_signal,
+  {", ".join(f"a{n}" for n in ind.ATR_ROWS)}, row_number() OVER (PARTITION BY s3.symbol ORDER BY s3.date DESC) AS back FROM s3 JOIN at1 ON at1.symbol = s3.symbol AND at1.date = s3.date)
+  SELECT symbol, {at("date")} AS date, {at("trade_signal")} AS trade_signal, {at("obv")} AS obv, {number} > 30 AS dividend_yield_trap, {", ".join(f"round({v}, 4) AS {k}" for k, v in keys)} FROM s4 GROUP BY symbol"""
+
 
 SQL = {
     "src_bars": f"WITH {BARS} SELECT * FROM bars",
     "wn_01_latest_landed": f"""WITH {BARS} SELECT symbol, date, open, high, low, volume,
   CASE WHEN (date - DATE '1970-01-01') % 7 = 0 THEN close * 1.5 ELSE close END AS close,
   CASE WHEN (date - DATE '1970-01-01') % 7 = 0 THEN 'run-2' ELSE 'run-1' END AS _run_id FROM bars""",
-    "ind_01_change": f"""WITH {BARS} SELECT symbol, date, round(close - nullif(lag(close, 29) OVER w, 0), 4) AS change_abs,
-  round((close - lag(close, 29) OVER w) / nullif(lag(close, 29) OVER w, 0) * 100, 4) AS change_pct FROM bars {_W}""",
+    "ind_01_change": f"""WITH {BARS} SELECT symbol, date, {", ".join(f"round(close - nullif(lag(close, {n - 1}) OVER w, 0), 4) AS change_{n}d_abs, "
+  f"round((close - lag(close, {n - 1}) OVER w) / nullif(lag(close, {n - 1}) OVER w, 0) * 100, 4) AS change_{n}d_pct" for n in ind.CHANGE_ROWS)} FROM bars {_W}""",
     "ind_03_changes": f"""WITH {BARS} SELECT symbol, date, round(close - lag(close) OVER w, 4) AS last_day_change_abs,
   {", ".join(f"round({_CHG.format(k=k)}, 4) AS {n}" for k, n in ((1, "last_day_change_pct"), (21, "change_30d_pct"), (63, "change_90d_pct"), (252, "change_365d_pct")))}
   FROM bars {_W}""",
-    "ind_04_sma": f"WITH {BARS} SELECT symbol, date, {', '.join(f'round({full('avg', 'close', n)}, 4) AS ma_{n}' for n in (3, 20, 200, 300))} FROM bars WINDOW {frames(3, 20, 200, 300)}",
+    "ind_04_sma": f"WITH {BARS} SELECT symbol, date, {', '.join(f'round({full('avg', 'close', n)}, 4) AS ma_{n}' for n in ind.SMA_ROWS)} FROM bars WINDOW {frames(*ind.SMA_ROWS)}",
     "ind_05_ema": _signals_sql("ema_50, ema_200"),
     "ind_06_rsi": _signals_sql("rsi"),
     "ind_07_macd": _signals_sql("macd, macd_signal_line, macd_histogram"),
-    "ind_12_atr": _signals_sql("atr_14d"),
+    "ind_12_atr": f"WITH RECURSIVE {BARS}, {_ATR} SELECT symbol, date, {', '.join(f'round(a{n}, 4) AS atr_{n}d' for n in ind.ATR_ROWS)} FROM at1",
     "ind_08_bollinger": f"""WITH {BARS}, m AS (SELECT *, {full("avg", "close", 20)} AS mid, {full("stddev_samp", "close", 20)} AS dev FROM bars WINDOW {frames(20)})
   SELECT symbol, date, round(mid + 2 * dev, 4) AS bollinger_upper, round(mid - 2 * dev, 4) AS bollinger_lower,
   round((close - (mid - 2 * dev)) / nullif(4 * dev, 0), 4) AS bollinger_pct_b, round(4 * dev / nullif(mid, 0), 4) AS bollinger_bandwidth FROM m""",
-    "ind_09_volume_trend": f"WITH {BARS} SELECT symbol, date, {', '.join(f'round({full('avg', 'volume', n)}, 4) AS volume_trend_{n}d' for n in (5, 90))} FROM bars WINDOW {frames(5, 90)}",
+    "ind_09_volume_trend": f"WITH {BARS} SELECT symbol, date, {', '.join(f'round({full('avg', 'volume', n)}, 4) AS vol_trend_{n}d' for n in ind.VOLUME_ROWS)} FROM bars WINDOW {frames(*ind.VOLUME_ROWS)}",
     "ind_10_obv_mfi": f"""WITH RECURSIVE {SIGNALS} SELECT symbol, date, obv,
   round(CASE WHEN su = 0 THEN 0 WHEN sd = 0 THEN 100 ELSE 100 - 100 / (1 + su / sd) END, 4) AS mfi FROM s3""",
-    "ind_13_high_low": f"""WITH {BARS} SELECT symbol, date, {", ".join(f"round({full('max', 'high', n)}, 4) AS high_{n}d, round({full('min', 'low', n)}, 4) AS low_{n}d" for n in (5, 252))}
-  FROM bars WINDOW {frames(5, 252)}""",
+    "ind_13_high_low": f"""WITH {BARS} SELECT symbol, date, {", ".join(f"round({full('max', 'high', n)}, 4) AS high_{n}d, round({full('min', 'low', n)}, 4) AS low_{n}d" for n in ind.HIGH_LOW_ROWS)}
+  FROM bars WINDOW {frames(*ind.HIGH_LOW_ROWS)}""",
     "ind_14_risk": f"""WITH {BARS}, q AS (SELECT *, close / nullif(lag(close) OVER w, 0) - 1 AS ret FROM bars {_W}),
   k AS (SELECT *, {full("avg", "ret", 252)} AS mean, {full("stddev_samp", "ret", 252)} AS dev, stddev_samp(CASE WHEN ret < 0 THEN ret END) OVER r252 AS bad,
   count(CASE WHEN ret < 0 THEN ret END) OVER r252 AS n FROM q WINDOW {frames(252)})
@@ -221,8 +251,7 @@ SQL = {
   QUALIFY row_number() OVER (PARTITION BY q.symbol ORDER BY q.date DESC) <= 252)
   SELECT symbol, round(CASE WHEN count(*) >= 20 THEN covar_samp(r, b) / nullif(var_samp(b), 0) END, 4) AS beta FROM x GROUP BY symbol""",
     "ind_21_signal_series": f"WITH RECURSIVE {SIGNALS} SELECT symbol, as_of_date, obv, trade_signal, {rounded(SIGNAL_VALUES)} FROM signals",
-    "ind_22_signal_row": f"""WITH {BARS}, x AS (SELECT symbol, date, round(close, 4) AS close, {_ROW}, lead(date) OVER w AS next FROM bars
-  {_W}, {frames(*ind.SMA_ROWS)}) SELECT * EXCLUDE (next) FROM x WHERE next IS NULL""",
+    "ind_22_signal_row": _row_sql(),
     "ind_24_adjusted": f"WITH {ADJUSTED} SELECT symbol, date, {rounded('adj_factor, adj_open, adj_close', 6)} FROM adjusted",
     "ind_25_split_factors": f"WITH {RAW} SELECT symbol, date, 1 / split_ratio AS pre_factor, split_ratio AS post_factor FROM raw WHERE split_ratio > 0",
     "wn_09_cumulative_split": f"""WITH {RAW} SELECT symbol, date,
