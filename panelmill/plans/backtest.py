@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import correlation, net_return
@@ -55,12 +55,18 @@ def ic_by_date(frame: DataFrame) -> DataFrame:
     return r.groupBy(*by).agg(F.when(many, correlation("_a", "_b")).alias("ic")).filter("ic is not null")
 
 
+def t_stat(col: str) -> Column:
+    """Mean by standard error; infinite with the mean's sign without spread or with a single value, 0 for a mean of 0 then."""
+    mean, spread, n = F.avg(col), F.stddev_samp(col), F.count(col)
+    flat = F.when(mean > 0, float("inf")).when(mean < 0, float("-inf")).otherwise(F.when(mean.isNotNull(), 0.0))
+    return F.when((n > 1) & (spread > 0), mean / spread * F.sqrt(n)).otherwise(flat)
+
+
 def ic_summary(ics: DataFrame) -> DataFrame:
-    """Mean, t of the dates, and t of the years' means, which overlapping windows inflate less."""
-    t = lambda c, n: F.when((F.count(c) > 1), F.try_divide(F.avg(c), F.stddev_samp(c)) * F.sqrt(F.count(c)))
-    years = ics.groupBy(*_RUN, F.year("as_of_date").alias("year")).agg(F.avg("ic").alias("ic"))
-    folds = years.groupBy(*_RUN).agg(t("ic", "n").alias("fold_t"))
-    return ics.groupBy(*_RUN).agg(F.avg("ic").alias("mean_ic"), t("ic", "n").alias("t_stat"), F.count("*").alias("n_dates")).join(folds, _RUN)
+    """Mean, t of the dates, and t of the years' means, which overlapping windows inflate less. A year counts on its first date."""
+    year = Window.partitionBy(*_RUN, F.year("as_of_date"))
+    fold = F.when(F.row_number().over(year.orderBy("as_of_date")) == 1, F.avg("ic").over(year))
+    return ics.withColumn("_fold", fold).groupBy(*_RUN).agg(F.avg("ic").alias("mean_ic"), t_stat("ic").alias("t_stat"), F.count("*").alias("n_dates"), t_stat("_fold").alias("fold_t"))
 
 
 def with_deciles(frame: DataFrame) -> DataFrame:
@@ -91,12 +97,34 @@ def distribution(excess: DataFrame) -> DataFrame:
 
 
 def evaluate(frame: DataFrame, bps: float = 10.0) -> DataFrame:
-    """All metrics, a row per variant and horizon."""
-    top = with_deciles(frame).filter("decile = 9")
-    hits = top.groupBy(*_RUN).agg(F.avg((F.col("excess_return") > 0).cast("double")).alias("hit_rate"))
-    moved = overlap_turnover(top, _RUN).groupBy(*_RUN).agg(F.avg("turnover").alias("turnover"))
-    gross = top_excess(frame).groupBy(*_RUN).agg(F.avg("excess").alias("excess_gross"))
-    out = ic_summary(ic_by_date(frame)).join(monotonicity(decile_means(frame)), _RUN)
-    for other in (hits, moved, gross, distribution(top_excess(frame, bps)).drop("n_dates")):
-        out = out.join(other, _RUN)
-    return out
+    """All metrics, a row per variant and horizon; ``frame`` is read once.
+
+    One pass ranks a date's rows and aggregates them to a row per date, with the means of its deciles and the names in
+    the top one (a tenth of a date's symbols); what is left is a row per date.
+    """
+    by = [*_RUN, "as_of_date"]
+    both = F.col("excess_return").isNotNull()
+    r = with_deciles(frame).withColumn("_a", F.when(both, average_rank(F.col("signal"), [*by, both]))).withColumn("_b", F.when(both, average_rank(F.col("excess_return"), [*by, both])))
+    own = lambda c: F.when(both, F.col(c))
+    many = (F.min(own("signal")) < F.max(own("signal"))) & (F.min("excess_return") < F.max("excess_return"))
+    top = F.col("decile") == 9
+    fwd = F.avg(F.when(top, F.col("fwd_return")))
+    dates = r.groupBy(*by).agg(
+        F.when(many, correlation("_a", "_b")).alias("ic"), F.array(*(F.avg(F.when(F.col("decile") == k, F.col("excess_return"))) for k in range(10))).alias("means"),
+        F.count_if(top & (F.col("excess_return") > 0)).alias("hits"), F.count_if(top & both).alias("held"), F.collect_set(F.when(top, F.col("symbol"))).alias("names"),
+        (fwd - F.avg("fwd_return")).alias("gross"), (net_return(fwd, bps) - F.avg("fwd_return")).alias("net"),
+    )
+    w, year = Window.partitionBy(*_RUN).orderBy("as_of_date"), Window.partitionBy(*_RUN, F.year("as_of_date"))
+    named = F.size("names") > 0
+    before = F.last(F.when(named, F.col("names")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    dates = dates.withColumn("turnover", F.when(named, 1 - F.size(F.array_intersect("names", before)) / F.size("names")))
+    has = F.col("ic").isNotNull()
+    fold = F.when(has & (F.row_number().over(Window.partitionBy(*_RUN, F.year("as_of_date"), has).orderBy("as_of_date")) == 1), F.avg("ic").over(year))
+    p = lambda x: F.percentile("net", F.lit(x))
+    runs = dates.withColumn("_fold", fold).groupBy(*_RUN).agg(
+        F.avg("ic").alias("mean_ic"), t_stat("ic").alias("t_stat"), F.count("ic").alias("n_dates"), t_stat("_fold").alias("fold_t"),
+        F.try_divide(F.sum("hits"), F.sum("held")).alias("hit_rate"), F.avg("turnover").alias("turnover"), F.avg("gross").alias("excess_gross"),
+        F.avg("net").alias("mean"), p(0.1).alias("p10"), p(0.9).alias("p90"), F.array(*(F.avg(F.col("means")[k]) for k in range(10))).alias("means"),
+    ).filter("n_dates > 0")
+    deciles = runs.select(*_RUN, F.posexplode("means").alias("decile", "mean_excess")).filter("mean_excess is not null")
+    return runs.drop("means").join(monotonicity(deciles), _RUN)

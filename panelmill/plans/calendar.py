@@ -17,8 +17,12 @@ ONE_OFF = ("1994-04-27", "2001-09-11", "2001-09-12", "2001-09-13", "2001-09-14",
 
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     """A row per day from ``first`` to ``last``."""
-    d = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("date"))
-    d = d.withColumns({"y": F.year("date"), "m": F.month("date"), "dom": F.dayofmonth("date"), "dow": F.weekday("date")})
+    return calendar_of(spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("date")))
+
+
+def calendar_of(days: DataFrame) -> DataFrame:
+    """The calendar of ``days(date)``, which are different and without gaps."""
+    d = days.withColumns({"y": F.year("date"), "m": F.month("date"), "dom": F.dayofmonth("date"), "dow": F.weekday("date")})
     for name, e in EASTER:
         d = d.withColumn(name, F.expr(e).cast("int"))
     nth = F.ceil(F.col("dom") / 7).cast("int")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +53,48 @@ def flat_calls(rounds_: DataFrame) -> DataFrame:
     return rounds_.select("as_of_date", "methodology_version", F.explode("calls").alias("c")).select("as_of_date", "methodology_version", "c.*")
 
 
-def due_date(sessions: DataFrame, today: str) -> DataFrame:
-    """The last session of the newest month that is complete before ``today``."""
-    return sessions.filter(F.date_trunc("month", "date") < F.date_trunc("month", F.lit(today).cast("date"))).agg(F.max("date").alias("due"))
+def due_date(sessions: DataFrame, today: str, first_month: str = "0001-01") -> DataFrame:
+    """``due``: the last session of the newest month that is complete, NULL if that is before ``first_month``.
+
+    A month is complete once it is over, and on its last calendar day.
+    """
+    now = F.lit(today).cast("date")
+    complete = (F.date_trunc("month", "date") < F.date_trunc("month", now)) | ((now == F.last_day(now)) & (F.col("date") <= now))
+    due = sessions.filter(complete).agg(F.max("date").alias("due"))
+    return due.select(F.when(F.date_format("due", "yyyy-MM") >= first_month, F.col("due")).alias("due"))
+
+
+def off_cycle_date(sessions: DataFrame, events: DataFrame, first_month: str = "0001-01") -> DataFrame:
+    """``due``: the latest session, if ``events(action, vintage)`` authorise an off-cycle round of exactly that date; else NULL."""
+    allowed = events.filter("action = 'authorize_off_cycle'").select(F.col("vintage").cast("date").alias("due")).distinct()
+    last = sessions.agg(F.max("date").alias("due")).filter(F.date_format("due", "yyyy-MM") >= first_month)
+    return last.join(allowed, "due", "left_semi").agg(F.max("due").alias("due"))
+
+
+EXPECTATION_HORIZONS = (21, 63, 126)
+
+
+def freeze(distribution: DataFrame, ics: DataFrame, definition: str, haircut: float, horizons: Sequence[int] = EXPECTATION_HORIZONS) -> DataFrame:
+    """What rounds are graded against, a row per variant and horizon, with where it comes from.
+
+    ``distribution(variant, horizon, mean, p10, p90, n_dates)`` and ``ics(variant, horizon, as_of_date, ic)`` are those of a
+    walk-forward evaluation. mean, p10 and p90 are cut by ``haircut``; ic_mean and ic_by_year come along. ``definition_hash``
+    names the scores' definition, ``source_sha256`` the variant's distribution itself. A horizon that a variant lacks
+    raises when rows are read, as a missing expectation would let every later settlement pass.
+    """
+    wanted = distribution.select("variant").distinct().withColumn("horizon", F.explode(F.array(*map(F.lit, horizons))))
+    years = ics.groupBy("variant", "horizon", F.year("as_of_date").alias("year")).agg(F.avg("ic").alias("ic"), F.sum("ic").alias("s"), F.count("ic").alias("n"))
+    text = lambda c: F.round(c, 6).cast("decimal(18,6)").cast("string")
+    year = F.concat_ws(":", "year", text("ic"))
+    years = years.groupBy("variant", "horizon").agg((F.sum("s") / F.sum("n")).alias("ic_mean"), F.array_join(F.array_sort(F.collect_list(year)), ",").alias("ic_by_year"))
+    rows = wanted.join(distribution, ["variant", "horizon"], "left").join(years, ["variant", "horizon"], "left")
+    missing = F.raise_error(F.concat_ws(" ", "variant", F.lit("has no distribution at horizon"), F.col("horizon").cast("string"))).cast("boolean")
+    rows = rows.filter(F.when(F.col("n_dates").isNull(), missing).otherwise(True))
+    own = Window.partitionBy("variant")
+    lines = F.array_sort(F.collect_list(F.concat_ws(":", F.lpad(F.col("horizon").cast("string"), 4, "0"), *(text(c) for c in ("mean", "p10", "p90")), "n_dates")).over(own))
+    rows = rows.withColumn("source_sha256", F.sha2(F.array_join(lines, ","), 256)).withColumn("definition_hash", F.lit(hashlib.sha256(definition.encode()).hexdigest()))
+    cut = [(F.col(c) * haircut).alias(c) for c in ("mean", "p10", "p90")]
+    return rows.select("variant", "horizon", *cut, "n_dates", "ic_mean", "ic_by_year", F.lit(haircut).alias("haircut"), "definition_hash", "source_sha256")
 
 
 def call_excess(calls: DataFrame, returns: DataFrame, horizon: int) -> DataFrame:
@@ -108,6 +150,25 @@ def trailing_runs(settled: DataFrame, flags: list[str], by: str = "horizon", dat
     return settled.withColumns(last).groupBy(by).agg(*(F.count_if(after[f]).alias(f"trailing_{f}") for f in flags))
 
 
+def drift(settled: DataFrame, attributed: DataFrame, rung: int = 21, mean_rounds: int = 3, p10_rounds: int = 2, t_bar: float = 1.0) -> DataFrame:
+    """``signal, n, t, action`` at one rung: how long the newest settlements are below, and which signals are insignificant.
+
+    Rows ``below_mean`` and ``below_p10`` have the trailing run as n and ask for a ``review`` from their number of rounds on.
+    A row per component of ``attributed(as_of_date, horizon, component, ic)`` has its number of ICs and their t, NULL without
+    spread, and asks for a ``demotion_review`` if t is within ``t_bar`` after ``mean_rounds`` settlements or more.
+    """
+    at = settled.filter(F.col("horizon") == rung)
+    run = trailing_runs(at, ["below_mean", "below_p10"]).unpivot([], ["trailing_below_mean", "trailing_below_p10"], "signal", "n")
+    run = run.withColumn("signal", F.substring("signal", 10, 100)).withColumn("t", F.lit(None).cast("double"))
+    enough = F.when(F.col("signal") == "below_mean", mean_rounds).otherwise(p10_rounds)
+    run = run.withColumn("action", F.when(F.col("n") >= enough, "review"))
+    ics = attributed.filter((F.col("horizon") == rung) & F.col("ic").isNotNull()).join(at.select("as_of_date").distinct(), "as_of_date")
+    spread = F.nullif(F.stddev_samp("ic"), F.lit(0.0))
+    own = ics.groupBy(F.col("component").alias("signal")).agg(F.count("*").alias("n"), (F.try_divide(F.avg("ic"), spread) * F.sqrt(F.count("*"))).alias("t"))
+    own = own.withColumn("action", F.when((F.col("n") >= mean_rounds) & (F.abs("t") < t_bar), "demotion_review"))
+    return run.select("signal", "n", "t", "action").unionByName(own)
+
+
 def agreement(trades: DataFrame, calls: DataFrame) -> DataFrame:
     """``bucket, n`` of the trades after the round: followed, contradicted or unprompted; seeds don't count."""
     vintage = calls.agg(F.max("as_of_date").alias("vintage"))

@@ -2,19 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import on_latest
 from ..operators.windows import series
+from ..sources.sinks import new_rounds
+from .quality import freshness
 from .scoring import component_percentiles, ranked
 
+#: What a snapshot keeps of a recommendation.
+SNAPSHOT = (
+    "symbol", "as_of_date", "composite_score", "composite_rank", "momentum_pct", "value_pct", "risk_pct", "quality_pct", "last_closing_price", "trade_signal",
+)
+
 
 def watchlist(signals: DataFrame) -> DataFrame:
     """The latest date's symbols, scored and ranked."""
     return ranked(component_percentiles(on_latest(signals, "as_of_date")))
 
 
+def gate(latest: DataFrame, expected: DataFrame, best: DataFrame, session: Column, depth: int = 20, most: float = 0.02) -> DataFrame:
+    """``freshness`` of every ``expected(symbol)`` before anything is recorded: the ``depth`` best of a watchlist are critical.
+
+    ``latest(symbol, last_date)`` has the symbols with rows at all; expected ones that it lacks are stale.
+    """
+    top = best.filter(F.col("composite_rank") <= depth).select("symbol").distinct().withColumn("_top", F.lit(True))
+    asked = expected.select("symbol").distinct().join(top, "symbol", "left")
+    return freshness(latest, asked.select("symbol", F.coalesce("_top", F.lit(False)).alias("critical")), session, most)
+
+
+def snapshot(best: DataFrame, gated: DataFrame, recorded: DataFrame | None, version: str, run_id: str) -> DataFrame:
+    """The rows of a watchlist to append to ``recorded``, none for an (as_of_date, version) that is there already.
+
+    Rows of ``gated`` whose status is error make the snapshot fail when it is read, so that no day is recorded on stale data.
+    """
+    rows = best.select(*SNAPSHOT, F.lit(version).alias("methodology_version"), F.lit(run_id).alias("_run_id"))
+    stale = gated.filter("status = 'error'").agg(F.count("*").alias("_stale"))
+    failed = F.raise_error(F.concat(F.col("_stale").cast("string"), F.lit(" symbols are stale; nothing is recorded"))).cast("boolean")
+    rows = rows.crossJoin(F.broadcast(stale)).filter(F.when(F.col("_stale") > 0, failed).otherwise(True)).drop("_stale")
+    return rows if recorded is None else new_rounds(recorded, rows)
+
+
 def alerts(signals: DataFrame, latest_only: bool = True, squeeze_days: int = 126) -> DataFrame:
     """``symbol, as_of_date, alert_type, alert_value``, all kinds in one pass: each row explodes into the alerts it raises."""
     newest = signals.agg(F.max("as_of_date").alias("_newest"))

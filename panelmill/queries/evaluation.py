@@ -15,7 +15,7 @@ from ..sources.tables import SPY, Tables
 from .prices import r4
 from .sqltext import ADJUSTED, BARS, LINES, rounded
 
-_RUNGS = (21, 63)
+_RUNGS = bt.HORIZONS
 #: Every month out to a year; the horizons 21, 63, 126 and 252 are among its rungs.
 _LADDER = tuple(21 * k for k in range(1, 13))
 
@@ -111,6 +111,21 @@ def call_06_due_date(spark, d):
     return cl.due_date(Tables(spark, d).bars().select("date"), "2000-06-15")
 
 
+def call_06_due_rules(spark, d):
+    """In the middle and on the last day of a month, before the first month, and off the cycle with and without authorisation."""
+    b = Tables(spark, d).bars().select("date")
+    last = b.agg(F.max("date").cast("string").alias("vintage")).withColumn("action", F.lit("authorize_off_cycle"))
+    cases = {
+        "mid month": cl.due_date(b, "2000-06-15"), "month end": cl.due_date(b, "2000-06-30"), "too early": cl.due_date(b, "2000-06-30", "2000-07"),
+        "authorised": cl.off_cycle_date(b, last), "other vintage": cl.off_cycle_date(b, last.withColumn("vintage", F.lit("2000-01-03"))),
+    }
+    out = None
+    for name, one in cases.items():
+        one = one.withColumn("rule", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def bt_11_call_excess(spark, d):
     t = Tables(spark, d)
     return r4(cl.call_excess(calls(t), returns(t), 21), ["as_of_date", "n_in", "n_out"], "in_position, out, spread", 6)
@@ -120,33 +135,53 @@ def bt_11_call_turnover(spark, d):
     return r4(cl.position_turnover(calls(Tables(spark, d))), [], "turnover")
 
 
+#: The share of a walk-forward result that a frozen expectation keeps, and the definition of the scores it is of.
+HAIRCUT, DEFINITION = 0.5, "momentum: change over 21 sessions; reversal: the opposite of that over 63"
+
+
 def expected(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame([(21, 0.02, -0.3), (63, 0.03, -0.4)], "horizon int, mean double, p10 double")
+    """Expectations of all variants, frozen from the walk-forward evaluation."""
+    f = frame(t, cl.EXPECTATION_HORIZONS)
+    return cl.freeze(bt.distribution(bt.top_excess(f, 10.0)), bt.ic_by_date(f), DEFINITION, HAIRCUT)
+
+
+def set_01_frozen(spark, d):
+    out = expected(Tables(spark, d))
+    return r4(out, ["variant", "horizon", "n_dates", "ic_by_year", "haircut", "definition_hash", "source_sha256"], "mean, p10, p90, ic_mean", 6)
+
+
+def settled(t: Tables) -> DataFrame:
+    frozen = expected(t).filter("variant = 'momentum'").select("horizon", "mean", "p10")
+    return cl.settle(calls(t), frozen, returns(t, cl.EXPECTATION_HORIZONS), SPY)
 
 
 def set_02_settle(spark, d):
-    t = Tables(spark, d)
-    out = cl.settle(calls(t), expected(t), returns(t), SPY)
-    return r4(out, ["as_of_date", "horizon", "n_symbols", "n_missing", "below_mean", "below_p10"], "realized_excess_net, realized_ic, mean, p10", 5)
+    return r4(settled(Tables(spark, d)), ["as_of_date", "horizon", "n_symbols", "n_missing", "below_mean", "below_p10"], "realized_excess_net, realized_ic, mean, p10", 5)
 
 
-def set_02_attribution(spark, d):
-    t = Tables(spark, d)
+def attributed(t: Tables) -> DataFrame:
     b = t.prices.withColumn("m", change("close", 21, series())).withColumn("v", F.col("volume"))
     b = b.join(scoring.month_ends(t.prices.select(F.col("date").alias("as_of_date"))).withColumnRenamed("as_of_date", "date"), "date").withColumnRenamed("date", "as_of_date")
     parts = b.select("symbol", "as_of_date", pct_rank(F.col("m"), ["as_of_date"]).alias("momentum_pct"), pct_rank(F.col("v").cast("double"), ["as_of_date"]).alias("volume_pct"))
-    return r4(cl.attribution(parts, returns(t), ["momentum_pct", "volume_pct"]), ["as_of_date", "horizon", "component"], "ic")
+    return cl.attribution(parts, returns(t), ["momentum_pct", "volume_pct"])
+
+
+def set_02_attribution(spark, d):
+    return r4(attributed(Tables(spark, d)), ["as_of_date", "horizon", "component"], "ic")
 
 
 def set_03_trailing(spark, d):
+    return cl.trailing_runs(settled(Tables(spark, d)), ["below_mean", "below_p10"])
+
+
+def set_03_drift(spark, d):
     t = Tables(spark, d)
-    return cl.trailing_runs(cl.settle(calls(t), expected(t), returns(t), SPY), ["below_mean", "below_p10"])
+    return r4(cl.drift(settled(t), attributed(t)), ["signal", "n", "action"], "t", 3)
 
 
 def set_04_agreement(spark, d):
     t = Tables(spark, d)
-    old = calls(t).filter("as_of_date < '2000-01-01'")
-    return cl.agreement(t.trades(), old)
+    return cl.agreement(t.trades(), calls(t).filter("as_of_date < '2000-01-01'"))
 
 
 def hld_01_open_lots(spark, d):
@@ -157,7 +192,7 @@ def hld_01_open_lots(spark, d):
 def positions(t: Tables) -> DataFrame:
     """What a broker would say: the journal's net, one share more for every tenth order of a customer."""
     n = hd.net_shares(t.trades())
-    key = F.regexp_extract("account", r"(\d+)", 1).cast("int")
+    key = F.regexp_extract("account", r"(\d+)$", 1).cast("int")
     q = n.withColumn("quantity", F.when(key % 10 == 0, F.col("net") + 1).otherwise(F.col("net")))
     return q.filter((key % 7 != 0) & (F.col("quantity") > 0)).select("account", "symbol", "quantity")
 
@@ -204,19 +239,31 @@ QUERIES = {
     "bt_10_decay_ladder": bt_10_decay_ladder,
     "call_01_hysteresis": call_01_hysteresis, "call_03_next_round": call_03_next_round, "call_05_flat": call_05_flat, "call_06_due_date": call_06_due_date,
     "bt_11_call_excess": bt_11_call_excess, "bt_11_call_turnover": bt_11_call_turnover, "set_02_settle": set_02_settle, "set_02_attribution": set_02_attribution,
-    "set_03_trailing": set_03_trailing, "set_04_agreement": set_04_agreement, "hld_01_open_lots": hld_01_open_lots, "hld_02_reconcile": hld_02_reconcile,
+    "set_01_frozen": set_01_frozen, "set_03_trailing": set_03_trailing, "set_03_drift": set_03_drift, "call_06_due_rules": call_06_due_rules, "set_04_agreement": set_04_agreement, "hld_01_open_lots": hld_01_open_lots, "hld_02_reconcile": hld_02_reconcile,
     "hld_03_loss_harvest": hld_03_loss_harvest, "hld_05_held": hld_05_held, "hld_07_verdicts": hld_07_verdicts,
 }
 
 # --- SQL ------------------------------------------------------------------------------------------------------------
 
+
+def _rungs_sql(rungs: tuple[int, ...]) -> str:
+    one = "SELECT symbol, date AS as_of_date, {h} AS horizon, entry_date, d{h} AS exit_date, o{h} / entry - 1 AS fwd_return FROM od WHERE entry > 0 AND o{h} IS NOT NULL"
+    return " UNION ALL ".join(one.format(h=h) for h in rungs)
+
+
+def _returns_sql(rungs: tuple[int, ...]) -> str:
+    return f"""
+od AS (SELECT symbol, date, lead(date) OVER w AS entry_date, lead(adj_open) OVER w AS entry,
+  {", ".join(f"lead(date, {1 + h}) OVER w AS d{h}, lead(adj_open, {1 + h}) OVER w AS o{h}" for h in rungs)} FROM adjusted WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+rt AS ({_rungs_sql(rungs)}),
+"""
+
+
 FR = (
     ADJUSTED
-    + f""",
-od AS (SELECT symbol, date, adj_open, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn FROM adjusted),
-rt AS (SELECT o.symbol, o.date AS as_of_date, h AS horizon, e.date AS entry_date, x.date AS exit_date, x.adj_open / e.adj_open - 1 AS fwd_return
-  FROM od o CROSS JOIN (VALUES ({_RUNGS[0]}), ({_RUNGS[1]})) v(h) JOIN od e ON e.symbol = o.symbol AND e.rn = o.rn + 1
-  JOIN od x ON x.symbol = o.symbol AND x.rn = o.rn + 1 + h WHERE e.adj_open > 0),
+    + ","
+    + _returns_sql(_RUNGS)
+    + f"""
 fr AS (SELECT rt.*, b.fwd_return AS benchmark_return, rt.fwd_return - b.fwd_return AS excess_return FROM rt
   LEFT JOIN (SELECT * FROM rt WHERE symbol = '{SPY}') b USING (as_of_date, horizon)),
 sg AS (SELECT symbol, date AS as_of_date, unnest(['momentum', 'reversal']) AS variant,
@@ -249,21 +296,23 @@ FRCL = FR + "," + CL.split("FROM lines GROUP BY ALL),", 1)[1]
 ST = (
     FRCL
     + f""",
+ex AS (SELECT variant, horizon, count(*) AS n_dates, avg(gross - 0.002) AS mean, quantile_cont(gross - 0.002, 0.1) AS p10, quantile_cont(gross - 0.002, 0.9) AS p90 FROM te
+  WHERE horizon IN {cl.EXPECTATION_HORIZONS} GROUP BY ALL),
 fx AS (SELECT cl.as_of_date, cl.symbol, cl.score, cl.score_percentile, fr.horizon, fr.fwd_return, fr.excess_return FROM cl JOIN fr USING (symbol, as_of_date)
   WHERE EXISTS (SELECT 1 FROM rt b WHERE b.symbol = '{SPY}' AND b.as_of_date = cl.as_of_date AND b.horizon = fr.horizon)),
 fy2 AS (SELECT *, rank() OVER (PARTITION BY as_of_date, horizon ORDER BY score) + (count(*) OVER (PARTITION BY as_of_date, horizon, score) - 1) / 2 AS a,
   rank() OVER (PARTITION BY as_of_date, horizon ORDER BY excess_return) + (count(*) OVER (PARTITION BY as_of_date, horizon, excess_return) - 1) / 2 AS b FROM fx),
 gr AS (SELECT as_of_date, horizon, count(*) AS n_symbols, avg(fwd_return) FILTER (score_percentile >= 0.9) - 0.002 - avg(fwd_return) AS realized_excess_net, corr(a, b) AS realized_ic FROM fy2 GROUP BY ALL),
 se AS (SELECT gr.*, n - n_symbols AS n_missing, e.mean, e.p10, coalesce(realized_excess_net < e.mean, false) AS below_mean, coalesce(realized_excess_net < e.p10, false) AS below_p10 FROM gr
-  JOIN (SELECT as_of_date, count(*) AS n FROM cl GROUP BY as_of_date) USING (as_of_date) JOIN (VALUES (21, 0.02, -0.3), (63, 0.03, -0.4)) e(horizon, mean, p10) USING (horizon))"""
+  JOIN (SELECT as_of_date, count(*) AS n FROM cl GROUP BY as_of_date) USING (as_of_date) JOIN (SELECT horizon, mean * {HAIRCUT} AS mean, p10 * {HAIRCUT} AS p10 FROM ex WHERE variant = 'momentum') e USING (horizon))"""
 )
 TR = (
     LINES
     + """,
-by0 AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN 'ira-' ELSE 'tax-' END || o_custkey AS account, p_brand AS symbol, l_shipdate::DATE AS date, 'buy' AS side, l_quantity AS qty,
+by0 AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN 'ira-' WHEN o_custkey % 5 = 0 THEN 'My 401(k)-' ELSE 'tax-' END || o_custkey AS account, p_brand AS symbol, l_shipdate::DATE AS date, 'buy' AS side, l_quantity AS qty,
   CASE WHEN l_linenumber <> 3 THEN px END AS price, l_orderkey, l_linenumber, px, l_linenumber = 7 AS seed FROM lines JOIN orders ON l_orderkey = o_orderkey),
 tr AS (SELECT * FROM by0 UNION ALL SELECT account, symbol, date + 30, 'sell', floor(qty / 2), price, l_orderkey, l_linenumber, px, false FROM by0 WHERE l_linenumber % 2 = 0 AND floor(qty / 2) > 0),
-nt AS (SELECT account, symbol, sum(CASE WHEN side = 'buy' THEN qty ELSE -qty END) AS net, regexp_extract(account, '(\\d+)', 1)::INT AS k FROM tr GROUP BY ALL),
+nt AS (SELECT account, symbol, sum(CASE WHEN side = 'buy' THEN qty ELSE -qty END) AS net, regexp_extract(account, '(\\d+)$', 1)::INT AS k FROM tr GROUP BY ALL),
 ps AS (SELECT account, symbol, CASE WHEN k % 10 = 0 THEN net + 1 ELSE net END AS quantity FROM nt WHERE k % 7 <> 0 AND CASE WHEN k % 10 = 0 THEN net + 1 ELSE net END > 0),
 lt AS (SELECT *, greatest(0, least(qty, sum(qty) OVER (PARTITION BY account, symbol ORDER BY date, l_orderkey, l_linenumber, px ROWS UNBOUNDED PRECEDING) - sold)) AS open
   FROM tr JOIN (SELECT account, symbol, coalesce(sum(qty) FILTER (side = 'sell'), 0) AS sold FROM tr GROUP BY ALL) USING (account, symbol) WHERE side = 'buy')"""
@@ -280,7 +329,14 @@ sx AS (SELECT symbol, coalesce(max(close) FILTER (rn = 1) / nullif(max(close) FI
 hd AS (SELECT p.symbol, count(DISTINCT account) AS accounts_n, sum(quantity) AS total_quantity, regexp_extract(p.symbol, '(\\d+)', 1)::INT % 4 <> 0 AS tracked FROM ps p GROUP BY p.symbol),
 he AS (SELECT hd.*, call, composite_rank, deteriorating FROM hd LEFT JOIN nw USING (symbol) LEFT JOIN sx USING (symbol))"""
 )
-_T = "CASE WHEN count({c}) > 1 THEN avg({c}) / nullif(stddev_samp({c}), 0) * sqrt(count({c})) END"
+_ATTR = f"""x AS (SELECT symbol, date AS as_of_date, volume::DOUBLE AS v, close / nullif(lag(close, 21) OVER (PARTITION BY symbol ORDER BY date), 0) - 1 AS m FROM bars),
+  y AS (SELECT symbol, as_of_date, CASE WHEN m IS NOT NULL THEN percent_rank() OVER (PARTITION BY as_of_date, m IS NULL ORDER BY m) END AS momentum_pct,
+    percent_rank() OVER (PARTITION BY as_of_date ORDER BY v) AS volume_pct FROM x WHERE as_of_date IN (SELECT max(date) FROM bars GROUP BY date_trunc('month', date))),
+  z AS (SELECT symbol, as_of_date, unnest(['momentum_pct', 'volume_pct']) AS component, unnest([momentum_pct, volume_pct]) AS pct FROM y),
+  k AS (SELECT as_of_date, horizon, component, rank() OVER (PARTITION BY as_of_date, horizon, component ORDER BY pct) + (count(*) OVER (PARTITION BY as_of_date, horizon, component, pct) - 1) / 2 AS a,
+    rank() OVER (PARTITION BY as_of_date, horizon, component ORDER BY excess_return) + (count(*) OVER (PARTITION BY as_of_date, horizon, component, excess_return) - 1) / 2 AS b
+    FROM z JOIN fr USING (symbol, as_of_date) WHERE pct IS NOT NULL AND excess_return IS NOT NULL)"""
+_T = "CASE WHEN count({c}) > 1 AND stddev_samp({c}) > 0 THEN avg({c}) / stddev_samp({c}) * sqrt(count({c})) WHEN avg({c}) > 0 THEN 'inf'::DOUBLE WHEN avg({c}) < 0 THEN '-inf'::DOUBLE WHEN avg({c}) = 0 THEN 0 END"
 
 SQL = {
     "bt_01_forward_returns": f"WITH {FR} SELECT symbol, as_of_date, horizon, entry_date, exit_date, {rounded('fwd_return, benchmark_return, excess_return', 6)} FROM fr",
@@ -312,14 +368,22 @@ SQL = {
   r AS (SELECT i.as_of_date, 1 - count(p.symbol) / count(*) AS turnover FROM i JOIN q ON q.nx = i.as_of_date LEFT JOIN i p ON p.as_of_date = q.as_of_date AND p.symbol = i.symbol GROUP BY i.as_of_date)
   SELECT round(avg(turnover), 4) AS turnover FROM r""",
     "set_02_settle": f"WITH {ST} SELECT as_of_date, horizon, n_symbols, n_missing, below_mean, below_p10, {rounded('realized_excess_net, realized_ic, mean, p10', 5)} FROM se",
-    "set_02_attribution": f"""WITH {FR}, x AS (SELECT symbol, date AS as_of_date, volume::DOUBLE AS v, close / nullif(lag(close, 21) OVER (PARTITION BY symbol ORDER BY date), 0) - 1 AS m FROM bars),
-  y AS (SELECT symbol, as_of_date, CASE WHEN m IS NOT NULL THEN percent_rank() OVER (PARTITION BY as_of_date, m IS NULL ORDER BY m) END AS momentum_pct,
-    percent_rank() OVER (PARTITION BY as_of_date ORDER BY v) AS volume_pct FROM x WHERE as_of_date IN (SELECT max(date) FROM bars GROUP BY date_trunc('month', date))),
-  z AS (SELECT symbol, as_of_date, unnest(['momentum_pct', 'volume_pct']) AS component, unnest([momentum_pct, volume_pct]) AS pct FROM y),
-  k AS (SELECT as_of_date, horizon, component, rank() OVER (PARTITION BY as_of_date, horizon, component ORDER BY pct) + (count(*) OVER (PARTITION BY as_of_date, horizon, component, pct) - 1) / 2 AS a,
-    rank() OVER (PARTITION BY as_of_date, horizon, component ORDER BY excess_return) + (count(*) OVER (PARTITION BY as_of_date, horizon, component, excess_return) - 1) / 2 AS b
-    FROM z JOIN fr USING (symbol, as_of_date) WHERE pct IS NOT NULL AND excess_return IS NOT NULL)
-  SELECT as_of_date, horizon, component, round(corr(a, b), 4) AS ic FROM k GROUP BY ALL""",
+    "set_01_frozen": f"""WITH {ST}, iy AS (SELECT variant, horizon, year(as_of_date) AS y, avg(ic) AS ic FROM ic GROUP BY ALL),
+  ib AS (SELECT variant, horizon, string_agg(y || ':' || round(ic, 6)::DECIMAL(18, 6), ',' ORDER BY y) AS ic_by_year FROM iy GROUP BY ALL), im AS (SELECT variant, horizon, avg(ic) AS ic_mean FROM ic GROUP BY ALL),
+  sh AS (SELECT variant, sha256(string_agg(lpad(horizon::VARCHAR, 4, '0') || ':' || round(mean, 6)::DECIMAL(18, 6) || ':' || round(p10, 6)::DECIMAL(18, 6) || ':' || round(p90, 6)::DECIMAL(18, 6) || ':' || n_dates, ',' ORDER BY horizon)) AS source_sha256
+    FROM ex GROUP BY variant)
+  SELECT variant, horizon, n_dates, ic_by_year, {HAIRCUT}::DOUBLE AS haircut, sha256('{DEFINITION}') AS definition_hash, source_sha256, round(mean * {HAIRCUT}, 6) AS mean, round(p10 * {HAIRCUT}, 6) AS p10,
+    round(p90 * {HAIRCUT}, 6) AS p90, round(ic_mean, 6) AS ic_mean FROM ex JOIN ib USING (variant, horizon) JOIN im USING (variant, horizon) JOIN sh USING (variant)""",
+    "call_06_due_rules": f"""WITH {BARS}, m AS (SELECT max(date) FILTER (date < DATE '2000-06-01') AS a, max(date) FILTER (date <= DATE '2000-06-30') AS b, max(date) AS c FROM bars)
+  SELECT 'mid month' AS rule, a AS due FROM m UNION ALL SELECT 'month end', b FROM m UNION ALL SELECT 'too early', NULL UNION ALL SELECT 'authorised', c FROM m UNION ALL SELECT 'other vintage', NULL""",
+    "set_02_attribution": f"""WITH {FR}, {_ATTR} SELECT as_of_date, horizon, component, round(corr(a, b), 4) AS ic FROM k GROUP BY ALL""",
+    "set_03_drift": f"""WITH {ST}, {_ATTR}, sr AS (SELECT * FROM se WHERE horizon = 21),
+  g AS (SELECT count(*) FILTER (as_of_date > coalesce((SELECT max(as_of_date) FROM sr WHERE NOT below_mean), DATE '0001-01-01')) AS m,
+    count(*) FILTER (as_of_date > coalesce((SELECT max(as_of_date) FROM sr WHERE NOT below_p10), DATE '0001-01-01')) AS p FROM sr),
+  c AS (SELECT as_of_date, component, corr(a, b) AS ic FROM k WHERE horizon = 21 AND as_of_date IN (SELECT as_of_date FROM sr) GROUP BY ALL),
+  t AS (SELECT component AS signal, count(ic) AS n, avg(ic) / nullif(stddev_samp(ic), 0) * sqrt(count(ic)) AS t FROM c WHERE ic IS NOT NULL GROUP BY ALL)
+  SELECT 'below_mean' AS signal, m AS n, NULL::DOUBLE AS t, CASE WHEN m >= 3 THEN 'review' END AS action FROM g UNION ALL SELECT 'below_p10', p, NULL, CASE WHEN p >= 2 THEN 'review' END FROM g
+  UNION ALL SELECT signal, n, round(t, 3), CASE WHEN n >= 3 AND abs(t) < 1 THEN 'demotion_review' END FROM t""",
     "set_03_trailing": f"""WITH {ST} SELECT horizon, count(*) FILTER (as_of_date > coalesce((SELECT max(as_of_date) FROM se s WHERE s.horizon = se.horizon AND NOT s.below_mean), DATE '0001-01-01')) AS trailing_below_mean,
   count(*) FILTER (as_of_date > coalesce((SELECT max(as_of_date) FROM se s WHERE s.horizon = se.horizon AND NOT s.below_p10), DATE '0001-01-01')) AS trailing_below_p10 FROM se GROUP BY horizon""",
     "set_04_agreement": f"""WITH {HL}, v AS (SELECT max(as_of_date) AS vintage FROM cl WHERE as_of_date < DATE '2000-01-01'),
@@ -331,7 +395,7 @@ SQL = {
     "hld_02_reconcile": f"""WITH {TR}, w AS (SELECT account, symbol, net, quantity, CASE WHEN net < -1e-9 THEN 'oversold' WHEN quantity IS NOT NULL AND abs(quantity - net) > 1e-9 THEN 'differs'
   WHEN quantity IS NULL AND net > 1e-9 THEN 'missing' END AS warning FROM nt LEFT JOIN ps USING (account, symbol)) SELECT * FROM w WHERE warning IS NOT NULL""",
     "hld_03_loss_harvest": f"""WITH {HL}, lp AS (SELECT symbol, arg_max(close, date) AS last FROM bars GROUP BY symbol),
-  b AS (SELECT lt.*, bars.close AS thn FROM lt ASOF LEFT JOIN bars ON bars.symbol = lt.symbol AND bars.date <= lt.date WHERE lt.open > 1e-9 AND account NOT LIKE 'ira%'),
+  b AS (SELECT lt.*, bars.close AS thn FROM lt ASOF LEFT JOIN bars ON bars.symbol = lt.symbol AND bars.date <= lt.date WHERE lt.open > 1e-9 AND account NOT LIKE 'ira%' AND account NOT LIKE '%401%'),
   c AS (SELECT *, coalesce(price, thn) AS basis FROM b JOIN lp USING (symbol))
   SELECT account, symbol, open AS qty, date AS acquired, (DATE '2001-06-01' - date) >= 365 AS long_term,
     symbol IN (SELECT symbol FROM tr WHERE side = 'buy' AND NOT seed AND date >= DATE '2001-06-01' - 30) AS wash_sale,
@@ -342,4 +406,4 @@ SQL = {
   SELECT symbol, CASE WHEN NOT tracked THEN 'punt' WHEN flagged AND DATE '2002-01-15' - bought < 60 THEN 'too-soon' WHEN flagged THEN 'act' ELSE 'keep' END AS verdict, flagged, flagged AND NOT was AS newly FROM f""",
 }
 
-SQL["bt_10_decay_ladder"] = SQL["bt_10_evaluate"].replace("(VALUES (21), (63)) v(h)", f"(VALUES {', '.join(f'({h})' for h in _LADDER)}) v(h)")
+SQL["bt_10_decay_ladder"] = SQL["bt_10_evaluate"].replace(_returns_sql(_RUNGS), _returns_sql(_LADDER))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import mid_amount
+from ..functions.scalars import QUOTE_NUMBERS, QUOTE_TEXTS, mid_amount, quoted_fields, snake_case
 from ..operators.joins import asof_left, valid_at, with_optional
-from ..operators.scd2 import scd2_apply, versions
+from ..operators.scd2 import current, scd2_apply, versions
 from ..operators.windows import bucket, carried
 from ..plans import calendar as cal
 from ..plans import quality as qa
+from ..plans.fundamentals import CONCEPTS, concepts
 from ..sources import landing, sinks
 from ..sources.tables import FACTS_JSON, Tables
 from ..streaming import streams
@@ -26,7 +27,7 @@ def src_01_prices(spark, d):
     raw = t.bars().withColumnRenamed("close", "Close").withColumn("Close", F.when(F.dayofmonth("date") != 13, F.col("Close")))
     landed = landing.land_prices(raw, "1996-01-01")
     landed = landing.with_provenance(landed, "run-1", "files", F.col("date"), F.lit("2024-01-01").cast("timestamp"))
-    return landed.drop("_ingest_ts", "_source_event_ts")
+    return landed
 
 
 def src_03_numbers(spark, d):
@@ -59,14 +60,15 @@ def src_06_disclosures(spark, d):
 
 
 def src_08_facts_json(spark, d):
-    """Facts nested as JSON per company and flattened again."""
-    f = Tables(spark, d).facts().filter("tag in ('Revenues', 'Assets')")
+    """All facts nested as JSON per company, and those of the wanted taxonomies and tags flattened again."""
+    f = Tables(spark, d).facts()
     entry = F.struct(F.col("start_date").cast("string").alias("start"), F.col("end_date").cast("string").alias("end"), F.col("value").alias("val"), F.col("fiscal_year").alias("fy"), F.col("fiscal_period").alias("fp"), "form", F.col("filed").cast("string").alias("filed"))
     per_tag = f.groupBy("symbol", "taxonomy", "tag").agg(F.collect_list(entry).alias("entries"))
-    unit = F.struct(F.create_map(F.lit("USD"), F.col("entries")).alias("units"))
+    unit = F.struct(F.create_map(F.when(F.col("tag").endswith("SharesOutstanding"), "shares").otherwise("USD"), F.col("entries")).alias("units"))
     tags = per_tag.groupBy("symbol", "taxonomy").agg(F.map_from_entries(F.collect_list(F.struct("tag", unit.alias("v")))).alias("tags"))
-    text = tags.select("symbol", F.to_json(F.create_map("taxonomy", "tags")).alias("json"))
-    wanted = spark.createDataFrame([("us-gaap", "Revenues", "USD"), ("us-gaap", "Assets", "USD")], "taxonomy string, tag string, unit string")
+    text = tags.groupBy("symbol").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("taxonomy", "tags")))).alias("json"))
+    wanted = [(taxonomy, tag, "shares" if taxonomy == "dei" else "USD") for taxonomy, *tags in CONCEPTS.values() for tag in tags]
+    wanted = spark.createDataFrame(wanted, "taxonomy string, tag string, unit string")
     return landing.flatten_facts(text.select("symbol", F.from_json("json", FACTS_JSON).alias("facts")), wanted)
 
 
@@ -84,7 +86,7 @@ def src_09_listings(spark, d):
 
 def src_12_without_facts(spark, d):
     t = Tables(spark, d)
-    has = t.facts().filter("fiscal_year >= 1996 and value > 5e7").select("symbol")
+    has = concepts(t.facts()).filter("year(end_date) >= 1996 and value > 5e7").select("symbol")
     return t.bars().select("symbol").distinct().join(has, "symbol", "left_anti")
 
 
@@ -132,7 +134,7 @@ def snk_05_first_write(spark, d):
     b = Tables(spark, d).bars().select("symbol", F.col("date").alias("as_of_date"), "close").withColumn("methodology_version", F.lit("v1"))
     path = sinks.scratch(spark, "rounds")
     sinks.write_append(b.filter("as_of_date < '1997-01-01'"), path)
-    again = b.filter("as_of_date >= '1996-06-01' and as_of_date < '1998-01-01'").withColumn("close", F.col("close") * 2)
+    again = b.filter("as_of_date >= '1996-06-01'").withColumn("close", F.col("close") * 2)
     sinks.write_append(sinks.new_rounds(spark.read.parquet(path), again), path)
     return spark.read.parquet(path)
 
@@ -169,6 +171,20 @@ def dim_06_security(spark, d):
     return s.select(n.alias("security_key"), "symbol", "sector").unionByName(unknown)
 
 
+def dim_07_current(spark, d):
+    v = versions(events(Tables(spark, d)), "symbol", ["sector"], "ts", ["event_id"])
+    return current(v, "symbol").select("symbol", "sector", "effective_from")
+
+
+def prj_01_quotes(spark, d):
+    """A quote service's fields of each brand, made of its parts, under the serving table's names."""
+    mean, least = F.avg("p_retailprice"), F.min("p_name")
+    p = Tables(spark, d).read("part").groupBy(F.col("p_brand").alias("symbol")).agg(
+        *(F.concat(least, F.lit(f" {c}")).alias(c) for c in QUOTE_TEXTS), *(F.round(mean * (i + 1), 4).alias(c) for i, c in enumerate(QUOTE_NUMBERS))
+    )
+    return p.select("symbol", *quoted_fields())
+
+
 def jn_04_valid_at(spark, d):
     t = Tables(spark, d)
     v = versions(events(t), "symbol", ["sector"], "ts", ["event_id"])
@@ -183,7 +199,11 @@ def fct_02_fundamentals(spark, d):
 
 
 def dim_01_calendar(spark, d):
-    return cal.calendar(spark, "1995-01-01", "2026-12-31")
+    """The calendar of the whole years that have bars, with the symbols that traded on each day."""
+    b = Tables(spark, d).bars()
+    span = b.agg(F.trunc(F.min("date"), "year").alias("a"), F.make_date(F.year(F.max("date")), F.lit(12), F.lit(31)).alias("b"))
+    traded = b.groupBy("date").agg(F.count("*").alias("n_symbols"), F.sum("volume").alias("volume"))
+    return cal.calendar_of(span.select(F.explode(F.sequence("a", "b")).alias("date"))).join(traded, "date", "left")
 
 
 def dim_02_split_days(spark, d):
@@ -207,8 +227,13 @@ def jn_16_exists(spark, d):
 
 
 def jn_21_optional(spark, d):
-    n = Tables(spark, d).read("nation").select("n_nationkey")
-    return with_optional(n, None, ["n_nationkey"], {"score": "double", "label": "string"})
+    """Nations with the optional scores of their customers, once with that side (for nations of even number) and once without it."""
+    t = Tables(spark, d)
+    n = t.read("nation").select("n_nationkey")
+    scores = t.read("customer").filter("c_nationkey % 2 = 0").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.round(F.avg("c_acctbal"), 4).alias("score"), F.min("c_mktsegment").alias("label"))
+    types = {"score": "double", "label": "string"}
+    both = [with_optional(n, right, ["n_nationkey"], types).withColumn("side", F.lit(name)) for name, right in (("there", scores), ("absent", None))]
+    return both[0].unionByName(both[1])
 
 
 def gld_14_disclosures(spark, d):
@@ -220,7 +245,7 @@ def gld_14_disclosures(spark, d):
 
 
 def ag_02_pivot(spark, d):
-    f = Tables(spark, d).facts().filter("form = '10-K'")
+    f = Tables(spark, d).facts().filter("form = '10-K' and taxonomy = 'us-gaap'")
     return f.groupBy("symbol", "fiscal_year").pivot("tag", ["Revenues", "NetIncomeLoss", "Assets"]).agg(F.max("value"))
 
 
@@ -232,6 +257,13 @@ def ag_04_median(spark, d):
     )
 
 
+def ag_05_approximate(spark, d):
+    """Approximate quarters; with an accuracy above the rows of a group they are exact."""
+    o = Tables(spark, d).read("orders")
+    q = lambda p: F.percentile_approx("o_totalprice", F.lit(p), 1_000_000)
+    return o.groupBy("o_orderpriority").agg(q(0.25).alias("q25"), q(0.75).alias("q75"))
+
+
 def ag_09_strings(spark, d):
     n = Tables(spark, d).read("nation")
     return n.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ", ").alias("names"), F.count("*").alias("n")).filter("n > 1")
@@ -313,16 +345,24 @@ def str_03_hysteresis(spark, d):
     return streams.run(streams.in_position(streams.read_files(spark, d, "events"), "user_id", "ts", "value", 60.0, 20.0), "hysteresis")
 
 
-QUERIES = {k: v for k, v in globals().items() if k[:4] in ("src_", "snk_", "dim_", "fct_", "gld_", "str_") or k[:3] in ("jn_", "ag_", "wn_", "tk_", "st_", "fn_", "qa_")}
+QUERIES = {k: v for k, v in globals().items() if k[:4] in ("src_", "snk_", "prj_", "dim_", "fct_", "gld_", "str_") or k[:3] in ("jn_", "ag_", "wn_", "tk_", "st_", "fn_", "qa_")}
 
 _D = LINES
+_NUM = "regexp_extract(symbol, '(\\d+)', 1)::INT"
+_AS_FILED = f"""f1 AS (SELECT symbol, y, unnest(['Revenues', 'SalesRevenueNet', CASE WHEN y % 2 = 0 THEN 'RevenueFromContractWithCustomerExcludingAssessedTax' END,
+    CASE WHEN {_NUM} % 3 = 0 THEN 'CostOfGoodsSold' ELSE 'CostOfRevenue' END, 'NetIncomeLoss', 'EntityCommonStockSharesOutstanding', 'Assets',
+    CASE WHEN {_NUM} % 4 = 0 THEN 'StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest' ELSE 'StockholdersEquity' END]) AS tag,
+    unnest([rev, round(rev * 0.9, 4), round(rev * 0.98, 4), cost, ni, sh, ast, eq]::DOUBLE[]) AS value FROM fy),
+f2 AS (SELECT *, '10-K' AS form, 45 AS days FROM f1 WHERE tag IS NOT NULL UNION ALL SELECT symbol, y, tag, round(value * 1.01, 4), '10-K/A', 410 FROM f1 WHERE tag = 'Revenues'),
+af AS (SELECT *, CASE WHEN tag LIKE 'Entity%' THEN 'dei' ELSE 'us-gaap' END AS taxonomy,
+  CASE WHEN tag NOT LIKE 'Entity%' AND tag NOT LIKE 'Stock%' AND tag <> 'Assets' THEN make_date(y, 1, 1) END AS start_date FROM f2)"""
 _DISC = """di AS (SELECT c_mktsegment AS symbol, c_nationkey AS office, o_orderpriority[1] AS owner, o_orderstatus AS raw_type, o_totalprice AS amount, o_orderdate::DATE AS transaction_date,
   m AS disclosure_date, o_orderkey AS id FROM orders JOIN customer ON o_custkey = c_custkey JOIN (SELECT l_orderkey, max(l_shipdate)::DATE AS m FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey)"""
 _MID = """CASE WHEN amount < 1000 THEN 500 WHEN amount < 15000 THEN 8000 WHEN amount < 50000 THEN 32500 WHEN amount < 100000 THEN 75000 WHEN amount < 250000 THEN 175000
   WHEN amount < 500000 THEN 375000 WHEN amount < 1000000 THEN 750000 ELSE 1000000 END::DOUBLE"""
 _VER = """ve AS (SELECT user_id::VARCHAR AS symbol, ts AS effective_from, event_type AS sector, lead(ts) OVER w AS effective_to FROM
   (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM events {where}) WHERE was IS NULL OR was <> event_type WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
-_CAL0 = "c0 AS (SELECT d::DATE AS date, year(d)::INT AS y, month(d)::INT AS m, day(d)::INT AS dom, isodow(d)::INT - 1 AS dow FROM generate_series(DATE '{a}', DATE '{b}', INTERVAL 1 DAY) t(d))"
+_CAL0 = "c0 AS (SELECT d::DATE AS date, year(d)::INT AS y, month(d)::INT AS m, day(d)::INT AS dom, isodow(d)::INT - 1 AS dow FROM generate_series({a}, {b}, INTERVAL 1 DAY) t(d))"
 
 
 def _calendar_sql(a: str, b: str) -> str:
@@ -347,7 +387,8 @@ def _calendar_sql(a: str, b: str) -> str:
 
 
 SQL = {
-    "src_01_prices": f"""WITH {BARS} SELECT symbol, date, open, high, low, close, volume, 'run-1' AS _run_id, 'files' AS _source_system, 'full' AS _load_type FROM bars
+    "src_01_prices": f"""WITH {BARS} SELECT symbol, date, open, high, low, close, volume, 'run-1' AS _run_id, 'files' AS _source_system, 'full' AS _load_type,
+  date AS _source_event_ts, TIMESTAMP '2024-01-01' AS _ingest_ts FROM bars
   WHERE day(date) <> 13 AND date >= DATE '1996-01-01'""",
     "src_03_numbers": "SELECT c_custkey, CASE WHEN c_custkey % 50 <> 0 AND c_custkey % 51 <> 0 AND c_custkey % 52 <> 0 THEN c_acctbal END AS balance FROM customer",
     "src_04_series": """SELECT event_type AS series, ts::DATE AS date, count(*)::DOUBLE AS value, CASE event_type WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' ELSE 'sales' END AS name
@@ -357,8 +398,8 @@ SQL = {
   UNION ALL SELECT date, 'mom', mom / 100 FROM e WHERE date >= DATE '2024-01-10'""",
     "src_06_disclosures": f"""WITH {_DISC} SELECT id, CASE WHEN id % 11 <> 0 THEN symbol END AS symbol, CASE raw_type WHEN 'F' THEN 'purchase' WHEN 'O' THEN 'sale' WHEN 'P' THEN 'exchange' END AS type,
   transaction_date, {_MID} AS amount_mid FROM di""",
-    "src_08_facts_json": f"""WITH {_D}, {FACTS} SELECT symbol, 'us-gaap' AS taxonomy, CASE concept WHEN 'revenues' THEN 'Revenues' ELSE 'Assets' END AS tag, 'USD' AS unit, start_date, end_date, value,
-  year(end_date)::INT AS fiscal_year, 'FY' AS fiscal_period, form, filed FROM silver WHERE concept IN ('revenues', 'assets')""",
+    "src_08_facts_json": f"""WITH {_D}, {FACTS}, {_AS_FILED} SELECT symbol, taxonomy, tag, CASE taxonomy WHEN 'dei' THEN 'shares' ELSE 'USD' END AS unit, start_date, make_date(y, 12, 31) AS end_date, value,
+  y AS fiscal_year, 'FY' AS fiscal_period, form, make_date(y, 12, 31) + days AS filed FROM af""",
     "src_09_listings": r"""WITH s AS (SELECT *, translate(s_suppkey::VARCHAR, '0123456789', 'ABCDEFGHIJ') AS l FROM supplier),
   x AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 9 = 0 THEN l || '.W' ELSE l END AS symbol, CASE WHEN s_suppkey % 8 = 0 THEN s_name || ' Warrant' ELSE s_name END AS name,
     CASE WHEN s_suppkey % 7 = 0 THEN 'Y' ELSE 'N' END AS test_issue, CASE WHEN s_suppkey % 6 = 0 THEN 'Y' ELSE 'N' END AS etf FROM s)
@@ -374,7 +415,7 @@ SQL = {
   CASE WHEN (date - DATE '1970-01-01') % 7 = 0 THEN 'run-2' ELSE 'run-1' END AS _run_id FROM bars""",
     "snk_04_replace": f"""WITH {BARS}, b AS (SELECT *, regexp_extract(symbol, '(\\d+)', 1)::INT AS n FROM bars), f AS (SELECT symbol, date, open, high, low, close + 1 AS close, volume FROM b WHERE n % 2 = 0 AND date >= DATE '2000-01-01')
   SELECT * FROM f UNION ALL SELECT symbol, date, open, high, low, close, volume FROM b WHERE symbol NOT IN (SELECT symbol FROM f)""",
-    "snk_05_first_write": f"""WITH {BARS} SELECT symbol, date AS as_of_date, CASE WHEN date < DATE '1997-01-01' THEN close ELSE close * 2 END AS close, 'v1' AS methodology_version FROM bars WHERE date < DATE '1998-01-01'""",
+    "snk_05_first_write": f"""WITH {BARS} SELECT symbol, date AS as_of_date, CASE WHEN date < DATE '1997-01-01' THEN close ELSE close * 2 END AS close, 'v1' AS methodology_version FROM bars""",
     "snk_07_trials": """SELECT r_regionkey + 1 AS trial, r_name AS variant FROM region UNION ALL
   SELECT (SELECT max(r_regionkey) + 1 FROM region) + row_number() OVER (ORDER BY n_name), n_name FROM nation WHERE n_nationkey < 3""",
     "dim_03_versions": f"WITH {_VER.format(where='')} SELECT symbol, sector, effective_from, effective_to, effective_to IS NULL AS is_current FROM ve",
@@ -388,18 +429,24 @@ SQL = {
   SELECT dd.symbol, dd.date, sector, effective_from FROM dd LEFT JOIN ve ON ve.symbol = dd.symbol AND effective_from::DATE < dd.date AND (effective_to IS NULL OR effective_to::DATE >= dd.date)
   QUALIFY row_number() OVER (PARTITION BY dd.symbol, dd.date ORDER BY effective_from DESC NULLS LAST) = 1""",
     "fct_02_fundamentals": f"WITH {BARS}, {KNOWN} SELECT b.symbol, b.date, k.filed, round(k.net_income, 4) AS net_income, round(k.roe, 4) AS roe FROM bars b ASOF LEFT JOIN known k ON k.symbol = b.symbol AND k.filed <= b.date",
-    "dim_01_calendar": f"WITH {_calendar_sql('1995-01-01', '2026-12-31')} SELECT * FROM cal",
+    "dim_01_calendar": f"""WITH {BARS}, {_calendar_sql("(SELECT date_trunc('year', min(date)) FROM bars)", "(SELECT make_date(year(max(date)), 12, 31) FROM bars)")},
+  n AS (SELECT date, count(*) AS n_symbols, sum(volume)::BIGINT AS volume FROM bars GROUP BY date) SELECT * FROM cal LEFT JOIN n USING (date)""",
     "dim_02_split_days": f"""WITH {RAW}, sp AS (SELECT date, string_agg(symbol, ',' ORDER BY symbol) AS s FROM raw WHERE split_ratio > 0 GROUP BY date),
   dd AS (SELECT unnest(generate_series((SELECT min(date) FROM bars), (SELECT max(date) FROM bars), INTERVAL 1 DAY))::DATE AS date)
   SELECT date, s IS NOT NULL AS is_split_day, s AS split_symbols FROM dd LEFT JOIN sp USING (date)""",
-    "jn_20_drill_across": f"""WITH {BARS}, {SEC}, {_calendar_sql('1995-01-01', '2002-12-31')} SELECT sector, year, quarter, count(*) FILTER (is_session) AS sessions, sum(volume)::BIGINT AS volume, round(avg(close), 4) AS avg_close
+    "jn_20_drill_across": f"""WITH {BARS}, {SEC}, {_calendar_sql("DATE '1995-01-01'", "DATE '2002-12-31'")} SELECT sector, year, quarter, count(*) FILTER (is_session) AS sessions, sum(volume)::BIGINT AS volume, round(avg(close), 4) AS avg_close
   FROM bars JOIN sec USING (symbol) JOIN cal USING (date) GROUP BY ALL""",
     "jn_16_exists": "SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000) AS tracked FROM customer",
-    "jn_21_optional": "SELECT n_nationkey, NULL::DOUBLE AS score, NULL::VARCHAR AS label FROM nation",
+    "dim_07_current": f"WITH {_VER.format(where='')} SELECT symbol, sector, effective_from FROM ve WHERE effective_to IS NULL",
+    "prj_01_quotes": f"""SELECT p_brand AS symbol, {", ".join(f"min(p_name) || ' {c}' AS {snake_case(c)}" for c in QUOTE_TEXTS)},
+  {", ".join(f"round(avg(p_retailprice) * {i + 1}, 4) AS {snake_case(c)}" for i, c in enumerate(QUOTE_NUMBERS))} FROM part GROUP BY p_brand""",
+    "ag_05_approximate": "SELECT o_orderpriority, quantile_disc(o_totalprice, 0.25) AS q25, quantile_disc(o_totalprice, 0.75) AS q75 FROM orders GROUP BY ALL",
+    "jn_21_optional": """WITH c AS (SELECT c_nationkey, round(avg(c_acctbal), 4) AS score, min(c_mktsegment) AS label FROM customer WHERE c_nationkey % 2 = 0 GROUP BY 1)
+  SELECT n_nationkey, score, label, 'there' AS side FROM nation LEFT JOIN c ON c_nationkey = n_nationkey
+  UNION ALL SELECT n_nationkey, NULL::DOUBLE, NULL::VARCHAR, 'absent' FROM nation""",
     "gld_14_disclosures": f"""WITH {_DISC} SELECT symbol, office, CASE raw_type WHEN 'F' THEN 'purchase' ELSE 'sale' END AS type, owner, max(transaction_date) AS last,
   round(avg(disclosure_date - transaction_date), 4) AS lag_days, count(*) AS n, sum({_MID}) AS mid_total FROM di WHERE raw_type IN ('F', 'O') GROUP BY ALL""",
-    "ag_02_pivot": f"""WITH {_D}, {FACTS} SELECT symbol, year(end_date)::INT AS fiscal_year, max(value) FILTER (concept = 'revenues') AS "Revenues", max(value) FILTER (concept = 'net_income') AS "NetIncomeLoss",
-  max(value) FILTER (concept = 'assets') AS "Assets" FROM silver WHERE form = '10-K' GROUP BY ALL""",
+    "ag_02_pivot": f"""WITH {_D}, {FACTS} SELECT symbol, y AS fiscal_year, rev AS "Revenues", ni AS "NetIncomeLoss", ast AS "Assets" FROM fy""",
     "ag_04_median": """SELECT o_orderpriority, round(median(o_totalprice), 4) AS median, round(median(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END), 4) AS median_f, round(quantile_cont(o_totalprice, 0.1), 4) AS p10,
   count(*) FILTER (o_orderstatus = 'O') AS n_open, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY ALL""",
     "ag_09_strings": "SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS names, count(*) AS n FROM nation GROUP BY ALL HAVING count(*) > 1",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import indicators as ind
 from ..functions.scalars import net_return
 from ..operators.joins import on_latest
 from ..plans import backtest as bt
@@ -14,15 +15,14 @@ from ..plans import gold, quality, scoring
 from ..plans import holdings as hd
 from ..sources import landing, sinks
 from ..sources.tables import QQQ, SPY, Tables
-from .evaluation import FR, FRCL, HL, TR, calls, frame, held, positions, returns
-from .gold import ALERT_SQL, SEC, SIG, WIDE, signals, wide
+from .evaluation import CL, FR, FRCL, HAIRCUT, HL, TR, calls, frame, held, positions, returns
+from .gold import _COMP, _PCT, ALERT_SQL, SEC, SIG, WIDE, signals, wide
+from .gold import SQL as GOLD_SQL
 from .prices import r4
 from .sqltext import BARS, RAW, rounded
 
 _NOW = "as_of_date = (SELECT max(as_of_date) FROM sig)"
 _ALERTS = f"{WIDE}, {ALERT_SQL.format(when=_NOW)}"
-#: The share of a walk-forward result that a frozen expectation keeps.
-HAIRCUT = 0.5
 
 
 def view_09_active_alerts(spark, d):
@@ -53,7 +53,7 @@ def view_16_three_facts(spark, d):
     by = ["symbol", "year"]
     p = t.prices.groupBy("symbol", F.year("date").alias("year")).agg(F.avg("close").alias("close"), F.sum("volume").alias("volume"))
     s = signals(t).groupBy("symbol", F.year("as_of_date").alias("year")).agg(F.avg("rsi").alias("rsi"))
-    f = t.facts().filter("tag = 'Assets'").select("symbol", F.col("fiscal_year").alias("year"), F.col("value").alias("assets"))
+    f = t.facts().filter("taxonomy = 'us-gaap' and tag = 'Assets'").select("symbol", F.col("fiscal_year").alias("year"), F.col("value").alias("assets"))
     return r4(p.join(s, by, "left").join(f, by, "left"), [*by, "volume", "assets"], "close, rsi")
 
 
@@ -85,8 +85,8 @@ def view_23_rank_and_risk(spark, d):
 
 
 def trade_log(t: Tables) -> DataFrame:
-    """Large buys in the shape of the manual log."""
-    b = t.trades().filter("side = 'buy' and price is not null and qty >= 45")
+    """Priced buys in the shape of the manual log."""
+    b = t.trades().filter("side = 'buy' and price is not null")
     dec = lambda c, p, s: c.cast(T.DecimalType(p, s))
     return b.select(
         F.col("date").alias("trade_date"), "symbol", F.lit("BUY").alias("action"), dec(F.col("qty"), 12, 4).alias("shares"), dec(F.col("price"), 12, 4).alias("price"),
@@ -228,9 +228,151 @@ def call_settled_rounds(spark, d):
     return cl.rounds(calls(t), "v2").join(closed, "as_of_date").groupBy("horizon").agg(F.count("*").alias("rounds"), F.sum(F.size("calls")).alias("calls"))
 
 
-QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and k not in ("trade_log",)}
+def _gate(t: Tables, s: DataFrame, best: DataFrame, most: float) -> DataFrame:
+    """All brands against the newest session of the bars."""
+    newest = t.prices.agg(F.max("date").alias("session"))
+    latest = s.groupBy("symbol").agg(F.max("as_of_date").alias("last_date")).crossJoin(F.broadcast(newest))
+    return gold.gate(latest, t.securities(), best, F.col("session"), most=most).drop("session")
+
+
+def gld_02_gate(spark, d):
+    t = Tables(spark, d)
+    s = signals(t)
+    return _gate(t, s, gold.watchlist(s), 0.02).select("symbol", "last_date", "critical", "stale", "status")
+
+
+def gld_03_snapshot(spark, d):
+    """A day recorded once: a second run of the version changes nothing, a new version stands beside it."""
+    t = Tables(spark, d)
+    s = signals(t)
+    best = sinks.stored(gold.watchlist(s), "watchlist")
+    gated = sinks.stored(_gate(t, s, best, 1.0), "gate")
+    path = sinks.scratch(spark, "recommendations")
+    sinks.write_append(gold.snapshot(best, gated, None, "v1", "run-1"), path)
+    for version, run, more in (("v1", "run-2", 1.0), ("v2", "run-3", 0.5)):
+        changed = best.withColumn("composite_score", F.col("composite_score") + more)
+        sinks.write_append(gold.snapshot(changed, gated, spark.read.parquet(path), version, run), path)
+    return r4(spark.read.parquet(path), ["symbol", "as_of_date", "composite_rank", "trade_signal", "methodology_version", "_run_id"], "composite_score, last_closing_price")
+
+
+def view_03_levels(spark, d):
+    """Oversold with quality at the documented thresholds, two of return on equity, and at the looser ones of ``view_03_oversold_quality``."""
+    x = on_latest(wide(Tables(spark, d)), "as_of_date")
+    levels = {"strict": "rsi < 30 and pe_ratio < 25 and roe > 0.15", "documented": "rsi < 30 and pe_ratio < 25 and roe > 0.10", "loose": "rsi < 45 and pe_ratio < 60 and roe > 0.01", "widest": "rsi < 60 and pe_ratio > 0 and roe > 0"}
+    return _at_levels(x, levels, "rsi, pe_ratio, roe")
+
+
+def view_04_levels(spark, d):
+    """Value with dividend safety at the two documented strictnesses, payout being dividends by earnings, and at that of ``view_04_value_dividend``."""
+    x = on_latest(wide(Tables(spark, d)), "as_of_date").withColumn("payout", F.try_divide(F.col("dividend_yield") * F.col("close"), F.col("eps")))
+    safe = "dividend_yield > 0.02 and not dividend_yield_trap"
+    levels = {"strict": f"pe_ratio between 8 and 20 and {safe} and payout < 0.70 and roe > 0.12", "documented": f"pe_ratio between 8 and 18 and {safe} and payout < 0.75",
+              "loose": "pe_ratio between 0 and 30 and dividend_yield > 0.005 and not dividend_yield_trap"}
+    return _at_levels(x, levels, "pe_ratio, dividend_yield, payout")
+
+
+def _at_levels(x: DataFrame, levels: dict[str, str], values: str) -> DataFrame:
+    """Each row once for every level that it meets, in one pass."""
+    met = F.array_compact(F.array(*(F.when(F.expr(c), F.lit(n)) for n, c in levels.items())))
+    return r4(x.withColumn("level", F.explode(met)), ["symbol", "level"], values)
+
+
+def view_08_beta(spark, d):
+    """Risk and return with beta."""
+    t = Tables(spark, d)
+    x = on_latest(wide(t), "as_of_date").join(ind.beta(t.prices, SPY), "symbol", "left")
+    return r4(x.filter("change_365d_pct is not null and atr_14d is not null"), ["symbol"], "beta, atr_14d, change_365d_pct")
+
+
+def view_09_alert_rows(spark, d):
+    """All active alerts."""
+    return r4(gold.alerts(signals(Tables(spark, d))), ["symbol", "as_of_date", "alert_type"], "alert_value")
+
+
+def view_12_spans(spark, d):
+    """The last 90 rows of a symbol's indicators, each with the shortest of the spans 30, 60 and 90 that holds it."""
+    w = Window.partitionBy("symbol").orderBy(F.col("as_of_date").desc())
+    x = signals(Tables(spark, d)).withColumn("rn", F.row_number().over(w)).filter("rn <= 90")
+    return r4(x.withColumn("span", F.ceil(F.col("rn") / 30).cast("int") * 30), ["symbol", "as_of_date", "span"], "rsi, macd_histogram, bollinger_bandwidth")
+
+
+def view_14_recent(spark, d):
+    """Weekly averages by sector over the last 90 days."""
+    t = Tables(spark, d)
+    newest = t.prices.agg(F.max("date").alias("_newest"))
+    x = wide(t).join(F.broadcast(newest), F.col("as_of_date") >= F.date_sub("_newest", 90)).filter("sector is not null")
+    x = x.groupBy("sector", F.to_date(F.date_trunc("week", "as_of_date")).alias("week")).agg(F.avg("rsi").alias("avg_rsi"), F.avg("change_30d_pct").alias("avg_change"))
+    return r4(x, ["sector", "week"], "avg_rsi, avg_change")
+
+
+def view_17_candidates(spark, d):
+    """The candidates of every bucket, best momentum first within it."""
+    x = gold.portfolio_candidates(signals(Tables(spark, d)))
+    place = F.row_number().over(Window.partitionBy("candidate_bucket").orderBy(F.col("change_30d_pct").desc_nulls_last(), "symbol"))
+    return r4(x.withColumn("place", place), ["symbol", "candidate_bucket", "place"], "rsi, pe_ratio, change_30d_pct")
+
+
+def view_24_top(spark, d):
+    """The ten best composites of the latest date."""
+    return r4(gold.watchlist(signals(Tables(spark, d))).orderBy("composite_rank", "symbol").limit(10), ["symbol", "composite_rank", "trade_signal"], "composite_score")
+
+
+def view_29_ranked(spark, d):
+    """Transactions of each brand by kind beside its latest rank."""
+    t = Tables(spark, d)
+    per = t.lines().groupBy(F.col("p_brand").alias("symbol"), F.col("l_returnflag").alias("type")).agg(F.count("*").alias("n"), F.to_date(F.max("l_shipdate")).alias("last"))
+    return r4(per.join(gold.watchlist(signals(t)).select("symbol", "composite_rank", "composite_score"), "symbol"), ["symbol", "type", "n", "last", "composite_rank"], "composite_score")
+
+
+def hld_08_emerging(spark, d):
+    """Names outside the top that are picking up, with their latest call."""
+    t = Tables(spark, d)
+    n = F.regexp_extract("symbol", r"(\d+)", 1).cast("int")
+    tags = t.securities().select("symbol", (n % 2 == 0).alias("is_watchlist"), (n % 5 == 0).alias("is_held"), (n % 3 == 0).alias("is_top_n"))
+    sight = scoring.line_of_sight(t.prices, tags, (1.0, 1.0, 0.5, 0.0, 0.9)).filter("emerging")
+    newest = calls(t).groupBy("symbol").agg(F.max_by("call", "as_of_date").alias("call"))
+    return r4(sight.join(newest, "symbol", "left"), ["symbol", "is_held", "call"], "mom_12_1, dv_acceleration")
+
+
+QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and k[0] != "_" and k not in ("trade_log",)}
+
+_SIGHT = GOLD_SQL["rank_11_line_of_sight"]
+_PAYOUT = "dividend_yield * close / nullif(eps, 0)"
+
+
+def _levels_sql(levels: dict[str, str], values: str) -> str:
+    parts = " UNION ALL ".join(f"SELECT symbol, '{n}' AS level, {rounded(values)} FROM wp WHERE {c}" for n, c in levels.items())
+    return f"{WIDE}, wp AS (SELECT *, {_PAYOUT} AS payout FROM wl) {parts.replace('SELECT symbol', 'SELECT wp.symbol')}"
+
+
+_WATCH = "p AS (SELECT *, {pct} FROM lst), c AS (SELECT *, {comp} AS composite_score FROM p), k AS (SELECT *, rank() OVER (ORDER BY composite_score DESC) AS composite_rank FROM c)".format(pct=_PCT, comp=_COMP)
 
 SQL = {
+    "gld_02_gate": f"""{SIG}, {_WATCH}, g AS (SELECT sec.symbol, m AS last_date, coalesce(composite_rank <= 20, false) AS critical, coalesce(m < (SELECT max(date) FROM bars), true) AS stale FROM sec
+    LEFT JOIN (SELECT symbol, max(as_of_date) AS m FROM sig GROUP BY symbol) USING (symbol) LEFT JOIN k USING (symbol))
+  SELECT symbol, last_date, critical, stale, CASE WHEN NOT stale THEN 'ok' WHEN critical OR (SELECT avg(stale::INT) FROM g) > 0.02 THEN 'error' ELSE 'warn' END AS status FROM g""",
+    "gld_03_snapshot": f"""{SIG}, {_WATCH} SELECT symbol, as_of_date, composite_rank, trade_signal, v AS methodology_version, r AS _run_id, round(composite_score + x, 4) AS composite_score, round(last_closing_price, 4) AS last_closing_price
+  FROM k, (VALUES ('v1', 'run-1', 0.0), ('v2', 'run-3', 0.5)) t(v, r, x)""",
+    "view_03_levels": _levels_sql({"strict": "wp.rsi < 30 AND wp.pe_ratio < 25 AND wp.roe > 0.15", "documented": "wp.rsi < 30 AND wp.pe_ratio < 25 AND wp.roe > 0.10", "loose": "wp.rsi < 45 AND wp.pe_ratio < 60 AND wp.roe > 0.01", "widest": "wp.rsi < 60 AND wp.pe_ratio > 0 AND wp.roe > 0"}, "rsi, pe_ratio, roe"),
+    "view_04_levels": _levels_sql({"strict": "wp.pe_ratio BETWEEN 8 AND 20 AND wp.dividend_yield > 0.02 AND NOT dividend_yield_trap AND wp.payout < 0.70 AND roe > 0.12",
+      "documented": "wp.pe_ratio BETWEEN 8 AND 18 AND wp.dividend_yield > 0.02 AND NOT dividend_yield_trap AND wp.payout < 0.75",
+      "loose": "wp.pe_ratio BETWEEN 0 AND 30 AND wp.dividend_yield > 0.005 AND NOT dividend_yield_trap"}, "pe_ratio, dividend_yield, payout"),
+    "view_08_beta": f"""{WIDE}, q AS (SELECT symbol, date, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY date), 0) - 1 AS r FROM bars),
+  x AS (SELECT q.symbol, q.date, q.r, b.r AS b FROM q JOIN q b ON b.symbol = '{SPY}' AND b.date = q.date WHERE q.r IS NOT NULL AND b.r IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q.symbol ORDER BY q.date DESC) <= 252),
+  be AS (SELECT symbol, CASE WHEN count(*) >= 20 THEN covar_samp(r, b) / nullif(var_samp(b), 0) END AS beta FROM x GROUP BY symbol)
+  SELECT symbol, round(be.beta, 4) AS beta, round(wl.atr_14d, 4) AS atr_14d, round(wl.change_365d_pct, 4) AS change_365d_pct FROM wl LEFT JOIN be USING (symbol) WHERE wl.change_365d_pct IS NOT NULL AND wl.atr_14d IS NOT NULL""",
+    "view_09_alert_rows": f"{_ALERTS} SELECT symbol, as_of_date, alert_type, round(alert_value, 4) AS alert_value FROM al",
+    "view_12_spans": f"""{SIG}, r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY as_of_date DESC) AS rn FROM sig)
+  SELECT symbol, as_of_date, ceil(rn / 30)::INT * 30 AS span, {rounded("rsi, macd_histogram, bollinger_bandwidth")} FROM r WHERE rn <= 90""",
+    "view_14_recent": f"""{WIDE} SELECT sector, date_trunc('week', as_of_date)::DATE AS week, round(avg(rsi), 4) AS avg_rsi, round(avg(change_30d_pct), 4) AS avg_change FROM wide
+  WHERE sector IS NOT NULL AND as_of_date >= (SELECT max(date) FROM bars) - 90 GROUP BY ALL""",
+    "view_17_candidates": f"""{SIG}, t AS (SELECT *, CASE WHEN change_30d_pct > 5 THEN 'top_momentum' WHEN rsi < 30 THEN 'oversold' WHEN pe_ratio < 15 AND dividend_yield > 0.02 THEN 'value_dividend'
+  WHEN bollinger_bandwidth < (SELECT quantile_cont(bollinger_bandwidth, 0.25) FROM lst) THEN 'low_volatility' ELSE 'watch' END AS candidate_bucket FROM lst)
+  SELECT symbol, candidate_bucket, row_number() OVER (PARTITION BY candidate_bucket ORDER BY t.change_30d_pct DESC NULLS LAST, symbol) AS place, {rounded("rsi, pe_ratio, change_30d_pct")} FROM t WHERE candidate_bucket <> 'watch'""",
+    "view_24_top": f"{SIG}, {_WATCH} SELECT symbol, composite_rank, trade_signal, round(composite_score, 4) AS composite_score FROM k ORDER BY composite_rank, symbol LIMIT 10",
+    "view_29_ranked": f"""{SIG}, {_WATCH}, l AS (SELECT p_brand AS symbol, l_returnflag AS type, count(*) AS n, max(l_shipdate)::DATE AS last FROM lines GROUP BY ALL)
+  SELECT symbol, type, n, last, composite_rank, round(composite_score, 4) AS composite_score FROM l JOIN k USING (symbol)""",
+    "hld_08_emerging": f"""SELECT s.symbol, s.is_held, c.call, s.mom_12_1, s.dv_acceleration FROM ({_SIGHT}) s LEFT JOIN (WITH {CL} SELECT symbol, arg_max(call, as_of_date) AS call FROM cl GROUP BY symbol) c USING (symbol) WHERE s.emerging""",
     "view_09_active_alerts": f"{_ALERTS} SELECT alert_type, count(*) AS n, count(DISTINCT symbol) AS symbols FROM al GROUP BY ALL",
     "view_10_alerts_joined": f"{_ALERTS} SELECT al.symbol, alert_type, sector, round(close, 4) AS close, round(pe_ratio, 4) AS pe_ratio, round(alert_value, 4) AS alert_value FROM al JOIN wide USING (symbol, as_of_date)",
     "view_11_traps": f"{SIG} SELECT symbol, dividend_yield_trap, {rounded('dividend_yield, dividend_yield_gap', 6)} FROM lst WHERE lst.dividend_yield_gap IS NOT NULL",
@@ -248,7 +390,7 @@ SQL = {
     "view_22_heat_map": f"""{WIDE}, r AS (SELECT *, rank() OVER (ORDER BY composite_score DESC) AS k FROM wl)
   SELECT sector, industry, count(*) AS n, min(k) AS best_rank, round(avg(composite_score), 4) AS avg_score FROM r GROUP BY ALL""",
     "view_23_rank_and_risk": f"{WIDE} SELECT symbol, rank() OVER (ORDER BY composite_score DESC) AS composite_rank, {rounded('risk_pct, atr_14d, bollinger_bandwidth')} FROM wl",
-    "gld_12_trade_log": f"""WITH {TR} SELECT symbol, count(*) AS n, sum(qty)::DOUBLE AS shares, round(sum((qty * price)::DECIMAL(14, 2))::DOUBLE, 0) AS total_cost FROM tr WHERE side = 'buy' AND price IS NOT NULL AND qty >= 45 GROUP BY symbol""",
+    "gld_12_trade_log": f"""WITH {TR} SELECT symbol, count(*) AS n, sum(qty)::DOUBLE AS shares, round(sum((qty * price)::DECIMAL(14, 2))::DOUBLE, 0) AS total_cost FROM tr WHERE side = 'buy' AND price IS NOT NULL GROUP BY symbol""",
     "view_25_unrealised": f"""WITH {HL}, lp AS (SELECT symbol, arg_max(close, date) AS last FROM bars GROUP BY symbol)
   SELECT symbol, round(sum(qty * (last - price)), 2) AS pnl, count(*) AS n FROM tr LEFT JOIN lp USING (symbol) WHERE side = 'buy' AND price IS NOT NULL GROUP BY symbol""",
     "view_29_disclosures": """WITH p AS (SELECT c_mktsegment AS symbol, count(*) AS n, max(o_orderdate)::DATE AS last FROM orders JOIN customer ON o_custkey = c_custkey
