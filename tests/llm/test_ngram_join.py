@@ -2,8 +2,11 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from panelmill.llm.components import components
 from panelmill.llm.ngram_join import JaccardParams, keep_one, least_matches, near_duplicates
+from panelmill.llm.shared import join_groups
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -89,3 +92,36 @@ def test_pruning_drops_far_fewer_links_than_the_bands():
     unmet = (1 - p.threshold**p.rows) ** p.bands
     assert dropped(p.threshold, need, p.bands) < unmet / 100
     assert dropped(0.85, need, p.bands) < 1e-9
+
+
+def test_star_stays_where_it_is(spark):
+    """The leaves of a hub aren't shuffled by the hub: it goes to every task."""
+    leaves = spark.range(1, 20_001).selectExpr("id as u", "0L as v")
+    few = spark.range(100).selectExpr("50000 + 2 * id as u", "50001 + 2 * id as v")
+    edges = leaves.unionByName(few)
+    groups = edges.groupBy("v").agg(F.max("u").alias("m"), F.count("*").alias("n"))
+    joined = join_groups(edges, groups, ["v"], 20_100)
+    assert joined.filter("v = 0").count() == 20_000 and joined.count() == 20_100
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 or plan.count("BroadcastHashJoin") == 3
+    roots = {r.node: r.root for r in components(edges).collect()}
+    assert len(roots) == 20_201 and all(roots[i] == 0 for i in range(20_001)) and all(roots[50001 + 2 * k] == 50000 + 2 * k for k in range(100))
+
+
+def test_pairs_across_the_edge_of_a_bucket(spark):
+    """Texts that link to each other, but of which only some are near the smallest id of the buckets that all are in."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    rows = []
+    for g in range(12):
+        shared = [word() for _ in range(r.randint(40, 90))]
+        rows.append(" ".join(shared + [word() for _ in range(len(shared))]))  # the smallest id: half of it is theirs
+        own = [word() for _ in range(r.randint(10, 60))]
+        for k in range(12):  # a chain: each keeps most of the one before
+            own = own[r.randint(0, 2) :] + [word() for _ in range(r.randint(0, 2))]
+            rows.append(" ".join(shared + own))
+    rows = list(enumerate(rows))
+    want = brute(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.class_id, x.n_links) for x in near_duplicates(docs, JaccardParams(block_texts=5)).collect()}
+    assert got == want and sum(n for _, n in want.values()) > 100
