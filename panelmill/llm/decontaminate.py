@@ -182,23 +182,23 @@ def _searcher(groups: list[_Windows]):
     return search
 
 
-def _sieve(groups: list[_Windows]):
-    """The rows whose texts have no window, whole."""
+def _leaks(groups: list[_Windows]):
+    """Whether a text has a window, as a function of a text column; the row's other columns stay in the JVM."""
 
-    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def leaks(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = WordHasher()
-        for batch in batches:
-            data, offsets = texts(batch.column("text"))
-            clean = np.ones(batch.num_rows, bool)
+        for column in columns:
+            data, offsets = texts(column)
+            found = np.zeros(len(column), bool)
             for a, b in slices(offsets):
                 part = data[offsets[a] : offsets[b]]
                 hashes, begin, end, at = hasher.words(part, offsets[a : b + 1] - offsets[a])
                 for g in groups:
                     for s, _ in g.occurrences(part, hashes, begin, end, at):
-                        clean[a + int(np.searchsorted(at, s, "right")) - 1] = False
-            yield batch.filter(pa.array(clean))
+                        found[a + int(np.searchsorted(at, s, "right")) - 1] = True
+            yield pa.array(found)
 
-    return sieve
+    return F.arrow_udf(leaks, "boolean", F.ArrowUDFType.SCALAR_ITER)
 
 
 _FOUND = "row long, doc_id long, n_words long, begins array<long>, ends array<long>, items array<long>"
@@ -276,5 +276,5 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, params: Decontamina
     """
     p = params or DecontaminationParams()
     for part in _parts(benchmark, p):
-        docs = docs.mapInArrow(_sieve(_windows(_collected(part), p.words)), docs.schema)
+        docs = docs.filter(~_leaks(_windows(_collected(part), p.words))("text"))
     return docs

@@ -31,11 +31,13 @@ N_STATISTICS = len(_KINDS) + 6
 
 @dataclass(frozen=True)
 class QualityParams:
-    """Shrinkage of a class covariance towards the pooled one and towards a multiple of the identity; the threshold."""
+    """Shrinkage of a class covariance towards the pooled one and towards a multiple of the identity; the threshold; the
+    labelled rows that teach, all of them up to this bound (in expectation: rows are drawn by a hash of doc_id)."""
 
     pooled: float = 0.1
     identity: float = 0.02
     threshold: float = 0.3
+    sample_rows: int = 200_000
 
 
 @dataclass(frozen=True)
@@ -83,9 +85,9 @@ def _statistics(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> np
     return out
 
 
-def _measured(batch: pa.RecordBatch, hasher: WordHasher) -> np.ndarray:
-    """The statistics of a batch's texts."""
-    data, offsets = texts(batch.column("text"))
+def _measured(column: pa.Array, hasher: WordHasher) -> np.ndarray:
+    """The statistics of a column's texts."""
+    data, offsets = texts(column)
     x = [_statistics(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher) for a, b in slices(offsets)]
     return np.concatenate(x) if x else np.empty((0, N_STATISTICS))
 
@@ -93,7 +95,7 @@ def _measured(batch: pa.RecordBatch, hasher: WordHasher) -> np.ndarray:
 def _measurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = WordHasher()
     for batch in batches:
-        x = _measured(batch, hasher)
+        x = _measured(batch.column("text"), hasher)
         ends = np.arange(0, x.size + 1, N_STATISTICS, dtype=np.int32)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))], names=["doc_id", "x"])
 
@@ -119,14 +121,22 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def teachers(labels: DataFrame, p: QualityParams) -> DataFrame:
+    """``doc_id, label`` of the labelled rows that teach: those that aren't held out, about ``sample_rows`` at most."""
+    known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label")).filter("label in (0, 1)").filter(~held_out(F.col("doc_id"))).distinct()
+    rate = min(1.0, p.sample_rows / max(1, known.count()))
+    return known if rate == 1 else known.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < int(rate * (1 << 30)))
+
+
 def fit(measured: DataFrame, labels: DataFrame, params: QualityParams | None = None) -> Discriminant:
-    """Learn from all rows of ``labels(doc_id, quality, ...)`` whose document in ``measured`` isn't held out.
+    """Learn from the ``teachers`` among ``labels(doc_id, quality, ...)`` and their documents in ``measured``.
 
-    Tasks return moments, a few hundred numbers by class, so the fit covers every labelled row at any size. Labels other
-    than 0 and 1 are ignored; rows and labels that share a doc_id teach once for each pair of them. A class without rows gets the other's moments, and the score is then its prior.
+    Their ids are sent to every task, as their number is bounded; tasks return moments, a few hundred numbers by class.
+    Labels other than 0 and 1 are ignored, a repeated label of a document counts once, rows that share a doc_id all teach. A
+    class without rows gets the other's moments, and the score is then its prior.
     """
     p = params or QualityParams()
-    rows = measured.filter(~held_out(F.col("doc_id"))).join(labels.select("doc_id", F.col("quality").alias("label")).filter("label in (0, 1)"), "doc_id")
+    rows = measured.join(F.broadcast(teachers(labels, p)), "doc_id")
     sums = np.zeros((2, 1 + N_STATISTICS + N_STATISTICS**2))
     found = rows.select("label", "x").mapInArrow(_moments, "label int, place int, value double").groupBy("label", "place").agg(F.sum("value").alias("value"))
     for r in found.collect():
@@ -171,15 +181,15 @@ def classify(docs: DataFrame, labels: DataFrame, params: QualityParams | None =
     )
 
 
-def _sieve(model: Discriminant, threshold: float):
-    """The rows that score ``threshold`` or more, whole."""
+def _text_score(model: Discriminant):
+    """The score as a function of a text column; the row's other columns stay in the JVM."""
 
-    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = WordHasher()
-        for batch in batches:
-            yield batch.filter(pa.array(model.score(_measured(batch, hasher)) >= threshold))
+        for column in columns:
+            yield pa.array(model.score(_measured(column, hasher)))
 
-    return sieve
+    return F.arrow_udf(score, "double", F.ArrowUDFType.SCALAR_ITER)
 
 
 def good(docs: DataFrame, labels: DataFrame, params: QualityParams | None = None) -> DataFrame:
@@ -189,8 +199,7 @@ def good(docs: DataFrame, labels: DataFrame, params: QualityParams | None = None
     judged like others, and what is kept is neither shuffled nor stored. The rows that teach are measured first.
     """
     p = params or QualityParams()
-    # stored, so that Spark knows its size: texts are shuffled only where the ids are too many to broadcast
-    taught = table(labels.filter("quality in (0, 1)").select("doc_id").distinct(), "taught")
-    known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id"))).join(taught, "doc_id", "left_semi")
+    ids = F.broadcast(teachers(labels, p).select("doc_id").distinct())
+    known = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
     model = fit(statistics(known), labels, p)
-    return docs.mapInArrow(_sieve(model, p.threshold), docs.schema)
+    return docs.filter(_text_score(model)("text") >= p.threshold)

@@ -258,11 +258,11 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams | None = None
     ``docs(doc_id, text, ...)`` and ``labels(doc_id, toxic, ...)``; labels other than 0 and 1 are ignored. Words that
     toxic rows have far more often join the insults, with their log odds as weights; words of the grammar stay what they
     are. Tasks count words and measure texts: the driver gets ids, words of at least ``least_rows`` rows of the sample and
-    ``N_FEATURES`` numbers a row, never a text. Rows and labels that share a doc_id teach once for each pair of them.
+    ``N_FEATURES`` numbers a row, never a text. A repeated label of a document counts once, rows that share a doc_id all teach.
     Without both labels the score is the share of 1.
     """
     p = params or ToxicityParams()
-    known = labels.select("doc_id", F.col("toxic").alias("label")).filter("label in (0, 1)").filter(~held_out(F.col("doc_id")))
+    known = labels.select("doc_id", F.col("toxic").alias("label")).filter("label in (0, 1)").filter(~held_out(F.col("doc_id"))).distinct()
     n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     # the sample is drawn from the labels alone; its ids, sample_rows at most, are sent to the texts
     chosen = [(r["doc_id"], r["label"]) for r in bounded_sample(known, "label", ["doc_id"], p.sample_rows)]
