@@ -48,8 +48,12 @@ def valid_at(facts: DataFrame, versions: DataFrame, key: str, date: str, start:
 def on_latest(df: DataFrame, date: str, by: str = "symbol") -> DataFrame:
     """The rows of the newest date, in one pass: each ``by`` keeps its own newest rows, of which the newest date's stay.
 
-    The second step sees a row per ``by`` (as many as share its newest date), so one task can hold it.
+    The second step sees a row per ``by`` (as many as share its newest date), so one task can hold it. A table without ``by``
+    is read twice, once for the date.
     """
+    if by not in df.columns:
+        newest = df.agg(F.max(date).alias("_newest"))
+        return df.join(F.broadcast(newest), F.col(date) == F.col("_newest")).drop("_newest")
     own = df.withColumn("_own", F.max(date).over(Window.partitionBy(by))).filter(F.col(date) == F.col("_own"))
     return own.withColumn("_newest", F.max("_own").over(Window.partitionBy(F.lit(0)))).filter("_own = _newest").drop("_own", "_newest")
 

@@ -45,17 +45,24 @@ def snapshot(best: DataFrame, gated: DataFrame, recorded: DataFrame | None, vers
 
 
 def alerts(signals: DataFrame, latest_only: bool = True, squeeze_days: int = 126) -> DataFrame:
-    """``symbol, as_of_date, alert_type, alert_value``, all kinds in one pass: each row explodes into the alerts it raises."""
-    newest = signals.agg(F.max("as_of_date").alias("_newest"))
-    s = signals.join(F.broadcast(newest))
-    now = F.col("as_of_date") == F.col("_newest")
-    recent = (F.col("as_of_date") >= F.date_sub("_newest", squeeze_days)) & F.col("bollinger_bandwidth").isNotNull()
+    """``symbol, as_of_date, alert_type, alert_value``, all kinds in one pass: each row explodes into the alerts it raises.
+
+    For the latest alerts a symbol's windows end at its own newest date, and of those rows, one a symbol, the newest date's
+    stay; only crossovers of all dates need that date beforehand, from a second reading.
+    """
+    if latest_only:
+        s = signals.withColumn("_until", F.max("as_of_date").over(Window.partitionBy("symbol")))
+    else:
+        s = signals.join(F.broadcast(signals.agg(F.max("as_of_date").alias("_until"))))
+    now = F.col("as_of_date") == F.col("_until")
+    recent = (F.col("as_of_date") >= F.date_sub("_until", squeeze_days)) & F.col("bollinger_bandwidth").isNotNull()
     narrow = F.percent_rank().over(Window.partitionBy("symbol", recent).orderBy("bollinger_bandwidth"))
     s = s.withColumns(
         {
             "_hist": F.lag("macd_histogram").over(series(order="as_of_date")), "_close": F.lag("last_closing_price").over(series(order="as_of_date")), "_ma": F.lag("ma_200").over(series(order="as_of_date")), "_narrow": F.when(recent, narrow),
         }
     )
+    s = on_latest(s.filter(now), "as_of_date") if latest_only else s
     crossed = F.col("_hist").isNotNull() & (F.signum("macd_histogram") != F.signum("_hist"))
     price, ma = F.col("last_closing_price"), F.col("ma_200")
     kinds = [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,13 +51,11 @@ def in_position(events: DataFrame, by: str, ts: str, value: str, enter: float, l
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames)).sort_values([ts, "event_id"])
-        inside = state.get[0] if state.exists else False
-        out = []
-        for v in rows[value]:
-            inside = True if v >= enter else False if v < leave else inside
-            out.append(inside)
-        state.update((inside,))
-        yield pd.DataFrame({by: key[0], "event_id": rows["event_id"], "inside": out})
+        values, was = rows[value], bool(state.get[0]) if state.exists else False
+        crossed = pd.Series(np.where(values >= enter, 1.0, np.where(values < leave, 0.0, np.nan)), index=rows.index)
+        inside = crossed.ffill().fillna(float(was)) > 0
+        state.update((bool(inside.iloc[-1]),))
+        yield pd.DataFrame({by: key[0], "event_id": rows["event_id"], "inside": inside})
 
     kind = dict(events.dtypes)[by]
     return events.groupBy(by).applyInPandasWithState(step, f"{by} {kind}, event_id bigint, inside boolean", "inside boolean", "append", "NoTimeout")

@@ -14,7 +14,7 @@ from panelmill.functions.scalars import checked_expression, clean_double, mid_am
 from panelmill.operators.ema import emas
 from panelmill.operators.joins import asof_left, on_latest, valid_at
 from panelmill.operators.scd2 import scd2_apply, versions
-from panelmill.operators.windows import average_rank, bucket, overlap_turnover, pct_rank, series
+from panelmill.operators.windows import average_rank, bucket, overlap_turnover, pct_rank, series, with_extremes
 from panelmill.sources import landing, sinks
 
 BARS = "symbol string, date date, open double, high double, low double, close double, volume long"
@@ -39,6 +39,40 @@ def test_ema_equals_pandas(spark, n):
         assert np.allclose(got[col].astype(float), want, equal_nan=True, rtol=1e-9)
 
 
+def test_ema_over_several_blocks(spark):
+    """Blocks of 865 rows here; the slow mean hands on over many of them, and its seed comes late."""
+    x = walk(6000)
+    p = prices(spark, x, start=date(1950, 1, 1)).withColumn("late", F.when(F.col("close").isNotNull() & (F.col("date") > "1954-01-01"), F.col("close")))
+    got = emas(p, {"fast": ("close", 0.5), "slow": ("close", 1 / 2000), "late_": ("late", 1 / 300)}).orderBy("date").toPandas()
+    s = pd.Series(x)
+    late = s.where(pd.date_range("1950-01-01", periods=6000) > "1954-01-01")
+    for col, values, alpha in (("fast", s, 0.5), ("slow", s, 1 / 2000), ("late_", late, 1 / 300)):
+        assert np.allclose(got[col].astype(float), values.ewm(alpha=alpha, adjust=False).mean(), equal_nan=True, rtol=1e-9), col
+
+
+def test_extremes_equal_pandas(spark):
+    x = walk(300, 5)
+    p = prices(spark, x).withColumn("close", F.when(F.dayofmonth("date") != 9, F.col("close")))
+    specs = {f"{f}_{n}": (f, c, n) for n in (1, 2, 3, 7, 8, 21, 64, 100) for f, c in (("max", "high"), ("min", "close"))}
+    got = with_extremes(p, specs, series()).orderBy("date").toPandas()
+    assert list(got.columns) == [*p.columns, *specs]
+    for name, (f, c, n) in specs.items():
+        rolled = got[c].astype(float).rolling(n)
+        assert np.allclose(got[name].astype(float), rolled.max() if f == "max" else rolled.min(), equal_nan=True), name
+
+
+def test_latest_row_has_all_keys(spark):
+    row = ind.signal_row(prices(spark, walk(70, 4))).collect()[0]
+    assert len(row) == 173 + 1 and row.ma_60 is not None and row.ma_100 is None and row.atr_60d is not None and row.atr_90d is None  # 173 and the date
+    assert row.high_60d == pytest.approx(max(walk(70, 4)[-60:]) + 1) and row.change_2d_abs == pytest.approx(row.last_day_change_abs) and row.eps is None
+
+
+def test_newest_dates_of_symbols(spark):
+    days = [("A", date(2020, 1, 1)), ("A", date(2020, 1, 3)), ("B", date(2020, 1, 2)), ("C", date(2020, 1, 3)), ("C", date(2020, 1, 3))]
+    got = on_latest(spark.createDataFrame(days, "symbol string, d date"), "d")
+    assert sorted(r.symbol for r in got.collect()) == ["A", "C", "C"] and got.columns == ["symbol", "d"]
+
+
 def test_indicators_equal_pandas(spark):
     x = walk(400, 2)
     out = ind.signal_series(prices(spark, x)).orderBy("as_of_date").toPandas()

@@ -41,7 +41,9 @@ NAMES = """src_bars wn_01_latest_landed ind_01_change ind_08_bollinger ind_10_ob
 pit_01_concepts pit_02_metrics rank_07_candidates rank_08_round_scores rank_11_line_of_sight gld_01_watchlist gld_04_alerts gld_11_candidates gld_13_daily_analytics
 view_14_weekly view_28_peers bt_01_forward_returns bt_10_evaluate call_01_hysteresis call_03_next_round set_02_settle set_02_attribution hld_01_open_lots hld_02_reconcile
 hld_03_loss_harvest hld_05_held src_05_factors src_06_disclosures src_08_facts_json src_09_listings snk_01_append snk_03_upsert snk_05_first_write dim_01_calendar dim_03_versions
-dim_04_scd2_apply jn_04_valid_at fct_02_fundamentals jn_20_drill_across ag_04_median qa_01_freshness qa_10_price_checks str_01_dedupe str_02_ohlc str_03_hysteresis""".split()
+dim_04_scd2_apply jn_04_valid_at fct_02_fundamentals jn_20_drill_across ag_04_median qa_01_freshness qa_10_price_checks str_01_dedupe str_02_ohlc str_03_hysteresis
+ind_12_atr ind_13_high_low ind_22_signal_row gld_02_gate gld_03_snapshot set_01_frozen set_03_drift call_06_due_rules dim_07_current prj_01_quotes ag_05_approximate jn_21_optional
+view_04_levels view_12_spans bt_04_ic_summary src_01_prices ag_02_pivot""".split()
 
 
 @pytest.mark.parametrize("name", NAMES)

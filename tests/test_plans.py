@@ -251,3 +251,59 @@ def test_quoted_fundamentals_come_first(spark):
     assert (got["unknown"].dividend_yield, got["unknown"].dividend_yield_trap) == (None, False)
     plain = fun.with_fundamentals(seen, known.drop(*fun.QUOTED)).filter("symbol = 'all'").first()
     assert (plain.eps, plain.dividend_yield, plain.dividend_yield_gap, plain.dividend_yield_trap) == (2.0, 0.0, None, False)
+
+
+def test_gate_and_snapshot(spark):
+    best = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "symbol string, composite_rank int")
+    best = best.select("symbol", F.lit("2024-01-05").cast("date").alias("as_of_date"), "composite_rank", *(F.lit(0.5).alias(c) for c in gold.SNAPSHOT if c not in ("symbol", "as_of_date", "composite_rank")))
+    latest = spark.createDataFrame([("A", date(2024, 1, 5)), ("B", date(2024, 1, 4)), ("C", date(2024, 1, 5))], "symbol string, last_date date")
+    everyone = spark.createDataFrame([("A",), ("B",), ("C",), ("D",)], "symbol string")
+    session = F.lit("2024-01-05").cast("date")
+    status = lambda **k: {r.symbol: r.status for r in gold.gate(latest, everyone, best, session, **k).collect()}
+    assert status(depth=2, most=1.0) == {"A": "ok", "B": "error", "C": "ok", "D": "warn"}
+    assert status(depth=1, most=1.0) == {"A": "ok", "B": "warn", "C": "ok", "D": "warn"}
+    assert status(depth=1, most=0.02)["D"] == "error"
+    fine, bad = (gold.gate(latest, everyone, best, session, depth=k, most=1.0) for k in (1, 2))
+    first = gold.snapshot(best, fine, None, "v1", "run-1")
+    assert first.count() == 3
+    assert gold.snapshot(best, fine, first, "v1", "run-2").count() == 0 and gold.snapshot(best, fine, first, "v2", "run-2").count() == 3
+    with pytest.raises(PySparkException):
+        gold.snapshot(best, bad, None, "v1", "run-1").collect()
+
+
+def test_frozen_expectation(spark):
+    dist = spark.createDataFrame([("m", h, 0.1 * h, -0.2, 0.4, 9) for h in (21, 63, 126)], "variant string, horizon int, mean double, p10 double, p90 double, n_dates long")
+    ics = spark.createDataFrame([("m", h, date(y, 3, 1), 0.1 * (y - 2019)) for h in (21, 63, 126) for y in (2020, 2021)], "variant string, horizon int, as_of_date date, ic double")
+    got = {r.horizon: r for r in cl.freeze(dist, ics, "the definition", 0.5).collect()}
+    assert got[21].mean == pytest.approx(1.05) and got[21].p10 == -0.1 and got[63].ic_mean == pytest.approx(0.15) and got[63].ic_by_year == "2020:0.100000,2021:0.200000"
+    assert len({(r.source_sha256, r.definition_hash) for r in got.values()}) == 1 and len(got[21].source_sha256) == 64
+    with pytest.raises(PySparkException):
+        cl.freeze(dist.filter("horizon <> 63"), ics, "the definition", 0.5).collect()
+
+
+def test_drift(spark):
+    rows = [(date(2024, m, 28), 21, m > 3, m > 5) for m in range(1, 8)] + [(date(2024, 7, 28), 63, False, False)]
+    settled = spark.createDataFrame(rows, "as_of_date date, horizon int, below_mean boolean, below_p10 boolean")
+    ics = [(date(2024, m, 28), 21, "steady", 0.2 + 0.01 * m) for m in range(1, 8)] + [(date(2024, m, 28), 21, "noise", (-1.0) ** m) for m in range(1, 8)]
+    ics += [(date(2024, m, 28), 21, "flat", 0.1) for m in range(1, 8)] + [(date(2024, 1, 28), 63, "noise", 5.0), (date(2030, 1, 28), 21, "noise", 5.0)]
+    got = {r.signal: r for r in cl.drift(settled, spark.createDataFrame(ics, "as_of_date date, horizon int, component string, ic double"), mean_rounds=4, p10_rounds=3).collect()}
+    assert (got["below_mean"].n, got["below_mean"].action) == (4, "review") and (got["below_p10"].n, got["below_p10"].action) == (2, None)
+    assert got["noise"].n == 7 and got["noise"].action == "demotion_review" and got["steady"].action is None and got["steady"].t > 5 and got["flat"].t is None
+
+
+def test_due_dates(spark):
+    days = spark.createDataFrame([(date(2024, 5, 31),), (date(2024, 6, 14),), (date(2024, 6, 28),)], "date date")
+    due = lambda *a: cl.due_date(days, *a).first().due
+    assert due("2024-06-20") == date(2024, 5, 31) and due("2024-06-30") == date(2024, 6, 28) and due("2024-06-30", "2024-07") is None and due("2024-05-02") is None
+    events = spark.createDataFrame([("authorize_off_cycle", "2024-06-28"), ("other", "2024-06-14")], "action string, vintage string")
+    assert cl.off_cycle_date(days, events).first().due == date(2024, 6, 28)
+    assert cl.off_cycle_date(days, events.filter("action = 'other'")).first().due is None and cl.off_cycle_date(days, events, "2024-07").first().due is None
+
+
+def test_tax_free_accounts(spark):
+    """Losses of accounts whose names hold a marker deduct nothing, whatever the name's form."""
+    names = ["broker", "Roth", "my IRA", "401(k)", "401-k", "HSA x"]
+    rows = [(n, "A", date(2024, 1, 2), "buy", 1.0, 10.0, False, k) for k, n in enumerate(names)]
+    trades = spark.createDataFrame(rows, "account string, symbol string, date date, side string, qty double, price double, seed boolean, id int")
+    p = spark.createDataFrame([("A", date(2024, 1, 2), 10.0), ("A", date(2024, 3, 1), 5.0)], "symbol string, date date, close double")
+    assert [r.account for r in hd.loss_harvest(trades, p, scoring.latest_price(p, p), "2024-06-01").collect()] == ["broker"]
