@@ -205,11 +205,12 @@ def _set_maker(p: JaccardParams):
         hasher = WordHasher()
         for batch in batches:
             data, offsets = texts(batch.column("text"))
-            out = []
             for a, b in slices(offsets):
                 words, _, _, at = hasher.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                out += [np.unique(runs(words[at[i] : at[i + 1]], p.n)).tobytes() for i in range(b - a)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "grams"])
+                out = [np.unique(runs(words[at[i] : at[i + 1]], p.n)) for i in range(b - a)]
+                ends = np.concatenate([[0], np.cumsum([8 * len(x) for x in out])]).astype(np.int32)
+                flat = pa.BinaryArray.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(out))])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), flat], names=["doc_id", "grams"])
 
     return sets
 
@@ -332,12 +333,12 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     # where the members are few enough for Spark to broadcast their ids, the other texts aren't shuffled
     wanted = rows.join(clusters.select("doc_id"), "doc_id", "left_semi")
     wanted = wanted.dropDuplicates(["doc_id"]) if _repeats(sketches) else wanted
-    grams = table(wanted.mapInArrow(_set_maker(p), "doc_id long, grams binary"), "grams")
+    grams = wanted.mapInArrow(_set_maker(p), "doc_id long, grams binary")
     linked = table(
         _dealt(members, p).join(grams, "doc_id").select(*_PAIR, *_MEMBER, "grams").repartition(partitions(spark), *_PAIR).sortWithinPartitions(*_PAIR)
         .mapInArrow(_verifier(p), "doc_id long, links long, label long, split boolean"), "links",
     )
-    discard(reps, candidates, clusters, members, grams)
+    discard(reps, candidates, clusters, members)
     forest = linked.filter("split and doc_id <> label").select(F.col("doc_id").alias("u"), F.col("label").alias("v"))
     roots = components(forest).toDF("doc_id", "root")
     found = linked.groupBy("doc_id").agg(F.sum("links").alias("links"), F.min("label").alias("label"))
