@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import div, finite
@@ -82,6 +82,13 @@ def with_fundamentals(signals: DataFrame, known: DataFrame) -> DataFrame:
     return out.withColumn("dividend_yield_trap", F.coalesce(F.col("dividend_yield_gap") > 0.015, F.lit(False)))
 
 
+def fundamentals_fact(dates: DataFrame, known: DataFrame | None, snapshot: DataFrame, today: Column) -> DataFrame:
+    """``dates(symbol, date)`` with what was known on each; without any history the ``snapshot(symbol, ...)``, for ``today`` alone."""
+    if known is None:
+        return snapshot.withColumn("date", today)
+    return asof_left(dates, known, ["symbol"], "date", "filed")
+
+
 def candidates(dates: DataFrame, prices: DataFrame, known: DataFrame, sic: DataFrame) -> DataFrame:
     """``dates(symbol, as_of_date)`` with earnings yield on split-adjusted shares, gross profitability and return on equity.
 

@@ -46,8 +46,11 @@ def null_shares(df: DataFrame, most: float = 0.05) -> DataFrame:
     return long.withColumn("failed", F.col("null_share") > most)
 
 
-def missing_columns(df: DataFrame, expected: list[str]) -> list[str]:
-    return [c for c in expected if c not in df.columns]
+def shape(df: DataFrame, expected: list[str]) -> DataFrame:
+    """``check, ok``: whether the table has rows, and each expected column, from one aggregate."""
+    there = {"not_empty": F.count("*") > 0} | {f"has_{c}": F.lit(c in df.columns) for c in expected}
+    one = df.agg(*(v.alias(k) for k, v in there.items()))
+    return one.unpivot([], list(there), "check", "ok")
 
 
 def last_session(sessions: DataFrame, at: Column) -> DataFrame:

@@ -11,6 +11,7 @@ from ..plans import backtest as bt
 from ..plans import calls as cl
 from ..plans import holdings as hd
 from ..plans import scoring
+from ..sources import sinks
 from ..sources.tables import SPY, Tables
 from .prices import r4
 from .sqltext import ADJUSTED, BARS, LINES, rounded
@@ -102,6 +103,15 @@ def call_03_next_round(spark, d):
     return cl.next_round(log, now).select("symbol", "as_of_date", "prior", "call")
 
 
+def call_04_emit(spark, d):
+    """Rounds are emitted once: a second emission of everything, its scores turned round, adds only the rounds that are new."""
+    c = calls(Tables(spark, d)).select("symbol", "as_of_date", "rank", "call", "score_percentile", F.lit("v2").alias("methodology_version"))
+    path = sinks.scratch(spark, "rounds")
+    sinks.write_append(c.filter("as_of_date < '2000-01-01'"), path)
+    sinks.write_append(sinks.new_rounds(spark.read.parquet(path), c.withColumn("score_percentile", -F.col("score_percentile"))), path)
+    return r4(spark.read.parquet(path), ["symbol", "as_of_date", "rank", "call", "methodology_version"], "score_percentile", 6)
+
+
 def call_05_flat(spark, d):
     nested = cl.rounds(calls(Tables(spark, d)), "v2")
     return r4(cl.flat_calls(nested), ["as_of_date", "methodology_version", "symbol", "rank", "call"], "score_percentile", 6)
@@ -197,6 +207,10 @@ def positions(t: Tables) -> DataFrame:
     return q.filter((key % 7 != 0) & (F.col("quantity") > 0)).select("account", "symbol", "quantity")
 
 
+def src_15_positions(spark, d):
+    return positions(Tables(spark, d))
+
+
 def hld_02_reconcile(spark, d):
     t = Tables(spark, d)
     return hd.reconcile(t.trades(), positions(t))
@@ -209,6 +223,14 @@ def hld_03_loss_harvest(spark, d):
     return r4(out, ["account", "symbol", "qty", "acquired", "long_term", "wash_sale"], "basis, price, loss_pct")
 
 
+def tk_05_worst_losses(spark, d):
+    """The 25 lots with the worst losses, worst first."""
+    t = Tables(spark, d)
+    out = hd.loss_harvest(t.trades(), t.prices, scoring.latest_price(t.prices, t.prices), "2001-06-01").withColumn("loss_pct", F.round("loss_pct", 6))
+    order = ["loss_pct", "account", "symbol", "acquired", "qty", F.round("basis", 4)]
+    return r4(out.orderBy(*order).limit(25), ["account", "symbol", "qty", "acquired", "loss_pct"], "basis")
+
+
 def hld_05_held(spark, d):
     return held(Tables(spark, d)).select("symbol", "accounts_n", "total_quantity", "tracked", "composite_rank", "call", "deteriorating")
 
@@ -237,7 +259,7 @@ QUERIES = {
     "bt_01_forward_returns": bt_01_forward_returns, "bt_02_frame": bt_02_frame, "bt_03_ic": bt_03_ic, "bt_04_ic_summary": bt_04_ic_summary,
     "bt_05_deciles": bt_05_deciles, "bt_07_turnover": bt_07_turnover, "bt_08_distribution": bt_08_distribution, "bt_10_evaluate": bt_10_evaluate,
     "bt_10_decay_ladder": bt_10_decay_ladder,
-    "call_01_hysteresis": call_01_hysteresis, "call_03_next_round": call_03_next_round, "call_05_flat": call_05_flat, "call_06_due_date": call_06_due_date,
+    "call_01_hysteresis": call_01_hysteresis, "call_03_next_round": call_03_next_round, "call_04_emit": call_04_emit, "src_15_positions": src_15_positions, "tk_05_worst_losses": tk_05_worst_losses, "call_05_flat": call_05_flat, "call_06_due_date": call_06_due_date,
     "bt_11_call_excess": bt_11_call_excess, "bt_11_call_turnover": bt_11_call_turnover, "set_02_settle": set_02_settle, "set_02_attribution": set_02_attribution,
     "set_01_frozen": set_01_frozen, "set_03_trailing": set_03_trailing, "set_03_drift": set_03_drift, "call_06_due_rules": call_06_due_rules, "set_04_agreement": set_04_agreement, "hld_01_open_lots": hld_01_open_lots, "hld_02_reconcile": hld_02_reconcile,
     "hld_03_loss_harvest": hld_03_loss_harvest, "hld_05_held": hld_05_held, "hld_07_verdicts": hld_07_verdicts,
@@ -358,6 +380,9 @@ SQL = {
   FROM i JOIN m USING (variant, horizon) JOIN h USING (variant, horizon) JOIN t USING (variant, horizon) JOIN x USING (variant, horizon)""",
     "call_01_hysteresis": f"WITH {CL} SELECT symbol, as_of_date, rank, in_position, prior, call, round(score_percentile, 6) AS score_percentile FROM cl",
     "call_03_next_round": f"WITH {CL} SELECT symbol, as_of_date, prior, call FROM cl WHERE as_of_date = (SELECT max(as_of_date) FROM cl)",
+    "call_04_emit": f"""WITH {CL} SELECT symbol, as_of_date, rank, call, 'v2' AS methodology_version,
+  round(CASE WHEN as_of_date < DATE '2000-01-01' THEN score_percentile ELSE -score_percentile END, 6) AS score_percentile FROM cl""",
+    "src_15_positions": f"WITH {TR} SELECT account, symbol, quantity FROM ps",
     "call_05_flat": f"WITH {CL} SELECT as_of_date, 'v2' AS methodology_version, symbol, rank, call, round(score_percentile, 6) AS score_percentile FROM cl",
     "call_06_due_date": f"WITH {BARS} SELECT max(date) AS due FROM bars WHERE date < DATE '2000-06-01'",
     "bt_11_call_excess": f"""WITH {FRCL} SELECT as_of_date, count(*) FILTER (call IN ('buy', 'hold')) AS n_in, count(*) FILTER (call NOT IN ('buy', 'hold')) AS n_out,
@@ -400,6 +425,11 @@ SQL = {
   SELECT account, symbol, open AS qty, date AS acquired, (DATE '2001-06-01' - date) >= 365 AS long_term,
     symbol IN (SELECT symbol FROM tr WHERE side = 'buy' AND NOT seed AND date >= DATE '2001-06-01' - 30) AS wash_sale,
     round(basis, 4) AS basis, round(last, 4) AS price, round(last / basis - 1, 4) AS loss_pct FROM c WHERE last < basis""",
+    "tk_05_worst_losses": f"""WITH {HL}, lp AS (SELECT symbol, arg_max(close, date) AS last FROM bars GROUP BY symbol),
+  b AS (SELECT lt.*, bars.close AS thn FROM lt ASOF LEFT JOIN bars ON bars.symbol = lt.symbol AND bars.date <= lt.date WHERE lt.open > 1e-9 AND account NOT LIKE 'ira%' AND account NOT LIKE '%401%'),
+  c AS (SELECT *, coalesce(price, thn) AS basis FROM b JOIN lp USING (symbol))
+  SELECT account, symbol, open AS qty, date AS acquired, round(last / basis - 1, 6) AS loss_pct, round(basis, 4) AS basis FROM c WHERE last < c.basis
+  ORDER BY 5, 1, 2, 4, 3, 6 LIMIT 25""",
     "hld_05_held": f"WITH {HL} SELECT symbol, accounts_n, total_quantity, tracked, composite_rank, call, deteriorating FROM he",
     "hld_07_verdicts": f"""WITH {HL}, f AS (SELECT he.*, coalesce(deteriorating, false) OR coalesce(call = 'sell', false) AS flagged, regexp_extract(symbol, '(\\d+)', 1)::INT % 2 = 0 AS was,
   (SELECT max(date) FROM tr WHERE side = 'buy' AND tr.symbol = he.symbol) AS bought FROM he)

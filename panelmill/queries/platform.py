@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import QUOTE_NUMBERS, QUOTE_TEXTS, mid_amount, quoted_fields, snake_case
-from ..operators.joins import asof_left, valid_at, with_optional
+from ..operators.joins import valid_at, with_optional
 from ..operators.scd2 import current, scd2_apply, versions
-from ..operators.windows import bucket, carried
+from ..operators.windows import bucket, carried, latest_per_key
 from ..plans import calendar as cal
 from ..plans import quality as qa
-from ..plans.fundamentals import CONCEPTS, concepts
+from ..plans.fundamentals import CONCEPTS, concepts, fundamentals_fact
 from ..sources import landing, sinks
 from ..sources.tables import FACTS_JSON, Tables
 from ..streaming import streams
@@ -194,7 +194,16 @@ def jn_04_valid_at(spark, d):
 
 def fct_02_fundamentals(spark, d):
     t = Tables(spark, d)
-    out = asof_left(t.bars().select("symbol", "date"), known(t).select("symbol", "filed", "net_income", "roe"), ["symbol"], "date", "filed")
+    out = fundamentals_fact(t.bars().select("symbol", "date"), known(t).select("symbol", "filed", "net_income", "roe"), None, None)
+    return r4(out, ["symbol", "date", "filed"], "net_income, roe")
+
+
+def fct_02_fallback(spark, d):
+    """Without a history: each brand's latest known row, dated with the last session of the bars."""
+    t = Tables(spark, d)
+    last = t.prices.agg(F.max("date").alias("_last"))
+    newest = latest_per_key(known(t), ["symbol"], F.col("filed").desc()).select("symbol", "filed", "net_income", "roe").crossJoin(F.broadcast(last))
+    out = fundamentals_fact(t.prices.select("symbol", "date"), None, newest, F.col("_last"))
     return r4(out, ["symbol", "date", "filed"], "net_income, roe")
 
 
@@ -327,6 +336,11 @@ def qa_10_price_checks(spark, d):
     return qa.price_checks(p, ["symbol", "date"])
 
 
+def qa_04_shape(spark, d):
+    """Prices hold what is expected of them but for an adjusted close."""
+    return qa.shape(Tables(spark, d).bars(), ["symbol", "date", "open", "high", "low", "close", "volume", "adj_close"])
+
+
 def qa_03_completed_session(spark, d):
     return Tables(spark, d).read("events").select("event_id", qa.completed_session(F.col("ts")).alias("session"))
 
@@ -437,6 +451,9 @@ SQL = {
     "jn_20_drill_across": f"""WITH {BARS}, {SEC}, {_calendar_sql("DATE '1995-01-01'", "DATE '2002-12-31'")} SELECT sector, year, quarter, count(*) FILTER (is_session) AS sessions, sum(volume)::BIGINT AS volume, round(avg(close), 4) AS avg_close
   FROM bars JOIN sec USING (symbol) JOIN cal USING (date) GROUP BY ALL""",
     "jn_16_exists": "SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000) AS tracked FROM customer",
+    "fct_02_fallback": f"""WITH {BARS}, {KNOWN} SELECT symbol, (SELECT max(date) FROM bars) AS date, filed, round(net_income, 4) AS net_income, round(roe, 4) AS roe FROM known
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY filed DESC) = 1""",
+    "qa_04_shape": "SELECT 'not_empty' AS check, (SELECT count(*) > 0 FROM lineitem) AS ok UNION ALL SELECT 'has_' || c, c <> 'adj_close' FROM (SELECT unnest(['symbol', 'date', 'open', 'high', 'low', 'close', 'volume', 'adj_close']) AS c)",
     "dim_07_current": f"WITH {_VER.format(where='')} SELECT symbol, sector, effective_from FROM ve WHERE effective_to IS NULL",
     "prj_01_quotes": f"""SELECT p_brand AS symbol, {", ".join(f"min(p_name) || ' {c}' AS {snake_case(c)}" for c in QUOTE_TEXTS)},
   {", ".join(f"round(avg(p_retailprice) * {i + 1}, 4) AS {snake_case(c)}" for i, c in enumerate(QUOTE_NUMBERS))} FROM part GROUP BY p_brand""",
