@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import bounded_batches, table
 from .textkernel import LOWER, WordHasher, mix, slices, texts
 
 _BLOCK = 2
@@ -250,7 +250,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, params: Decontaminatio
     p = params or DecontaminationParams()
     parts = _parts(benchmark, p)
     passes = len(parts)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
+    rows = bounded_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
     rows = table(rows, "documents") if passes > 1 else rows
     found = [rows.mapInArrow(_searcher(_windows(_collected(part), p.words)), _FOUND) for part in parts]
     out = found[0]
@@ -275,6 +275,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, params: Decontamina
     judged like others and nothing is shuffled. Several passes follow one another on what is left.
     """
     p = params or DecontaminationParams()
+    docs = bounded_batches(docs)
     for part in _parts(benchmark, p):
         docs = docs.filter(~_leaks(_windows(_collected(part), p.words))("text"))
     return docs

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import bounded_sample, held_out
+from .shared import bounded_batches
 from .textkernel import LOWER, PIECE, slices, texts
 
 UNKNOWN = "und"
@@ -101,7 +102,7 @@ def fit(docs: DataFrame, params: LanguageParams | None = None) -> LanguageModel:
     Tasks send a bit per n-gram of each sampled row, 1.6 KB however long its text.
     """
     p = params or LanguageParams()
-    rows = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()).filter(F.coalesce("text", F.lit("")).rlike(r"\p{L}"))
+    rows = bounded_batches(docs).filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()).filter(F.coalesce("text", F.lit("")).rlike(r"\p{L}"))
     packed = lambda x: x.mapInArrow(_packer(p), "lang string, text binary, _number long")
     sample = bounded_sample(rows, "lang", ["text"], p.sample_rows, measure=packed)
     labels = sorted({r["lang"] for r in sample})
@@ -163,5 +164,5 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     learned. score is the winning regression value, from 0 to 1. Only the text is used. Ties go to the first language by
     code point; repeated rows get the same result; an empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(_scorer(model), "doc_id long, held_out boolean, lang_pred string, score double")

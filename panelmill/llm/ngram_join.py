@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import discard, join_groups, partitions, table
+from .shared import bounded_batches, discard, join_groups, partitions, table
 from .textkernel import WordHasher, mix, runs, slices, texts
 
 
@@ -317,7 +317,7 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     """
     p = params or JaccardParams()
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     sketches = table(
         rows.mapInArrow(_sketcher(p), "doc_id long, n_grams long, digest long, digest2 long, sig binary, keys array<long>"), "sketches"
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import held_out
-from .shared import table
+from .shared import bounded_batches, table
 from .textkernel import WordHasher, runs, slices, texts
 
 #: Kinds of bytes whose shares are statistics, with the shares that a text of no length is taken to have.
@@ -102,7 +102,7 @@ def _measurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def statistics(docs: DataFrame) -> DataFrame:
     """``doc_id, x`` (array of double) for every row of ``docs(doc_id, text, ...)``; only the text counts, null as empty."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_measurer, "doc_id long, x array<double>")
+    return bounded_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(_measurer, "doc_id long, x array<double>")
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +200,6 @@ def good(docs: DataFrame, labels: DataFrame, params: QualityParams | None = None
     """
     p = params or QualityParams()
     ids = F.broadcast(teachers(labels, p).select("doc_id").distinct())
-    known = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
+    known = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
     model = fit(statistics(known), labels, p)
     return docs.filter(_text_score(model)("text") >= p.threshold)

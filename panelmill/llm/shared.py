@@ -48,6 +48,17 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, with the session's Arrow batches bounded to 4 MB (a longer text is a batch of its own) unless they are already.
+
+    By default a batch is 10,000 rows, whatever their texts' length, and a task holds several batches at once.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if docs.sparkSession.conf.get(key, None) is None:
+        docs.sparkSession.conf.set(key, "4m")
+    return docs
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

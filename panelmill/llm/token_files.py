@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import filesystem, place, table
+from .shared import bounded_batches, filesystem, place, table
 from .textkernel import PIECE, _inverse, _powers, mix, slices, texts
 
 _HEAD = "<8sIQIQ"
@@ -374,7 +374,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, params: TokenFile
     """
     p = params or TokenFileParams()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     return table(rows.mapInArrow(_writer(folder, tokenizer, p), "path string, shard int, offset long, bytes long, docs long, ids long"), "blocks")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import bounded_sample, held_out
-from .shared import table
+from .shared import bounded_batches, table
 from .textkernel import PIECE, WordHasher, slices, texts
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END, DENIED, QUOTED, AIMED = range(10)
@@ -267,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams | None = None
     # the sample is drawn from the labels alone; its ids, sample_rows at most, are sent to the texts
     chosen = [(r["doc_id"], r["label"]) for r in bounded_sample(known, "label", ["doc_id"], p.sample_rows)]
     ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int")
-    sample = table(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("label", "text"), "labelled")
+    sample = table(bounded_batches(docs).select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("label", "text"), "labelled")
     drawn = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(drawn) < 2:
         share = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1)
@@ -297,7 +297,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     score is from 0 to 1, predicted is 1 from 0.5 on. Only the text is used; null and empty texts have no clauses and get
     the score of a text without a match. Repeated rows are scored alike; an empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
     out = rows.mapInArrow(_scorer(model), "doc_id long, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import discard, filesystem, join_groups, place, table
+from .shared import bounded_batches, discard, filesystem, join_groups, place, table
 
 _MAGIC = b"\x1f\x8b\x08"
 _ID = "urn:x-page:"
@@ -80,7 +80,7 @@ def write_warc(pages: DataFrame, folder: str, params: WarcParams | None = None)
     before they are shuffled, and only the revisits' ids are joined to the pages.
     """
     p = params or WarcParams()
-    pages = pages.select(F.col("page_id").cast("long"), "url", "html")
+    pages = bounded_batches(pages).select(F.col("page_id").cast("long"), "url", "html")
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     keys = table(pages.select("page_id", F.sha1(payload).alias("sha1"), F.octet_length(payload).alias("bytes")), "digests")
     last = keys.filter(F.col("bytes") >= p.revisit_bytes).groupBy("sha1", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
