@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes that are handled at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 

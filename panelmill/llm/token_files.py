@@ -155,7 +155,7 @@ class _Places:
     """A hash table from 64-bit keys to 0, 1, 2 ... in order of insertion, used a batch at a time."""
 
     def __init__(self, most: int) -> None:
-        size = 1 << int(np.ceil(np.log2(2 * most)))
+        size = 1 << int(np.ceil(np.log2(1.5 * most)))
         self.keys, self.values, self.mask, self.n = np.zeros(size, np.uint64), np.full(size, -1, np.int32), np.uint64(size - 1), 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
