@@ -81,7 +81,7 @@ def test_encoder_equals_library():
     rows = ["".join(r.choice(bits) for _ in range(r.randint(0, 60))) for _ in range(2000)] + ["word, " * 400_000, "y" * 1_100_000]
     special, around = "<|endoftext|>", ["word", " ", "\n", "é", "'s", "  x", ".", "", "<|endoftext|", "<|", "3"]
     rows += [a + special + b for a in around for b in around] + ["<|endof", "text|>", special, special * 3, "x" + special.upper()]
-    cut = 1 << 20  # long texts are encoded in parts of so many bytes
+    cut = token_files.PIECE  # long texts are encoded in parts of so many bytes
     rows += [("a b, " * (cut // 5 + 1))[: cut - k] + special + " tail " * 9 for k in range(0, 16, 3)] + ["z" * (cut - 5) + special + "q" * 70_000 + special]
     library = Tokenizer.from_file(tokenizer_path())
     for _ in range(2):
