@@ -40,23 +40,30 @@ class TokenFileParams:
 
 _SHIFT = np.arange(0, 8, 2)
 #: Byte lengths of the four values of each control byte.
-_LENGTHS = ((np.arange(256)[:, None] >> _SHIFT) & 3) + 1
+_LENGTHS = (((np.arange(256)[:, None] >> _SHIFT) & 3) + 1).astype(np.uint8)
+#: Values that are coded at once, a multiple of four.
+_STRETCH = 1 << 17
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
+    parts = [_packed(values[i : i + _STRETCH]) for i in range(0, len(values), _STRETCH)]
+    return b"".join(c for c, _ in parts), b"".join(d for _, d in parts)
+
+
+def _packed(values: np.ndarray) -> tuple[bytes, bytes]:
     n = len(values)
     v = values.astype(np.uint32, copy=False)
     size = np.ones(-(-n // 4) * 4, np.uint8)
-    for k, least in enumerate((0x100, 0x10000, 0x1000000)):
-        if not n or v.max() < least:
+    for least in (0x100, 0x10000, 0x1000000):
+        if v.max() < least:
             break
         size[:n] += v >= np.uint32(least)
     four = size.reshape(-1, 4) - np.uint8(1)
     control = four[:, 0] | (four[:, 1] << 2) | (four[:, 2] << 4) | (four[:, 3] << 6)
     ends = np.cumsum(size[:n], dtype=np.int64)
     at = ends - size[:n]
-    data = np.empty(int(ends[-1]) if n else 0, np.uint8)
+    data = np.empty(int(ends[-1]), np.uint8)
     data[at] = v & np.uint32(255)
     for k in range(1, 4):
         has = np.flatnonzero(size[:n] > k)
@@ -67,15 +74,19 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
-    """The n values: their lengths are looked up, the rest is gathering."""
-    size = _LENGTHS[control].ravel()[:n]
-    at = np.cumsum(size) - size
-    out = data[at].astype(np.uint32) if n else np.empty(0, np.uint32)
-    for k in range(1, 4):
-        has = np.flatnonzero(size > k)
-        if not len(has):
-            break
-        out[has] |= data[at[has] + k].astype(np.uint32) << np.uint32(8 * k)
+    """The n values, a stretch at a time: their lengths are looked up, the rest is gathering."""
+    out, begin = np.empty(n, np.uint32), 0
+    for i in range(0, n, _STRETCH):
+        size = _LENGTHS[control[i // 4 : (i + _STRETCH) // 4]].ravel()[: n - i]
+        ends = np.cumsum(size, dtype=np.int64) + begin
+        at, begin = ends - size, int(ends[-1])
+        part = data[at].astype(np.uint32)
+        for k in range(1, 4):
+            has = np.flatnonzero(size > k)
+            if not len(has):
+                break
+            part[has] |= data[at[has] + k].astype(np.uint32) << np.uint32(8 * k)
+        out[i : i + len(part)] = part
     return out
 
 
@@ -378,26 +389,26 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, params: TokenFile
     return table(rows.mapInArrow(_writer(folder, tokenizer, p), "path string, shard int, offset long, bytes long, docs long, ids long"), "blocks")
 
 
-def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block in batch.to_pylist():
-            fs, path = filesystem(block["path"])
-            with fs.open_input_file(path) as file:
-                file.seek(block["offset"])
-                doc_ids, lengths, ids = block_content(file.read(block["bytes"]))
-            ends = np.cumsum(lengths)
-            raw = memoryview(ids.astype("<u4").tobytes())
-            crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends, lengths, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids, pa.int64()), pa.array(block["start"] + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64()),
-                 pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int64)), pa.py_buffer(raw)]).cast(pa.binary())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-            )
+def _reader(with_ids: bool):
+    """The documents of every block: where each begins, its length and checksum and, if asked for, its ids."""
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in batch.to_pylist():
+                fs, path = filesystem(block["path"])
+                with fs.open_input_file(path) as file:
+                    file.seek(block["offset"])
+                    doc_ids, lengths, ids = block_content(file.read(block["bytes"]))
+                ends = np.cumsum(lengths)
+                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends, lengths, strict=True)]
+                columns = [pa.array(doc_ids, pa.int64()), pa.array(block["start"] + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())]
+                if with_ids:
+                    at = np.concatenate([[0], 4 * ends]).astype(np.int64)
+                    columns.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(raw)]).cast(pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
 
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _reader(batches):
-        yield batch.select(["doc_id", "start", "n_tokens", "ids_crc32"])
+    return read
 
 
 def read_tokens(blocks: DataFrame, ids: bool = True) -> DataFrame:
@@ -414,8 +425,8 @@ def read_tokens(blocks: DataFrame, ids: bool = True) -> DataFrame:
     n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = placed.select("path", "offset", "bytes", "start").repartition(n, "path", "offset")
     if ids:
-        return placed.mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
-    return placed.mapInArrow(_summaries, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        return placed.mapInArrow(_reader(True), "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return placed.mapInArrow(_reader(False), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, params: TokenFileParams | None = None, ids: bool = False) -> DataFrame:
