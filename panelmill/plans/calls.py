@@ -158,7 +158,9 @@ def drift(settled: DataFrame, attributed: DataFrame, rung: int = 21, mean_rounds
     spread, and asks for a ``demotion_review`` if t is within ``t_bar`` after ``mean_rounds`` settlements or more.
     """
     at = settled.filter(F.col("horizon") == rung)
-    run = trailing_runs(at, ["below_mean", "below_p10"]).unpivot([], ["trailing_below_mean", "trailing_below_p10"], "signal", "n")
+    runs = ["trailing_below_mean", "trailing_below_p10"]
+    one = at.sparkSession.range(1).select(F.lit(rung).alias("horizon"))  # without settlements the runs are 0
+    run = one.join(trailing_runs(at, ["below_mean", "below_p10"]), "horizon", "left").na.fill(0, runs).unpivot([], runs, "signal", "n")
     run = run.withColumn("signal", F.substring("signal", 10, 100)).withColumn("t", F.lit(None).cast("double"))
     enough = F.when(F.col("signal") == "below_mean", mean_rounds).otherwise(p10_rounds)
     run = run.withColumn("action", F.when(F.col("n") >= enough, "review"))

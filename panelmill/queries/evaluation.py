@@ -405,7 +405,7 @@ SQL = {
     "set_03_drift": f"""WITH {ST}, {_ATTR}, sr AS (SELECT * FROM se WHERE horizon = 21),
   g AS (SELECT count(*) FILTER (as_of_date > coalesce((SELECT max(as_of_date) FROM sr WHERE NOT below_mean), DATE '0001-01-01')) AS m,
     count(*) FILTER (as_of_date > coalesce((SELECT max(as_of_date) FROM sr WHERE NOT below_p10), DATE '0001-01-01')) AS p FROM sr),
-  c AS (SELECT as_of_date, component, corr(a, b) AS ic FROM k WHERE horizon = 21 AND as_of_date IN (SELECT as_of_date FROM sr) GROUP BY ALL),
+  c AS (SELECT as_of_date, component, nullif(corr(a, b), 'NaN'::DOUBLE) AS ic FROM k WHERE horizon = 21 AND as_of_date IN (SELECT as_of_date FROM sr) GROUP BY ALL),
   t AS (SELECT component AS signal, count(ic) AS n, avg(ic) / nullif(stddev_samp(ic), 0) * sqrt(count(ic)) AS t FROM c WHERE ic IS NOT NULL GROUP BY ALL)
   SELECT 'below_mean' AS signal, m AS n, NULL::DOUBLE AS t, CASE WHEN m >= 3 THEN 'review' END AS action FROM g UNION ALL SELECT 'below_p10', p, NULL, CASE WHEN p >= 2 THEN 'review' END FROM g
   UNION ALL SELECT signal, n, round(t, 3), CASE WHEN n >= 3 AND abs(t) < 1 THEN 'demotion_review' END FROM t""",
