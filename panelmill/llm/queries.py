@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, quality, token_files, toxicity, warc
+from . import bpe, chat, fim, langid, quality, token_files, toxicity, vector_codes, warc
 from .decontaminate import find_benchmark
 from .exact_dedup import exact_duplicates
 from .mixing import mix
@@ -34,11 +34,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-def tokenizer_path() -> str:
-    """The public byte-level tokenizer's file."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file, the byte-level one unless named."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +97,23 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all whole embeddings: 8 parts, 16 entries, 6 rounds."""
+    return vector_codes.compress(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded with the public vocabulary of word ends, and decoded."""
+    path = tokenizer_path("word_bpe_49k.json")
+    decoded = bpe.decode(bpe.encode(_read(spark, sf_dir, "documents"), path), path)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents transformed for filling in, and restored."""
+    return fim.round_trip(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -108,11 +125,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_chat_format": op10_chat_format,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_bpe": op12_bpe,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+
+
+def _codebook_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds of assignment and means, a pair of tables each."""
+    nearest = """SELECT p.part, p.r, min([list_sum(list_transform(list_zip(p.x, b.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.entry]) AS best
+      FROM p JOIN b{i} b USING (part) GROUP BY p.part, p.r"""
+    ctes = []
+    for i in range(rounds):
+        ctes.append(f"""a{i} AS MATERIALIZED ({nearest.format(i=i)}),
+u{i} AS (SELECT part, best[2] AS entry, k, sum(x[k])::BIGINT AS s, count(*) AS c FROM (SELECT a.part, a.best, p.x, unnest(range(1, len(p.x) + 1)) AS k
+      FROM a{i} a JOIN p USING (part, r)) GROUP BY ALL),
+m{i} AS (SELECT part, entry, list((s - (s % c + c) % c) // c ORDER BY k) AS e FROM u{i} GROUP BY part, entry),
+b{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.e, b.e) AS e FROM b{i} b LEFT JOIN m{i} m USING (part, entry))""")
+    return f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS x FROM k, (SELECT unnest(range({parts})) AS part)),
+b0 AS (SELECT part, r - 1 AS entry, x AS e FROM p WHERE r <= {entries}),
+{", ".join(ctes)},
+f AS ({nearest.format(i=rounds)}),
+c AS (SELECT r, string_agg(lower(lpad(hex(best[2]), 2, '0')), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error FROM f GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM k JOIN c USING (r)"""
+
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": r"""
 WITH t AS (
@@ -166,4 +213,17 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(n + CASE WHEN goes_on THEN length('<|im_sep|>') ELSE length('<|im_start|>') + r + 1 + length('<|im_end|>') + 1 END)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id""",
+    "op11_vector_codes": _codebook_sql(),
+    "op13_fill_in_middle": r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id::VARCHAR) AS s
+  FROM documents),
+d AS (SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(s, i, 8))::BIGINT) AS x FROM h),
+c AS (SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR x[3] % 100 >= 90 THEN 'plain'
+    WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+w AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM w""",
 }

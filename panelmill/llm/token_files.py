@@ -33,7 +33,7 @@ class TokenFileParams:
 
     end_id: int = 2
     block_ids: int = 1 << 21
-    remembered: int = 1 << 20
+    remembered: int = 1 << 18
 
 
 # --- coding ---------------------------------------------------------------------------------------------------------
@@ -193,11 +193,12 @@ class _Places:
         self.n += len(keys)
 
 
-class Encoder:
-    """Encodes texts with a tokenizer of the ``tokenizers`` library, each distinct piece between cuts only once.
+class PieceEncoder:
+    """Encodes texts piece by piece, each distinct piece between safe cuts only once.
 
     At most about ``remembered`` pieces are kept, by a 64-bit hash; then it starts anew, which changes no result. The
-    strings of special tokens in a text are those tokens, as the library has it; it must not strip or normalise around them.
+    strings of special tokens in a text are those tokens, as the ``tokenizers`` library has it; it must not strip or normalise
+    around them. What is a safe cut and how pieces become ids is up to subclasses.
     """
 
     def __init__(self, path: str, remembered: int) -> None:
@@ -207,42 +208,32 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        if any(x.lstrip or x.rstrip or x.single_word or x.normalized for x in added):
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(x.lstrip or x.rstrip or x.single_word or x.normalized for x in added.values()):
             raise ValueError(f"{path} has added tokens that take in what is around them")
-        strings = sorted((x.content.encode() for x in added), key=len, reverse=True)
+        self.added = {x.content.encode(): i for i, x in added.items()}
+        strings = sorted(self.added, key=len, reverse=True)
         self.special = re.compile(b"|".join(map(re.escape, strings))) if strings else None
-        vocab = self.tokenizer.get_vocab()
-        self.length = np.zeros(max(vocab.values()) + 1, np.int64)
-        self.length[list(vocab.values())] = [len(x) for x in vocab]
         self.remembered = remembered
         self.up, self.down = _powers(_BASE, PIECE + 1), _powers(_inverse(_BASE), PIECE + 1)
         self.forget()
 
+    def boundaries(self, data: np.ndarray) -> np.ndarray:
+        """Where the tokenizer always starts a new piece, whatever is around."""
+        raise NotImplementedError
+
+    def encoded(self, raw: bytes, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the distinct pieces, their ids in that order, and each one's number of ids."""
+        raise NotImplementedError
+
+    def whole(self, part: bytes) -> np.ndarray:
+        """Ids of a long part of a text without a cut."""
+        raise NotImplementedError
+
     def forget(self) -> None:
         self.places = _Places(self.remembered + PIECE)
         self.begin, self.size, self.flat, self.used = np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(4096, np.int32), 0
 
-    def _encoded(self, raw: bytes, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """An order of the pieces, their ids in that order, and each one's number of ids. Words with a space before them are encoded many at a time:
-        joined they are cut where they were, and the bytes of the ids tell which ids are whose."""
-        inner = np.zeros(len(data) + 1, np.int64)
-        alpha = _ALPHA[data]
-        alpha[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-        alpha[:-1] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-        np.cumsum(alpha, out=inner[1:])
-        word = (data[begin] == 0x20) & (end - begin > 1) & (inner[end] - inner[begin] == end - begin - 1)
-        joined, single = np.flatnonzero(word), np.flatnonzero(~word)
-        groups = [joined[i : i + 128] for i in range(0, len(joined), 128)]
-        order = np.concatenate([joined, single])
-        pieces = [raw[b:e] for b, e in zip(begin[order].tolist(), end[order].tolist(), strict=True)]
-        strings = [b"".join(pieces[i : min(i + 128, len(joined))]).decode() for i in range(0, len(joined), 128)]
-        strings += [x.decode() for x in pieces[len(joined) :]]
-        found = [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-        sizes = [np.diff(np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(end[g] - begin[g]), "left") + 1, prepend=0) for g, ids in zip(groups, found, strict=False)]
-        sizes.append(np.array([len(x) for x in found[len(groups) :]], np.int64))
-        return order, np.concatenate(found), np.concatenate(sizes)
-
     def _learn(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         first = self.places.n
         while first + len(keys) > len(self.begin):
@@ -256,9 +247,9 @@ class Encoder:
         self.places.add(keys)
 
     def _cut(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Where pieces begin or end, as a mask of n + 1 places: at ``_cuts`` and offsets, and around special tokens, never in them."""
+        """Where pieces begin or end, as a mask of n + 1 places: at boundaries and offsets, and around special tokens, never in them."""
         cut = np.zeros(len(data) + 1, bool)
-        cut[_cuts(data)] = cut[offsets] = True
+        cut[self.boundaries(data)] = cut[offsets] = True
         raw = data.tobytes() if self.special else b""
         if self.special and self.special.search(raw):
             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
@@ -273,7 +264,7 @@ class Encoder:
             self.forget()
         n = len(data)
         if not n:
-            return np.empty(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
+            return np.empty(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
         if n > PIECE:
             return self._long(data)
         begin = np.flatnonzero(self._cut(data, offsets)[:-1])
@@ -287,7 +278,7 @@ class Encoder:
         if len(new):
             keys, first = np.unique(key[new], return_index=True)
             which = new[first]
-            order, found, sizes = self._encoded(data.tobytes(), data, begin[which], end[which])
+            order, found, sizes = self.encoded(data.tobytes(), data, begin[which], end[which])
             self._learn(keys[order], found, sizes)
             number[new] = self.places.find(key[new])
         size = self.size[number].astype(np.int64)
@@ -305,7 +296,7 @@ class Encoder:
             to = int(cuts[k]) if k >= 0 and cuts[k] > at else int(cuts[k + 1])
             part = data[at:to]
             if len(part) > PIECE:
-                parts.append(np.array(self.tokenizer.encode(part.tobytes().decode(), add_special_tokens=False).ids))
+                parts.append(self.whole(part.tobytes()))
             else:
                 parts.append(self.encode(part, np.array([0, len(part)]))[0])
             at = to
@@ -313,15 +304,40 @@ class Encoder:
         return ids, np.array([len(ids)])
 
 
-def _encoder(path: str, remembered: int):
-    """This worker process's encoder for the tokenizer, kept from task to task."""
-    import sys
-    from types import SimpleNamespace
+class Encoder(PieceEncoder):
+    """Ids of a byte-level tokenizer of the ``tokenizers`` library, without added prefix space."""
 
-    kept = sys.modules.setdefault("_panelmill_encoders", SimpleNamespace(by={}))
-    if (path, remembered) not in kept.by:
-        kept.by = {(path, remembered): Encoder(path, remembered)}
-    return kept.by[path, remembered]
+    def __init__(self, path: str, remembered: int) -> None:
+        super().__init__(path, remembered)
+        vocab = self.tokenizer.get_vocab()
+        self.length = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.length[list(vocab.values())] = [len(x) for x in vocab]
+
+    def boundaries(self, data: np.ndarray) -> np.ndarray:
+        return _cuts(data)
+
+    def whole(self, part: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, np.int32)
+
+    def encoded(self, raw: bytes, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words with a space before them are encoded many at a time: joined they are cut where they were, and the bytes of
+        the ids tell which ids are whose."""
+        inner = np.zeros(len(data) + 1, np.int64)
+        alpha = _ALPHA[data]
+        alpha[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        alpha[:-1] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        np.cumsum(alpha, out=inner[1:])
+        word = (data[begin] == 0x20) & (end - begin > 1) & (inner[end] - inner[begin] == end - begin - 1)
+        joined, single = np.flatnonzero(word), np.flatnonzero(~word)
+        groups = [joined[i : i + 128] for i in range(0, len(joined), 128)]
+        order = np.concatenate([joined, single])
+        pieces = [raw[b:e] for b, e in zip(begin[order].tolist(), end[order].tolist(), strict=True)]
+        strings = [b"".join(pieces[i : min(i + 128, len(joined))]).decode() for i in range(0, len(joined), 128)]
+        strings += [x.decode() for x in pieces[len(joined) :]]
+        found = [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        sizes = [np.diff(np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(end[g] - begin[g]), "left") + 1, prepend=0) for g, ids in zip(groups, found, strict=False)]
+        sizes.append(np.array([len(x) for x in found[len(groups) :]], np.int64))
+        return order, np.concatenate(found), np.concatenate(sizes)
 
 
 # --- files ----------------------------------------------------------------------------------------------------------
@@ -329,7 +345,7 @@ def _encoder(path: str, remembered: int):
 
 def _writer(folder: str, tokenizer: str, p: TokenFileParams):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer, p.remembered)
+        encoder = Encoder(tokenizer, p.remembered)  # goes with the task
         fs, path = filesystem(folder)
         fs.create_dir(path, recursive=True)
         shard = TaskContext.get().partitionId()
@@ -357,11 +373,14 @@ def _writer(folder: str, tokenizer: str, p: TokenFileParams):
                 numbers = batch.column("doc_id").to_pylist()
                 for a, b in slices(offsets):
                     ids, n = encoder.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                    ids = np.insert(ids, np.cumsum(n), p.end_id)
+                    ended = np.full(len(ids) + len(n), p.end_id, np.uint32)
+                    own = np.ones(len(ended), bool)
+                    own[np.cumsum(n + 1) - 1] = False
+                    ended[own] = ids
                     doc_ids += numbers[a:b]
                     lengths.append(n + 1)
-                    parts.append(ids.astype(np.uint32))
-                    held += len(ids)
+                    parts.append(ended)
+                    held += len(ended)
                     if held >= p.block_ids:
                         flush()
             if doc_ids:
