@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import on_latest
 from ..operators.windows import series
-from ..sources.sinks import new_rounds
 from .quality import freshness
 from .scoring import component_percentiles, ranked
 
@@ -32,16 +31,15 @@ def gate(latest: DataFrame, expected: DataFrame, best: DataFrame, session: Colum
     return freshness(latest, asked.select("symbol", F.coalesce("_top", F.lit(False)).alias("critical")), session, most)
 
 
-def snapshot(best: DataFrame, gated: DataFrame, recorded: DataFrame | None, version: str, run_id: str) -> DataFrame:
-    """The rows of a watchlist to append to ``recorded``, none for an (as_of_date, version) that is there already.
+def snapshot(best: DataFrame, gated: DataFrame, version: str, run_id: str) -> DataFrame:
+    """The rows of a watchlist to record (``commits.first_write`` keeps the first of an as_of_date and version).
 
     Rows of ``gated`` whose status is error make the snapshot fail when it is read, so that no day is recorded on stale data.
     """
     rows = best.select(*SNAPSHOT, F.lit(version).alias("methodology_version"), F.lit(run_id).alias("_run_id"))
     stale = gated.filter("status = 'error'").agg(F.count("*").alias("_stale"))
     failed = F.raise_error(F.concat(F.col("_stale").cast("string"), F.lit(" symbols are stale; nothing is recorded"))).cast("boolean")
-    rows = rows.crossJoin(F.broadcast(stale)).filter(F.when(F.col("_stale") > 0, failed).otherwise(True)).drop("_stale")
-    return rows if recorded is None else new_rounds(recorded, rows)
+    return rows.crossJoin(F.broadcast(stale)).filter(F.when(F.col("_stale") > 0, failed).otherwise(True)).drop("_stale")
 
 
 def alerts(signals: DataFrame, latest_only: bool = True, squeeze_days: int = 126) -> DataFrame:

@@ -11,7 +11,7 @@ from ..plans import backtest as bt
 from ..plans import calls as cl
 from ..plans import holdings as hd
 from ..plans import scoring
-from ..sources import sinks
+from ..sources import commits, sinks
 from ..sources.tables import SPY, Tables
 from .prices import r4
 from .sqltext import ADJUSTED, BARS, LINES, rounded
@@ -107,9 +107,9 @@ def call_04_emit(spark, d):
     """Rounds are emitted once: a second emission of everything, its scores turned round, adds only the rounds that are new."""
     c = calls(Tables(spark, d)).select("symbol", "as_of_date", "rank", "call", "score_percentile", F.lit("v2").alias("methodology_version"))
     path = sinks.scratch(spark, "rounds")
-    sinks.write_append(c.filter("as_of_date < '2000-01-01'"), path)
-    sinks.write_append(sinks.new_rounds(spark.read.parquet(path), c.withColumn("score_percentile", -F.col("score_percentile"))), path)
-    return r4(spark.read.parquet(path), ["symbol", "as_of_date", "rank", "call", "methodology_version"], "score_percentile", 6)
+    commits.first_write(c.filter("as_of_date < '2000-01-01'"), path)
+    commits.first_write(c.withColumn("score_percentile", -F.col("score_percentile")), path)
+    return r4(commits.read(spark, path), ["symbol", "as_of_date", "rank", "call", "methodology_version"], "score_percentile", 6)
 
 
 def call_05_flat(spark, d):

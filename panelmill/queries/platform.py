@@ -12,7 +12,7 @@ from ..operators.windows import bucket, carried, latest_per_key
 from ..plans import calendar as cal
 from ..plans import quality as qa
 from ..plans.fundamentals import CONCEPTS, concepts, fundamentals_fact
-from ..sources import landing, sinks
+from ..sources import commits, landing, sinks
 from ..sources.tables import FACTS_JSON, Tables
 from ..streaming import streams
 from .gold import FACTS, KNOWN, SEC, known
@@ -115,34 +115,51 @@ def snk_01_append(spark, d):
 
 
 def snk_03_upsert(spark, d):
+    """The second run's rows merged by symbol and date into a table of years: only the years it touches are written."""
     landed = Tables(spark, d).landed_prices().drop("_ingest_ts")
-    path = sinks.scratch(spark, "prices")
-    sinks.write_rebuild(landed.filter("_run_id = 'run-1'"), path)
-    sinks.write_rebuild(sinks.upsert(spark.read.parquet(path), landed.filter("_run_id = 'run-2'"), ["symbol", "date"]), path)
-    return spark.read.parquet(path)
+    path, year = sinks.scratch(spark, "prices"), F.year("date")
+    commits.rebuild(landed.filter("_run_id = 'run-1'"), path, year, ["symbol", "date"])
+    commits.merge(landed.filter("_run_id = 'run-2'"), path, ["symbol", "date"], year, sort=["symbol", "date"])
+    return commits.read(spark, path)
 
 
 def snk_04_replace(spark, d):
+    """All rows of the updates' symbols go, whichever year they are in; the updates are of late years alone."""
     b = Tables(spark, d).bars()
     n = F.regexp_extract("symbol", r"(\d+)", 1).cast("int")
+    path, year = sinks.scratch(spark, "bars"), F.year("date")
+    commits.rebuild(b, path, year)
     fresh = b.filter((n % 2 == 0) & (F.col("date") >= "2000-01-01")).withColumn("close", F.col("close") + 1)
-    return sinks.replace_by_key(b, fresh, ["symbol"])
+    commits.merge(fresh, path, ["symbol"], year, keys_say_part=False)
+    return commits.read(spark, path)
+
+
+def snk_04_windows(spark, d):
+    """Months that are fetched again, with fewer symbols, replace the months that were there."""
+    b = Tables(spark, d).bars()
+    path, month = sinks.scratch(spark, "bars"), F.date_format("date", "yyyy-MM")
+    commits.rebuild(b, path, month)
+    n = F.regexp_extract("symbol", r"(\d+)", 1).cast("int")
+    commits.replace_windows(b.filter((n % 3 != 0) & F.col("date").between("1997-03-01", "1997-08-31")).withColumn("close", F.col("close") + 1), path, month)
+    return commits.read(spark, path)
 
 
 def snk_05_first_write(spark, d):
     """A round that is written twice keeps its first rows."""
     b = Tables(spark, d).bars().select("symbol", F.col("date").alias("as_of_date"), "close").withColumn("methodology_version", F.lit("v1"))
     path = sinks.scratch(spark, "rounds")
-    sinks.write_append(b.filter("as_of_date < '1997-01-01'"), path)
-    again = b.filter("as_of_date >= '1996-06-01'").withColumn("close", F.col("close") * 2)
-    sinks.write_append(sinks.new_rounds(spark.read.parquet(path), again), path)
-    return spark.read.parquet(path)
+    commits.first_write(b.filter("as_of_date < '1997-01-01'"), path)
+    commits.first_write(b.filter("as_of_date >= '1996-06-01'").withColumn("close", F.col("close") * 2), path)
+    return commits.read(spark, path)
 
 
 def snk_07_trials(spark, d):
-    log = Tables(spark, d).read("region").select((F.col("r_regionkey") + 1).alias("trial"), F.col("r_name").alias("variant"))
+    log = Tables(spark, d).read("region").select((F.col("r_regionkey") + 1).cast("int").alias("trial"), F.col("r_name").alias("variant"))
     new = Tables(spark, d).read("nation").filter("n_nationkey < 3").select(F.col("n_name").alias("variant"))
-    return log.select("trial", "variant").unionByName(sinks.numbered_trials(log, new, "variant").select("trial", "variant"))
+    path = sinks.scratch(spark, "trials")
+    commits.rebuild(log, path, F.lit("log"))
+    commits.log_trials(new, path, "variant")
+    return commits.read(spark, path)
 
 
 def events(t: Tables) -> DataFrame:
@@ -163,6 +180,17 @@ def dim_04_scd2_apply(spark, d):
     return scd2_apply(current, new, "symbol", ["sector"], "ts").select("symbol", "sector", "effective_from", "effective_to", "is_current")
 
 
+def dim_04_merged(spark, d):
+    """The same as a table in buckets of the key: a batch rewrites the buckets of the keys it has."""
+    e = events(Tables(spark, d))
+    cut = F.lit("2024-01-20").cast("timestamp")
+    path = sinks.scratch(spark, "versions")
+    commits.rebuild(versions(e.filter(F.col("ts") < cut), "symbol", ["sector"], "ts", ["event_id"]), path, commits.bucket_of("symbol"))
+    new = e.filter(F.col("ts") >= cut).groupBy("symbol").agg(F.max_by("sector", F.struct("ts", "event_id")).alias("sector"), F.max("ts").alias("ts"))
+    commits.merge_versions(new, path, "symbol", ["sector"], "ts")
+    return commits.read(spark, path).select("symbol", "sector", "effective_from", "effective_to", "is_current")
+
+
 def dim_06_security(spark, d):
     """Current members with keys, and the unknown member with key -1."""
     s = Tables(spark, d).securities()
@@ -400,6 +428,12 @@ def _calendar_sql(a: str, b: str) -> str:
     return ", ".join(parts)
 
 
+_SCD2 = f"""WITH {_VER.format(where="WHERE ts < TIMESTAMP '2024-01-20'")}, n AS (SELECT user_id::VARCHAR AS symbol, arg_max(event_type, (ts, event_id)) AS sector, max(ts) AS ts FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY ALL),
+j AS (SELECT coalesce(v.symbol, n.symbol) AS symbol, v.sector AS os, v.effective_from AS ofr, n.sector AS ns, n.ts AS nts, n.symbol IS NOT NULL AND (v.symbol IS NULL OR v.sector <> n.sector) AS ch, v.symbol IS NOT NULL AS had
+  FROM (SELECT * FROM ve WHERE effective_to IS NULL) v FULL JOIN n ON v.symbol = n.symbol)
+SELECT symbol, sector, effective_from, effective_to, false AS is_current FROM ve WHERE effective_to IS NOT NULL
+UNION ALL SELECT symbol, os, ofr, CASE WHEN ch THEN nts END, NOT ch FROM j WHERE had UNION ALL SELECT symbol, ns, nts, NULL, true FROM j WHERE ch"""
+
 SQL = {
     "src_01_prices": f"""WITH {BARS} SELECT symbol, date, open, high, low, close, volume, 'run-1' AS _run_id, 'files' AS _source_system, 'full' AS _load_type,
   date AS _source_event_ts, TIMESTAMP '2024-01-01' AS _ingest_ts FROM bars
@@ -429,15 +463,15 @@ SQL = {
   CASE WHEN (date - DATE '1970-01-01') % 7 = 0 THEN 'run-2' ELSE 'run-1' END AS _run_id FROM bars""",
     "snk_04_replace": f"""WITH {BARS}, b AS (SELECT *, regexp_extract(symbol, '(\\d+)', 1)::INT AS n FROM bars), f AS (SELECT symbol, date, open, high, low, close + 1 AS close, volume FROM b WHERE n % 2 = 0 AND date >= DATE '2000-01-01')
   SELECT * FROM f UNION ALL SELECT symbol, date, open, high, low, close, volume FROM b WHERE symbol NOT IN (SELECT symbol FROM f)""",
+    "snk_04_windows": f"""WITH {BARS}, b AS (SELECT *, date BETWEEN DATE '1997-03-01' AND DATE '1997-08-31' AS again, regexp_extract(symbol, '(\\d+)', 1)::INT % 3 <> 0 AS kept FROM bars),
+  f AS (SELECT DISTINCT date_trunc('month', date) AS m FROM b WHERE again AND kept)
+  SELECT symbol, date, open, high, low, CASE WHEN again THEN close + 1 ELSE close END AS close, volume FROM b WHERE date_trunc('month', date) NOT IN (SELECT m FROM f) OR again AND kept""",
     "snk_05_first_write": f"""WITH {BARS} SELECT symbol, date AS as_of_date, CASE WHEN date < DATE '1997-01-01' THEN close ELSE close * 2 END AS close, 'v1' AS methodology_version FROM bars""",
     "snk_07_trials": """SELECT r_regionkey + 1 AS trial, r_name AS variant FROM region UNION ALL
   SELECT (SELECT max(r_regionkey) + 1 FROM region) + row_number() OVER (ORDER BY n_name), n_name FROM nation WHERE n_nationkey < 3""",
     "dim_03_versions": f"WITH {_VER.format(where='')} SELECT symbol, sector, effective_from, effective_to, effective_to IS NULL AS is_current FROM ve",
-    "dim_04_scd2_apply": f"""WITH {_VER.format(where="WHERE ts < TIMESTAMP '2024-01-20'")}, n AS (SELECT user_id::VARCHAR AS symbol, arg_max(event_type, (ts, event_id)) AS sector, max(ts) AS ts FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY ALL),
-  j AS (SELECT coalesce(v.symbol, n.symbol) AS symbol, v.sector AS os, v.effective_from AS ofr, n.sector AS ns, n.ts AS nts, n.symbol IS NOT NULL AND (v.symbol IS NULL OR v.sector <> n.sector) AS ch, v.symbol IS NOT NULL AS had
-    FROM (SELECT * FROM ve WHERE effective_to IS NULL) v FULL JOIN n ON v.symbol = n.symbol)
-  SELECT symbol, sector, effective_from, effective_to, false AS is_current FROM ve WHERE effective_to IS NOT NULL
-  UNION ALL SELECT symbol, os, ofr, CASE WHEN ch THEN nts END, NOT ch FROM j WHERE had UNION ALL SELECT symbol, ns, nts, NULL, true FROM j WHERE ch""",
+    "dim_04_scd2_apply": _SCD2,
+    "dim_04_merged": _SCD2,
     "dim_06_security": f"WITH {SEC} SELECT regexp_extract(symbol, '(\\d+)', 1)::BIGINT AS security_key, symbol, sector FROM sec UNION ALL SELECT -1, 'UNKNOWN', NULL",
     "jn_04_valid_at": f"""WITH {_VER.format(where='')}, dd AS (SELECT DISTINCT user_id::VARCHAR AS symbol, ts::DATE AS date FROM events)
   SELECT dd.symbol, dd.date, sector, effective_from FROM dd LEFT JOIN ve ON ve.symbol = dd.symbol AND effective_from::DATE < dd.date AND (effective_to IS NULL OR effective_to::DATE >= dd.date)

@@ -13,7 +13,7 @@ from ..plans import backtest as bt
 from ..plans import calls as cl
 from ..plans import gold, quality, scoring
 from ..plans import holdings as hd
-from ..sources import landing, sinks
+from ..sources import commits, landing, sinks
 from ..sources.tables import QQQ, SPY, Tables
 from .evaluation import CL, FR, FRCL, HAIRCUT, HL, TR, calls, frame, held, positions, returns
 from .gold import _COMP, _PCT, ALERT_SQL, SEC, SIG, WIDE, signals, wide
@@ -248,11 +248,10 @@ def gld_03_snapshot(spark, d):
     best = sinks.stored(gold.watchlist(s), "watchlist")
     gated = sinks.stored(_gate(t, s, best, 1.0), "gate")
     path = sinks.scratch(spark, "recommendations")
-    sinks.write_append(gold.snapshot(best, gated, None, "v1", "run-1"), path)
-    for version, run, more in (("v1", "run-2", 1.0), ("v2", "run-3", 0.5)):
+    for version, run, more in (("v1", "run-1", 0.0), ("v1", "run-2", 1.0), ("v2", "run-3", 0.5)):
         changed = best.withColumn("composite_score", F.col("composite_score") + more)
-        sinks.write_append(gold.snapshot(changed, gated, spark.read.parquet(path), version, run), path)
-    return r4(spark.read.parquet(path), ["symbol", "as_of_date", "composite_rank", "trade_signal", "methodology_version", "_run_id"], "composite_score, last_closing_price")
+        commits.first_write(gold.snapshot(changed, gated, version, run), path)
+    return r4(commits.read(spark, path), ["symbol", "as_of_date", "composite_rank", "trade_signal", "methodology_version", "_run_id"], "composite_score, last_closing_price")
 
 
 def view_03_levels(spark, d):

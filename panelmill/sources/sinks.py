@@ -1,4 +1,7 @@
-"""Writing: appends, rebuilds, upserts, first-write-wins, logs. Plans stay lazy; only ``stored`` and the ``write_`` functions run jobs."""
+"""Writing: appends, shapes, upserts as plans, trial numbers. Plans stay lazy; only ``stored`` and the ``write_`` functions run jobs.
+
+Tables that change under readers and other writers are in ``commits``.
+"""
 
 from __future__ import annotations
 
@@ -41,21 +44,6 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def write_rebuild(df: DataFrame, path: str) -> None:
-    """Replace a table: the new one is written beside it, then both are renamed, so the old one can be read meanwhile."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.parquet(new)
-    if fs.exists(at(path)):
-        fs.rename(at(path), at(old))
-    fs.rename(at(new), at(path))
-    if fs.exists(at(old)):
-        fs.delete(at(old), True)
-
-
 def write_shape(spark: SparkSession, schema: T.StructType, path: str) -> None:
     """An empty table, unless one is there."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
@@ -67,14 +55,6 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return updates.unionByName(kept, allowMissingColumns=True)
 
 
-replace_by_key = upsert
-
-
-def new_rounds(existing: DataFrame, rows: DataFrame, keys: Sequence[str] = ("as_of_date", "methodology_version")) -> DataFrame:
-    """The rows whose round isn't there yet: what was written first stays."""
-    return rows.join(existing.select(*keys).distinct(), list(keys), "left_anti")
-
-
 def numbered_trials(log: DataFrame, trials: DataFrame, order: str) -> DataFrame:
     """New log rows, numbered on from the log's last number; a trial's row is written before any result exists."""
     last = log.agg(F.coalesce(F.max("trial"), F.lit(0)).alias("_last"))

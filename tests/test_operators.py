@@ -189,20 +189,15 @@ def test_journal(spark):
 def test_sinks(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     a = spark.createDataFrame([("k", 1), ("l", 2)], "k string, v int")
-    sinks.write_rebuild(a, path)
+    sinks.write_append(a, path)
     up = spark.createDataFrame([("l", 3, "n"), ("m", 4, "n")], "k string, v int, extra string")
-    sinks.write_rebuild(sinks.upsert(spark.read.parquet(path), up, ["k"]), path)
-    got = sorted((r.k, r.v, r.extra) for r in spark.read.parquet(path).collect())
+    got = sorted((r.k, r.v, r.extra) for r in sinks.upsert(spark.read.parquet(path), up, ["k"]).collect())
     assert got == [("k", 1, None), ("l", 3, "n"), ("m", 4, "n")] and sinks.evolve(a, up) == ["extra"]
     shape = f"file://{tmp_path}/shape"
     sinks.write_shape(spark, a.schema, shape)
     sinks.write_append(a, shape)
     sinks.write_shape(spark, a.schema, shape)
     assert spark.read.parquet(shape).count() == 2
-    log = spark.createDataFrame([], "as_of_date int, methodology_version string, x int")
-    first = spark.createDataFrame([(1, "v1", 10), (1, "v1", 11)], log.schema)
-    assert sinks.new_rounds(log, first).count() == 2 and sinks.new_rounds(first, first).count() == 0
-    assert sinks.new_rounds(first, first.withColumn("methodology_version", F.lit("v2"))).count() == 2
 
 
 def test_latest_of_empty(spark):

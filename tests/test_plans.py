@@ -13,6 +13,7 @@ from panelmill.plans import calls as cl
 from panelmill.plans import fundamentals as fun
 from panelmill.plans import gold, quality, scoring
 from panelmill.plans import holdings as hd
+from panelmill.sources import commits
 
 DAY = date(2025, 1, 6)
 
@@ -253,7 +254,7 @@ def test_quoted_fundamentals_come_first(spark):
     assert (plain.eps, plain.dividend_yield, plain.dividend_yield_gap, plain.dividend_yield_trap) == (2.0, 0.0, None, False)
 
 
-def test_gate_and_snapshot(spark):
+def test_gate_and_snapshot(spark, tmp_path):
     best = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "symbol string, composite_rank int")
     best = best.select("symbol", F.lit("2024-01-05").cast("date").alias("as_of_date"), "composite_rank", *(F.lit(0.5).alias(c) for c in gold.SNAPSHOT if c not in ("symbol", "as_of_date", "composite_rank")))
     latest = spark.createDataFrame([("A", date(2024, 1, 5)), ("B", date(2024, 1, 4)), ("C", date(2024, 1, 5))], "symbol string, last_date date")
@@ -264,11 +265,13 @@ def test_gate_and_snapshot(spark):
     assert status(depth=1, most=1.0) == {"A": "ok", "B": "warn", "C": "ok", "D": "warn"}
     assert status(depth=1, most=0.02)["D"] == "error"
     fine, bad = (gold.gate(latest, everyone, best, session, depth=k, most=1.0) for k in (1, 2))
-    first = gold.snapshot(best, fine, None, "v1", "run-1")
-    assert first.count() == 3
-    assert gold.snapshot(best, fine, first, "v1", "run-2").count() == 0 and gold.snapshot(best, fine, first, "v2", "run-2").count() == 3
+    first = gold.snapshot(best, fine, "v1", "run-1")
+    path = f"file://{tmp_path}/recommendations"
+    assert commits.first_write(first, path) == ["2024-01-05|v1"] and commits.first_write(gold.snapshot(best, fine, "v1", "run-2"), path) == []
+    assert commits.first_write(gold.snapshot(best, fine, "v2", "run-2"), path) == ["2024-01-05|v2"]
+    assert {(r._run_id, r["count"]) for r in commits.read(spark, path).groupBy("_run_id").count().collect()} == {("run-1", 3), ("run-2", 3)}
     with pytest.raises(PySparkException):
-        gold.snapshot(best, bad, None, "v1", "run-1").collect()
+        gold.snapshot(best, bad, "v1", "run-1").collect()
 
 
 def test_frozen_expectation(spark):
