@@ -2,20 +2,21 @@
 
 Texts and windows are sequences of words. For each length of window a table gives, for every block of two words, how far
 the search may move on: blocks that no window has skip almost a whole window. Where the shift is zero, the block is the
-suffix of some window; a hash bucket selects those windows, and their words are compared directly.
+suffix of some window; a hash bucket of suffix and prefix selects those windows, and their words are compared directly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, table
+from .shared import bounded_batches, discard, table
 from .textkernel import LOWER, WordHasher, mix, slices, texts
 
 _BLOCK = 2
@@ -35,6 +36,12 @@ class DecontaminationParams:
 _WORD_BYTES = 72
 
 
+def _bucket(hashes: np.ndarray, suffix: np.ndarray, first: np.ndarray, block: int) -> np.ndarray:
+    """Hashes of the windows' suffixes and of the blocks that they begin with."""
+    with np.errstate(over="ignore"):
+        return mix(suffix * np.uint64(5) + _block_hash(hashes, first + block - 1, block))
+
+
 def _block_hash(hashes: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = hashes[end]
@@ -73,12 +80,12 @@ class _Items:
 
 @dataclass
 class _Windows:
-    """The different windows of one length in order of their suffix, with their shift table."""
+    """The different windows of one length in order of their bucket, with their shift table."""
 
     items: _Items
     length: int
     starts: np.ndarray
-    suffix: np.ndarray
+    bucket: np.ndarray
     owners: np.ndarray  # items of the windows, one window after the other
     owned: np.ndarray  # where each window's items begin
     shift: np.ndarray
@@ -90,8 +97,9 @@ class _Windows:
         with np.errstate(over="ignore"):
             for q in range(m):
                 key = mix(key * np.uint64(3) + items.hashes[starts + q])
-        order = np.lexsort((starts, key, _block_hash(items.hashes, starts + m - 1, block)))
-        starts, key = starts[order], key[order]
+        bucket = _bucket(items.hashes, _block_hash(items.hashes, starts + m - 1, block), starts, block)
+        order = np.lexsort((starts, key, bucket))
+        starts, key, bucket = starts[order], key[order], bucket[order]
         new = np.ones(len(starts), bool)
         new[1:] = key[1:] != key[:-1]
         leader = 0
@@ -104,7 +112,7 @@ class _Windows:
         shift = np.full(size, width, np.uint8)
         for q in range(block - 1, m):
             np.minimum.at(shift, _block_hash(items.hashes, starts[first] + q, block) & np.uint64(size - 1), np.uint8(min(m - 1 - q, 255)))
-        return _Windows(items, m, starts[first], _block_hash(items.hashes, starts[first] + m - 1, block), items.ids[starts], np.append(first, len(starts)), shift)
+        return _Windows(items, m, starts[first], bucket[first], items.ids[starts], np.append(first, len(starts)), shift)
 
     def search(self, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(last word, window) of every occurrence in texts whose words are at offsets ``at``; hashes equal, bytes unseen."""
@@ -127,7 +135,8 @@ class _Windows:
         if not found:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         end, hashed = (np.concatenate(x) for x in zip(*found, strict=True))
-        lo, hi = np.searchsorted(self.suffix, hashed, "left"), np.searchsorted(self.suffix, hashed, "right")
+        hashed = _bucket(hashes, hashed, end - m + 1, block)
+        lo, hi = np.searchsorted(self.bucket, hashed, "left"), np.searchsorted(self.bucket, hashed, "right")
         many = hi - lo
         end = np.repeat(end, many)
         window = np.repeat(lo, many) + np.arange(len(end)) - np.repeat(np.cumsum(many) - many, many)
@@ -245,18 +254,19 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, params: Decontaminatio
     one item_id are one item; rows without item_id are left out. Repeated documents are repeated in the result.
 
     The size of the windows is measured. Up to ``window_bytes`` they go to every task; beyond, the items are split into parts
-    of about that size (an item isn't cut), each part is searched in a pass, and the passes' hits are united per document.
+    of about that size (an item isn't cut) and searched in passes: a pass's windows are gone before the next one's are made,
+    its hits are stored, and the hits are united per document.
     """
     p = params or DecontaminationParams()
     parts = _parts(benchmark, p)
-    passes = len(parts)
     rows = bounded_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    rows = table(rows, "documents") if passes > 1 else rows
-    found = [rows.mapInArrow(_searcher(_windows(_collected(part), p.words)), _FOUND) for part in parts]
-    out = found[0]
-    if passes > 1:
-        for x in found[1:]:
-            out = out.unionByName(x)
+    search = lambda part, of: of.mapInArrow(_searcher(_windows(_collected(part), p.words)), _FOUND)
+    if len(parts) == 1:
+        out = search(parts[0], rows)
+    else:
+        rows = table(rows, "documents")
+        out = _union([table(search(part, rows), "hits") for part in parts])
+        discard(rows)
         out = out.groupBy("row").agg(
             F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
             *(F.flatten(F.collect_list(x)).alias(x) for x in ("begins", "ends", "items")),
@@ -272,10 +282,27 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, params: Decontamina
     """The rows of ``docs`` whose texts have no window of the benchmark, with all their columns.
 
     Every row is judged by its own text, in the task that reads it, so rows without a doc_id or with a repeated one are
-    judged like others and nothing is shuffled. Several passes follow one another on what is left.
+    judged like others and nothing is shuffled. Where the windows need several passes, rows are numbered and stored, each
+    pass stores the numbers of the rows that it finds, and those rows go in one join.
     """
     p = params or DecontaminationParams()
     docs = bounded_batches(docs)
-    for part in _parts(benchmark, p):
-        docs = docs.filter(~_leaks(_windows(_collected(part), p.words))("text"))
-    return docs
+    parts = _parts(benchmark, p)
+    leaking = lambda part: _leaks(_windows(_collected(part), p.words))("text")
+    if len(parts) == 1:
+        return docs.filter(~leaking(parts[0]))
+    row = _free("_row", docs.columns)
+    rows = table(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    found = _union([table(rows.filter(leaking(part)).select(row), "hits") for part in parts])
+    return rows.join(found.distinct(), row, "left_anti").select(docs.columns)
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """The name, or a longer one that no column has."""
+    while name in taken:
+        name += "_"
+    return name

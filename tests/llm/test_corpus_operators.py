@@ -1,9 +1,11 @@
 import base64
+import gc
 import hashlib
 import math
 import pickle
 import random
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -243,6 +245,8 @@ def test_decontamination(spark):
         got = find_benchmark(docs, bench, p).collect()
         assert Counter((x.doc_id, x.n_words, x.n_hit, tuple(x["items"]), x.contaminated) for x in got) == want
         assert all(sum(s.end - s.begin for s in x.spans) == x.n_hit for x in got)
+    parts = decontaminate._parts(bench, DecontaminationParams(window_bytes=4000))
+    assert len(parts) > 2
     kept = without_benchmark(docs, bench)
     assert kept.columns == docs.columns and {x.doc_id for x in kept.collect()} == {k[0] for k in want if not k[4]}
     assert {x.doc_id for x in without_benchmark(docs, bench, DecontaminationParams(window_bytes=4000)).collect()} == {k[0] for k in want if not k[4]}
@@ -252,6 +256,29 @@ def test_decontamination(spark):
     assert find_benchmark(documents(spark, []), bench).collect() == []
 
 
+def test_passes_hold_one_part(spark, monkeypatch):
+    """With ten parts no stage has the windows of more than one, and the driver makes a part's after the one before is gone."""
+    bench = spark.createDataFrame([(i, f"item {i} " * 12) for i in range(400)], "item_id long, text string")
+    docs = documents(spark, [(i, "x " + f"item {i} " * 15, "s") for i in range(390, 420)])
+    p = DecontaminationParams(window_bytes=-(-sum(len(x.text) + decontaminate._WORD_BYTES * 24 for x in bench.collect()) // 10))
+    made, alive, build = [], [], decontaminate._windows
+
+    def watched(*args):
+        gc.collect()
+        alive.append(sum(w() is not None for w in made))
+        out = build(*args)
+        made.extend(map(weakref.ref, out))
+        return out
+
+    monkeypatch.setattr(decontaminate, "_windows", watched)
+    found, kept = find_benchmark(docs, bench, p), without_benchmark(docs, bench, p)
+    assert len(alive) == 20 and max(alive) <= 1  # the variable of the pass before, at most
+    assert {x.doc_id for x in found.collect() if not x.contaminated} == {x.doc_id for x in kept.collect()} == set(range(400, 420))
+    for df in (found, kept):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("ArrowEvalPython") == 0 and plan.count("MapInArrow") <= 1  # the uniting of spans
+
+
 @pytest.mark.parametrize("items", [1, 2000])
 def test_windows_fit_their_estimate(items):
     r = random.Random(11)
