@@ -1,11 +1,11 @@
 """N-gram Jaccard self-join with Bayesian candidate pruning.
 
-1. Every text becomes its set of word n-grams (64-bit hashes), a digest of the set and MinHash values. Texts with equal
-   sets are one class; only its smallest id goes on.
+1. Every text becomes its set of word n-grams (64-bit hashes), a digest of the set and MinHash values. Rows with equal
+   sets are one class, whatever their ids; a class gets a number, and one of its rows goes on under it.
 2. Classes that agree on all rows of a MinHash band meet in a bucket. Each bucket gives one edge per member, to its
-   smallest id, never all pairs. Edges whose MinHash values make even the similarity that two neighbours of a common
+   smallest number, never all pairs. Edges whose MinHash values make even the similarity that two neighbours of a common
    text have improbable are dropped. What a bucket has left over is tied together, with the members that aren't surely
-   nearer to the smallest id than the threshold, as those may link to what is left over.
+   nearer to the smallest number than the threshold, as those may link to what is left over.
 3. The components of these edges hold the candidate pairs. A component is dealt out in blocks of bounded size, those of
    texts of like size; pairs of blocks whose sizes allow the threshold are compared in tasks: MinHash values are read in
    steps, a pair is dropped as soon as its posterior probability of reaching the threshold falls below the tolerance, and
@@ -48,6 +48,10 @@ class JaccardParams:
     block_words: int = 500_000
 
 
+#: The two digests of a set are sums over its n-grams, mixed with these.
+_SALTS = (0, 0xA5A5A5A5A5A5A5A5)
+
+
 def _sketcher(p: JaccardParams):
     """Per text: size and digest of its set of n-grams, one byte of each MinHash value, and the keys of the bands."""
     k = p.bands * p.rows
@@ -67,7 +71,7 @@ def _sketcher(p: JaccardParams):
                     for i in range(a, b):
                         grams = np.unique(runs(words[at[i - a] : at[i - a + 1]], p.n))
                         size[i] = len(grams)
-                        one[i], two[i] = (x.sum(dtype=np.uint64).view(np.int64) for x in (mix(grams), mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5))))
+                        one[i], two[i] = (mix(grams ^ np.uint64(salt)).sum(dtype=np.uint64).view(np.int64) for salt in _SALTS)
                         for c in range(0, len(grams), 512):
                             np.minimum(low[i], (factors[:, None] * grams[None, c : c + 512] + shifts[:, None]).min(axis=1), out=low[i])
                 mixed = mix(low)
@@ -135,16 +139,16 @@ def _star_pruner(p: JaccardParams):
 def _candidates(reps: DataFrame, p: JaccardParams) -> DataFrame:
     """Edges (u, v) whose components hold the pairs of classes that share a bucket.
 
-    Within a bucket a pair at the threshold stays together: both ends are near the smallest id and tied to it; or both are
+    Within a bucket a pair at the threshold stays together: both ends are near the smallest number and tied to it; or both are
     far or on the edge, and tied to each other; else one is far and one surely nearer than the threshold, which by the
     triangle inequality of the Jaccard distance can't link, but for the chance that ``sure`` leaves.
     """
     total = p.bands * reps.count()
-    keyed = reps.select("doc_id", F.posexplode("keys").alias("band", "bucket"))
-    buckets = keyed.groupBy("band", "bucket").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).filter("n > 1")
-    stars = join_groups(keyed, buckets, ["band", "bucket"], total).filter("doc_id <> v").withColumnRenamed("doc_id", "u").drop("n")
+    keyed = reps.select("node", F.posexplode("keys").alias("band", "bucket"))
+    buckets = keyed.groupBy("band", "bucket").agg(F.min("node").alias("v"), F.count("*").alias("n")).filter("n > 1")
+    stars = join_groups(keyed, buckets, ["band", "bucket"], total).filter("node <> v").withColumnRenamed("node", "u").drop("n")
     stars = table(stars, "stars")
-    pairs, sigs = stars.select("u", "v").distinct(), reps.select("doc_id", "sig")
+    pairs, sigs = stars.select("u", "v").distinct(), reps.select("node", "sig")
     stored = table(pairs.groupBy("v").agg(F.count("*").alias("n")).join(sigs.toDF("v", "sig_v"), "v"), "centres")
     edges = join_groups(pairs.join(sigs.toDF("u", "sig_u"), "u"), stored, ["v"], total).select("u", "v", "sig_u", "sig_v")
     edges = table(edges.mapInArrow(_star_pruner(p), "u long, v long, near boolean, inner boolean"), "star_edges")
@@ -159,13 +163,15 @@ def _candidates(reps: DataFrame, p: JaccardParams) -> DataFrame:
     return out
 
 
+#: What names a set of n-grams.
+_DIGEST = ["digest", "digest2", "n_grams"]
 #: What a member of a component brings to a pair of blocks; ``low`` and ``i`` name the smaller class of sizes and its block.
 _PAIR = ["root", "low", "i", "high", "j"]
-_MEMBER = ["doc_id", "copies", "cell", "block", "whole", "sig"]
+_MEMBER = ["node", "copies", "cell", "block", "whole", "sig"]
 
 
 def _dealt(members: DataFrame, p: JaccardParams) -> DataFrame:
-    """``_PAIR``, ``_MEMBER``: the members of each component, once for every pair of blocks that they are compared in.
+    """``_PAIR``, ``_MEMBER``, ``rep``, ``_DIGEST``: the members of each component, once for every pair of blocks that they are compared in.
 
     A component of at most ``block_texts`` and ``block_words`` is one block, ``whole``. Of others, texts whose sizes are
     within a factor of 1 / threshold are a cell, which is cut into blocks by hash; only blocks of one cell or of
@@ -182,7 +188,7 @@ def _dealt(members: DataFrame, p: JaccardParams) -> DataFrame:
         "below": F.when(F.lag("size").over(by_size) == F.col("size") - 1, F.lag("blocks").over(by_size)).otherwise(0),
     }).drop("words")
     out = join_groups(members, table(cells, "cells"), ["root", "size"], members.count())
-    out = out.withColumn("cell", F.when(F.col("whole"), 0).otherwise(F.col("size"))).withColumn("block", F.when(F.col("whole"), 0).otherwise(F.expr("pmod(xxhash64(doc_id), blocks)")).cast("int"))
+    out = out.withColumn("cell", F.when(F.col("whole"), 0).otherwise(F.col("size"))).withColumn("block", F.when(F.col("whole"), 0).otherwise(F.expr("pmod(xxhash64(node), blocks)")).cast("int"))
 
     def meetings(n, low, i, high, j):
         def pair(other):
@@ -195,7 +201,8 @@ def _dealt(members: DataFrame, p: JaccardParams) -> DataFrame:
     own = meetings(F.when(F.col("whole"), 1).otherwise(F.col("blocks")), cell, lambda x: F.least(block, x), cell, lambda x: F.greatest(block, x))
     up = meetings(F.when(F.col("whole"), zero).otherwise(F.col("above")), cell, block, cell + 1, lambda x: x)
     down = meetings(F.when(F.col("whole"), zero).otherwise(F.col("below")), cell - 1, lambda x: x, cell, block)
-    return out.select("root", *_MEMBER, F.explode(F.concat(own, up, down)).alias("pair")).select(*(c if c == "root" else f"pair.{c}" for c in _PAIR), *_MEMBER)
+    out = out.select("root", *_MEMBER, "rep", *_DIGEST, F.explode(F.concat(own, up, down)).alias("pair"))
+    return out.select(*(c if c == "root" else f"pair.{c}" for c in _PAIR), *_MEMBER, "rep", *_DIGEST)
 
 
 def _set_maker(p: JaccardParams):
@@ -210,7 +217,9 @@ def _set_maker(p: JaccardParams):
                 out = [np.unique(runs(words[at[i] : at[i + 1]], p.n)) for i in range(b - a)]
                 ends = np.concatenate([[0], np.cumsum([8 * len(x) for x in out])]).astype(np.int32)
                 flat = pa.BinaryArray.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(out))])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), flat], names=["doc_id", "grams"])
+                one, two = (pa.array([int(mix(x ^ np.uint64(salt)).sum(dtype=np.uint64).view(np.int64)) for x in out], pa.int64()) for salt in _SALTS)
+                size = pa.array([len(x) for x in out], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), size, one, two, flat], names=["rep", "n_grams", "digest", "digest2", "grams"])
 
     return sets
 
@@ -289,7 +298,7 @@ def _verifier(p: JaccardParams):
         second = first if (low, i) == (high, j) else np.flatnonzero((cell == high) & (block == j))
         sig = np.frombuffer(b"".join(x[10] for x in rows), np.uint8).reshape(-1, k)
         links, label = compare(ids, copies, first, second, sig, [np.frombuffer(x[11], np.uint64) for x in rows])
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(label), pa.array(np.full(len(ids), not rows[0][9]))], names=["doc_id", "links", "label", "split"])
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(label), pa.array(np.full(len(ids), not rows[0][9]))], names=["node", "links", "label", "split"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -312,59 +321,83 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     class_id is the smallest doc_id of the rows that links lead to; n_links counts the other rows whose n-gram sets have
     a Jaccard similarity of ``threshold`` or more with this row's, equal sets included. N-grams are runs of ``n`` words
     (digits, letters and all that isn't ASCII; A-Z lowered); a text of fewer words, but some, is one n-gram. Null, empty
-    and wordless texts have no n-grams, no links, and their own id as class. Repeated rows count as copies of each other.
-    An empty table gives no rows; other columns are ignored. A null doc_id is kept, as a class of its own.
+    and wordless texts have no n-grams, no links, and their own id as class. Every row counts: rows that repeat are copies of
+    each other, and rows that share a doc_id but not a text each have their own links. An empty table gives no rows; other columns are
+    ignored. A null doc_id is kept, as a class of its own.
     """
-    p = params or JaccardParams()
+    return _classified(docs, params or JaccardParams()).select("doc_id", "class_id", "n_links", "n_grams")
+
+
+def _classified(docs: DataFrame, p: JaccardParams) -> DataFrame:
+    """The result of ``near_duplicates`` with the digests of each row's set."""
     spark = docs.sparkSession
     rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     sketches = table(
         rows.mapInArrow(_sketcher(p), "doc_id long, n_grams long, digest long, digest2 long, sig binary, keys array<long>"), "sketches"
     )
-    digest = ["digest", "digest2", "n_grams"]
     some = sketches.filter("n_grams > 0 and doc_id is not null")
-    classes = table(some.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    reps = table(
-        some.join(classes.select(*digest, F.col("rep").alias("doc_id"), "copies"), ["doc_id", *digest]).dropDuplicates(["doc_id"]), "reps"
-    )
+    classes = some.groupBy(*_DIGEST).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    classes = table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    chosen = some.withColumnRenamed("doc_id", "rep").join(classes, ["rep", *_DIGEST])
+    reps = table(chosen.dropDuplicates(["node"]), "reps")
     candidates = _candidates(reps, p)
-    clusters = table(components(candidates).withColumnRenamed("node", "doc_id"), "clusters")
-    members = table(clusters.join(reps.select("doc_id", "copies", "n_grams", "sig"), "doc_id"), "members")
+    clusters = table(components(candidates), "clusters")
+    members = table(clusters.join(reps.select("node", "rep", *_DIGEST, "copies", "sig"), "node"), "members")
     # where the members are few enough for Spark to broadcast their ids, the other texts aren't shuffled
-    wanted = rows.join(clusters.select("doc_id"), "doc_id", "left_semi")
-    wanted = wanted.dropDuplicates(["doc_id"]) if _repeats(sketches) else wanted
-    grams = wanted.mapInArrow(_set_maker(p), "doc_id long, grams binary")
+    ids = table(members.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+    wanted = rows.join(ids, "doc_id", "left_semi")
+    grams = wanted.mapInArrow(_set_maker(p), "rep long, n_grams long, digest long, digest2 long, grams binary")
+    grams = grams.dropDuplicates(["rep", *_DIGEST]) if _repeats(sketches) else grams
     linked = table(
-        _dealt(members, p).join(grams, "doc_id").select(*_PAIR, *_MEMBER, "grams").repartition(partitions(spark), *_PAIR).sortWithinPartitions(*_PAIR)
-        .mapInArrow(_verifier(p), "doc_id long, links long, label long, split boolean"), "links",
+        _dealt(members, p).join(grams, ["rep", *_DIGEST]).select(*_PAIR, *_MEMBER, "grams").repartition(partitions(spark), *_PAIR).sortWithinPartitions(*_PAIR)
+        .mapInArrow(_verifier(p), "node long, links long, label long, split boolean"), "links",
     )
-    discard(reps, candidates, clusters, members)
-    forest = linked.filter("split and doc_id <> label").select(F.col("doc_id").alias("u"), F.col("label").alias("v"))
-    roots = components(forest).toDF("doc_id", "root")
-    found = linked.groupBy("doc_id").agg(F.sum("links").alias("links"), F.min("label").alias("label"))
-    found = found.join(roots, "doc_id", "left").select(F.col("doc_id").alias("rep"), "links", F.coalesce("root", "label").alias("class_id"))
-    per_class = classes.join(found, "rep", "left")
-    out = sketches.select("doc_id", *digest).join(per_class, digest, "left")
-    has = F.col("n_grams") > 0
+    discard(reps, candidates, clusters, members, ids)
+    forest = linked.filter("split and node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
+    roots = components(forest).withColumnRenamed("root", "top")
+    found = linked.groupBy("node").agg(F.sum("links").alias("links"), F.min("label").alias("label")).join(roots, "node", "left")
+    found = table(found.select("node", "links", F.coalesce("top", "label").alias("top")).join(classes.select("node", "rep"), "node"), "found")
+    least = found.groupBy("top").agg(F.min("rep").alias("class_id"), F.count("*").alias("n"))
+    found = join_groups(found, least, ["top"], found.count()).select("node", "links", "class_id")
+    per_class = classes.join(found, "node", "left").select(*_DIGEST, "rep", "copies", "links", "class_id")
+    out = sketches.select("doc_id", *_DIGEST).join(per_class, _DIGEST, "left")
+    has = (F.col("n_grams") > 0) & F.col("doc_id").isNotNull()
     return out.select(
-        "doc_id",
-        F.when(has & F.col("doc_id").isNotNull(), F.coalesce("class_id", "rep")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(has & F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("long").alias("n_links"),
-        "n_grams",
-    )
+        "doc_id", F.when(has, F.coalesce("class_id", "rep")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(has, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("long").alias("n_links"), *_DIGEST,
+    )
 
 
 def _repeats(sketches: DataFrame) -> bool:
-    """Whether a doc_id occurs in several rows; only then must texts be made unique before the join."""
-    return not sketches.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    """Whether a doc_id occurs in several rows; only then must sets be made unique, and rows be told apart by more than their id."""
+    return not sketches.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+
+def _digests(p: JaccardParams):
+    """A text's size and digests, as a function of a text column."""
+
+    def digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        sets = _set_maker(p)
+        for column in columns:
+            batch = pa.RecordBatch.from_arrays([pa.nulls(len(column), pa.int64()), column], names=["doc_id", "text"])
+            made = [pa.StructArray.from_arrays([x.column(n) for n in _DIGEST], _DIGEST) for x in sets([batch])]
+            yield pa.concat_arrays(made) if made else pa.array([], pa.struct([(n, pa.int64()) for n in _DIGEST]))
+
+    return F.arrow_udf(digests, "digest long, digest2 long, n_grams long", F.ArrowUDFType.SCALAR_ITER)
 
 
 def keep_one(docs: DataFrame, params: JaccardParams | None = None) -> DataFrame:
-    """The rows of ``docs`` without the near duplicates of a row that stays: of each class its smallest doc_id stays.
+    """The rows of ``docs`` without the near duplicates of a row that stays: of each class the rows of its smallest doc_id stay.
 
-    All columns are kept. Wordless texts all stay, as do rows without a doc_id; rows that repeat a doc_id stay or go together.
+    All columns are kept. Wordless texts all stay, as do rows without a doc_id. Where a doc_id is that of several rows, each of them
+    stays or goes by its own text.
     """
-    classes = near_duplicates(docs, params)
-    # stored, so that Spark knows its size: texts are shuffled only where the ids are too many to broadcast
-    go = table(classes.filter("doc_id <> class_id").select("doc_id").distinct(), "go")
-    return docs.join(go, "doc_id", "left_anti").select(docs.columns)
+    p = params or JaccardParams()
+    classes = table(_classified(docs, p), "classified")
+    # stored, so that Spark knows its size: texts are shuffled only where the rows that go are too many to broadcast
+    go = classes.filter("doc_id <> class_id")
+    if not _repeats(classes):
+        return docs.join(table(go.select("doc_id"), "go"), "doc_id", "left_anti").select(docs.columns)
+    told = bounded_batches(docs).select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), _digests(p)("text").alias("set"))
+    gone = table(go.select(F.col("doc_id").alias("id"), F.struct(*_DIGEST).alias("set")).distinct(), "go")
+    return told.join(gone, ["id", "set"], "left_anti").select("row.*")

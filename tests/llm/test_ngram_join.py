@@ -125,3 +125,20 @@ def test_pairs_across_the_edge_of_a_bucket(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {x.doc_id: (x.class_id, x.n_links) for x in near_duplicates(docs, JaccardParams(block_texts=5)).collect()}
     assert got == want and sum(n for _, n in want.values()) > 100
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    """Each row links by its own text, in whichever order rows come; such rows stay or go one by one."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))
+    a, b, c = ([word() for _ in range(60)] for _ in range(3))
+    near = lambda x: " ".join([*x[:-1], word()])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (5, near(b)), (6, near(a)), (5, " ".join(c)), (None, " ".join(a)), (1, " ".join(b))]
+    want = [(None, None, 0), (1, 1, 1), (1, 1, 2), (1, 1, 2), (5, 1, 2), (5, 5, 0), (6, 1, 1)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(i, t, 9) for i, t in order], "doc_id long, text string, _set int").coalesce(1)
+        got = sorted(((x.doc_id, x.class_id, x.n_links) for x in near_duplicates(docs).collect()), key=str)
+        assert got == sorted(want, key=str)
+        kept = keep_one(docs)
+        stay = [(i, t) for i, t in order if i in (1, None) or t == " ".join(c)]
+        assert kept.columns == docs.columns and sorted(((x.doc_id, x.text) for x in kept.collect()), key=str) == sorted(stay, key=str)
