@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import QUOTE_NUMBERS, QUOTE_TEXTS, mid_amount, quoted_fields, snake_case
 from ..operators.joins import valid_at, with_optional
+from ..operators.quantiles import approximate, exact_quantiles, global_ranks, merged, sketched
 from ..operators.scd2 import current, scd2_apply, versions
 from ..operators.windows import bucket, carried, latest_per_key
 from ..plans import calendar as cal
@@ -288,10 +289,10 @@ def ag_02_pivot(spark, d):
 
 def ag_04_median(spark, d):
     o = Tables(spark, d).read("orders")
-    return o.groupBy("o_orderpriority").agg(
-        F.round(F.median("o_totalprice"), 4).alias("median"), F.round(F.median(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))), 4).alias("median_f"),
-        F.round(F.percentile("o_totalprice", F.lit(0.1)), 4).alias("p10"), F.count_if(F.col("o_orderstatus") == "O").alias("n_open"), F.countDistinct("o_custkey").alias("customers"),
-    )
+    total, closed = F.col("o_totalprice"), F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
+    places = exact_quantiles(o, ["o_orderpriority"], {"median": (total, 0.5), "median_f": (closed, 0.5), "p10": (total, 0.1)})
+    counts = o.groupBy("o_orderpriority").agg(F.count_if(F.col("o_orderstatus") == "O").alias("n_open"), F.countDistinct("o_custkey").alias("customers"))
+    return r4(places.join(counts, "o_orderpriority"), ["o_orderpriority", "n_open", "customers"], "median, median_f, p10")
 
 
 def ag_05_approximate(spark, d):
@@ -301,6 +302,28 @@ def ag_05_approximate(spark, d):
     return o.groupBy("o_orderpriority").agg(q(0.25).alias("q25"), q(0.75).alias("q75"))
 
 
+def ag_05_sketches(spark, d):
+    """Quarters from sketches kept by day and merged, and from one sketch of all: whether their exact ranks are within half a hundredth."""
+    o = Tables(spark, d).read("orders").withColumn("day", F.to_date("o_orderdate"))
+    days = sinks.stored(sketched(o, ["o_orderpriority", "day"], "o_totalprice"), "sketches")
+    quarters = {"q25": 0.25, "q75": 0.75}
+    out = None
+    for kind, s in (("merged", merged(days, ["o_orderpriority"])), ("whole", sketched(o, ["o_orderpriority"], "o_totalprice"))):
+        found = sinks.stored(approximate(s, quarters).drop("sketch"), "quarters")
+        ranks = o.join(F.broadcast(found), "o_orderpriority").groupBy("o_orderpriority").agg(
+            F.first("n").alias("n"), *((F.abs(F.avg((F.col("o_totalprice") <= F.col(q)).cast("double")) - p) <= 0.005).alias(f"{q}_within") for q, p in quarters.items())
+        )
+        one = ranks.withColumn("kind", F.lit(kind))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def wn_03_whole_table(spark, d):
+    """Percent rank of all orders by price, those without one last, without bringing them together."""
+    o = Tables(spark, d).read("orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price"))
+    return r4(global_ranks(o, F.col("price"), ascending=False), ["o_orderkey", "global_rank"], "price, global_percent_rank", 8)
+
+
 def ag_09_strings(spark, d):
     n = Tables(spark, d).read("nation")
     return n.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ", ").alias("names"), F.count("*").alias("n")).filter("n > 1")
@@ -492,6 +515,10 @@ SQL = {
     "prj_01_quotes": f"""SELECT p_brand AS symbol, {", ".join(f"min(p_name) || ' {c}' AS {snake_case(c)}" for c in QUOTE_TEXTS)},
   {", ".join(f"round(avg(p_retailprice) * {i + 1}, 4) AS {snake_case(c)}" for i, c in enumerate(QUOTE_NUMBERS))} FROM part GROUP BY p_brand""",
     "ag_05_approximate": "SELECT o_orderpriority, quantile_disc(o_totalprice, 0.25) AS q25, quantile_disc(o_totalprice, 0.75) AS q75 FROM orders GROUP BY ALL",
+    "ag_05_sketches": """SELECT o_orderpriority, count(*) AS n, true AS q25_within, true AS q75_within, kind FROM orders, (SELECT unnest(['merged', 'whole']) AS kind)
+  WHERE o_totalprice IS NOT NULL GROUP BY o_orderpriority, kind""",
+    "wn_03_whole_table": """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM orders)
+  SELECT o_orderkey, rank() OVER w AS global_rank, round(price, 8) AS price, round(percent_rank() OVER w, 8) AS global_percent_rank FROM o WINDOW w AS (ORDER BY price DESC NULLS LAST)""",
     "jn_21_optional": """WITH c AS (SELECT c_nationkey, round(avg(c_acctbal), 4) AS score, min(c_mktsegment) AS label FROM customer WHERE c_nationkey % 2 = 0 GROUP BY 1)
   SELECT n_nationkey, score, label, 'there' AS side FROM nation LEFT JOIN c ON c_nationkey = n_nationkey
   UNION ALL SELECT n_nationkey, NULL::DOUBLE, NULL::VARCHAR, 'absent' FROM nation""",
