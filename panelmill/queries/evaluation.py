@@ -149,9 +149,10 @@ def bt_11_call_turnover(spark, d):
 HAIRCUT, DEFINITION = 0.5, "momentum: change over 21 sessions; reversal: the opposite of that over 63"
 
 
-def expected(t: Tables) -> DataFrame:
-    """Expectations of all variants, frozen from the walk-forward evaluation."""
-    f = frame(t, cl.EXPECTATION_HORIZONS)
+def expected(t: Tables, rs: DataFrame | None = None) -> DataFrame:
+    """Expectations of all variants, frozen from the walk-forward evaluation; the frame is stored, as two readings grade it."""
+    rs = returns(t, cl.EXPECTATION_HORIZONS) if rs is None else rs
+    f = sinks.stored(bt.evaluation_frame(signals(t), rs, SPY), "frame")
     return cl.freeze(bt.distribution(bt.top_excess(f, 10.0)), bt.ic_by_date(f), DEFINITION, HAIRCUT)
 
 
@@ -160,20 +161,22 @@ def set_01_frozen(spark, d):
     return r4(out, ["variant", "horizon", "n_dates", "ic_by_year", "haircut", "definition_hash", "source_sha256"], "mean, p10, p90, ic_mean", 6)
 
 
-def settled(t: Tables) -> DataFrame:
-    frozen = expected(t).filter("variant = 'momentum'").select("horizon", "mean", "p10")
-    return cl.settle(calls(t), frozen, returns(t, cl.EXPECTATION_HORIZONS), SPY)
+def settled(t: Tables, rs: DataFrame | None = None) -> DataFrame:
+    """The calls' rounds graded against the frozen expectation; returns and calls are stored, as several steps read them."""
+    rs = sinks.stored(returns(t, cl.EXPECTATION_HORIZONS), "returns") if rs is None else rs
+    frozen = expected(t, rs).filter("variant = 'momentum'").select("horizon", "mean", "p10")
+    return cl.settle(sinks.stored(calls(t), "calls"), frozen, rs, SPY)
 
 
 def set_02_settle(spark, d):
     return r4(settled(Tables(spark, d)), ["as_of_date", "horizon", "n_symbols", "n_missing", "below_mean", "below_p10"], "realized_excess_net, realized_ic, mean, p10", 5)
 
 
-def attributed(t: Tables) -> DataFrame:
+def attributed(t: Tables, rs: DataFrame | None = None) -> DataFrame:
     b = t.prices.withColumn("m", change("close", 21, series())).withColumn("v", F.col("volume"))
     b = b.join(scoring.month_ends(t.prices.select(F.col("date").alias("as_of_date"))).withColumnRenamed("as_of_date", "date"), "date").withColumnRenamed("date", "as_of_date")
     parts = b.select("symbol", "as_of_date", pct_rank(F.col("m"), ["as_of_date"]).alias("momentum_pct"), pct_rank(F.col("v").cast("double"), ["as_of_date"]).alias("volume_pct"))
-    return cl.attribution(parts, returns(t), ["momentum_pct", "volume_pct"])
+    return cl.attribution(parts, returns(t) if rs is None else rs, ["momentum_pct", "volume_pct"])
 
 
 def set_02_attribution(spark, d):
@@ -186,7 +189,9 @@ def set_03_trailing(spark, d):
 
 def set_03_drift(spark, d):
     t = Tables(spark, d)
-    return r4(cl.drift(settled(t), attributed(t)), ["signal", "n", "action"], "t", 3)
+    rs = sinks.stored(returns(t), "returns")
+    graded = settled(t, rs.filter(F.col("horizon").isin(*cl.EXPECTATION_HORIZONS)))
+    return r4(cl.drift(sinks.stored(graded, "settled"), attributed(t, rs)), ["signal", "n", "action"], "t", 3)
 
 
 def set_04_agreement(spark, d):

@@ -74,25 +74,31 @@ class Tables:
             F.round(F.sum(price * disc), 4).alias("NetIncomeLoss"), F.round(F.sum("l_quantity"), 0).alias("EntityCommonStockSharesOutstanding"),
             F.round(F.sum(price) * 3, 2).alias("Assets"), F.round(F.sum(price) * 2, 2).alias("StockholdersEquity"),
         )
-        tags = ["Revenues", "CostOfRevenue", "NetIncomeLoss", "EntityCommonStockSharesOutstanding", "Assets", "StockholdersEquity"]
-        long = sums.unpivot(["symbol", "fiscal_year"], tags, "tag", "value").withColumn("value", F.col("value").cast("double"))
-        revenue = long.filter("tag = 'Revenues'")
-        old = revenue.withColumn("tag", F.lit("SalesRevenueNet")).withColumn("value", F.round(F.col("value") * 0.9, 4))
-        new = revenue.filter("fiscal_year % 2 = 0").withColumn("tag", F.lit("RevenueFromContractWithCustomerExcludingAssessedTax")).withColumn("value", F.round(F.col("value") * 0.98, 4))
-        least = F.when((F.col("tag") == "CostOfRevenue") & (number % 3 == 0), "CostOfGoodsSold")
-        least = least.when((F.col("tag") == "StockholdersEquity") & (number % 4 == 0), "StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest")
-        long = long.withColumn("tag", least.otherwise(F.col("tag"))).unionByName(old).unionByName(new)
-        shares = F.col("tag") == "EntityCommonStockSharesOutstanding"
-        own = long.withColumn("taxonomy", F.when(shares, "dei").otherwise("us-gaap"))
-        other = long.withColumn("taxonomy", F.when(shares, "us-gaap").otherwise("ifrs-full")).withColumn("value", F.col("value") * 1000)
+        value = lambda name: F.col(name).cast("double")
+        revenue = value("Revenues")
+        # (tag, value, whether it is a stock without a start)
+        filed = [
+            (F.lit("Revenues"), revenue, False), (F.lit("SalesRevenueNet"), F.round(revenue * 0.9, 4), False),
+            (F.when(F.col("fiscal_year") % 2 == 0, "RevenueFromContractWithCustomerExcludingAssessedTax"), F.round(revenue * 0.98, 4), False),
+            (F.when(number % 3 == 0, "CostOfGoodsSold").otherwise("CostOfRevenue"), value("CostOfRevenue"), False),
+            (F.lit("NetIncomeLoss"), value("NetIncomeLoss"), False), (F.lit("Assets"), value("Assets"), True),
+            (F.lit("EntityCommonStockSharesOutstanding"), value("EntityCommonStockSharesOutstanding"), True),
+            (F.when(number % 4 == 0, "StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest").otherwise("StockholdersEquity"), value("StockholdersEquity"), True),
+        ]
+        fact = lambda tag, taxonomy, x, stock, form, days: F.when(tag.isNotNull(), F.struct(
+            tag.alias("tag"), F.lit(taxonomy).alias("taxonomy"), x.alias("value"), F.lit(stock).alias("stock"), F.lit(form).alias("form"), F.lit(days).alias("days")))
+        all_ = []
+        for i, (tag, x, stock) in enumerate(filed):
+            shares = i == 6
+            for taxonomy, y in ((("dei" if shares else "us-gaap"), x), (("us-gaap" if shares else "ifrs-full"), x * 1000)):
+                all_.append(fact(tag, taxonomy, y, stock, "10-K", 45))
+                if i == 0:
+                    all_.append(fact(tag, taxonomy, F.round(y * 1.01, 4), stock, "10-K/A", 45 + 365))
         end = F.make_date("fiscal_year", F.lit(12), F.lit(31))
-        stock = F.col("tag").startswith("StockholdersEquity") | F.col("tag").isin("EntityCommonStockSharesOutstanding", "Assets")
-        base = own.unionByName(other).select(
-            "symbol", "taxonomy", "tag", F.when(~stock, F.make_date("fiscal_year", F.lit(1), F.lit(1))).alias("start_date"),
-            end.alias("end_date"), "value", "fiscal_year", F.lit("FY").alias("fiscal_period"), F.lit("10-K").alias("form"), F.date_add(end, 45).alias("filed"),
+        return sums.select("symbol", "fiscal_year", F.explode(F.array_compact(F.array(*all_))).alias("f")).select(
+            "symbol", "f.taxonomy", "f.tag", F.when(~F.col("f.stock"), F.make_date("fiscal_year", F.lit(1), F.lit(1))).alias("start_date"),
+            end.alias("end_date"), "f.value", "fiscal_year", F.lit("FY").alias("fiscal_period"), "f.form", F.date_add(end, F.col("f.days")).alias("filed"),
         )
-        again = base.filter("tag = 'Revenues'").withColumn("value", F.round(F.col("value") * 1.01, 4)).withColumn("form", F.lit("10-K/A"))
-        return base.unionByName(again.withColumn("filed", F.date_add("filed", 365)))
 
     def profiles(self) -> DataFrame:
         """Snapshots of users' attributes: one per event."""
