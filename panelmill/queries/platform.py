@@ -402,8 +402,11 @@ def str_01_dedupe(spark, d):
 
 
 def str_02_ohlc(spark, d):
-    out = streams.run(streams.ohlc(streams.read_files(spark, d, "events"), "event_type", "ts", "value"), "ohlc", "complete")
-    return out.withColumn("start", F.to_date("start"))
+    """Daily bars of a stream, merged into a table of months."""
+    path = sinks.scratch(spark, "ohlc")
+    bars = streams.ohlc(streams.read_files(spark, d, "events"), "event_type", "ts", "value").withColumn("start", F.to_date("start"))
+    streams.run_keyed(bars, path, ["event_type", "start"], F.date_format("start", "yyyy-MM"), sinks.scratch(spark, "ohlc-state"))
+    return commits.read(spark, path)
 
 
 def str_03_hysteresis(spark, d):
