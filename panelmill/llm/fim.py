@@ -24,12 +24,14 @@ from .shared import partitions
 
 @dataclass(frozen=True)
 class FimParams:
-    """Rows per hundred that are transformed at most, of these the share with the suffix first, the salt of the draws, and units of a piece."""
+    """Rows per hundred that are transformed at most, of these the share with the suffix first, the salt of the draws, units of a
+    piece, and bytes of text that a sorting task should get."""
 
     rate: int = 90
     spm_rate: int = 20
     salt: str = "1:"
     chunk_units: int = 1 << 16
+    partition_bytes: int = 32 << 20
 
 
 #: Sentinels that begin the prefix, suffix and middle.
@@ -197,11 +199,13 @@ def round_trip(docs: DataFrame, params: FimParams | None = None) -> DataFrame:
     """``docs(doc_id long, text string, ...)``: each document's units, form, lengths and the digests of its output and of the text restored from it.
 
     Null texts are empty and, like all empty texts, plain; rows are not merged, whether ids or whole rows repeat; a null id draws
-    like an empty one. A very long text is many pieces; a sorting task holds its partition's pieces or spills them.
+    like an empty one. A very long text is many pieces; a sorting task holds its partition's pieces or spills them. All
+    lengths are added up first, so that there are enough partitions, at least ``spark.sql.shuffle.partitions``.
     """
     p = params or FimParams()
     spark = docs.sparkSession
-    n = partitions(spark)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(partitions(spark), -(-total // p.partition_bytes))
     cut = docs.select(F.col("doc_id").cast("long"), "text").rdd.mapPartitionsWithIndex(_cut(p))
     outputs = cut.repartitionAndSortWithinPartitions(n, _place).mapPartitions(_outputs, preservesPartitioning=True)
     restored = outputs.repartitionAndSortWithinPartitions(n, _place).mapPartitions(_restored)
