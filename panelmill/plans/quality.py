@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import commits
+
 
 def freshness(latest: DataFrame, expected: DataFrame, session: Column, most: float = 0.02) -> DataFrame:
     """``symbol, last_date, critical, stale, status``: each expected symbol against the last session.
@@ -18,8 +20,8 @@ def freshness(latest: DataFrame, expected: DataFrame, session: Column, most: flo
     return j.crossJoin(F.broadcast(rate)).withColumn("status", status).drop("_rate")
 
 
-def price_checks(p: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """``check, failures`` of prices: shape, nulls, duplicates and event time, from one pass and one count of keys."""
+def price_bundle(columns: list[str]) -> dict[str, Column]:
+    """Counts of bad rows of prices, each an aggregate: shape, nulls and event time."""
     checks = {
         "empty": F.when(F.count("*") == 0, 1).otherwise(0),
         "high_below_low": F.count_if(F.col("high") < F.col("low")),
@@ -27,9 +29,14 @@ def price_checks(p: DataFrame, keys: list[str], order: str | None = None) -> Dat
         "close_outside": F.count_if((F.col("close") > F.col("high")) | (F.col("close") < F.col("low"))),
         "null_close": F.count_if(F.col("close").isNull()),
     }
-    if {"_source_event_ts", "_ingest_ts"} <= set(p.columns):
+    if {"_source_event_ts", "_ingest_ts"} <= set(columns):
         checks["event_after_ingest"] = F.count_if(F.col("_source_event_ts") > F.col("_ingest_ts"))
-    one = p.agg(*(v.cast("long").alias(k) for k, v in checks.items()))
+    return {k: v.cast("long") for k, v in checks.items()}
+
+
+def price_checks(p: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """``check, failures`` of prices: the bundle, duplicates and dates that go back, from one pass and one count of keys."""
+    one = p.agg(*(v.alias(k) for k, v in price_bundle(p.columns).items()))
     twice = p.groupBy(*keys).count().filter("count > 1").agg(F.count("*").alias("duplicate_keys"))
     out = one.crossJoin(twice)
     if order:
@@ -39,6 +46,21 @@ def price_checks(p: DataFrame, keys: list[str], order: str | None = None) -> Dat
     return out.unpivot([], out.columns, "check", "failures")
 
 
+def land_checked(p: DataFrame, path: str, keys: list[str], part: Column) -> dict[str, int]:
+    """Land prices as a table of commits if the bundle and the keys hold; the failures by check, all of them.
+
+    The checks are counted while the rows are written: rows are read once, and shuffled once by key, in which repeats are seen.
+    With any failure nothing is committed, so no reader ever sees the rows.
+    """
+    copies = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    checks = price_bundle(p.columns) | {"duplicate_keys": F.count_if(F.col("_check_copy") == 2)}
+    try:
+        commits.rebuild(p.withColumn("_check_copy", copies), path, part, checks=checks)
+    except commits.ChecksFailed as e:
+        return e.counts
+    return dict.fromkeys(checks, 0)
+
+
 def null_shares(df: DataFrame, most: float = 0.05) -> DataFrame:
     """``column, null_share, failed`` of all columns in one pass."""
     one = df.agg(*(F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns))

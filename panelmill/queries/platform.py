@@ -12,6 +12,7 @@ from ..operators.scd2 import current, scd2_apply, versions
 from ..operators.windows import bucket, carried, latest_per_key
 from ..plans import calendar as cal
 from ..plans import quality as qa
+from ..plans import star
 from ..plans.fundamentals import CONCEPTS, concepts, fundamentals_fact
 from ..sources import commits, landing, sinks
 from ..sources.tables import FACTS_JSON, Tables
@@ -387,6 +388,29 @@ def qa_10_price_checks(spark, d):
     return qa.price_checks(p, ["symbol", "date"])
 
 
+def qa_10_observed(spark, d):
+    """The same checks counted while the prices are landed, which they stop, and of the first run alone, which they let pass."""
+    p = Tables(spark, d).landed_prices().withColumn("_source_event_ts", F.col("date").cast("timestamp"))
+    out = []
+    for name, rows in (("both", p), ("first", p.filter("_run_id = 'run-1'"))):
+        path = sinks.scratch(spark, "landed")
+        counts = qa.land_checked(rows, path, ["symbol", "date"], F.year("date"))
+        landed = commits.read(spark, path).count() if commits.versions(spark, path) else 0
+        out += [(name, check, n) for check, n in counts.items()] + [(name, "landed", landed)]
+    return spark.createDataFrame(out, "run string, check string, failures long")
+
+
+def jn_20_one_year(spark, d):
+    """Two facts of months across the calendar, of one year alone: only that year's months are read."""
+    t = Tables(spark, d)
+    days = cal.calendar(spark, "1995-01-01", "2002-12-31").filter("year = 1997").select("date", "quarter", "is_session")
+    traded = star.by_month(t.bars().select("symbol", "date", "close", "volume"), "date", "market")
+    ordered = star.by_month(t.read("orders").select(F.to_date("o_orderdate").alias("date"), "o_totalprice"), "date", "orders")
+    market = star.on_days(traded, days).groupBy("quarter").agg(F.count_if("is_session").alias("in_session"), F.sum("volume").alias("volume"), F.round(F.avg("close"), 4).alias("avg_close"))
+    orders = star.on_days(ordered, days).groupBy("quarter").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("value"))
+    return market.join(orders, "quarter", "full_outer")
+
+
 def qa_04_shape(spark, d):
     """Prices hold what is expected of them but for an adjusted close."""
     return qa.shape(Tables(spark, d).bars(), ["symbol", "date", "open", "high", "low", "close", "volume", "adj_close"])
@@ -510,6 +534,10 @@ SQL = {
   SELECT date, s IS NOT NULL AS is_split_day, s AS split_symbols FROM dd LEFT JOIN sp USING (date)""",
     "jn_20_drill_across": f"""WITH {BARS}, {SEC}, {_calendar_sql("DATE '1995-01-01'", "DATE '2002-12-31'")} SELECT sector, year, quarter, count(*) FILTER (is_session) AS sessions, sum(volume)::BIGINT AS volume, round(avg(close), 4) AS avg_close
   FROM bars JOIN sec USING (symbol) JOIN cal USING (date) GROUP BY ALL""",
+    "jn_20_one_year": f"""WITH {BARS}, {_calendar_sql("DATE '1997-01-01'", "DATE '1997-12-31'")},
+  m AS (SELECT quarter, count(*) FILTER (is_session) AS in_session, sum(volume)::BIGINT AS volume, round(avg(close), 4) AS avg_close FROM bars JOIN cal USING (date) GROUP BY quarter),
+  o AS (SELECT quarter, count(*) AS orders, round(sum(o_totalprice), 2) AS value FROM orders JOIN cal ON cal.date = o_orderdate::DATE GROUP BY quarter)
+  SELECT * FROM m FULL JOIN o USING (quarter)""",
     "jn_16_exists": "SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000) AS tracked FROM customer",
     "fct_02_fallback": f"""WITH {BARS}, {KNOWN} SELECT symbol, (SELECT max(date) FROM bars) AS date, filed, round(net_income, 4) AS net_income, round(roe, 4) AS roe FROM known
   QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY filed DESC) = 1""",
@@ -550,6 +578,13 @@ SQL = {
   SELECT 'empty' AS "check", 0::BIGINT AS failures UNION ALL SELECT 'high_below_low', count(*) FILTER (high < low) FROM t UNION ALL SELECT 'negative_volume', count(*) FILTER (volume < 0) FROM t
   UNION ALL SELECT 'close_outside', count(*) FILTER (close > high OR close < low) FROM t UNION ALL SELECT 'null_close', count(*) FILTER (close IS NULL) FROM t UNION ALL SELECT 'event_after_ingest', 0
   UNION ALL SELECT 'duplicate_keys', count(*) FROM bars WHERE (date - DATE '1970-01-01') % 7 = 0""",
+    "qa_10_observed": f"""WITH {BARS}, t AS (SELECT 'first' AS part, close, high, low, volume, date FROM bars UNION ALL SELECT 'second', close * 1.5, high, low, volume, date FROM bars WHERE (date - DATE '1970-01-01') % 7 = 0),
+  r AS (SELECT 'both' AS run, t.* FROM t UNION ALL SELECT 'first', t.* FROM t WHERE part = 'first'),
+  c AS (SELECT run, count(*) FILTER (high < low) AS high_below_low, count(*) FILTER (volume < 0) AS negative_volume, count(*) FILTER (close > high OR close < low) AS close_outside,
+    count(*) FILTER (close IS NULL) AS null_close, 0::BIGINT AS empty, 0::BIGINT AS event_after_ingest, count(*) FILTER (part = 'second') AS duplicate_keys, count(*) AS n FROM r GROUP BY run),
+  w AS (SELECT run, high_below_low, negative_volume, close_outside, null_close, empty, event_after_ingest, duplicate_keys,
+    CASE WHEN high_below_low + negative_volume + close_outside + null_close + duplicate_keys = 0 THEN n ELSE 0 END AS landed FROM c)
+  UNPIVOT w ON high_below_low, negative_volume, close_outside, null_close, empty, event_after_ingest, duplicate_keys, landed INTO NAME "check" VALUE failures""",
     "qa_03_completed_session": """SELECT event_id, CASE WHEN (ts - INTERVAL 5 HOUR)::TIME >= TIME '16:30:00' THEN (ts - INTERVAL 5 HOUR)::DATE ELSE (ts - INTERVAL 5 HOUR)::DATE - 1 END AS session FROM events""",
     "str_01_dedupe": "SELECT event_id, user_id, event_type, value FROM events",
     "str_02_ohlc": """SELECT event_type, ts::DATE AS start, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, count(*) AS n FROM events GROUP BY ALL""",

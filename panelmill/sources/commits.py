@@ -27,14 +27,15 @@ from ..operators.scd2 import scd2_apply
 from .sinks import numbered_trials, upsert
 
 PART = "panel_part"
+_CHECK = "_check_"
 
 
 class ChecksFailed(ValueError):
-    """Rows that a quality bundle refuses: nothing was committed. ``failures`` has the counts by check."""
+    """Rows that a quality bundle refuses: nothing was committed. ``counts`` has every check's, ``failures`` those that aren't 0."""
 
-    def __init__(self, failures: dict[str, int]) -> None:
-        super().__init__(f"refused: {failures}")
-        self.failures = failures
+    def __init__(self, counts: dict[str, int]) -> None:
+        self.counts, self.failures = counts, {n: v for n, v in counts.items() if v}
+        super().__init__(f"refused: {self.failures}")
 
 
 @dataclass(frozen=True)
@@ -144,7 +145,8 @@ def _commit(spark: SparkSession, path: str, change: Callable[[Version | None], V
 def _write(rows: DataFrame, path: str, part: Column | None, sort: Sequence[str], checks: dict[str, Column] | None) -> tuple[str, list[str]]:
     """Write an attempt; its id and partitions. Skewed partitions are split and small ones joined between tasks by Spark.
 
-    ``checks`` are counts of bad rows taken while the rows are written; any above 0 stops here, before a commit.
+    ``checks`` are counts of bad rows taken while the rows are written; any above 0 stops here, before a commit. Columns named
+    ``_check_...`` are for the checks alone.
     """
     spark, attempt = rows.sparkSession, f"a-{uuid.uuid4().hex}"
     out = rows.withColumn(PART, part_value(part))
@@ -152,18 +154,23 @@ def _write(rows: DataFrame, path: str, part: Column | None, sort: Sequence[str],
     if checks:
         seen = Observation(f"checks-{attempt}")
         out = out.observe(seen, *(F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in checks.items()))
+        out = out.drop(*(c for c in out.columns if c.startswith(_CHECK)))
     out = out.hint("rebalance", PART) if part is not None else out
     if sort:
         out = out.sortWithinPartitions(PART, *sort)
     out.write.partitionBy(PART).parquet(f"{path}/data/attempt={attempt}")
     if seen is not None:
-        failures = {n: v for n, v in seen.get.items() if v}
-        if failures:
-            raise ChecksFailed(failures)
+        counts = seen.get
+        if any(counts.values()):
+            raise ChecksFailed(counts)
     names = _names(spark, path, "data", f"attempt={attempt}")
     return attempt, [unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{PART}=")]
 
 
+def _kept(rows: DataFrame) -> T.StructType:
+    return T.StructType([f for f in rows.schema.fields if not f.name.startswith(_CHECK)])
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
@@ -195,7 +202,7 @@ def _typed(rows: DataFrame, version: Version | None) -> DataFrame:
 def rebuild(rows: DataFrame, path: str, part: Column | None = None, sort: Sequence[str] = (), checks: dict[str, Column] | None = None) -> Version:
     """Replace the whole table. Until the commit, and after a crash before it, readers see the old one."""
     attempt, parts = _write(rows, path, part, sort, checks)
-    return _commit(rows.sparkSession, path, lambda old: Version(0, _nullable(rows.schema), dict.fromkeys(parts, attempt)))
+    return _commit(rows.sparkSession, path, lambda old: Version(0, _nullable(_kept(rows)), dict.fromkeys(parts, attempt)))
 
 
 def append(rows: DataFrame, path: str) -> Version:

@@ -35,6 +35,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clustered(df: DataFrame, name: str, by: str, order: str) -> DataFrame:
+    """``df`` written once in buckets of ``by``, each sorted by ``order``: windows and joins by that key read it without a shuffle."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch(spark, name)
+    table = "panelmill_" + path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(n, by).write.bucketBy(n, by).sortBy(by, order).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

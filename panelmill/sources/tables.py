@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sinks import stored
+from .sinks import clustered
 
 #: Exchange rate from the order lines' currency to that of the prices.
 RATE = 0.91371693
@@ -43,8 +43,8 @@ class Tables:
 
     @cached_property
     def prices(self) -> DataFrame:
-        """The bars as a stored table, for plans that read them several times: asking for it runs the job that writes it."""
-        return stored(self.bars(), "bars")
+        """The bars as a stored table in buckets of the symbol, which plans read without a shuffle: asking for it runs the job that writes it."""
+        return clustered(self.bars(), "bars", "symbol", "date")
 
     def raw_prices(self) -> DataFrame:
         """Bars with dividends (1% of the close, every 180th day number) and 2:1 splits (every 700th)."""

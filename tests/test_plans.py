@@ -7,13 +7,14 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from panelmill.functions import indicators as ind
 from panelmill.plans import backtest as bt
 from panelmill.plans import calendar as cal
 from panelmill.plans import calls as cl
 from panelmill.plans import fundamentals as fun
-from panelmill.plans import gold, quality, scoring
+from panelmill.plans import gold, quality, scoring, star
 from panelmill.plans import holdings as hd
-from panelmill.sources import commits
+from panelmill.sources import commits, sinks
 
 DAY = date(2025, 1, 6)
 
@@ -310,3 +311,49 @@ def test_tax_free_accounts(spark):
     trades = spark.createDataFrame(rows, "account string, symbol string, date date, side string, qty double, price double, seed boolean, id int")
     p = spark.createDataFrame([("A", date(2024, 1, 2), 10.0), ("A", date(2024, 3, 1), 5.0)], "symbol string, date date, close double")
     assert [r.account for r in hd.loss_harvest(trades, p, scoring.latest_price(p, p), "2024-06-01").collect()] == ["broker"]
+
+
+def test_a_filter_on_the_calendar_prunes_the_facts(spark):
+    days = [(date(2020, 1, 1) + timedelta(days=i), float(i)) for i in range(366)] + [(None, -1.0)]
+    fact = star.by_month(spark.createDataFrame(days, "date date, x double"), "date", "fact")
+    assert fact.count() == 367 and len(fact.inputFiles()) >= 13
+    one = cal.calendar(spark, "2020-01-01", "2020-12-31").filter("quarter = 2").select("date", "is_session")
+    got = star.on_days(fact, one)
+    assert got.columns == ["date", "x", "is_session"] and got.agg(F.sum("x")).first()[0] == sum(x for d, x in days if d and 4 <= d.month <= 6)
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    rows = got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == 91 and "dynamicpruning" in plan
+    scans = [n for n in scan_nodes(got._jdf.queryExecution().executedPlan()) if n.metrics().contains("numPartitions")]
+    assert [n.metrics().apply("numPartitions").value() for n in scans] == [3]  # of 13
+
+
+def scan_nodes(plan):
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return scan_nodes(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return scan_nodes(plan.plan())
+    own = [plan] if plan.nodeName().startswith("Scan parquet") else []
+    return own + [n for i in range(plan.children().size()) for n in scan_nodes(plan.children().apply(i))]
+
+
+def test_checks_are_counted_where_rows_are_written(spark, tmp_path):
+    rows = [("A", date(2020, 1, 1), 1.0, 2.0, 0.5, 1.0, 10), ("A", date(2020, 1, 2), 1.0, 2.0, 0.5, 3.0, -1), ("A", date(2020, 1, 2), 1.0, 0.4, 0.5, None, 1)]
+    p = spark.createDataFrame(rows, "symbol string, date date, open double, high double, low double, close double, volume long")
+    path = f"file://{tmp_path}/prices"
+    want = {r.check: r.failures for r in quality.price_checks(p, ["symbol", "date"]).collect()}
+    assert quality.land_checked(p, path, ["symbol", "date"], F.year("date")) == want and want["duplicate_keys"] == 1 and want["close_outside"] == 1
+    assert commits.versions(spark, path) == []
+    good = p.limit(1)
+    assert not any(quality.land_checked(good, path, ["symbol", "date"], F.year("date")).values())
+    assert commits.read(spark, path).columns == p.columns and commits.read(spark, path).count() == 1
+    assert quality.land_checked(p.limit(0), path, ["symbol", "date"], F.year("date"))["empty"] == 1 and commits.read(spark, path).count() == 1
+
+
+def test_indicators_read_clustered_bars_without_a_shuffle(spark):
+    rows = [(f"S{k}", date(2020, 1, 1) + timedelta(days=i), *(100.0 + i + k,) * 4, 10) for k in range(5) for i in range(260)]
+    p = spark.createDataFrame(rows, "symbol string, date date, open double, high double, low double, close double, volume long")
+    stored = sinks.clustered(p, "bars", "symbol", "date")
+    got = ind.signal_series(stored)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, ind.signal_series(p).select(got.columns).collect()))
