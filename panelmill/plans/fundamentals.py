@@ -24,6 +24,8 @@ NON_OPERATING_SIC = ("6221", "6726", "6770", "6799")
 STALE_DAYS = 400
 # What a quote service gives directly, where it does.
 QUOTED = ("trailing_eps", "trailing_pe", "dividend_yield", "dividend_rate", "five_year_avg_yield")
+# What only a quote service gives: expected earnings, and the price by them.
+FORWARD = ("forward_eps", "forward_pe")
 
 
 def concepts(facts: DataFrame) -> DataFrame:
@@ -63,12 +65,14 @@ def with_fundamentals(signals: DataFrame, known: DataFrame) -> DataFrame:
 
     ``known`` may have ``QUOTED`` columns. Those are preferred to what is computed: earnings are net income by shares, the
     ratio is the price by earnings, the yield is dividend_rate by price, or 0 without one. A usual yield that is missing or
-    0 is dividend_rate by price; without a rate a 0 stays. Where nothing is known yet, the yield is NULL.
+    0 is dividend_rate by price; without a rate a 0 stays. Where nothing is known yet, the yield is NULL. ``FORWARD`` columns
+    that ``known`` has come along as they were known on each date; what isn't a finite number is NULL.
     """
+    forward = [c for c in FORWARD if c in known.columns]
     given = [F.col(c).cast("double") if c in known.columns else F.lit(None).cast("double") for c in QUOTED]
     f = known.select(
         "symbol", "filed", "net_income", "shares_outstanding", "roe", "gross_profitability", "revenues", "shares_date",
-        *(finite(x).alias(f"_{c}") for x, c in zip(given, QUOTED, strict=True)),
+        *(finite(x).alias(f"_{c}") for x, c in zip(given, QUOTED, strict=True)), *(finite(F.col(c).cast("double")).alias(c) for c in forward),
     )
     out = asof_left(signals, f, ["symbol"], "as_of_date", "filed")
     price = F.col("last_closing_price")

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import checked_expression
+from ..operators.quantiles import global_ranks
 from ..operators.windows import latest_per_key, pct_rank
+from ..sources.sinks import stored
 
 COMPONENTS = ("momentum_pct", "value_pct", "risk_pct", "quality_pct")
 
@@ -65,8 +67,8 @@ def dollar_volume_rank(prices: DataFrame, top: int) -> DataFrame:
     w = Window.partitionBy("symbol").orderBy(F.col("date").desc())
     recent = prices.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 63")
     medians = recent.groupBy("symbol").agg(F.median(F.col("close") * F.col("volume")).alias("dollar_volume"))
-    # a row per symbol: one task can rank them
-    return medians.withColumn("rank", F.rank().over(Window.orderBy(F.col("dollar_volume").desc()))).orderBy("rank").limit(top)
+    placed = global_ranks(stored(medians, "medians"), F.col("dollar_volume"), ascending=False)
+    return placed.select("symbol", "dollar_volume", F.col("global_rank").cast("int").alias("rank")).orderBy("rank", "symbol").limit(top)
 
 
 def members_at(events: DataFrame, at: Column | None = None) -> DataFrame:
@@ -99,9 +101,9 @@ def line_of_sight(prices: DataFrame, tags: DataFrame, floors: tuple[float, float
         over(1, 252).alias("ret_12m"), med(63).alias("dollar_volume_63d"), F.try_divide(med(21), med(252)).alias("dv_acceleration"),
     )
     s = s.join(tags, "symbol", "left")
-    # a row per symbol again
-    s = s.withColumn("mom_pct", F.percent_rank().over(Window.orderBy(F.col("mom_12_1").asc_nulls_first())))
-    s = s.withColumn("dv_accel_pct", F.percent_rank().over(Window.orderBy(F.col("dv_acceleration").asc_nulls_first())))
+    s = stored(s, "sight")
+    for name, of in (("mom_pct", "mom_12_1"), ("dv_accel_pct", "dv_acceleration")):
+        s = global_ranks(s, F.col(of), nulls_first=True).withColumnRenamed("global_percent_rank", name).drop("global_rank")
     flags = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("is_watchlist", "is_held", "is_top_n")}
     s = s.withColumns(flags)
     falling = (F.col("ret_3m") < 0) & (F.col("ret_6m") < 0) & (F.col("ret_12m") < 0)

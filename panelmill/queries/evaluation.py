@@ -54,6 +54,15 @@ def bt_01_forward_returns(spark, d):
     return r4(returns(Tables(spark, d)), ["symbol", "as_of_date", "horizon", "entry_date", "exit_date"], "fwd_return, benchmark_return, excess_return", 6)
 
 
+def bt_01_by_date(spark, d):
+    """The same returns added up by date and horizon."""
+    by = returns(Tables(spark, d)).groupBy("as_of_date", "horizon").agg(
+        F.count("*").alias("n"), F.count("excess_return").alias("n_excess"), F.min("entry_date").alias("entry_date"), F.max("exit_date").alias("exit_date"),
+        *(F.avg(c).alias(c) for c in ("fwd_return", "benchmark_return", "excess_return")), F.min_by("symbol", F.struct("fwd_return", "symbol")).alias("worst"),
+    )
+    return r4(by, ["as_of_date", "horizon", "n", "n_excess", "entry_date", "exit_date", "worst"], "fwd_return, benchmark_return, excess_return", 6)
+
+
 def bt_02_frame(spark, d):
     return r4(frame(Tables(spark, d)), ["variant", "horizon", "as_of_date", "symbol"], "signal, fwd_return, excess_return", 6)
 
@@ -261,7 +270,7 @@ def hld_07_verdicts(spark, d):
 
 
 QUERIES = {
-    "bt_01_forward_returns": bt_01_forward_returns, "bt_02_frame": bt_02_frame, "bt_03_ic": bt_03_ic, "bt_04_ic_summary": bt_04_ic_summary,
+    "bt_01_forward_returns": bt_01_forward_returns, "bt_01_by_date": bt_01_by_date, "bt_02_frame": bt_02_frame, "bt_03_ic": bt_03_ic, "bt_04_ic_summary": bt_04_ic_summary,
     "bt_05_deciles": bt_05_deciles, "bt_07_turnover": bt_07_turnover, "bt_08_distribution": bt_08_distribution, "bt_10_evaluate": bt_10_evaluate,
     "bt_10_decay_ladder": bt_10_decay_ladder,
     "call_01_hysteresis": call_01_hysteresis, "call_03_next_round": call_03_next_round, "call_04_emit": call_04_emit, "src_15_positions": src_15_positions, "tk_05_worst_losses": tk_05_worst_losses, "call_05_flat": call_05_flat, "call_06_due_date": call_06_due_date,
@@ -367,6 +376,8 @@ _T = "CASE WHEN count({c}) > 1 AND stddev_samp({c}) > 0 THEN avg({c}) / stddev_s
 
 SQL = {
     "bt_01_forward_returns": f"WITH {FR} SELECT symbol, as_of_date, horizon, entry_date, exit_date, {rounded('fwd_return, benchmark_return, excess_return', 6)} FROM fr",
+    "bt_01_by_date": f"""WITH {FR} SELECT as_of_date, horizon, count(*) AS n, count(excess_return) AS n_excess, min(entry_date) AS entry_date, max(exit_date) AS exit_date,
+  arg_min(symbol, (fwd_return, symbol)) AS worst, {", ".join(f"round(avg({c}), 6) AS {c}" for c in ("fwd_return", "benchmark_return", "excess_return"))} FROM fr GROUP BY ALL""",
     "bt_02_frame": f"WITH {FR} SELECT variant, horizon, as_of_date, symbol, {rounded('signal, fwd_return, excess_return', 6)} FROM fm",
     "bt_03_ic": f"WITH {FR} SELECT variant, horizon, as_of_date, round(ic, 4) AS ic FROM ic",
     "bt_04_ic_summary": f"""WITH {FR}, ye AS (SELECT variant, horizon, avg(ic) AS ic FROM ic GROUP BY variant, horizon, year(as_of_date)),

@@ -9,6 +9,7 @@ from ..functions import indicators as ind
 from ..operators.joins import on_latest
 from ..plans import fundamentals as fun
 from ..plans import gold, scoring
+from ..sources import sinks
 from ..sources.tables import QQQ, SPY, Tables
 from .prices import r4
 from .sqltext import BARS, RAW, SIGNALS, rounded
@@ -124,6 +125,37 @@ def gld_11_candidates(spark, d):
     return r4(gold.portfolio_candidates(signals(Tables(spark, d))), ["symbol", "as_of_date", "candidate_bucket"], "last_closing_price, rsi, pe_ratio, dividend_yield, change_30d_pct")
 
 
+def ind_18_quoted_forward(spark, d):
+    """Expected earnings and ratios as known on each date; stand-ins: a tenth more than the last net income by shares, 20 times it for some."""
+    t = Tables(spark, d)
+    n = F.regexp_extract("symbol", r"(\d+)", 1).cast("int")
+    earned = F.try_divide("net_income", "shares_outstanding")
+    quoted = known(t).withColumn("forward_eps", F.when(n % 3 != 0, earned * 1.1).otherwise(F.lit(float("inf")))).withColumn("forward_pe", F.when(n % 2 == 0, F.lit("20").cast("double")))
+    out = fun.with_fundamentals(t.prices.select("symbol", F.col("date").alias("as_of_date"), F.col("close").alias("last_closing_price")), quoted)
+    return r4(out, ["symbol", "as_of_date"], "eps, forward_eps, forward_pe", 6)
+
+
+def tk_04_presented(spark, d):
+    """Alerts and candidates as they are presented, in order of two keys, each with its place in what was written."""
+    s = signals(Tables(spark, d))
+    tables = {"alerts": (gold.alerts(s), ("symbol", "alert_type")), "candidates": (gold.portfolio_candidates(s), ("candidate_bucket", "symbol"))}
+    out = None
+    for name, (rows, keys) in tables.items():
+        path = sinks.scratch(spark, name)
+        sinks.write_sorted(rows, path, *(F.col(k).asc_nulls_last() for k in keys))
+        one = sinks.read_in_order(spark, path).select(F.lit(name).alias("presented"), "position", *(F.col(k).alias(f"key_{i}") for i, k in enumerate(keys, 1)))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def tk_04_orders(spark, d):
+    """All orders in order of priority, price (highest first, NULL last) and key."""
+    o = Tables(spark, d).read("orders").select("o_orderkey", "o_orderpriority", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price"))
+    path = sinks.scratch(spark, "orders")
+    sinks.write_sorted(o, path, F.col("o_orderpriority"), F.col("price").desc_nulls_last(), F.col("o_orderkey"))
+    return sinks.read_in_order(spark, path).select("position", "o_orderkey")
+
+
 def gld_13_daily_analytics(spark, d):
     t = Tables(spark, d)
     out = gold.daily_analytics(signals(t), t.prices, t.securities())
@@ -200,7 +232,7 @@ VIEWS = {
 QUERIES = {
     "pit_01_concepts": pit_01_concepts,
     "pit_02_metrics": pit_02_metrics,
-    "ind_18_fundamental_signals": ind_18_fundamental_signals,
+    "ind_18_fundamental_signals": ind_18_fundamental_signals, "ind_18_quoted_forward": ind_18_quoted_forward, "tk_04_presented": tk_04_presented, "tk_04_orders": tk_04_orders,
     "rank_04_variant_scores": rank_04_variant_scores,
     "rank_07_candidates": rank_07_candidates,
     "rank_08_round_scores": rank_08_round_scores,
@@ -300,6 +332,10 @@ SQL = {
     "pit_01_concepts": f"WITH {BARS.split(',' + chr(10) + 'bars')[0]}, {FACTS} SELECT * FROM silver",
     "pit_02_metrics": f"""WITH {BARS.split(',' + chr(10) + 'bars')[0]}, {KNOWN} SELECT symbol, filed, period_end, shares_date, net_income, revenues, cost_of_revenue, assets, equity,
   shares_outstanding, {rounded("gross_profit, roe, gross_profitability")} FROM known""",
+    "ind_18_quoted_forward": f"""WITH {RAW}, {KNOWN}, n AS (SELECT *, regexp_extract(symbol, '(\\d+)', 1)::INT AS n, net_income / nullif(shares_outstanding, 0) AS e FROM known)
+  SELECT b.symbol, b.date AS as_of_date, round(e, 6) AS eps, round(CASE WHEN n % 3 <> 0 THEN e * 1.1 END, 6) AS forward_eps, CASE WHEN n % 2 = 0 THEN 20.0 END AS forward_pe
+  FROM bars b ASOF LEFT JOIN n k ON k.symbol = b.symbol AND k.filed <= b.date""",
+    "tk_04_orders": """SELECT row_number() OVER (ORDER BY o_orderpriority, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END DESC NULLS LAST, o_orderkey) AS position, o_orderkey FROM orders""",
     "ind_18_fundamental_signals": f"{SIG} SELECT symbol, as_of_date, dividend_yield_trap, {rounded('eps, pe_ratio, dividend_yield, dividend_yield_gap')} FROM sig",
     "rank_04_variant_scores": f"""{SIG}, x AS (SELECT symbol, as_of_date, {", ".join(f"{e} AS {n}" for n, (e, _, _) in VARIANT.items())} FROM sig
   WHERE as_of_date IN (SELECT max(as_of_date) FROM sig GROUP BY date_trunc('month', as_of_date))),
@@ -363,3 +399,6 @@ SQL = {
     "view_28_peers": f"""{WIDE}, p AS (SELECT sector, avg(rsi) AS sector_rsi, avg(change_30d_pct) AS sector_change FROM wl GROUP BY sector)
   SELECT symbol, sector, {rounded("rsi, sector_rsi, change_30d_pct, sector_change")} FROM wl JOIN p USING (sector)""",
 }
+
+SQL["tk_04_presented"] = f"""SELECT 'alerts' AS presented, row_number() OVER (ORDER BY symbol, alert_type) AS position, symbol AS key_1, alert_type AS key_2 FROM ({SQL["gld_04_alerts"]})
+UNION ALL SELECT 'candidates', row_number() OVER (ORDER BY candidate_bucket, symbol), candidate_bucket, symbol FROM ({SQL["gld_11_candidates"]})"""

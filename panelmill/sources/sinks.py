@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,20 @@ def clustered(df: DataFrame, name: str, by: str, order: str) -> DataFrame:
     return spark.table(table)
 
 
+def write_sorted(df: DataFrame, path: str, *order: Column) -> None:
+    """Write a table in order: ranges of it in files whose names sort as the ranges do, each file in order."""
+    df.orderBy(*order).write.parquet(path)
+
+
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """A ``write_sorted`` table with ``position``, a row's place in the whole, from 1: files are read apart, and a row per file
+    says how many rows come before."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")
+    return rows.join(F.broadcast(files.select("_file", before.alias("_before"))), "_file").withColumn("position", F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
