@@ -118,6 +118,52 @@ def grammar() -> Transducer:
     return compose(compose(negation(), reported()), aimed())
 
 
+@dataclass(frozen=True)
+class Machine:
+    """A transducer as tables by state and symbol, run over many sequences of symbols at once."""
+
+    after: np.ndarray
+    output: np.ndarray
+    weight: np.ndarray
+    start: int  # END leads every state there
+    settled: int  # after so many OTHER words in a row another one changes nothing
+
+    @staticmethod
+    def of(t: Transducer) -> Machine:
+        n = 1 + max(max(s, step[0]) for (s, _), step in t.steps.items())
+        steps = [[t.step(s, x) for x in range(10)] for s in range(n)]
+        after, output, weight = (np.array([[step[i] for step in row] for row in steps]) for i in range(3))
+        settled, state = 0, np.arange(n)
+        while (after[state, OTHER] != state).any():
+            settled, state = settled + 1, after[state, OTHER]
+        return Machine(after, output, np.exp(weight), int(after[0, END]), settled)
+
+    def run(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Output and weight of every symbol; sequences begin at ``starts``, each in the start state.
+
+        Sequences advance together, the longest first; a sequence that goes on alone is walked by itself.
+        """
+        lengths = np.diff(np.append(starts, len(symbols)))
+        order = np.argsort(-lengths, kind="stable")
+        at, left = starts[order], lengths[order]
+        output, weight = np.empty(len(symbols), np.int64), np.empty(len(symbols))
+        state, j = np.full(len(at), self.start), 0
+        live = int(np.count_nonzero(left > 0))
+        while live > 8:
+            here = at[:live] + j
+            seen = symbols[here]
+            output[here], weight[here] = self.output[state[:live], seen], self.weight[state[:live], seen]
+            state[:live] = self.after[state[:live], seen]
+            j += 1
+            live = int(np.searchsorted(-left, -j, "left"))
+        after, out, w = self.after.tolist(), self.output.tolist(), self.weight.tolist()
+        for k in range(live):
+            s = int(state[k])
+            for i, x in enumerate(symbols[at[k] + j : at[k] + left[k]].tolist(), int(at[k]) + j):
+                output[i], weight[i], s = out[s][x], w[s][x], after[s][x]
+        return output, weight
+
+
 # --- features -------------------------------------------------------------------------------------------------------
 
 _KINDS = (INSULT, AIMED, DENIED, QUOTED, THREAT)
@@ -147,8 +193,11 @@ class Lexicon:
         return Lexicon(keys, np.array([entries[int(k)][0] for k in keys]), np.array([entries[int(k)][1] for k in keys]))
 
 
-def _features(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher, lexicon: Lexicon, machine: Transducer) -> np.ndarray:
-    """Texts by features: weights of matched clauses by kind, their largest, their number, and their share of the words."""
+def _features(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher, lexicon: Lexicon, machine: Machine) -> np.ndarray:
+    """Texts by features: weights of matched clauses by kind, their largest, their number, and their share of the words.
+
+    A clause ends at ``.!?;`` or a newline and has no bound: a text without them is one, walked whole.
+    """
     words, begin, end, at = hasher.words(data, offsets)
     out = np.zeros((len(offsets) - 1, N_FEATURES))
     if not len(words):
@@ -165,22 +214,28 @@ def _features(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher, lexicon
     first = np.ones(len(words), bool)  # of its clause
     first[1:] = marks[begin[1:]] > marks[end[:-1]]
     first[at[(at < len(words))]] = True
-    clause = np.cumsum(first)
-    starts = np.append(np.flatnonzero(first), len(words))
-    for c in np.unique(clause[hot]):
-        lo, hi = starts[c - 1], starts[c]
-        text, state = int(np.searchsorted(at, lo, "right")) - 1, machine.step(0, END)[0]  # END leads every state there
-        found = dict.fromkeys(_KINDS, 0.0)
-        for i, symbol in zip(range(lo, hi), symbols[lo:hi].tolist(), strict=True):
-            state, kind, weight = machine.step(state, symbol)
-            if kind in found:
-                found[kind] += (lexicon.weights[place[i]] if symbol == INSULT else 1.0) * np.exp(weight)
-        row = out[text]
-        for k, kind in enumerate(_KINDS):
-            row[k] += found[kind]
-        if any(found.values()):
-            row[-3] = max(row[-3], *found.values())
-            row[-2] += 1
+    clause = np.cumsum(first) - 1
+    matched = np.zeros(int(clause[-1]) + 1, bool)
+    matched[clause[hot]] = True
+    # of OTHER words in a row those that change no state are passed over, so that a clause counts by the words of the grammar in it
+    named = np.flatnonzero(symbols != OTHER)
+    since = np.arange(len(symbols)) - np.concatenate([[-1], named])[np.searchsorted(named, np.arange(len(symbols)), "right")]
+    since = np.minimum(since, np.arange(len(symbols)) - np.flatnonzero(first)[clause] + 1)
+    used = np.flatnonzero(matched[clause] & (since <= machine.settled))
+    own = clause[used]
+    kind, weight = machine.run(symbols[used], np.flatnonzero(np.diff(own, prepend=-1)))
+    number = np.cumsum(np.diff(own, prepend=-1) > 0) - 1  # of the matched clause
+    found = np.zeros((int(number[-1]) + 1, len(_KINDS)))
+    for k, name in enumerate(_KINDS):
+        is_kind = kind == name
+        lexical = np.where(symbols[used] == INSULT, lexicon.weights[place[used]], 1.0)
+        np.add.at(found[:, k], number[is_kind], (lexical * weight)[is_kind])
+    text = np.searchsorted(at, used[np.flatnonzero(np.diff(own, prepend=-1))], "right") - 1
+    for k in range(len(_KINDS)):
+        np.add.at(out[:, k], text, found[:, k])
+    best = found.max(axis=1)
+    np.maximum.at(out[:, -3], text, best)
+    np.add.at(out[:, -2], text, (best > 0).astype(float))
     out[:, -1] = 100 * out[:, -2] / np.maximum(np.diff(at), 20)
     out[:, : len(_KINDS)] = np.log1p(out[:, : len(_KINDS)])
     out[:, -2:] = np.log1p(out[:, -2:])
@@ -223,7 +278,7 @@ def _measurer(lexicon: Lexicon):
     """The features of every row, as one array, with its label."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, machine = WordHasher(), grammar()
+        hasher, machine = WordHasher(), Machine.of(grammar())
         for batch in batches:
             x = _batch_features(batch, hasher, lexicon, machine)
             ends = np.arange(0, x.size + 1, N_FEATURES, dtype=np.int32)
@@ -232,7 +287,7 @@ def _measurer(lexicon: Lexicon):
     return measure
 
 
-def _batch_features(batch: pa.RecordBatch, hasher: WordHasher, lexicon: Lexicon, machine: Transducer) -> np.ndarray:
+def _batch_features(batch: pa.RecordBatch, hasher: WordHasher, lexicon: Lexicon, machine: Machine) -> np.ndarray:
     data, offsets = texts(batch.column("text"))
     x = [_features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, lexicon, machine) for a, b in slices(offsets, PIECE)]
     return np.concatenate(x) if x else np.empty((0, N_FEATURES))
@@ -281,7 +336,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams | None = None
 
 def _scorer(model: ToxicityModel):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, machine = WordHasher(), grammar()
+        hasher, machine = WordHasher(), Machine.of(grammar())
         for batch in batches:
             z = _batch_features(batch, hasher, model.lexicon, machine) @ model.weights + model.bias
             yield pa.RecordBatch.from_arrays(
