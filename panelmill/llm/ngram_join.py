@@ -163,6 +163,8 @@ def _candidates(reps: DataFrame, p: JaccardParams) -> DataFrame:
     return out
 
 
+#: Pairs of a block that are compared at once.
+_PAIRS_AT_ONCE = 1 << 16
 #: What names a set of n-grams.
 _DIGEST = ["digest", "digest2", "n_grams"]
 #: What a member of a component brings to a pair of blocks; ``low`` and ``i`` name the smaller class of sizes and its block.
@@ -266,8 +268,9 @@ def _verifier(p: JaccardParams):
     def compare(ids, copies, first, second, sig, sets):
         size = np.array([len(x) for x in sets])
         links, label, found = np.zeros(len(ids), np.int64), np.arange(len(ids)), []
-        for f in range(0, len(first), max(1, 500_000 // max(1, len(second)))):
-            a, b = (x.ravel() for x in np.meshgrid(first[f : f + max(1, 500_000 // max(1, len(second)))], second, indexing="ij"))
+        rows = max(1, _PAIRS_AT_ONCE // max(1, len(second)))
+        for f in range(0, len(first), rows):
+            a, b = (x.ravel() for x in np.meshgrid(first[f : f + rows], second, indexing="ij"))
             keep = np.minimum(size[a], size[b]) >= p.threshold * np.maximum(size[a], size[b]) - 1e-9
             if first is second:
                 keep &= a < b
