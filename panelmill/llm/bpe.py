@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches
+from .shared import bounded_batches, give_back
 from .textkernel import _inverse, _powers, mix, slices, texts
 from .token_files import PieceEncoder
 
@@ -331,6 +331,8 @@ def encode(docs: DataFrame, tokenizer: str, params: BpeParams | None = None) ->
                 ends = 4 * np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
                 raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u4"))])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), raw.cast(pa.binary())], names=["doc_id", "n_tokens", "ids"])
+        del encoder
+        give_back()
 
     rows = bounded_batches(docs).select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")

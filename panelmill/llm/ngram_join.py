@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import bounded_batches, discard, join_groups, partitions, table
+from .shared import bounded_batches, discard, give_back, join_groups, partitions, table
 from .textkernel import WordHasher, mix, runs, slices, texts
 
 
@@ -314,6 +314,7 @@ def _verifier(p: JaccardParams):
                 rows.append(row)
         if rows:
             yield done(rows)
+        give_back()
 
     return verify
 

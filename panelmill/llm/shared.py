@@ -59,6 +59,19 @@ def bounded_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def give_back() -> None:
+    """Return what a finished task's libraries have freed to the system, as its worker process stays for later tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, filesystem, place, table
+from .shared import bounded_batches, filesystem, give_back, place, table
 from .textkernel import PIECE, _inverse, _powers, mix, slices, texts
 
 _HEAD = "<8sIQIQ"
@@ -32,7 +32,7 @@ class TokenFileParams:
     """The id that ends a document, ids of a block, and distinct pieces of text whose ids a task remembers."""
 
     end_id: int = 2
-    block_ids: int = 1 << 21
+    block_ids: int = 1 << 20
     remembered: int = 1 << 18
 
 
@@ -385,6 +385,8 @@ def _writer(folder: str, tokenizer: str, p: TokenFileParams):
                         flush()
             if doc_ids:
                 flush()
+        del encoder
+        give_back()
         columns = list(zip(*made, strict=True)) or [()] * 4
         yield pa.RecordBatch.from_arrays(
             [pa.array([f"{folder}/{name}"] * len(made)), pa.array([shard] * len(made), pa.int32()), *(pa.array(x, pa.int64()) for x in columns)],
@@ -426,6 +428,7 @@ def _reader(with_ids: bool):
                     at = np.concatenate([[0], 4 * ends]).astype(np.int64)
                     columns.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(raw)]).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
+        give_back()
 
     return read
 
