@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, discard, table
+from .shared import bounded_batches, discard, give_back, table
 from .textkernel import LOWER, WordHasher, mix, slices, texts
 
 _BLOCK = 2
@@ -206,6 +206,7 @@ def _leaks(groups: list[_Windows]):
                     for s, _ in g.occurrences(part, hashes, begin, end, at):
                         found[a + int(np.searchsorted(at, s, "right")) - 1] = True
             yield pa.array(found)
+        give_back()
 
     return F.arrow_udf(leaks, "boolean", F.ArrowUDFType.SCALAR_ITER)
 

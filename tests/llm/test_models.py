@@ -218,6 +218,21 @@ def test_quality_equals_textbook(spark):
     assert stay == {i for i in got if got[i].predicted}
 
 
+def test_learning_takes_one_worker_a_task(spark, monkeypatch):
+    """No task pipes the rows of one Python worker into another one, which Spark would keep for all later tasks."""
+    docs = spark.createDataFrame([(i, "some words here " * (1 + i % 3) + "#" * (i % 2)) for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(3, 0)], "doc_id long, quality int")
+    kind, below = type(docs), []
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: (below.append(self._jdf.queryExecution().analyzed().toString()), plain(self, *a, **b))[1])
+    quality.good(docs, labels).count()
+    measured = quality.fit(quality.table(quality.statistics(docs), "statistics"), labels)
+    assert len(below) >= 3 and not any("MapInArrow" in x for x in below)
+    texts = quality.fit_texts(docs, labels)
+    for a, b in ((texts.means, measured.means), (texts.inverses, measured.inverses), (texts.offsets, measured.offsets)):
+        assert np.allclose(a, b)
+
+
 # --- mixing: one sort ------------------------------------------------------------------------------------------------
 
 
